@@ -1,0 +1,142 @@
+"""The refresh pipeline (bronze → silver → gold) as lazy DataFrame plans.
+
+``build_silver`` / ``build_gold`` return DataFrames; ``refresh_*`` write them as
+tables with ``mode("overwrite")``. A table is replaced only when its plan
+succeeds (write-then-swap; no empty-table window), and a failing step raises
+instead of leaving later steps to run on stale data. Gold steps that re-read a
+silver table read it back from its written location, which also cuts the
+lineage between the layers.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quantleaf.config import EngineConfig
+from quantleaf.operators import gold as G
+from quantleaf.operators import silver as S
+from quantleaf.sources.proxy import Bronze
+
+
+@dataclass
+class Silver:
+    prices: DataFrame
+    fundamentals: DataFrame
+    forex: DataFrame
+    companies: DataFrame
+    currency_map: DataFrame
+
+
+@dataclass
+class GoldInputs:
+    silver: Silver
+    as_of: dt.date
+    cfg: EngineConfig
+    stats: DataFrame
+    fx: DataFrame
+    _cache: dict = field(default_factory=dict)
+
+
+def build_silver(bronze: Bronze, cfg: EngineConfig) -> Silver:
+    return Silver(
+        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days),
+        fundamentals=S.clean_fundamentals(bronze.fundamentals, bronze.fund_order),
+        forex=S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days),
+        companies=bronze.companies,
+        currency_map=bronze.currency_map,
+    )
+
+
+def gold_inputs(silver: Silver, cfg: EngineConfig) -> GoldInputs:
+    as_of = G.resolve_as_of(silver.prices, cfg)
+    cfg = cfg.with_as_of(as_of)
+    return GoldInputs(silver, as_of, cfg,
+                      stats=G.ticker_stats(silver.prices, as_of, cfg),
+                      fx=G.fx_stats(silver.forex, as_of, cfg))
+
+
+def stock_performance(g: GoldInputs) -> DataFrame:
+    return G.stock_performance(g.stats, g.silver.companies, g.silver.fundamentals, g.cfg)
+
+
+def currency_adjusted(g: GoldInputs) -> DataFrame:
+    dense = G.densify_fx(g.silver.forex, g.as_of, g.cfg.bucket_days) if g.cfg.align_fx else None
+    return G.currency_adjusted_returns(g.stats, g.fx, g.silver.companies, g.silver.currency_map, g.cfg, dense)
+
+
+def dividend(g: GoldInputs) -> DataFrame:
+    return G.dividend_analysis(g.stats, g.silver.fundamentals, g.fx, g.silver.companies, g.silver.currency_map)
+
+
+def daily_inr(g: GoldInputs) -> DataFrame:
+    dense = G.densify_fx(g.silver.forex, g.as_of, g.cfg.bucket_days) if g.cfg.fx_policy == "asof" else None
+    return G.daily_inr_returns(g.silver.prices, g.silver.forex, g.silver.companies,
+                               g.silver.currency_map, g.cfg, dense)
+
+
+def correlation(g: GoldInputs) -> DataFrame:
+    from quantleaf.operators.correlation import correlation_matrix
+    return correlation_matrix(g.silver.prices, g.silver.companies, g.cfg)
+
+
+def build_gold(silver: Silver, cfg: EngineConfig) -> dict[str, DataFrame]:
+    g = gold_inputs(silver, cfg)
+    perf = stock_performance(g)
+    cur = currency_adjusted(g)
+    return {
+        "gold_stock_performance": perf,
+        "gold_currency_adjusted_returns": cur,
+        "gold_category_performance": G.category_performance(perf),
+        "gold_region_performance": G.region_performance(perf, cur),
+        "gold_dividend_analysis": dividend(g),
+        "gold_correlation_matrix": correlation(g),
+        "gold_daily_inr_returns": daily_inr(g),
+    }
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig) -> Silver:
+    """Write the silver tables and return them read back from storage."""
+    s = build_silver(bronze, cfg)
+    tables = {"silver_stock_prices": s.prices, "silver_stock_fundamentals": s.fundamentals,
+              "silver_forex_rates": s.forex, "silver_companies": s.companies,
+              "silver_currency_map": s.currency_map}
+    for name, df in tables.items():
+        _write(df, os.path.join(out_dir, name))
+    r = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in tables}
+    return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
+                  r["silver_companies"], r["silver_currency_map"])
+
+
+def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineConfig) -> dict[str, str]:
+    """Write the gold tables in dependency order; returns name → path."""
+    g = gold_inputs(silver, cfg)
+    paths: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        p = os.path.join(out_dir, name)
+        _write(df, p)
+        paths[name] = p
+        return spark.read.parquet(p)
+
+    perf = put("gold_stock_performance", stock_performance(g))
+    cur = put("gold_currency_adjusted_returns", currency_adjusted(g))
+    put("gold_category_performance", G.category_performance(perf))
+    put("gold_region_performance", G.region_performance(perf, cur))
+    put("gold_dividend_analysis", dividend(g))
+    put("gold_correlation_matrix", correlation(g))
+    put("gold_daily_inr_returns", daily_inr(g))
+    return paths
+
+
+def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig | None = None) -> dict[str, str]:
+    cfg = cfg or EngineConfig()
+    silver = refresh_silver(spark, bronze, os.path.join(out_dir, "silver"), cfg)
+    return refresh_gold(spark, silver, os.path.join(out_dir, "gold"), cfg)
