@@ -42,9 +42,10 @@ class EngineConfig:
     # partitioned by (key, bucket) so a key with a large share of the rows is still
     # spread across many tasks; bucket boundaries are stitched with one carry row.
     bucket_days: int = 90
-    # Ticker blocks for the correlation Gram computation, and the date-chunk width.
-    corr_blocks: int = 4
-    corr_chunk_days: int = 64
+    # Ticker blocks for the correlation Gram computation (0 = about 512 tickers per
+    # block, from a distinct count) and the date-chunk width in days.
+    corr_blocks: int = 0
+    corr_chunk_days: int = 366
     # Largest number of rows a side may have to be broadcast explicitly.
     broadcast_max_rows: int = 1_000_000
 
