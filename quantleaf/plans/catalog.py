@@ -343,3 +343,203 @@ def q_gold_correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M11 via block-wise Gram sums."""
     L = layers(spark, sf_dir)
     return P.correlation(L.gold())
+
+
+# ----------------------------------------------------------------------------- measures
+
+from quantleaf.operators import measures as M  # noqa: E402
+
+
+def _daily(L: Layers) -> DataFrame:
+    s = L.silver
+    return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, L.cfg)
+
+
+_PR_SQL = """
+pr_rows AS (
+  SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker, trade_date, close_price, close_price_inr,
+         ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date) AS rf,
+         ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date DESC) AS rl
+  FROM daily),
+pr_ends AS (
+  SELECT period, ticker,
+         MAX(CASE WHEN rf = 1 THEN close_price END) AS first_close,
+         MAX(CASE WHEN rl = 1 THEN close_price END) AS last_close,
+         MAX(CASE WHEN rf = 1 THEN close_price_inr END) AS first_inr,
+         MAX(CASE WHEN rl = 1 THEN close_price_inr END) AS last_inr
+  FROM pr_rows GROUP BY period, ticker),
+pr AS (
+  SELECT period, ticker, first_close, last_close,
+         CAST((CAST(last_close AS DOUBLE) - CAST(first_close AS DOUBLE)) / NULLIF(CAST(first_close AS DOUBLE), 0) * 100
+              AS DECIMAL(18,4)) AS local_return_pct,
+         CAST((CAST(last_inr AS DOUBLE) - CAST(first_inr AS DOUBLE)) / NULLIF(CAST(first_inr AS DOUBLE), 0) * 100
+              AS DECIMAL(18,4)) AS inr_return_pct
+  FROM pr_ends)"""
+
+
+@register("period_returns", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL], """
+SELECT period, ticker, first_close, last_close, local_return_pct, inr_return_pct,
+       CAST(inr_return_pct - local_return_pct AS DECIMAL(18,4)) AS currency_impact_pct
+FROM pr"""))
+def q_period_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15–M17 per (year, ticker)."""
+    return M.period_returns(_daily(layers(spark, sf_dir)))
+
+
+@register("category_period_returns", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL], f"""
+SELECT pr.period, c.category, {avg_dec('pr.local_return_pct', 4, 'avg_local_return_pct')},
+       {avg_dec('pr.inr_return_pct', 4, 'avg_inr_return_pct')}, COUNT(*) AS ticker_count
+FROM pr JOIN companies c ON pr.ticker = c.ticker GROUP BY pr.period, c.category"""))
+def q_category_period_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M18 (G9, G14, J13)."""
+    L = layers(spark, sf_dir)
+    return M.category_period_returns(_daily(L), L.silver.companies)
+
+
+@register("category_period_volatility", _oracle(_GOLD_BASE, [_DAILY_SQL], f"""
+SELECT v.period, c.category, {avg_dec('v.volatility', 4, 'avg_volatility')}, COUNT(v.volatility) AS ticker_count
+FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker,
+             CAST(STDDEV_POP(CAST(daily_return_local_pct AS DOUBLE)) AS DECIMAL(18,4)) AS volatility
+      FROM daily GROUP BY year(trade_date), ticker) v
+JOIN companies c ON v.ticker = c.ticker GROUP BY v.period, c.category"""))
+def q_category_period_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19 (G6, G9)."""
+    L = layers(spark, sf_dir)
+    return M.category_period_volatility(_daily(L), L.silver.companies)
+
+
+@register("best_worst_stock", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL], """
+, pr2 AS (SELECT pr.period, c.category, pr.ticker, pr.local_return_pct AS return_pct
+          FROM pr JOIN companies c ON pr.ticker = c.ticker WHERE pr.local_return_pct IS NOT NULL)
+SELECT period, category, kind, ticker, return_pct FROM (
+  SELECT period, category, 'best' AS kind, ticker, return_pct,
+         RANK() OVER (PARTITION BY period, category ORDER BY return_pct DESC) AS r FROM pr2
+  UNION ALL
+  SELECT period, category, 'worst' AS kind, ticker, return_pct,
+         RANK() OVER (PARTITION BY period, category ORDER BY return_pct ASC) AS r FROM pr2) x
+WHERE r = 1"""))
+def q_best_worst_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 (W10, T4): TOPN(1) with ties per (year, category)."""
+    L = layers(spark, sf_dir)
+    return M.best_worst_stock(_daily(L), L.silver.companies)
+
+
+@register("dynamic_dividend_yield", _oracle(_GOLD_BASE, [_DAILY_SQL], """
+SELECT l.period, l.ticker, l.last_close, f.dividend_per_share,
+       CAST(CAST(f.dividend_per_share AS DOUBLE) / NULLIF(CAST(l.last_close AS DOUBLE), 0) * 100 AS DECIMAL(18,6))
+         AS dividend_yield_pct
+FROM (SELECT period, ticker, MAX(CASE WHEN rl = 1 THEN close_price END) AS last_close
+      FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker, close_price,
+                   ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date DESC) AS rl
+            FROM daily) d GROUP BY period, ticker) l
+JOIN silver_fund f ON l.ticker = f.ticker"""))
+def q_dynamic_dividend_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M21."""
+    L = layers(spark, sf_dir)
+    return M.dynamic_dividend_yield(_daily(L), L.silver.fundamentals)
+
+
+_SCEN_TAIL = """
+, g AS (
+  SELECT cur.ticker, CAST(cur.return_inr_pct AS DECIMAL(18,4)) AS return_pct, a.amount, t.tax_rate,
+         CAST(a.amount AS DECIMAL(38,2)) * CAST(cur.return_inr_pct AS DECIMAL(38,4)) * CAST(0.01 AS DECIMAL(2,2)) AS gross
+  FROM cur,
+       (SELECT CAST(v AS DECIMAL(12,2)) AS amount FROM (VALUES (10000), (50000), (100000), (500000)) t(v)) a,
+       (SELECT CAST(v AS DECIMAL(5,4)) AS tax_rate FROM (VALUES ('0'), ('0.1'), ('0.15'), ('0.2'), ('0.3')) t(v)) t
+  WHERE cur.return_inr_pct IS NOT NULL)
+SELECT ticker, return_pct, amount, tax_rate,
+       CAST(gross AS DECIMAL(18,2)) AS gross_gain,
+       CAST(GREATEST(gross, 0) * tax_rate AS DECIMAL(18,2)) AS tax,
+       CAST(gross - GREATEST(gross, 0) * tax_rate AS DECIMAL(18,2)) AS net_gain,
+       CAST(amount + gross - GREATEST(gross, 0) * tax_rate AS DECIMAL(18,2)) AS final_value
+FROM g"""
+
+
+@register("scenario_returns",
+          with_ctes(_GOLD_BASE, [_STATS_SQL, _FXS_SQL, _CUR_SQL]).rstrip() + _SCEN_TAIL)
+def q_scenario_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M22 what-if grid over the home-currency returns (generator, no join)."""
+    return M.scenario_returns(P.currency_adjusted(layers(spark, sf_dir).gold()))
+
+
+@register("week52_position", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], """
+SELECT ticker, current_price, week_52_low, week_52_high,
+       CAST(CAST(current_price - week_52_low AS DOUBLE) / NULLIF(CAST(week_52_high - week_52_low AS DOUBLE), 0) * 100
+            AS DECIMAL(18,4)) AS position_pct
+FROM perf"""))
+def q_week52_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M23."""
+    return M.week52_position(P.stock_performance(layers(spark, sf_dir).gold()))
+
+
+def _rank_sql(value: str, partition: str | None, desc: bool = True) -> str:
+    part = f"{partition}, " if partition else ""
+    order = "DESC" if desc else "ASC"
+    return (f"CASE WHEN {value} IS NULL THEN NULL ELSE CAST(RANK() OVER "
+            f"(PARTITION BY {part}({value} IS NULL) ORDER BY {value} {order}) AS INTEGER) END")
+
+
+@register("yoy_comparison", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], f"""
+SELECT category, ticker, yoy_return_pct, {_rank_sql('yoy_return_pct', 'category')} AS category_rank FROM perf"""))
+def q_yoy_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M24 (W10)."""
+    return M.yoy_comparison(P.stock_performance(layers(spark, sf_dir).gold()))
+
+
+_DIV_CTE = """
+div AS (""" + _DIV_TAIL + ")"
+
+
+@register("dividend_ranking", _oracle(_GOLD_BASE, [_STATS_SQL, _FXS_SQL, _DIV_CTE], f"""
+SELECT ticker, company_name, dividend_yield_pct, annual_dividend, pays_dividend,
+       {_rank_sql('dividend_yield_pct', None)} AS yield_rank FROM div"""))
+def q_dividend_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M27 (T2, W10)."""
+    return M.dividend_ranking(P.dividend(layers(spark, sf_dir).gold()))
+
+
+@register("sharpe_ranking", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], f"""
+, sh AS (SELECT ticker, yoy_return_pct, volatility,
+                CAST(CASE WHEN volatility IS NULL OR volatility = 0 THEN NULL
+                          ELSE (CAST(yoy_return_pct AS DOUBLE) - 0.0) / CAST(volatility AS DOUBLE) END AS DECIMAL(18,4)) AS sharpe
+         FROM perf)
+SELECT ticker, yoy_return_pct, volatility, sharpe, {_rank_sql('sharpe', None)} AS sharpe_rank FROM sh"""))
+def q_sharpe_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M28 (rf = 0 as the reference)."""
+    return M.sharpe_ranking(P.stock_performance(layers(spark, sf_dir).gold()))
+
+
+@register("price_volume_series", _oracle(["silver_prices"], [], """
+SELECT ticker, trade_date, close_price, volume FROM silver_prices ORDER BY ticker, trade_date"""))
+def q_price_volume_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M25 over every ticker and the whole history."""
+    return M.price_volume_series(layers(spark, sf_dir).silver.prices)
+
+
+@register("forex_trend", _oracle(["silver_forex"], [], """
+SELECT currency_pair, trade_date, close_rate, daily_change_pct FROM silver_forex ORDER BY currency_pair, trade_date"""))
+def q_forex_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M26 over every pair."""
+    return M.forex_trend(layers(spark, sf_dir).silver.forex)
+
+
+@register("top5_latest", _oracle(["silver_prices"], [], """
+SELECT * FROM silver_prices ORDER BY trade_date DESC, ticker LIMIT 5"""))
+def q_top5_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOP 5 … ORDER BY trade_date DESC (the limit is the feature)."""
+    return M.top_latest(layers(spark, sf_dir).silver.prices, 5)
+
+
+@register("single_stock_metrics", _oracle(_GOLD_BASE, [_STATS_SQL], """
+SELECT c.ticker, c.company_name, c.category, c.region, c.currency,
+       CAST(s.current_price AS DECIMAL(18,4)) AS current_price,
+       CAST(s.week_52_high AS DECIMAL(18,4)) AS week_52_high,
+       CAST(s.week_52_low AS DECIMAL(18,4)) AS week_52_low,
+       CAST(s.yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct,
+       s.latest_volume, f.market_cap, f.pe_ratio, f.pb_ratio, f.roe, f.debt_to_equity, f.book_value,
+       f.revenue, f.net_profit, f.dividend_per_share, f.dividend_yield, s.volatility
+FROM companies c LEFT JOIN stats s ON c.ticker = s.ticker LEFT JOIN silver_fund f ON c.ticker = f.ticker"""))
+def q_single_stock_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M32."""
+    g = layers(spark, sf_dir).gold()
+    return M.single_stock_metrics(g.stats, g.silver.companies, g.silver.fundamentals)
