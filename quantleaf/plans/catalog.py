@@ -543,3 +543,89 @@ def q_single_stock_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M32."""
     g = layers(spark, sf_dir).gold()
     return M.single_stock_metrics(g.stats, g.silver.companies, g.silver.fundamentals)
+
+
+# ----------------------------------------------------------------------------- planned cleaning steps
+
+_FFILL_SQL = """
+SELECT d.currency_pair, d.trade_date,
+       LAST_VALUE(f.close_rate IGNORE NULLS) OVER (PARTITION BY d.currency_pair ORDER BY d.trade_date
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close_rate,
+       (f.close_rate IS NOT NULL) AS is_valid
+FROM (SELECT currency_pair,
+             CAST(unnest(generate_series(MIN(trade_date), MAX(trade_date), INTERVAL 1 DAY)) AS DATE) AS trade_date
+      FROM silver_forex GROUP BY currency_pair) d
+LEFT JOIN silver_forex f ON d.currency_pair = f.currency_pair AND d.trade_date = f.trade_date"""
+
+
+@register("forward_fill", _oracle(["silver_forex"], [], _FFILL_SQL))
+def q_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX on every calendar day of each pair's span, gaps filled, is_valid = false when imputed."""
+    fx = layers(spark, sf_dir).silver.forex.select("currency_pair", "trade_date", "close_rate",
+                                                    F.lit(True).alias("is_valid"))
+    spans = fx.groupBy("currency_pair").agg(F.min("trade_date").alias("_s"), F.max("trade_date").alias("_e"))
+    days = spans.select("currency_pair", F.explode(F.sequence("_s", "_e")).alias("trade_date"))
+    dense = (days.join(fx, ["currency_pair", "trade_date"], "left")
+             .withColumn("is_valid", F.coalesce("is_valid", F.lit(True))))
+    return S.forward_fill(dense, ["currency_pair"], "trade_date", ["close_rate"], 90, "is_valid")
+
+
+@register("normalize_pairs", _oracle(["silver_forex"], [], """
+SELECT CASE WHEN split_part(currency_pair, '/', 1) = 'INR'
+            THEN split_part(currency_pair, '/', 2) || '/' || split_part(currency_pair, '/', 1)
+            ELSE currency_pair END AS currency_pair,
+       trade_date,
+       CAST(CASE WHEN split_part(currency_pair, '/', 1) = 'INR'
+                 THEN 1.0 / NULLIF(CAST(close_rate AS DOUBLE), 0) ELSE CAST(close_rate AS DOUBLE) END AS DECIMAL(18,6))
+         AS close_rate,
+       split_part(currency_pair, '/', 1) = 'INR' AS was_inverted
+FROM silver_forex"""))
+def q_normalize_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair as X/INR."""
+    return S.normalize_pairs(layers(spark, sf_dir).silver.forex, "INR")
+
+
+@register("standardize_quarter", _oracle(["silver_prices"], [], """
+SELECT ticker, quarter_end_date, close_price AS quarter_close, n_days FROM (
+  SELECT ticker, quarter_end_date, close_price,
+         COUNT(*) OVER (PARTITION BY ticker, quarter_end_date) AS n_days,
+         ROW_NUMBER() OVER (PARTITION BY ticker, quarter_end_date ORDER BY trade_date DESC) AS rn
+  FROM (SELECT *, CAST(last_day(date_trunc('quarter', trade_date) + INTERVAL 2 MONTH) AS DATE) AS quarter_end_date
+        FROM silver_prices) q) x
+WHERE rn = 1"""))
+def q_standardize_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade dates mapped to their quarter end; last close and day count per (ticker, quarter)."""
+    p = S.standardize_quarter(layers(spark, sf_dir).silver.prices, "trade_date", "quarter_end_date")
+    d = F.col("trade_date")
+    return (p.groupBy("ticker", "quarter_end_date")
+            .agg(F.max_by("close_price", d).alias("quarter_close"), F.count(F.lit(1)).alias("n_days")))
+
+
+_ASOF_SQL = """
+daily_asof AS (
+  SELECT ticker, trade_date,
+         TRY_CAST(close_price AS DECIMAL(10,2)) AS close_price,
+         TRY_CAST(close_inr AS DECIMAL(10,2)) AS close_price_inr,
+         TRY_CAST(daily_return_pct AS DECIMAL(10,2)) AS daily_return_local_pct,
+         TRY_CAST((CAST(close_inr AS DOUBLE) - prev_inr) / NULLIF(prev_inr, 0) * 100 AS DECIMAL(10,2)) AS daily_return_inr_pct,
+         TRY_CAST(forex_rate AS DECIMAL(10,2)) AS forex_rate,
+         forex_pair AS currency_pair
+  FROM (SELECT *, CAST(LAG(close_inr) OVER (PARTITION BY ticker ORDER BY trade_date) AS DOUBLE) AS prev_inr
+        FROM (SELECT b.*, COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS forex_rate,
+                     CAST(b.close_price AS DECIMAL(28,4)) * COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS close_inr
+              FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair
+                    FROM silver_prices sp JOIN companies c ON sp.ticker = c.ticker
+                    JOIN currency_map cm ON c.currency = cm.currency_code) b
+              ASOF LEFT JOIN silver_forex fx
+                ON b.forex_pair = fx.currency_pair AND b.trade_date >= fx.trade_date) j) z)"""
+
+
+@register("daily_returns_asof_fx", _oracle(_GOLD_BASE, [_ASOF_SQL], "SELECT * FROM daily_asof"))
+def q_daily_returns_asof_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J14 + W9: M12 with the last known FX rate on days without a quote."""
+    from dataclasses import replace
+    L = layers(spark, sf_dir)
+    s = L.silver
+    cfg = replace(L.cfg, fx_policy="asof")
+    dense = G.densify_fx(s.forex, cfg.as_of, cfg.bucket_days)
+    return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, cfg, dense)
