@@ -629,3 +629,208 @@ def q_daily_returns_asof_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = replace(L.cfg, fx_policy="asof")
     dense = G.densify_fx(s.forex, cfg.as_of, cfg.bucket_days)
     return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, cfg, dense)
+
+
+# ----------------------------------------------------------------------------- ingestion
+
+from quantleaf.operators import quality as Q  # noqa: E402
+from quantleaf.operators.windows import latest_by_key  # noqa: E402
+from quantleaf.sources import ingest as I  # noqa: E402
+
+_EXCHANGE_OF_QUOTE = {"USD": "NYSE", "GBp": "LSE", "EUR": "XETRA", "INR": "NSE"}
+
+
+def proxy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor-shaped JSON payloads derived from the proxy bronze prices: one document per
+    (ticker, fetch) holding that fetch's quotes (an order's lines: a bounded group)."""
+    b = proxy.bronze_prices(spark, sf_dir)
+    exch = F.create_map(*[F.lit(x) for kv in _EXCHANGE_OF_QUOTE.items() for x in kv])[F.col("currency")]
+    quote = F.struct(F.date_format("trade_date", "yyyy-MM-dd").alias("datetime"),
+                     F.col("open_price").cast("string").alias("open"),
+                     F.col("high_price").cast("string").alias("high"),
+                     F.col("low_price").cast("string").alias("low"),
+                     F.col("close_price").cast("string").alias("close"),
+                     F.col("volume").cast("string").alias("volume"))
+    docs = (b.withColumn("exchange", exch)
+            .groupBy("ticker", "fetch_seq", "exchange", "currency")
+            .agg(F.collect_list(quote).alias("values")))
+    return docs.select(
+        I.vendor_symbol(F.col("ticker"), F.col("exchange")).alias("symbol"), "exchange", "currency",
+        F.date_format(F.timestamp_seconds("fetch_seq"), "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        "values")
+
+
+_PAYLOAD_SQL = """
+SELECT ticker, trade_date, open_price, high_price, low_price, close_price, volume,
+       CASE currency WHEN 'USD' THEN 'NYSE' WHEN 'GBp' THEN 'LSE' WHEN 'EUR' THEN 'XETRA' ELSE 'NSE' END AS exchange,
+       currency, make_timestamp(fetch_seq * 1000000) AS api_fetched_at
+FROM bronze_prices"""
+
+
+@register("ingest_payload", _oracle(["bronze_prices"], [], _PAYLOAD_SQL))
+def q_ingest_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON payload strings → bronze rows (vendor symbols mapped back to tickers)."""
+    docs = proxy_payloads(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    return I.parse_price_payloads(I.payloads_from_strings(docs))
+
+
+_SPLIT_SQL = """
+, sp AS (SELECT (MIN(fetch_seq) + MAX(fetch_seq)) // 2 AS s FROM bronze_prices),
+st AS (SELECT b.* FROM bronze_prices b, sp WHERE b.fetch_seq <= sp.s),
+ar AS (SELECT b.* FROM bronze_prices b, sp WHERE b.fetch_seq > sp.s)"""
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows split by fetch order into already-stored and newly arriving halves."""
+    b = proxy.bronze_prices(spark, sf_dir)
+    lo, hi = b.agg(F.min("fetch_seq"), F.max("fetch_seq")).first()
+    s = (lo + hi) // 2
+    return b.where(F.col("fetch_seq") <= s), b.where(F.col("fetch_seq") > s)
+
+
+@register("ingest_incremental", with_ctes(["bronze_prices"]).rstrip() + _SPLIT_SQL + """
+, latest AS (SELECT ticker, MAX(trade_date) AS l FROM st GROUP BY ticker)
+SELECT ar.* FROM ar LEFT JOIN latest ON ar.ticker = latest.ticker
+WHERE latest.l IS NULL OR ar.trade_date > latest.l""")
+def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append only rows dated after the latest stored date per ticker."""
+    stored, arriving = _split(spark, sf_dir)
+    return I.newer_than_stored(stored, arriving)
+
+
+@register("ingest_anti", with_ctes(["bronze_prices"]).rstrip() + _SPLIT_SQL + """
+SELECT ar.* FROM ar WHERE NOT EXISTS (
+  SELECT 1 FROM st WHERE st.ticker = ar.ticker AND st.trade_date = ar.trade_date)""")
+def q_ingest_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate check — append rows whose (ticker, trade_date) is not stored yet."""
+    stored, arriving = _split(spark, sf_dir)
+    return I.not_yet_stored(stored, arriving)
+
+
+@register("stream_ingest", _oracle(["bronze_prices"], [], _PAYLOAD_SQL))
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: payload files landed in the shared folder, ingested by a Structured Streaming
+    query (AvailableNow + foreachBatch duplicate check), bronze read back."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    from quantleaf.streaming.incremental import run_price_ingest
+    run = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
+    landing, bronze, ckpt = f"{run}/landing", f"{run}/bronze", f"{run}/checkpoint"
+    proxy_payloads(spark, sf_dir).write.json(landing)
+    run_price_ingest(spark, landing, bronze, ckpt, mode="anti")
+    from quantleaf import schemas
+    return spark.read.schema(schemas.BRONZE_PRICES).parquet(bronze)
+
+
+# ----------------------------------------------------------------------------- quality
+
+@register("row_counts", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL, _DAILY_SQL], """
+SELECT 'silver_stock_prices' AS table_name, COUNT(*) AS row_count FROM silver_prices
+UNION ALL SELECT 'silver_stock_fundamentals', COUNT(*) FROM silver_fund
+UNION ALL SELECT 'silver_forex_rates', COUNT(*) FROM silver_forex
+UNION ALL SELECT 'gold_stock_performance', COUNT(*) FROM perf
+UNION ALL SELECT 'gold_daily_inr_returns', COUNT(*) FROM daily"""))
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts per layer table."""
+    L = layers(spark, sf_dir)
+    s = L.silver
+    return Q.row_counts({"silver_stock_prices": s.prices, "silver_stock_fundamentals": s.fundamentals,
+                         "silver_forex_rates": s.forex,
+                         "gold_stock_performance": P.stock_performance(L.gold()),
+                         "gold_daily_inr_returns": _daily(L)})
+
+
+@register("ticker_coverage", _oracle(["silver_prices"], [], """
+SELECT ticker, COUNT(*) AS row_count, MIN(trade_date) AS first_date, MAX(trade_date) AS last_date
+FROM silver_prices GROUP BY ticker"""))
+def q_ticker_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4."""
+    return Q.coverage(layers(spark, sf_dir).silver.prices, "ticker")
+
+
+@register("freshness", _oracle(["silver_prices", "as_of"], [], """
+, e AS (SELECT CAST(d - CASE dayofweek(d) WHEN 1 THEN 3 WHEN 0 THEN 2 ELSE 1 END AS DATE) AS expected FROM as_of)
+SELECT ticker, MAX(trade_date) AS last_date, e.expected AS expected_date,
+       CAST(e.expected - MAX(trade_date) AS INTEGER) AS days_behind, MAX(trade_date) >= e.expected AS is_fresh
+FROM silver_prices, e GROUP BY ticker, e.expected"""))
+def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: last date per ticker vs the previous trading day."""
+    L = layers(spark, sf_dir)
+    return Q.freshness(L.silver.prices, "ticker", L.cfg.as_of)
+
+
+@register("key_violations", _oracle(["silver_prices", "silver_forex"], [], """
+, kv AS (
+  SELECT 'bronze_stock_prices' AS table_name, ticker IS NULL OR trade_date IS NULL AS has_null, COUNT(*) AS c
+  FROM bronze_prices GROUP BY ticker, trade_date
+  UNION ALL
+  SELECT 'silver_stock_prices', ticker IS NULL OR trade_date IS NULL, COUNT(*) FROM silver_prices GROUP BY ticker, trade_date
+  UNION ALL
+  SELECT 'silver_forex_rates', currency_pair IS NULL OR trade_date IS NULL, COUNT(*) FROM silver_forex
+  GROUP BY currency_pair, trade_date)
+SELECT table_name, CAST(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
+       CAST(COALESCE(SUM(CASE WHEN c > 1 THEN c END), 0) AS BIGINT) AS duplicate_rows,
+       CAST(COALESCE(SUM(CASE WHEN has_null THEN c END), 0) AS BIGINT) AS null_keys
+FROM kv GROUP BY table_name"""))
+def q_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 / V2: duplicated and NULL keys in bronze (expected: duplicates) and silver (expected: none)."""
+    L = layers(spark, sf_dir)
+    return (Q.key_violations(L.bronze.prices, ["ticker", "trade_date"], "bronze_stock_prices")
+            .unionByName(Q.key_violations(L.silver.prices, ["ticker", "trade_date"], "silver_stock_prices"))
+            .unionByName(Q.key_violations(L.silver.forex, ["currency_pair", "trade_date"], "silver_forex_rates")))
+
+
+@register("return_outliers", _oracle(["silver_prices"], [], """
+SELECT ticker, COUNT(daily_return_pct) AS returns,
+       CAST(SUM(CASE WHEN daily_return_pct < -5 OR daily_return_pct > 5 THEN 1 ELSE 0 END) AS BIGINT) AS outside_range,
+       MIN(daily_return_pct) AS min_return_pct, MAX(daily_return_pct) AS max_return_pct
+FROM silver_prices GROUP BY ticker"""))
+def q_return_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6: daily returns outside ±5 %."""
+    return Q.return_outliers(layers(spark, sf_dir).silver.prices)
+
+
+@register("home_rate_check", _oracle(_GOLD_BASE, [_DAILY_SQL], """
+SELECT CAST(SUM(CASE WHEN currency_pair IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS home_rows,
+       CAST(SUM(CASE WHEN currency_pair IS NULL AND forex_rate <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS bad_rate_rows
+FROM daily"""))
+def q_home_rate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8: home-currency rows carry rate 1."""
+    return Q.home_rate_check(_daily(layers(spark, sf_dir)))
+
+
+@register("unit_conversion_check", _oracle(["silver_prices"], [], """
+SELECT d.ticker, d.currency, COUNT(*) AS rows,
+       CAST(MIN(CAST(s.close_price AS DOUBLE) / CAST(d.close_price AS DOUBLE)) AS DECIMAL(18,6)) AS min_ratio,
+       CAST(MAX(CAST(s.close_price AS DOUBLE) / CAST(d.close_price AS DOUBLE)) AS DECIMAL(18,6)) AS max_ratio
+FROM dedup_prices d JOIN silver_prices s ON d.ticker = s.ticker AND d.trade_date = s.trade_date
+WHERE d.currency IN ('GBp') GROUP BY d.ticker, d.currency"""))
+def q_unit_conversion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: silver/bronze close ratio for minor-unit tickers (expected 0.01)."""
+    L = layers(spark, sf_dir)
+    b = latest_by_key(L.bronze.prices, ["ticker", "trade_date"], L.bronze.price_order, ["close_price", "currency"])
+    r = Q.unit_conversion_check(b, L.silver.prices, L.cfg.minor_units)
+    return r.select("ticker", "currency", "rows",
+                    G.X.to_dec(F.col("min_ratio").cast("double"), 18, 6).alias("min_ratio"),
+                    G.X.to_dec(F.col("max_ratio").cast("double"), 18, 6).alias("max_ratio"))
+
+
+@register("pair_count_check", _oracle(["silver_prices", "companies"], [_CORR_SQL], """
+SELECT n, pairs, CAST(n * (n - 1) / 2 AS BIGINT) AS expected_pairs, pairs = CAST(n * (n - 1) / 2 AS BIGINT) AS complete
+FROM (SELECT (SELECT COUNT(DISTINCT ticker) FROM silver_prices WHERE daily_return_pct IS NOT NULL) AS n,
+             (SELECT COUNT(*) FROM corr) AS pairs) x"""))
+def q_pair_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7: correlation pairs vs n(n−1)/2."""
+    L = layers(spark, sf_dir)
+    return Q.pair_count_check(P.correlation(L.gold()), L.silver.prices)
+
+
+@register("short_history_check", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], """
+SELECT s.ticker, ep.earliest_date, p.yoy_return_pct, p.yoy_return_pct IS NOT NULL AS has_return
+FROM stats s JOIN perf p ON s.ticker = p.ticker JOIN ep ON s.ticker = ep.ticker
+WHERE s.year_ago_price IS NULL"""))
+def q_short_history_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short-history tickers still get a return."""
+    g = layers(spark, sf_dir).gold()
+    return Q.short_history_check(P.stock_performance(g), g.stats)

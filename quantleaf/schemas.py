@@ -25,7 +25,7 @@ BRONZE_PRICES = _s(
     ("volume", T.LongType(), True),
     ("exchange", T.StringType(), True),
     ("currency", T.StringType(), True),
-    ("api_fetched_at", T.TimestampType(), True),
+    ("api_fetched_at", T.TimestampNTZType(), True),
 )
 
 BRONZE_FUNDAMENTALS = _s(
@@ -42,7 +42,7 @@ BRONZE_FUNDAMENTALS = _s(
     ("debt_to_equity", D18_4, True),
     ("book_value", D18_4, True),
     ("shares_outstanding", T.LongType(), True),
-    ("api_fetched_at", T.TimestampType(), True),
+    ("api_fetched_at", T.TimestampNTZType(), True),
 )
 
 BRONZE_FOREX = _s(
@@ -52,7 +52,7 @@ BRONZE_FOREX = _s(
     ("high_rate", D18_6, True),
     ("low_rate", D18_6, True),
     ("close_rate", D18_6, True),
-    ("api_fetched_at", T.TimestampType(), True),
+    ("api_fetched_at", T.TimestampNTZType(), True),
 )
 
 COMPANIES = _s(
