@@ -18,7 +18,7 @@ the tables. The same derivation is written as SQL for the DuckDB oracle in
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,16 +43,35 @@ PRIORITY_PAIR = {"1-URGENT": "USD/INR", "2-HIGH": "GBP/INR", "3-MEDIUM": "EUR/IN
 # --- end of fixed values -----------------------------------------------------------
 
 
-@dataclass
 class Bronze:
-    prices: DataFrame
-    fundamentals: DataFrame
-    forex: DataFrame
-    companies: DataFrame
-    currency_map: DataFrame
-    price_order: list[str]
-    fx_order: list[str]
-    fund_order: list[str]
+    """The bronze inputs; each table's plan is built on first use."""
+
+    price_order = PRICE_FETCH_ORDER
+    fx_order = FX_FETCH_ORDER
+    fund_order = FUND_FETCH_ORDER
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return bronze_prices(self.spark, self.sf_dir)
+
+    @cached_property
+    def fundamentals(self) -> DataFrame:
+        return bronze_fundamentals(self.spark, self.sf_dir)
+
+    @cached_property
+    def forex(self) -> DataFrame:
+        return bronze_forex(self.spark, self.sf_dir)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return companies(self.spark, self.sf_dir)
+
+    @cached_property
+    def currency_map(self) -> DataFrame:
+        return seeds.currency_map(self.spark)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,13 +177,4 @@ def bronze_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(
-        prices=bronze_prices(spark, sf_dir),
-        fundamentals=bronze_fundamentals(spark, sf_dir),
-        forex=bronze_forex(spark, sf_dir),
-        companies=companies(spark, sf_dir),
-        currency_map=seeds.currency_map(spark),
-        price_order=PRICE_FETCH_ORDER,
-        fx_order=FX_FETCH_ORDER,
-        fund_order=FUND_FETCH_ORDER,
-    )
+    return Bronze(spark, sf_dir)
