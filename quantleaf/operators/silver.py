@@ -24,16 +24,27 @@ def _minor_factor(minor_units: dict[str, int], currency: Column) -> Column:
     return m[currency]
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
+    from quantleaf.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str, int],
-                 bucket_days: int = 90) -> DataFrame:
+                 bucket_days: int = 90, cut_lineage: bool = False) -> DataFrame:
     """M1: latest fetch per (ticker, date), minor units → major, daily return.
 
     The return is computed on the converted, unrounded close; stored prices and
-    returns are DECIMAL(18,4).
+    returns are DECIMAL(18,4). With ``cut_lineage`` the deduplicated rows are
+    checkpointed once, so the two branches of the segmented LAG (rows and bucket
+    tails) read them instead of deduplicating bronze twice.
     """
     b = bronze.withColumn("trade_date", F.col("trade_date").cast("date"))
     payload = [*PRICE_COLS, "volume", "currency"]
     dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, payload)
+    if cut_lineage:
+        dedup = _cut(dedup)
     factor = _minor_factor(minor_units, F.col("currency"))
     conv = dedup.select(
         "ticker", "trade_date", "volume",
@@ -59,11 +70,14 @@ def clean_fundamentals(bronze: DataFrame, order_cols: list[str]) -> DataFrame:
         F.lit(True).alias("is_valid"))
 
 
-def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90) -> DataFrame:
+def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
+                cut_lineage: bool = False) -> DataFrame:
     """M3: latest fetch per (pair, date), close only, daily change in percent."""
     b = bronze.withColumn("trade_date", F.col("trade_date").cast("date"))
     dedup = latest_by_key(b, ["currency_pair", "trade_date"], order_cols, ["close_rate"])
     dedup = dedup.withColumn("close_rate", F.col("close_rate").cast(schemas.D18_6))
+    if cut_lineage:
+        dedup = _cut(dedup)
     with_prev = segmented_lag(dedup, ["currency_pair"], "trade_date", ["close_rate"], bucket_days)
     return with_prev.select(
         "currency_pair", "trade_date", "close_rate",

@@ -29,10 +29,10 @@ def avg_dec(expr: str, scale: int, out: str | None = None) -> str:
 BRONZE_PRICES = """
 bronze_prices AS (
   SELECT p_brand AS ticker, CAST(l_shipdate AS DATE) AS trade_date,
-         CAST(CAST((l_extendedprice / l_quantity) * (1 - l_discount / 2) * m AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS open_price,
-         CAST(CAST((l_extendedprice / l_quantity) * (1 + l_tax) * m AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS high_price,
-         CAST(CAST((l_extendedprice / l_quantity) * (1 - l_discount) * m AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS low_price,
-         CAST(CAST((l_extendedprice / l_quantity) * m AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS close_price,
+         CAST(CAST((l_extendedprice / l_quantity) * (1 - l_discount / 2) * m AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS open_price,
+         CAST(CAST((l_extendedprice / l_quantity) * (1 + l_tax) * m AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS high_price,
+         CAST(CAST((l_extendedprice / l_quantity) * (1 - l_discount) * m AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS low_price,
+         CAST(CAST((l_extendedprice / l_quantity) * m AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS close_price,
          CAST(l_quantity AS BIGINT) AS volume,
          CASE k % 5 WHEN 1 THEN 'USD' WHEN 3 THEN 'GBp' WHEN 4 THEN 'EUR' ELSE 'INR' END AS currency,
          l_orderkey AS fetch_seq, l_linenumber, l_partkey, l_suppkey
@@ -68,7 +68,7 @@ bronze_forex AS (
   SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'USD/INR' WHEN '2-HIGH' THEN 'GBP/INR'
                               WHEN '3-MEDIUM' THEN 'EUR/INR' ELSE 'KRW/INR' END AS currency_pair,
          CAST(o_orderdate AS DATE) AS trade_date,
-         CAST(CAST(20 + o_totalprice / 10000 AS DECIMAL(28,8)) AS DECIMAL(18,6)) AS close_rate, o_orderkey AS fetch_seq
+         CAST(CAST(20 + o_totalprice / 10000 AS DECIMAL(18,8)) AS DECIMAL(18,6)) AS close_rate, o_orderkey AS fetch_seq
   FROM orders WHERE o_orderpriority <> '5-LOW'
 )"""
 
@@ -76,15 +76,15 @@ BRONZE_FUND = """
 bronze_fund AS (
   SELECT p_brand AS ticker, p_partkey AS fetch_seq, CAST(NULL AS DATE) AS report_date,
          CAST(round(p_retailprice * p_size * 1000000) AS BIGINT) AS market_cap,
-         CAST(CAST(p_retailprice / p_size AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS pe_ratio,
-         CAST(CAST(p_size / 10 AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS pb_ratio,
-         CAST(CAST(CASE WHEN p_partkey % 5 < 2 THEN NULL ELSE p_size / 1000 END AS DECIMAL(28,8)) AS DECIMAL(18,6)) AS dividend_yield,
-         CAST(CAST(CASE WHEN p_partkey % 5 < 2 THEN NULL ELSE p_retailprice / 100 END AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS dividend_per_share,
+         CAST(CAST(p_retailprice / p_size AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS pe_ratio,
+         CAST(CAST(p_size / 10 AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS pb_ratio,
+         CAST(CAST(CASE WHEN p_partkey % 5 < 2 THEN NULL ELSE p_size / 1000 END AS DECIMAL(18,8)) AS DECIMAL(18,6)) AS dividend_yield,
+         CAST(CAST(CASE WHEN p_partkey % 5 < 2 THEN NULL ELSE p_retailprice / 100 END AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS dividend_per_share,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(round(p_retailprice * 1000) AS BIGINT) END AS revenue,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(round(p_retailprice * 100) AS BIGINT) END AS net_profit,
-         CAST(CAST(p_size / 2 AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS roe,
-         CAST(CAST(p_size / 25 AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS debt_to_equity,
-         CAST(CAST(p_retailprice / 2 AS DECIMAL(28,8)) AS DECIMAL(18,4)) AS book_value,
+         CAST(CAST(p_size / 2 AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS roe,
+         CAST(CAST(p_size / 25 AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS debt_to_equity,
+         CAST(CAST(p_retailprice / 2 AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS book_value,
          CAST(1000 * p_size AS BIGINT) AS shares_outstanding
   FROM part
 )"""

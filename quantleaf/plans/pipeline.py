@@ -43,11 +43,11 @@ class GoldInputs:
     _cache: dict = field(default_factory=dict)
 
 
-def build_silver(bronze: Bronze, cfg: EngineConfig) -> Silver:
+def build_silver(bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> Silver:
     return Silver(
-        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days),
+        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage),
         fundamentals=S.clean_fundamentals(bronze.fundamentals, bronze.fund_order),
-        forex=S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days),
+        forex=S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage),
         companies=bronze.companies,
         currency_map=bronze.currency_map,
     )
@@ -90,7 +90,7 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
     key = (id(spark), base)
     missing = [n for n in SILVER_TABLES if not os.path.exists(os.path.join(base, n, "_SUCCESS"))]
     if missing:
-        s = build_silver(bronze, cfg)
+        s = build_silver(bronze, cfg, cut_lineage=True)
         frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))
         for name in missing:
             frames[name].write.mode("overwrite").parquet(os.path.join(base, name))
@@ -156,7 +156,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig) -> Silver:
     """Write the silver tables and return them read back from storage."""
-    s = build_silver(bronze, cfg)
+    s = build_silver(bronze, cfg, cut_lineage=True)
     tables = {"silver_stock_prices": s.prices, "silver_stock_fundamentals": s.fundamentals,
               "silver_forex_rates": s.forex, "silver_companies": s.companies,
               "silver_currency_map": s.currency_map}

@@ -86,7 +86,7 @@ def _dec(c: Column, dtype) -> Column:
     """double → DECIMAL in two exact steps: 8 digits (recovers the intended decimal
     value from binary noise), then half-up to the target scale. A direct cast of a
     double that sits next to a tie can round either way depending on the engine."""
-    return c.cast("decimal(28,8)").cast(dtype)
+    return c.cast("decimal(18,8)").cast(dtype)
 
 
 def _by_mod(k: Column, mapping: dict[int, str], default: str) -> Column:
