@@ -22,9 +22,11 @@ variance and a NULL coefficient, as the reference's decimal arithmetic does.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,10 @@ _PARTIAL_SCHEMA = "stock_1 string, stock_2 string, " + ", ".join(
     f"{m}_hi long, {m}_lo long" for m in _MOMENTS)
 _EXACT_F64 = 2 ** 53
 
+# The grouped-map function and its helpers travel with the task (pickled by value),
+# so Python workers need only numpy/pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _side(rows: pd.DataFrame, dates: pd.Index):
     names = np.array(sorted(rows["ticker"].unique()), dtype=object)

@@ -8,6 +8,7 @@ literals or from CSV files with the same header.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quantleaf import schemas
 
@@ -38,12 +39,20 @@ CURRENCY_ROWS = [
 # --- end of fixed values -----------------------------------------------------------
 
 
+def literal_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal table planned JVM-side in one partition (inline of an array of
+    structs) instead of parallelising Python rows."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def companies(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COMPANY_ROWS, schemas.COMPANIES)
+    return literal_frame(spark, COMPANY_ROWS, schemas.COMPANIES)
 
 
 def currency_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CURRENCY_ROWS, schemas.CURRENCY_MAP)
+    return literal_frame(spark, CURRENCY_ROWS, schemas.CURRENCY_MAP)
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema) -> DataFrame:
