@@ -47,9 +47,11 @@ def segmented_lag(df: DataFrame, keys: list[str], order_col: str, value_cols: li
     ``order_col`` must be unique within a key (true after dedupe).
     """
     base = df.withColumn(_BKT, time_bucket(order_col, bucket_days))
-    tails = (base.groupBy(*keys, _BKT)
-             .agg(F.max_by(F.struct(order_col, *value_cols), F.col(order_col)).alias("_t"))
-             .select(*keys, _BKT, *[F.col(f"_t.{c}").alias(c) for c in [order_col, *value_cols]]))
+    # order_col is unique within a key, so per-column max_by picks one consistent row;
+    # fixed-width values keep this a hash aggregate.
+    tails = base.groupBy(*keys, _BKT).agg(
+        F.max(order_col).alias(order_col),
+        *[F.max_by(c, F.col(order_col)).alias(c) for c in value_cols])
     carry = _carry_rows(tails, keys, order_col, value_cols)
     rows = base.withColumn(_CARRY, F.lit(False))
     u = rows.unionByName(carry, allowMissingColumns=True)

@@ -151,7 +151,20 @@ def build_gold(silver: Silver, cfg: EngineConfig) -> dict[str, DataFrame]:
 
 
 def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Overwrite a table: a path is Parquet, a bare name is a catalog table (CTAS)."""
+    if "/" in path or path.startswith("file:"):
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.write.mode("overwrite").saveAsTable(path)
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path) if ("/" in path or path.startswith("file:")) else spark.table(path)
+
+
+def _loc(out: str, name: str) -> str:
+    """Tables go under a folder (path) or into a database (``db.`` prefix)."""
+    return os.path.join(out, name) if ("/" in out or out.startswith("file:")) else f"{out}.{name}"
 
 
 def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig) -> Silver:
@@ -161,8 +174,8 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
               "silver_forex_rates": s.forex, "silver_companies": s.companies,
               "silver_currency_map": s.currency_map}
     for name, df in tables.items():
-        _write(df, os.path.join(out_dir, name))
-    r = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in tables}
+        _write(df, _loc(out_dir, name))
+    r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
     return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
                   r["silver_companies"], r["silver_currency_map"])
 
@@ -173,10 +186,10 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        p = os.path.join(out_dir, name)
+        p = _loc(out_dir, name)
         _write(df, p)
         paths[name] = p
-        return spark.read.parquet(p)
+        return _read(spark, p)
 
     perf = put("gold_stock_performance", stock_performance(g))
     cur = put("gold_currency_adjusted_returns", currency_adjusted(g))
@@ -188,7 +201,14 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
     return paths
 
 
-def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig | None = None) -> dict[str, str]:
+def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig | None = None,
+                gold_dir: str | None = None) -> dict[str, str]:
+    """Silver then gold. ``out_dir`` is a folder (tables under silver/ and gold/) or, with
+    ``gold_dir``, two database names for catalog tables."""
     cfg = cfg or EngineConfig()
-    silver = refresh_silver(spark, bronze, os.path.join(out_dir, "silver"), cfg)
-    return refresh_gold(spark, silver, os.path.join(out_dir, "gold"), cfg)
+    if gold_dir is None:
+        silver_out, gold_out = os.path.join(out_dir, "silver"), os.path.join(out_dir, "gold")
+    else:
+        silver_out, gold_out = out_dir, gold_dir
+    silver = refresh_silver(spark, bronze, silver_out, cfg)
+    return refresh_gold(spark, silver, gold_out, cfg)

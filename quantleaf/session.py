@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Remove reliable-checkpoint files once their DataFrame is garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Dimension-sized sides are broadcast by the planner only below this size;
     # AQE re-checks with runtime sizes, so a side that grows falls back to a shuffle join.
@@ -53,7 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="quantleaf-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 

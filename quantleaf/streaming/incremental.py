@@ -9,8 +9,7 @@ fetch of a key, while later layers take the *latest* fetch.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quantleaf import schemas
@@ -18,9 +17,11 @@ from quantleaf.sources import ingest
 
 
 def _stored(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
-    if os.path.isdir(bronze_dir) and any(n.endswith(".parquet") for n in os.listdir(bronze_dir)):
+    """Bronze as stored so far, or None before the first append (any file system)."""
+    try:
         return spark.read.schema(schemas.BRONZE_PRICES).parquet(bronze_dir)
-    return None
+    except AnalysisException:
+        return None
 
 
 def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,

@@ -89,3 +89,47 @@ def test_quality_jobs(spark):
     assert fr.expected_date == dt.date(2025, 1, 3) and not fr.is_fresh and fr.days_behind == 1
     rc = {r.table_name: r.row_count for r in Q.row_counts({"x": df, "y": df.limit(1)}).collect()}
     assert rc == {"x": 3, "y": 1}
+
+
+def test_refresh_all_writes_every_table(spark, tmp_dir):
+    from quantleaf.plans import pipeline as P
+    from quantleaf.sources import proxy
+    paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), tmp_dir)
+    assert set(paths) == {"gold_stock_performance", "gold_currency_adjusted_returns", "gold_category_performance",
+                          "gold_region_performance", "gold_dividend_analysis", "gold_correlation_matrix",
+                          "gold_daily_inr_returns"}
+    counts = {n: spark.read.parquet(p).count() for n, p in paths.items()}
+    assert counts["gold_stock_performance"] == 25 and counts["gold_category_performance"] == 4
+    assert counts["gold_region_performance"] == 5 and counts["gold_correlation_matrix"] > 0
+    silver = spark.read.parquet(os.path.join(tmp_dir, "silver", "silver_stock_prices"))
+    assert silver.count() == counts["gold_daily_inr_returns"]
+
+
+def test_real_bronze_reader_runs_pipeline(spark, tmp_dir):
+    """Bronze tables with the declared schemas and the seed dimensions feed the same pipeline."""
+    from quantleaf.plans import pipeline as P
+    from quantleaf.sources import bronze as B
+    from quantleaf.config import EngineConfig
+    t = dt.datetime(2025, 1, 1)
+    prices = [("RR", dt.date(2025, 1, 2), D(600), D(600), D(600), D(600), 1, "LSE", "GBp", t),
+              ("RR", dt.date(2025, 1, 3), D(660), D(660), D(660), D(660), 1, "LSE", "GBp", t),
+              ("CEG", dt.date(2025, 1, 3), D(200), D(200), D(200), D(200), 1, "NASDAQ", "USD", t)]
+    spark.createDataFrame(prices, schemas.BRONZE_PRICES).write.parquet(os.path.join(tmp_dir, "bronze_stock_prices"))
+    spark.createDataFrame([], schemas.BRONZE_FUNDAMENTALS).write.parquet(os.path.join(tmp_dir, "bronze_stock_fundamentals"))
+    spark.createDataFrame([("GBP/INR", dt.date(2025, 1, 3), None, None, None, D(110), t)], schemas.BRONZE_FOREX) \
+        .write.parquet(os.path.join(tmp_dir, "bronze_forex_rates"))
+    b = B.load(spark, tmp_dir)
+    silver = P.build_silver(b, EngineConfig())
+    g = P.build_gold(silver, EngineConfig())
+    perf = {r.ticker: r for r in g["gold_stock_performance"].collect()}
+    assert len(perf) == 12 and perf["RR"].current_price == D("6.6000") and perf["RR"].yoy_return_pct == D("10.0000")
+    daily = {(r.ticker, r.trade_date): r for r in g["gold_daily_inr_returns"].collect()}
+    assert daily[("RR", dt.date(2025, 1, 3))].close_price_inr == D("726.00")
+
+
+def test_slicers(spark):
+    from quantleaf.operators import measures as M
+    df = spark.createDataFrame([("A", dt.date(2024, 5, 1)), ("A", dt.date(2025, 5, 1)), ("B", dt.date(2025, 5, 1))],
+                               "ticker string, trade_date date")
+    assert M.slice_daily(df, tickers=["A"], years=[2025]).count() == 1
+    assert M.slice_daily(df, start=dt.date(2025, 1, 1)).count() == 2
