@@ -48,6 +48,15 @@ class EngineConfig:
     corr_chunk_days: int = 366
     # Largest number of rows a side may have to be broadcast explicitly.
     broadcast_max_rows: int = 1_000_000
+    # Which reference implementation the gold layer reproduces where the two differ:
+    # 'dbt' (default, the newer models) or 'sp' (the stored procedures: one-year window,
+    # inner joins, unguarded Sharpe on the raw stdev, integer EPS, home test by
+    # currency code, matched FX pair, best category of the best stock, raw-value buckets).
+    reference_variant: str = "dbt"
+
+    @property
+    def sp(self) -> bool:
+        return self.reference_variant == "sp"
 
     def with_as_of(self, as_of: dt.date) -> "EngineConfig":
         from dataclasses import replace

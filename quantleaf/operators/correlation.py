@@ -136,8 +136,8 @@ def coefficient(m: DataFrame) -> DataFrame:
     va = n * F.col("sxx") - sx * sx
     vb = n * F.col("syy") - sy * sy
     den = F.sqrt(va.cast("double") * vb.cast("double"))
-    return m.withColumn("correlation_coefficient",
-                        X.to_dec(num.cast("double") / F.nullif(den, F.lit(0.0))))
+    raw = num.cast("double") / F.nullif(den, F.lit(0.0))
+    return m.withColumn("_raw", raw).withColumn("correlation_coefficient", X.to_dec("_raw"))
 
 
 def auto_blocks(returns: DataFrame, target_tickers_per_block: int = 512) -> int:
@@ -151,11 +151,15 @@ def correlation_matrix(prices: DataFrame, companies: DataFrame, cfg: EngineConfi
     blocks = cfg.corr_blocks if cfg.corr_blocks > 0 else auto_blocks(rets)
     m = pair_moments(rets, blocks, cfg.corr_chunk_days).where(F.col("n") > cfg.min_obs)
     c = coefficient(m)
+    how = "inner" if cfg.sp else "left"
     c1 = companies.select(F.col("ticker").alias("stock_1"), F.col("category").alias("stock_1_category"),
                           F.col("region").alias("stock_1_region"))
     c2 = companies.select(F.col("ticker").alias("stock_2"), F.col("category").alias("stock_2_category"),
                           F.col("region").alias("stock_2_region"))
-    j = c.join(c1, "stock_1", "left").join(c2, "stock_2", "left")
+    j = c.join(c1, "stock_1", how).join(c2, "stock_2", how)
+    # dbt buckets the coefficient rounded to 4 dp; the procedures bucket the raw value
+    # and let a NULL coefficient fall through to 'Negative'.
+    label = (X.correlation_label("_raw", "Negative") if cfg.sp
+             else X.correlation_label("correlation_coefficient", cfg.null_relationship))
     return j.select("stock_1", "stock_2", "stock_1_category", "stock_2_category",
-                    "stock_1_region", "stock_2_region", "correlation_coefficient",
-                    X.correlation_label("correlation_coefficient", cfg.null_relationship).alias("relationship"))
+                    "stock_1_region", "stock_2_region", "correlation_coefficient", label.alias("relationship"))

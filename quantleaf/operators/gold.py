@@ -31,7 +31,10 @@ def ticker_stats(prices: DataFrame, as_of: dt.date, cfg: EngineConfig) -> DataFr
     """Everything M6/M7/M10/M32 need per ticker, in one aggregate."""
     d = F.col("trade_date")
     cut = F.add_months(F.lit(as_of), -cfg.lookback_months)
-    win = X.in_trailing_window(d, as_of, cfg.window_days)
+    if cfg.sp:   # DATEADD(YEAR, -1, GETDATE()) with a time of day: the cut date itself is out
+        win = (d > cut) & (d <= F.lit(as_of))
+    else:
+        win = X.in_trailing_window(d, as_of, cfg.window_days)
     before_cut = F.when(d <= cut, d)
     return (prices.where(d <= F.lit(as_of))
             .groupBy("ticker")
@@ -44,13 +47,14 @@ def ticker_stats(prices: DataFrame, as_of: dt.date, cfg: EngineConfig) -> DataFr
                  F.max(before_cut).alias("year_ago_date"),
                  F.max(F.when(win, F.col("high_price"))).alias("week_52_high"),
                  F.min(F.when(win, F.col("low_price"))).alias("week_52_low"),
-                 F.stddev_samp(F.when(win, F.col("daily_return_pct"))).alias("_vol"))
+                 F.stddev_samp(F.when(win, F.col("daily_return_pct"))).alias("_vol"),
+                 F.count(F.when(win, F.lit(1))).alias("window_rows"))
             .withColumn("base_price", F.coalesce("year_ago_price", "earliest_price"))
             .withColumn("base_date", F.when(F.col("year_ago_price").isNotNull(), F.col("year_ago_date"))
                         .otherwise(F.col("earliest_date")))
             .withColumn("yoy_raw", X.pct_change("current_price", "base_price"))
             .withColumn("volatility", X.to_dec("_vol"))
-            .drop("_vol"))
+            .withColumnRenamed("_vol", "volatility_raw"))
 
 
 def fx_stats(fx: DataFrame, as_of: dt.date, cfg: EngineConfig) -> DataFrame:
@@ -72,12 +76,24 @@ def ticker_pairs(companies: DataFrame, currency_map: DataFrame) -> DataFrame:
 
 def stock_performance(stats: DataFrame, companies: DataFrame, fundamentals: DataFrame,
                       cfg: EngineConfig) -> DataFrame:
-    """M6 gold_stock_performance."""
+    """M6 gold_stock_performance.
+
+    dbt: left joins from the companies; Sharpe on the volatility rounded to 4 dp,
+    NULL for zero/NULL volatility. sp: only tickers with prices in the window and
+    fundamentals; Sharpe on the raw sample stdev (a zero stdev gives NULL here
+    where the procedure would fail).
+    """
     f = fundamentals.select("ticker", "pe_ratio", "market_cap", "roe", "debt_to_equity", "dividend_yield")
-    j = companies.join(stats, "ticker", "left").join(f, "ticker", "left")
-    vol = F.col("volatility")
-    sharpe = F.when(vol.isNull() | (vol == 0), F.lit(None)).otherwise(
-        (F.col("yoy_raw") - F.lit(float(cfg.risk_free))) / vol.cast("double"))
+    rf = F.lit(float(cfg.risk_free))
+    if cfg.sp:
+        j = (companies.join(stats.where(F.col("window_rows") > 0), "ticker", "inner")
+             .join(f, "ticker", "inner"))
+        sharpe = (F.col("yoy_raw") - rf) / F.nullif(F.col("volatility_raw"), F.lit(0.0))
+    else:
+        j = companies.join(stats, "ticker", "left").join(f, "ticker", "left")
+        vol = F.col("volatility")
+        sharpe = F.when(vol.isNull() | (vol == 0), F.lit(None)).otherwise(
+            (F.col("yoy_raw") - rf) / vol.cast("double"))
     return j.select(
         "ticker", "company_name", "category", "region", "currency",
         X.to_dec("current_price").alias("current_price"),
@@ -91,13 +107,17 @@ def stock_performance(stats: DataFrame, companies: DataFrame, fundamentals: Data
 
 def currency_adjusted_returns(stats: DataFrame, fxs: DataFrame, companies: DataFrame,
                               currency_map: DataFrame, cfg: EngineConfig,
-                              fx_asof: DataFrame | None = None) -> DataFrame:
+                              fx_asof: DataFrame | None = None, universe: DataFrame | None = None) -> DataFrame:
     """M7 gold_currency_adjusted_returns.
 
     ``fx_asof`` (pair, trade_date, close_rate on every day) is needed only for
     ``cfg.align_fx``: the start rate is then taken on the price's own base date.
+    sp: home currency is the currency code (not a missing pair), missing rates stay
+    NULL, and only tickers in ``universe`` (the sp gold_stock_performance) are kept.
     """
     tp = ticker_pairs(companies, currency_map)
+    if universe is not None:
+        tp = tp.join(universe.select("ticker"), "ticker", "inner")
     j = (tp.join(stats.select("ticker", "yoy_raw", "base_date"), "ticker", "left")
          .join(fxs, tp.forex_pair == fxs.currency_pair, "left"))
     start = F.col("start_rate")
@@ -106,9 +126,12 @@ def currency_adjusted_returns(stats: DataFrame, fxs: DataFrame, companies: DataF
                            F.col("close_rate").alias("_aligned"))
         j = j.join(a, (j.forex_pair == a._p) & (j.base_date == a._d), "left")
         start = F.col("_aligned")
-    home = F.col("forex_pair").isNull()
+    home = (F.col("currency") == F.lit(cfg.home_currency)) if cfg.sp else F.col("forex_pair").isNull()
     one = F.lit(1).cast("decimal(18,6)")
-    if cfg.fx_start_default_one:
+    if cfg.sp:
+        start_r = F.when(home, one).otherwise(start)
+        end_r = F.when(home, one).otherwise(F.col("end_rate"))
+    elif cfg.fx_start_default_one:
         start_r, end_r = F.coalesce(start, one), F.coalesce(F.col("end_rate"), one)
     else:
         start_r = F.when(home, one).otherwise(start)
@@ -133,20 +156,53 @@ def _best(label: str, value: str, desc: bool = True):
     return F.min_by(F.col(label), F.when(v.isNotNull(), key))
 
 
-def category_performance(perf: DataFrame) -> DataFrame:
-    """M8 gold_category_performance."""
+def _best_nulls(label: str, value: str, desc: bool, nulls_first: bool):
+    """Like ``_best`` but NULL values take part, ranked first or last (T-SQL ROW_NUMBER order)."""
+    v = F.col(value)
+    flag = F.when(v.isNull(), F.lit(0 if nulls_first else 1)).otherwise(F.lit(1 if nulls_first else 0))
+    key = F.struct(flag.alias("f"), (-v if desc else v).alias("v"), F.col(label).alias("l"))
+    return F.min_by(F.col(label), key)
+
+
+def category_performance(perf: DataFrame, cfg: EngineConfig | None = None) -> DataFrame:
+    """M8 gold_category_performance. sp: a NULL return sorts first for the worst stock
+    (ascending ROW_NUMBER in T-SQL) and last for the best."""
+    if cfg is not None and cfg.sp:
+        best = _best_nulls("ticker", "yoy_return_pct", desc=True, nulls_first=False)
+        worst = _best_nulls("ticker", "yoy_return_pct", desc=False, nulls_first=True)
+    else:
+        best = _best("ticker", "yoy_return_pct", desc=True)
+        worst = _best("ticker", "yoy_return_pct", desc=False)
     return (perf.groupBy("category")
             .agg(X.to_dec(F.avg("yoy_return_pct")).alias("average_yoy_return_pct"),
                  X.to_dec(F.avg("volatility")).alias("avg_volatility"),
-                 _best("ticker", "yoy_return_pct", desc=True).alias("best_stock"),
-                 _best("ticker", "yoy_return_pct", desc=False).alias("worst_stock"),
+                 best.alias("best_stock"),
+                 worst.alias("worst_stock"),
                  X.to_dec(F.avg("pe_ratio")).alias("avg_pe_ratio"),
                  F.sum("market_cap").alias("total_market_cap"),
                  X.to_dec(F.avg("dividend_yield"), 18, 6).alias("avg_dividend_yield")))
 
 
-def region_performance(perf: DataFrame, cur: DataFrame) -> DataFrame:
-    """M9 gold_region_performance (best category by average return)."""
+def region_performance(perf: DataFrame, cur: DataFrame, cfg: EngineConfig | None = None) -> DataFrame:
+    """M9 gold_region_performance.
+
+    dbt: best category by average return, currency impact averaged separately (NULL → 0).
+    sp: best category = category of the region's best stock; every figure over the
+    tickers present in both gold tables (inner join).
+    """
+    if cfg is not None and cfg.sp:
+        best = perf.groupBy("region").agg(
+            _best_nulls("category", "yoy_return_pct", desc=True, nulls_first=False).alias("best_category"))
+        j = perf.join(cur.select("ticker", "currency_impact_pct"), "ticker", "inner")
+        stats = (j.groupBy("region")
+                 .agg(X.to_dec(F.avg("yoy_return_pct")).alias("avg_yoy_return_pct"),
+                      X.to_dec(F.avg("volatility")).alias("avg_volatility"),
+                      X.to_dec(F.avg("sharpe_ratio")).alias("avg_sharpe_ratio"),
+                      F.count("ticker").cast("int").alias("stock_count"),
+                      X.to_dec(F.avg("currency_impact_pct")).alias("avg_currency_impact_pct")))
+        return (stats.join(best, "region", "inner")
+                .select("region", "avg_yoy_return_pct", "avg_volatility", "avg_sharpe_ratio", "stock_count",
+                        "best_category", "avg_currency_impact_pct"))
     stats = (perf.groupBy("region")
              .agg(X.to_dec(F.avg("yoy_return_pct")).alias("avg_yoy_return_pct"),
                   X.to_dec(F.avg("volatility")).alias("avg_volatility"),
@@ -162,18 +218,37 @@ def region_performance(perf: DataFrame, cur: DataFrame) -> DataFrame:
 
 
 def dividend_analysis(stats: DataFrame, fundamentals: DataFrame, fxs: DataFrame,
-                      companies: DataFrame, currency_map: DataFrame) -> DataFrame:
-    """M10 gold_dividend_analysis."""
+                      companies: DataFrame, currency_map: DataFrame, cfg: EngineConfig | None = None,
+                      universe: DataFrame | None = None) -> DataFrame:
+    """M10 gold_dividend_analysis.
+
+    dbt: payout = DPS / (profit / shares) in non-integer arithmetic with guards; home
+    value 0 for non-payers; payer = yield > 0. sp: EPS is BIGINT/BIGINT (truncated),
+    home value NULL for non-payers (DPS × rate, DPS itself for home-currency stocks),
+    payer = yield not NULL, only tickers in ``universe`` with fundamentals.
+    """
+    sp = cfg is not None and cfg.sp
     tp = ticker_pairs(companies, currency_map)
     f = fundamentals.select("ticker", "dividend_per_share", "dividend_yield", "net_profit", "shares_outstanding")
-    j = (tp.join(stats.select("ticker", "current_price"), "ticker", "left")
-         .join(f, "ticker", "left")
-         .join(fxs.select("currency_pair", "end_rate"), tp.forex_pair == fxs.currency_pair, "left"))
+    j = tp.join(stats.select("ticker", "current_price"), "ticker", "left")
+    j = j.join(f, "ticker", "inner" if sp else "left")
+    if universe is not None:
+        j = j.join(universe.select("ticker"), "ticker", "inner")
+    j = j.join(fxs.select("currency_pair", "end_rate"), tp.forex_pair == fxs.currency_pair, "left")
     np_, sh, dps = F.col("net_profit"), F.col("shares_outstanding"), F.col("dividend_per_share")
-    eps = X.safe_div(np_, sh)
-    payout = F.when(np_.isNotNull() & sh.isNotNull() & (sh > 0), X.safe_div(dps, eps))
     dy = F.col("dividend_yield")
-    inr = F.coalesce(dps, F.lit(0).cast("decimal(18,4)")) * F.coalesce(F.col("end_rate"), F.lit(1).cast("decimal(18,6)"))
+    if sp:
+        eps = F.expr("net_profit div nullif(shares_outstanding, 0)")
+        payout = X.safe_div(dps, eps)
+        home = F.col("currency") == F.lit(cfg.home_currency)
+        inr = F.when(home, dps).otherwise(dps * F.col("end_rate"))
+        pays = dy.isNotNull()
+    else:
+        eps = X.safe_div(np_, sh)
+        payout = F.when(np_.isNotNull() & sh.isNotNull() & (sh > 0), X.safe_div(dps, eps))
+        inr = (F.coalesce(dps, F.lit(0).cast("decimal(18,4)"))
+               * F.coalesce(F.col("end_rate"), F.lit(1).cast("decimal(18,6)")))
+        pays = dy.isNotNull() & (dy > 0)
     return j.select(
         "ticker", "company_name", "category", "region",
         X.to_dec("current_price").alias("stock_price"),
@@ -181,7 +256,7 @@ def dividend_analysis(stats: DataFrame, fundamentals: DataFrame, fxs: DataFrame,
         X.to_dec(dy, 18, 6).alias("dividend_yield_pct"),
         X.to_dec(payout).alias("payout_ratio"),
         X.to_dec(inr).alias("dividend_in_inr"),
-        (dy.isNotNull() & (dy > 0)).alias("pays_dividend"))
+        pays.alias("pays_dividend"))
 
 
 def densify_fx(fx: DataFrame, until: dt.date | None = None, bucket_days: int = 90,
@@ -229,4 +304,5 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
         X.try_dec("daily_return_pct").alias("daily_return_local_pct"),
         X.try_dec(X.pct_change("close_inr", "prev_close_inr")).alias("daily_return_inr_pct"),
         X.try_dec("forex_rate").alias("forex_rate"),
-        F.col("forex_pair").alias("currency_pair"))
+        (F.when(F.col("_rate").isNotNull(), F.col("forex_pair")) if cfg.sp
+         else F.col("forex_pair")).alias("currency_pair"))

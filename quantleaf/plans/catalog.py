@@ -839,3 +839,152 @@ def q_short_history_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short-history tickers still get a return."""
     g = layers(spark, sf_dir).gold()
     return Q.short_history_check(P.stock_performance(g), g.stats)
+
+
+# ----------------------------------------------------------------------------- stored-procedure variant
+
+_SP = EngineConfig(reference_variant="sp")
+
+
+def _sp_gold(spark: SparkSession, sf_dir: str) -> P.GoldInputs:
+    return layers(spark, sf_dir, _SP).gold()
+
+
+_PERF_SP_SQL = """
+sfw AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low,
+               STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS vol_raw
+        FROM silver_prices sp, as_of
+        WHERE trade_date > CAST(as_of.d - INTERVAL 12 MONTH AS DATE) AND trade_date <= as_of.d GROUP BY ticker),
+perf_sp AS (
+  SELECT c.ticker, c.company_name, c.category, c.region, c.currency,
+         CAST(s.current_price AS DECIMAL(18,4)) AS current_price,
+         CAST(s.yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct,
+         CAST(w.week_52_high AS DECIMAL(18,4)) AS week_52_high,
+         CAST(w.week_52_low AS DECIMAL(18,4)) AS week_52_low,
+         CAST(w.vol_raw AS DECIMAL(18,4)) AS volatility,
+         CAST((s.yoy_raw - 0.0) / NULLIF(w.vol_raw, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
+         f.pe_ratio, f.market_cap, f.roe, f.debt_to_equity, f.dividend_yield
+  FROM companies c JOIN stats s ON c.ticker = s.ticker JOIN sfw w ON c.ticker = w.ticker
+  JOIN silver_fund f ON c.ticker = f.ticker)"""
+
+_CUR_SP_SQL = """
+cur_sp_base AS (
+  SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency,
+         p.yoy_return_pct AS return_local_pct, c.currency = 'INR' AS home,
+         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE sf.start_rate END AS s_rate,
+         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE lf.end_rate END AS e_rate
+  FROM companies c JOIN perf_sp p ON c.ticker = p.ticker
+  LEFT JOIN currency_map cm ON c.currency = cm.currency_code
+  LEFT JOIN lf ON cm.forex_pair = lf.currency_pair LEFT JOIN sf ON cm.forex_pair = sf.currency_pair),
+cur_sp AS (
+  SELECT ticker, company_name, category, region, original_currency, return_local_pct,
+         CAST(s_rate AS DECIMAL(18,6)) AS inr_start_rate, CAST(e_rate AS DECIMAL(18,6)) AS inr_end_rate,
+         CASE WHEN home THEN return_local_pct ELSE CAST(
+           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
+           AS DECIMAL(18,4)) END AS return_inr_pct,
+         CASE WHEN home THEN CAST(0 AS DECIMAL(18,4)) ELSE CAST(
+           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
+             - CAST(return_local_pct AS DOUBLE)
+           AS DECIMAL(18,4)) END AS currency_impact_pct
+  FROM cur_sp_base)"""
+
+
+@register("gold_stock_performance_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL], "SELECT * FROM perf_sp"))
+def q_gold_stock_performance_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6, stored-procedure variant (one-year window, inner joins, Sharpe on the raw stdev)."""
+    return P.stock_performance(_sp_gold(spark, sf_dir))
+
+
+@register("gold_currency_adjusted_returns_sp",
+          _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL, _CUR_SP_SQL], "SELECT * FROM cur_sp"))
+def q_gold_currency_adjusted_returns_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7, stored-procedure variant (home = currency code, NULL missing rates, C9 / C23)."""
+    return P.currency_adjusted(_sp_gold(spark, sf_dir))
+
+
+_CAT_SP_TAIL = _CAT_TAIL.replace("AND yoy_return_pct IS NOT NULL ", "").replace(
+    "ORDER BY yoy_return_pct ASC NULLS LAST, ticker", "ORDER BY yoy_return_pct ASC NULLS FIRST, ticker").replace(
+    "FROM perf) r", "FROM perf_sp) r")
+
+
+@register("gold_category_performance_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL], _CAT_SP_TAIL))
+def q_gold_category_performance_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8, stored-procedure variant (a NULL return sorts first for the worst stock, C13)."""
+    g = _sp_gold(spark, sf_dir)
+    return G.category_performance(P.stock_performance(g), g.cfg)
+
+
+_REGION_SP_TAIL = f"""
+, j AS (SELECT p.*, cu.currency_impact_pct FROM perf_sp p JOIN cur_sp cu ON p.ticker = cu.ticker),
+bc AS (SELECT region, category FROM (
+         SELECT region, category,
+                ROW_NUMBER() OVER (PARTITION BY region ORDER BY yoy_return_pct DESC NULLS LAST, category) AS rn
+         FROM perf_sp) b WHERE rn = 1)
+SELECT j.region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')},
+       {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')}, CAST(COUNT(j.ticker) AS INTEGER) AS stock_count,
+       bc.category AS best_category, {avg_dec('currency_impact_pct', 4, 'avg_currency_impact_pct')}
+FROM j JOIN bc ON j.region = bc.region GROUP BY j.region, bc.category"""
+
+
+@register("gold_region_performance_sp",
+          with_ctes(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL, _CUR_SP_SQL]).rstrip() + _REGION_SP_TAIL)
+def q_gold_region_performance_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9, stored-procedure variant (best category of the best stock, inner join, C14 / C15)."""
+    g = _sp_gold(spark, sf_dir)
+    return G.region_performance(P.stock_performance(g), P.currency_adjusted(g), g.cfg)
+
+
+_DIV_SP_TAIL = """
+SELECT c.ticker, c.company_name, c.category, c.region,
+       CAST(s.current_price AS DECIMAL(18,4)) AS stock_price,
+       CAST(f.dividend_per_share AS DECIMAL(18,4)) AS annual_dividend,
+       CAST(f.dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
+       CAST(CAST(f.dividend_per_share AS DOUBLE)
+            / NULLIF(CAST(f.net_profit // NULLIF(f.shares_outstanding, 0) AS DOUBLE), 0) AS DECIMAL(18,4)) AS payout_ratio,
+       CAST(CASE WHEN c.currency = 'INR' THEN CAST(f.dividend_per_share AS DECIMAL(38,10))
+                 ELSE CAST(f.dividend_per_share AS DECIMAL(28,4)) * lf.end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
+       f.dividend_yield IS NOT NULL AS pays_dividend
+FROM companies c JOIN perf_sp p ON c.ticker = p.ticker JOIN silver_fund f ON c.ticker = f.ticker
+LEFT JOIN stats s ON c.ticker = s.ticker
+LEFT JOIN currency_map cm ON c.currency = cm.currency_code
+LEFT JOIN lf ON cm.forex_pair = lf.currency_pair"""
+
+
+@register("gold_dividend_analysis_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL], _DIV_SP_TAIL))
+def q_gold_dividend_analysis_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10, stored-procedure variant (BIGINT/BIGINT EPS, NULL home value for non-payers, C16–C18)."""
+    return P.dividend(_sp_gold(spark, sf_dir))
+
+
+_CORR_SP_TAIL = """
+, cr AS (SELECT stock_1, stock_2,
+                CAST(n * sxy - sx * sy AS DOUBLE)
+                / NULLIF(SQRT(CAST(n * sxx - sx * sx AS DOUBLE) * CAST(n * syy - sy * sy AS DOUBLE)), 0) AS r
+         FROM sums)
+SELECT c.stock_1, c.stock_2, c1.category AS stock_1_category, c2.category AS stock_2_category,
+       c1.region AS stock_1_region, c2.region AS stock_2_region,
+       CAST(c.r AS DECIMAL(18,4)) AS correlation_coefficient,
+       CASE WHEN c.r >= 0.7 THEN 'Strong Positive' WHEN c.r >= 0.3 THEN 'Weak Positive'
+            WHEN c.r >= -0.3 THEN 'Uncorrelated' ELSE 'Negative' END AS relationship
+FROM cr c JOIN companies c1 ON c.stock_1 = c1.ticker JOIN companies c2 ON c.stock_2 = c2.ticker"""
+
+
+@register("gold_correlation_matrix_sp",
+          with_ctes(["silver_prices", "companies"], [_CORR_SQL]).rstrip() + _CORR_SP_TAIL)
+def q_gold_correlation_matrix_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11, stored-procedure variant (raw-value buckets, NULL → 'Negative', inner joins, C11 / C22)."""
+    return P.correlation(_sp_gold(spark, sf_dir))
+
+
+_DAILY_SP_SQL = _DAILY_SQL.replace("forex_pair AS currency_pair", "matched_pair AS currency_pair").replace(
+    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair,",
+    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair, "
+    "fx.currency_pair AS matched_pair,")
+
+
+@register("gold_daily_inr_returns_sp", _oracle(_GOLD_BASE, [_DAILY_SP_SQL], "SELECT * FROM daily"))
+def q_gold_daily_inr_returns_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12, stored-procedure variant (currency_pair of the matched FX row, C19)."""
+    L = layers(spark, sf_dir, _SP)
+    s = L.silver
+    return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, L.cfg)

@@ -62,7 +62,7 @@ _AS_OF: dict[str, dt.date] = {}
 
 def _fingerprint(inputs: list[str], cfg: EngineConfig) -> str:
     """Identity of a silver build: input files (path, size, mtime), the cleaning code, the config."""
-    h = hashlib.sha256(repr(cfg).encode())
+    h = hashlib.sha256(repr((sorted(cfg.minor_units.items()), cfg.bucket_days)).encode())
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for rel in _SOURCE_FILES:
         with open(os.path.join(root, rel), "rb") as f:
@@ -115,13 +115,20 @@ def stock_performance(g: GoldInputs) -> DataFrame:
     return G.stock_performance(g.stats, g.silver.companies, g.silver.fundamentals, g.cfg)
 
 
+def _universe(g: GoldInputs) -> DataFrame | None:
+    """sp: later gold steps inner-join the written gold_stock_performance."""
+    return stock_performance(g) if g.cfg.sp else None
+
+
 def currency_adjusted(g: GoldInputs) -> DataFrame:
     dense = G.densify_fx(g.silver.forex, g.as_of, g.cfg.bucket_days) if g.cfg.align_fx else None
-    return G.currency_adjusted_returns(g.stats, g.fx, g.silver.companies, g.silver.currency_map, g.cfg, dense)
+    return G.currency_adjusted_returns(g.stats, g.fx, g.silver.companies, g.silver.currency_map, g.cfg, dense,
+                                       _universe(g))
 
 
 def dividend(g: GoldInputs) -> DataFrame:
-    return G.dividend_analysis(g.stats, g.silver.fundamentals, g.fx, g.silver.companies, g.silver.currency_map)
+    return G.dividend_analysis(g.stats, g.silver.fundamentals, g.fx, g.silver.companies, g.silver.currency_map,
+                               g.cfg, _universe(g))
 
 
 def daily_inr(g: GoldInputs) -> DataFrame:
@@ -142,8 +149,8 @@ def build_gold(silver: Silver, cfg: EngineConfig) -> dict[str, DataFrame]:
     return {
         "gold_stock_performance": perf,
         "gold_currency_adjusted_returns": cur,
-        "gold_category_performance": G.category_performance(perf),
-        "gold_region_performance": G.region_performance(perf, cur),
+        "gold_category_performance": G.category_performance(perf, g.cfg),
+        "gold_region_performance": G.region_performance(perf, cur, g.cfg),
         "gold_dividend_analysis": dividend(g),
         "gold_correlation_matrix": correlation(g),
         "gold_daily_inr_returns": daily_inr(g),
@@ -193,8 +200,8 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
 
     perf = put("gold_stock_performance", stock_performance(g))
     cur = put("gold_currency_adjusted_returns", currency_adjusted(g))
-    put("gold_category_performance", G.category_performance(perf))
-    put("gold_region_performance", G.region_performance(perf, cur))
+    put("gold_category_performance", G.category_performance(perf, g.cfg))
+    put("gold_region_performance", G.region_performance(perf, cur, g.cfg))
     put("gold_dividend_analysis", dividend(g))
     put("gold_correlation_matrix", correlation(g))
     put("gold_daily_inr_returns", daily_inr(g))

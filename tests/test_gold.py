@@ -151,3 +151,37 @@ def test_daily_inr_returns_policies(world):
     assert out2[("A", dt.date(2024, 6, 30))].forex_rate == D("83.00")   # last quote 2024-06-28
     assert out2[("A", dt.date(2025, 6, 30))].forex_rate == D("86.00")
     assert out2[("A", dt.date(2024, 6, 1))].forex_rate == D("1.00")     # before the first quote
+
+
+def test_stored_procedure_variant(world):
+    """Where the two reference implementations disagree, reference_variant='sp' gives the
+    stored procedures' answer."""
+    w = world
+    sp = replace(w["cfg"], reference_variant="sp")
+    stats = G.ticker_stats(w["prices"], AS_OF, sp)
+    perf = by_ticker(G.stock_performance(stats, w["companies"], w["fund"], sp))
+    # inner joins: E has no fundamentals, Z no prices
+    assert set(perf) == {"A", "B", "C"}
+    div = by_ticker(G.dividend_analysis(stats, w["fund"], w["fxs"], w["companies"], w["cmap"], sp,
+                                        G.stock_performance(stats, w["companies"], w["fund"], sp)))
+    assert div["C"].pays_dividend                       # yield 0 is "not NULL" (C17)
+    assert div["B"].dividend_in_inr is None             # non-payer: NULL, not 0 (C18)
+    assert div["A"].payout_ratio == D("0.4000")         # 500 div 100 = 5 (C16)
+    daily = {(r.ticker, r.trade_date): r for r in
+             G.daily_inr_returns(w["prices"], w["fx"], w["companies"], w["cmap"], sp).collect()}
+    assert daily[("A", dt.date(2024, 6, 30))].currency_pair is None      # matched FX row's pair (C19)
+    assert daily[("A", dt.date(2025, 6, 30))].currency_pair is None      # no quote that day
+    dbt_daily = {(r.ticker, r.trade_date): r for r in
+                 G.daily_inr_returns(w["prices"], w["fx"], w["companies"], w["cmap"], w["cfg"]).collect()}
+    assert dbt_daily[("A", dt.date(2024, 6, 30))].currency_pair == "USD/INR"
+
+
+def test_sp_integer_eps_truncates(spark, world):
+    w = world
+    sp = replace(w["cfg"], reference_variant="sp")
+    fund = spark.createDataFrame(
+        [("A", None, 1, None, None, D("0.01"), D("1"), None, 250, None, None, None, 100, True)], FUND)
+    div = by_ticker(G.dividend_analysis(w["stats"], fund, w["fxs"], w["companies"], w["cmap"], sp))
+    assert div["A"].payout_ratio == D("0.5000")         # EPS 250 div 100 = 2 (truncated), not 2.5
+    dbt = by_ticker(G.dividend_analysis(w["stats"], fund, w["fxs"], w["companies"], w["cmap"], w["cfg"]))
+    assert dbt["A"].payout_ratio == D("0.4000")
