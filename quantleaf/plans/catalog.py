@@ -656,7 +656,11 @@ def proxy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("low_price").cast("string").alias("low"),
                      F.col("close_price").cast("string").alias("close"),
                      F.col("volume").cast("string").alias("volume"))
+    # collect_list gains nothing from a map-side partial aggregate (it keeps every
+    # value), so hash-partition on the document key first: same shuffle volume, and
+    # the grouping runs in the post-shuffle tasks.
     docs = (b.withColumn("exchange", exch)
+            .repartition("ticker", "fetch_seq")
             .groupBy("ticker", "fetch_seq", "exchange", "currency")
             .agg(F.collect_list(quote).alias("values")))
     return docs.select(
