@@ -85,11 +85,20 @@ def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
         F.lit(True).alias("is_valid"))
 
 
-def calendar_from_bounds(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
-    """M4: one row per day between the bounds of each input row, with date attributes."""
+def calendar_from_bounds(bounds: DataFrame, start_col: str = "start", end_col: str = "end",
+                         holidays: DataFrame | None = None) -> DataFrame:
+    """M4: one row per day between the bounds of each input row, with date attributes.
+
+    ``holidays`` (a ``date_key`` column) optionally marks market holidays: they are
+    not trading days (C21; the reference ignores holidays)."""
     days = bounds.select(F.explode(F.sequence(F.col(start_col), F.col(end_col))).alias("date_key"))
     d = F.col("date_key")
     dow = X.tsql_weekday(d)
+    trading = ~dow.isin(1, 7)
+    if holidays is not None:
+        h = holidays.select("date_key").distinct().withColumn("_holiday", F.lit(True))
+        days = days.join(h, "date_key", "left")
+        trading = trading & F.col("_holiday").isNull()
     return days.select(
         d,
         dow.alias("day_of_week"),
@@ -101,12 +110,12 @@ def calendar_from_bounds(bounds: DataFrame, start_col: str = "start", end_col: s
         F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter_name"),
         F.year(d).alias("year"),
         dow.isin(1, 7).alias("is_weekend"),
-        (~dow.isin(1, 7)).alias("is_trading_day"))
+        trading.alias("is_trading_day"))
 
 
-def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    bounds = spark.createDataFrame([(start, end)], "start date, end date")
-    return calendar_from_bounds(bounds)
+def calendar(spark: SparkSession, start: dt.date, end: dt.date, holidays: DataFrame | None = None) -> DataFrame:
+    bounds = spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
+    return calendar_from_bounds(bounds, holidays=holidays)
 
 
 def calendar_for(prices: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +74,8 @@ def _fingerprint(inputs: list[str], cfg: EngineConfig) -> str:
     return h.hexdigest()[:20]
 
 
-_SILVER_READS: dict[tuple[int, str], Silver] = {}
+_SILVER_READS: dict[tuple[str, str], Silver] = {}
+_SILVER_LOCK = threading.Lock()
 
 
 def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig, root: str,
@@ -87,20 +89,21 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
     are built.
     """
     base = os.path.join(root, "silver-" + _fingerprint(inputs, cfg))
-    key = (id(spark), base)
-    missing = [n for n in SILVER_TABLES if not os.path.exists(os.path.join(base, n, "_SUCCESS"))]
-    if missing:
-        s = build_silver(bronze, cfg, cut_lineage=True)
-        frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))
-        for name in missing:
-            frames[name].write.mode("overwrite").parquet(os.path.join(base, name))
-        _SILVER_READS.pop(key, None)
-    if key not in _SILVER_READS:
-        _SILVER_READS[key] = Silver(*[spark.read.parquet(os.path.join(base, n)) for n in SILVER_TABLES])
-    silver = _SILVER_READS[key]
-    if base not in _AS_OF:
-        _AS_OF[base] = cfg.as_of or silver.prices.agg(F.max("trade_date")).first()[0]
-    return silver, _AS_OF[base]
+    key = (spark.sparkContext.applicationId, base)
+    with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
+        missing = [n for n in SILVER_TABLES if not os.path.exists(os.path.join(base, n, "_SUCCESS"))]
+        if missing:
+            s = build_silver(bronze, cfg, cut_lineage=True)
+            frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))
+            for name in missing:
+                frames[name].write.mode("overwrite").parquet(os.path.join(base, name))
+            _SILVER_READS.pop(key, None)
+        if key not in _SILVER_READS:
+            _SILVER_READS[key] = Silver(*[spark.read.parquet(os.path.join(base, n)) for n in SILVER_TABLES])
+        silver = _SILVER_READS[key]
+        if base not in _AS_OF:
+            _AS_OF[base] = cfg.as_of or silver.prices.agg(F.max("trade_date")).first()[0]
+        return silver, _AS_OF[base]
 
 
 def gold_inputs(silver: Silver, cfg: EngineConfig) -> GoldInputs:

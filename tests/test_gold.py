@@ -185,3 +185,39 @@ def test_sp_integer_eps_truncates(spark, world):
     assert div["A"].payout_ratio == D("0.5000")         # EPS 250 div 100 = 2 (truncated), not 2.5
     dbt = by_ticker(G.dividend_analysis(w["stats"], fund, w["fxs"], w["companies"], w["cmap"], w["cfg"]))
     assert dbt["A"].payout_ratio == D("0.4000")
+
+
+def test_fx_options(world):
+    w = world
+    # 'null': a price date without a quote has no home-currency value
+    null = replace(w["cfg"], fx_policy="null")
+    out = {(r.ticker, r.trade_date): r for r in
+           G.daily_inr_returns(w["prices"], w["fx"], w["companies"], w["cmap"], null).collect()}
+    assert out[("A", dt.date(2024, 6, 30))].forex_rate is None
+    assert out[("A", dt.date(2024, 6, 30))].close_price_inr is None
+    # staleness cap: a quote older than 3 days is not carried forward
+    dense = {(r.currency_pair, r.trade_date): r.close_rate for r in
+             G.densify_fx(w["fx"], AS_OF, 30, max_stale_days=3).collect()}
+    assert dense[("USD/INR", dt.date(2024, 7, 1))] == D("83.000000")
+    assert dense[("USD/INR", dt.date(2024, 7, 2))] is None
+    # align_fx: a short-history ticker takes the start rate on its own first date
+    fx = w["fx"].union(w["fx"].sparkSession.createDataFrame(
+        [("USD/INR", dt.date(2025, 2, 28), D("85"), None, True)], FX_SCHEMA))
+    comp = w["companies"].where("ticker <> 'B'").union(w["companies"].sparkSession.createDataFrame(
+        [("B", "B co", "USA", "NYSE", "USD", "Tech", "North America")], COMP))
+    aligned = replace(w["cfg"], align_fx=True)
+    cur = by_ticker(G.currency_adjusted_returns(w["stats"], G.fx_stats(fx, AS_OF, aligned), comp, w["cmap"],
+                                                aligned, G.densify_fx(fx, AS_OF, 30)))
+    assert cur["B"].inr_start_rate == D("85.000000")     # as of 2025-03-01, B's earliest price
+    assert cur["A"].inr_start_rate == D("83.000000")     # as of A's year-ago date
+
+
+def test_period_grains(world):
+    from quantleaf.operators import measures as M
+    w = world
+    daily = G.daily_inr_returns(w["prices"], w["fx"], w["companies"], w["cmap"], w["cfg"])
+    q = {(r.period, r.ticker): r for r in M.period_returns(daily, "quarter").collect()}
+    assert q[(20243, "A")].first_close == D("110.00")
+    assert q[(20252, "A")].local_return_pct is not None
+    y = {(r.period, r.ticker): r for r in M.period_returns(daily, "year").collect()}
+    assert y[(2024, "A")].local_return_pct == D("120.0000")   # 50 → 110

@@ -142,3 +142,11 @@ def test_normalize_pairs_inverts_base_first(spark):
                                "currency_pair string, trade_date date, close_rate decimal(18,6)")
     out = {(r.currency_pair, r.was_inverted): r.close_rate for r in S.normalize_pairs(fx, "INR").collect()}
     assert out == {("USD/INR", True): D("80.000000"), ("USD/INR", False): D("80.000000")}
+
+
+def test_calendar_holidays(spark):
+    hol = spark.createDataFrame([(dt.date(2023, 1, 2),)], "date_key date")
+    cal = {r.date_key: r for r in S.calendar(spark, dt.date(2023, 1, 1), dt.date(2023, 1, 7), hol).collect()}
+    assert len(cal) == 7
+    assert not cal[dt.date(2023, 1, 2)].is_trading_day and cal[dt.date(2023, 1, 3)].is_trading_day
+    assert not cal[dt.date(2023, 1, 2)].is_weekend
