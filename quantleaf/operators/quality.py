@@ -97,3 +97,17 @@ def short_history_check(perf: DataFrame, stats: DataFrame) -> DataFrame:
             .join(perf.select("ticker", "yoy_return_pct"), "ticker", "inner")
             .select("ticker", "earliest_date", "yoy_return_pct",
                     F.col("yoy_return_pct").isNotNull().alias("has_return")))
+
+
+def layer_listing(tables: dict[str, DataFrame], layer_of: dict[str, str]) -> DataFrame:
+    """Each layer table with its row count and its columns in order
+    (``listagg … WITHIN GROUP``; the group is one table's column list, bounded by its schema)."""
+    spark = next(iter(tables.values())).sparkSession
+    meta = spark.createDataFrame(
+        [(layer_of.get(n), n, i, c) for n, df in tables.items() for i, c in enumerate(df.columns)],
+        "layer string, table_name string, ordinal int, column_name string")
+    cols = (meta.groupBy("layer", "table_name")
+            .agg(F.count(F.lit(1)).alias("column_count"),
+                 F.expr("listagg(column_name, ', ') WITHIN GROUP (ORDER BY ordinal)").alias("columns")))
+    return (cols.join(row_counts(tables), "table_name", "inner")
+            .select("layer", "table_name", "row_count", "column_count", "columns"))

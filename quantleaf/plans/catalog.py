@@ -992,3 +992,37 @@ def q_gold_daily_inr_returns_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = layers(spark, sf_dir, _SP)
     s = L.silver
     return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, L.cfg)
+
+
+def _listing_sql() -> str:
+    """Oracle for layer_listing: row counts plus the declared column order of each table."""
+    cols = {
+        "silver_stock_prices": ["ticker", "trade_date", "open_price", "high_price", "low_price", "close_price",
+                                "volume", "daily_return_pct", "is_valid"],
+        "silver_forex_rates": ["currency_pair", "trade_date", "close_rate", "daily_change_pct", "is_valid"],
+        "gold_stock_performance": ["ticker", "company_name", "category", "region", "currency", "current_price",
+                                   "yoy_return_pct", "week_52_high", "week_52_low", "volatility", "sharpe_ratio",
+                                   "pe_ratio", "market_cap", "roe", "debt_to_equity", "dividend_yield"],
+    }
+    layer = {"silver_stock_prices": "silver", "silver_forex_rates": "silver", "gold_stock_performance": "gold"}
+    values = ", ".join(f"('{layer[t]}', '{t}', {i}, '{c}')" for t, cs in cols.items() for i, c in enumerate(cs))
+    counts = """
+, rc AS (SELECT 'silver_stock_prices' AS table_name, COUNT(*) AS row_count FROM silver_prices
+         UNION ALL SELECT 'silver_forex_rates', COUNT(*) FROM silver_forex
+         UNION ALL SELECT 'gold_stock_performance', COUNT(*) FROM perf),
+meta AS (SELECT * FROM (VALUES """ + values + """) t(layer, table_name, ordinal, column_name))
+SELECT m.layer, m.table_name, rc.row_count, COUNT(*) AS column_count,
+       string_agg(m.column_name, ', ' ORDER BY m.ordinal) AS columns
+FROM meta m JOIN rc ON m.table_name = rc.table_name
+GROUP BY m.layer, m.table_name, rc.row_count"""
+    return with_ctes(_GOLD_BASE, [_STATS_SQL, _PERF_SQL]).rstrip() + counts
+
+
+@register("layer_listing", _listing_sql())
+def q_layer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layer tables with row counts and their column lists."""
+    L = layers(spark, sf_dir)
+    tables = {"silver_stock_prices": L.silver.prices, "silver_forex_rates": L.silver.forex,
+              "gold_stock_performance": P.stock_performance(L.gold())}
+    return Q.layer_listing(tables, {"silver_stock_prices": "silver", "silver_forex_rates": "silver",
+                                    "gold_stock_performance": "gold"})
