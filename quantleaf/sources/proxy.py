@@ -100,10 +100,14 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    # Per-brand attributes are derived on the part dimension, once per part, not per lineitem.
     k = _brand_no()
-    mult = F.when(k % 5 == 3, F.lit(100)).otherwise(F.lit(1))
+    part = _table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand",
+        F.when(k % 5 == 3, F.lit(100)).otherwise(F.lit(1)).alias("_mult"),
+        _by_mod(k, PRICE_CURRENCY, "INR").alias("currency"))
+    j = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    mult = F.col("_mult")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     trade_date = F.to_date("l_shipdate")
     d = schemas.D18_4
@@ -117,7 +121,7 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _dec(unit * (1 - F.col("l_discount")) * mult, d).alias("low_price"),
                 _dec(unit * mult, d).alias("close_price"),
                 F.col("l_quantity").cast("bigint").alias("volume"),
-                _by_mod(k, PRICE_CURRENCY, "INR").alias("currency"),
+                "currency",
                 F.col("l_orderkey").alias("fetch_seq"),
                 "l_linenumber", "l_partkey", "l_suppkey"))
 
