@@ -46,8 +46,6 @@ class EngineConfig:
     # block, from a distinct count) and the date-chunk width in days.
     corr_blocks: int = 0
     corr_chunk_days: int = 366
-    # Largest number of rows a side may have to be broadcast explicitly.
-    broadcast_max_rows: int = 1_000_000
     # Which reference implementation the gold layer reproduces where the two differ:
     # 'dbt' (default, the newer models) or 'sp' (the stored procedures: one-year window,
     # inner joins, unguarded Sharpe on the raw stdev, integer EPS, home test by

@@ -14,7 +14,7 @@ import datetime as dt
 import hashlib
 import os
 import threading
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,6 @@ class GoldInputs:
     cfg: EngineConfig
     stats: DataFrame
     fx: DataFrame
-    _cache: dict = field(default_factory=dict)
 
 
 def build_silver(bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> Silver:
@@ -222,3 +221,34 @@ def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineCo
         silver_out, gold_out = out_dir, gold_dir
     silver = refresh_silver(spark, bronze, silver_out, cfg)
     return refresh_gold(spark, silver, gold_out, cfg)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Nightly refresh (E1): ``python -m quantleaf.plans.pipeline --sf-dir DIR --out DIR``
+    for the proxy inputs, or ``--bronze DIR`` for bronze tables with the declared schemas."""
+    import argparse
+    import datetime as _dt
+
+    from quantleaf.session import get_spark
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf-dir", help="folder with the generated test tables (proxy bronze)")
+    src.add_argument("--bronze", help="folder with bronze_stock_prices / _fundamentals / bronze_forex_rates")
+    ap.add_argument("--out", required=True, help="output folder (silver/ and gold/ below it)")
+    ap.add_argument("--as-of", help="reporting date YYYY-MM-DD (default: last trade date)")
+    ap.add_argument("--variant", default="dbt", choices=["dbt", "sp"])
+    a = ap.parse_args(argv)
+    spark = get_spark(app="quantleaf-refresh")
+    if a.sf_dir:
+        from quantleaf.sources import proxy
+        bronze = proxy.load(spark, a.sf_dir)
+    else:
+        from quantleaf.sources import bronze as bronze_tables
+        bronze = bronze_tables.load(spark, a.bronze)
+    cfg = EngineConfig(as_of=_dt.date.fromisoformat(a.as_of) if a.as_of else None, reference_variant=a.variant)
+    for name, path in refresh_all(spark, bronze, a.out, cfg).items():
+        print(name, path)
+
+
+if __name__ == "__main__":
+    main()
