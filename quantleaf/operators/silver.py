@@ -24,7 +24,7 @@ def _minor_factor(minor_units: dict[str, int], currency: Column) -> Column:
     return m[currency]
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     from quantleaf.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
@@ -44,7 +44,7 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
     payload = [*PRICE_COLS, "volume", "currency"]
     dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, payload)
     if cut_lineage:
-        dedup = _cut(dedup)
+        dedup = checkpointed(dedup)
     factor = _minor_factor(minor_units, F.col("currency"))
     conv = dedup.select(
         "ticker", "trade_date", "volume",
@@ -77,7 +77,7 @@ def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
     dedup = latest_by_key(b, ["currency_pair", "trade_date"], order_cols, ["close_rate"])
     dedup = dedup.withColumn("close_rate", F.col("close_rate").cast(schemas.D18_6))
     if cut_lineage:
-        dedup = _cut(dedup)
+        dedup = checkpointed(dedup)
     with_prev = segmented_lag(dedup, ["currency_pair"], "trade_date", ["close_rate"], bucket_days)
     return with_prev.select(
         "currency_pair", "trade_date", "close_rate",

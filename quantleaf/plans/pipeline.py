@@ -190,8 +190,13 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
 
 
 def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineConfig) -> dict[str, str]:
-    """Write the gold tables in dependency order; returns name → path."""
+    """Write the gold tables in dependency order; returns name → path.
+
+    The per-ticker and per-pair aggregates (one row per ticker / pair) are
+    checkpointed once, so M6, M7 and M10 share one scan of the silver prices.
+    """
     g = gold_inputs(silver, cfg)
+    g.stats, g.fx = S.checkpointed(g.stats), S.checkpointed(g.fx)
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
