@@ -665,7 +665,9 @@ def proxy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.collect_list(quote).alias("values")))
     return docs.select(
         I.vendor_symbol(F.col("ticker"), F.col("exchange")).alias("symbol"), "exchange", "currency",
-        F.date_format(F.timestamp_seconds("fetch_seq"), "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        # wall-clock time of the fetch (epoch + seconds) as TIMESTAMP_NTZ: no session time zone
+        F.date_format(F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, fetch_seq)"),
+                      "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
         "values")
 
 
