@@ -100,8 +100,10 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
         if key not in _SILVER_READS:
             _SILVER_READS[key] = Silver(*[spark.read.parquet(os.path.join(base, n)) for n in SILVER_TABLES])
         silver = _SILVER_READS[key]
-        if base not in _AS_OF:
-            _AS_OF[base] = cfg.as_of or silver.prices.agg(F.max("trade_date")).first()[0]
+        if cfg.as_of is not None:
+            return silver, cfg.as_of
+        if base not in _AS_OF:   # the data-derived default: last trade date of this build
+            _AS_OF[base] = silver.prices.agg(F.max("trade_date")).first()[0]
         return silver, _AS_OF[base]
 
 

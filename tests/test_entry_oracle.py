@@ -59,3 +59,13 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(rel.columns) == cols
     want = Counter(tuple(norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall())
     assert got == want
+
+
+def test_explicit_as_of_wins_over_cached_default(spark):
+    import datetime as dt
+    from quantleaf.config import EngineConfig
+    from quantleaf.plans import catalog
+    default = catalog.layers(spark, SF).cfg.as_of
+    chosen = dt.date(2000, 6, 30)
+    assert catalog.layers(spark, SF, EngineConfig(as_of=chosen)).cfg.as_of == chosen
+    assert catalog.layers(spark, SF).cfg.as_of == default != chosen
