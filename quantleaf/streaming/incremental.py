@@ -2,52 +2,76 @@
 
 Landed payload files are a file-source stream. Each micro-batch is parsed and
 appended to bronze after the duplicate check against what bronze already holds
-(``foreachBatch``), so a re-delivered file or a retried batch appends nothing
-twice. ``dropDuplicates`` is deliberately not used: it would keep the *first*
-fetch of a key, while later layers take the *latest* fetch.
+(``foreachBatch``). ``dropDuplicates`` is deliberately not used: it would keep the
+*first* fetch of a key, while later layers take the *latest* fetch.
+
+Exactly-once effect on a plain Parquet table: every micro-batch writes its own
+partition ``_epoch=<batch id>`` with dynamic partition overwrite. A batch that is
+re-run after a failure (same batch id) replaces its own partial output and checks
+duplicates only against the *other* epochs, so nothing is lost or doubled. The
+duplicate check reads only the batch's date range of bronze (row-group min/max
+pruning), not the whole table.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quantleaf import schemas
 from quantleaf.sources import ingest
 
+EPOCH = "_epoch"
+
 
-def _stored(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
-    """Bronze as stored so far, or None before the first append (any file system)."""
+def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
+    """Bronze as stored so far (all epochs, with the ``_epoch`` column), or None (any file system)."""
     try:
-        return spark.read.schema(schemas.BRONZE_PRICES).parquet(bronze_dir)
+        return spark.read.parquet(bronze_dir)
     except AnalysisException:
         return None
 
 
-def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-                     mode: str = "anti", max_files_per_trigger: int | None = None) -> None:
-    """Process every payload file available now, then stop (Trigger.AvailableNow).
+def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, bronze_dir: str,
+                 mode: str = "anti") -> None:
+    """Append one micro-batch of bronze rows; idempotent per ``epoch_id``.
 
     mode: 'anti' appends rows whose (ticker, trade_date) is not stored yet (J12);
     'newer' appends rows after the latest stored date per ticker (S6).
     """
+    stored = read_bronze(spark, bronze_dir)
+    new = batch
+    if stored is not None:
+        others = stored.where(F.col(EPOCH) != F.lit(epoch_id))
+        if mode == "newer":
+            new = ingest.newer_than_stored(others.select("ticker", "trade_date"), batch)
+        else:
+            lo, hi = batch.agg(F.min("trade_date"), F.max("trade_date")).first()
+            if lo is None:
+                return
+            window = others.where(F.col("trade_date").between(F.lit(lo), F.lit(hi)))
+            new = ingest.not_yet_stored(window.select("ticker", "trade_date"), batch)
+    (new.select(*schemas.BRONZE_PRICES.fieldNames()).withColumn(EPOCH, F.lit(epoch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(EPOCH).parquet(bronze_dir))
+
+
+def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
+                     mode: str = "anti", max_files_per_trigger: int | None = None) -> None:
+    """Process every payload file available now, then stop (Trigger.AvailableNow)."""
     reader = spark.readStream.schema(schemas.PRICE_PAYLOAD)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = ingest.parse_price_payloads(reader.json(landing_dir))
-
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        stored = _stored(batch.sparkSession, bronze_dir)
-        if stored is None:
-            new = batch
-        elif mode == "newer":
-            new = ingest.newer_than_stored(stored, batch)
-        else:
-            new = ingest.not_yet_stored(stored, batch)
-        ingest.append(new.select(*schemas.BRONZE_PRICES.fieldNames()), bronze_dir)
-
-    q = (rows.writeStream.foreachBatch(write_batch)
+    q = (rows.writeStream
+         .foreachBatch(lambda batch, epoch_id: ingest_batch(batch.sparkSession, batch, epoch_id, bronze_dir, mode))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+
+
+def bronze_rows(spark: SparkSession, bronze_dir: str) -> DataFrame:
+    """The ingested bronze rows with the declared columns (epochs dropped)."""
+    return spark.read.parquet(bronze_dir).select(*schemas.BRONZE_PRICES.fieldNames())

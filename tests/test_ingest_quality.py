@@ -11,7 +11,7 @@ from quantleaf import schemas
 from quantleaf.operators import quality as Q
 from quantleaf.sources import ingest as I
 from quantleaf.sources import seeds
-from quantleaf.streaming.incremental import run_price_ingest
+from quantleaf.streaming.incremental import bronze_rows, ingest_batch, run_price_ingest
 
 
 def payload(symbol, exchange, currency, fetched, quotes):
@@ -64,10 +64,26 @@ def test_streaming_ingest_is_idempotent(spark, tmp_dir):
                            [("2025-01-02", "600"), ("2025-01-03", "610")])])
     run_price_ingest(spark, landing, bronze, ckpt)
     run_price_ingest(spark, landing, bronze, ckpt)   # nothing new: no-op
-    rows = spark.read.schema(schemas.BRONZE_PRICES).parquet(bronze).collect()
+    rows = bronze_rows(spark, bronze).collect()
     assert sorted((r.ticker, r.trade_date) for r in rows) == [("RR", dt.date(2025, 1, 2)), ("RR", dt.date(2025, 1, 3))]
 
 
+def test_retried_batch_is_not_doubled(spark, tmp_dir):
+    """A micro-batch re-run with the same epoch id replaces its own output."""
+    bronze = os.path.join(tmp_dir, "bronze")
+    t = dt.datetime(2025, 1, 1)
+    b0 = spark.createDataFrame([("A", dt.date(2025, 1, 2), D(1), D(1), D(1), D(1), 1, "X", "USD", t)],
+                               schemas.BRONZE_PRICES)
+    b1 = spark.createDataFrame([("A", dt.date(2025, 1, 2), D(2), D(2), D(2), D(2), 1, "X", "USD", t),
+                                ("A", dt.date(2025, 1, 3), D(3), D(3), D(3), D(3), 1, "X", "USD", t)],
+                               schemas.BRONZE_PRICES)
+    ingest_batch(spark, b0, 0, bronze)
+    ingest_batch(spark, b1, 1, bronze)
+    ingest_batch(spark, b1, 1, bronze)          # retry of epoch 1
+    got = sorted((r.trade_date, r.close_price) for r in bronze_rows(spark, bronze).collect())
+    assert got == [(dt.date(2025, 1, 2), D("1.0000")), (dt.date(2025, 1, 3), D("3.0000"))]
+
+
 def test_seed_csv_empty_is_null(spark, tmp_dir):
     path = os.path.join(tmp_dir, "currency_map.csv")
     with open(path, "w") as f:
