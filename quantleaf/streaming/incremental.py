@@ -23,6 +23,7 @@ from quantleaf import schemas
 from quantleaf.sources import ingest
 
 EPOCH = "_epoch"
+WATERMARK_SUFFIX = "_latest"   # per-epoch latest date per ticker, next to the bronze folder
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
@@ -33,28 +34,54 @@ def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
         return None
 
 
+def _latest_dates(spark: SparkSession, bronze_dir: str, epoch_id: int) -> DataFrame | None:
+    """Latest stored date per ticker from the small watermark table (one row per ticker
+    and epoch); bronze itself is aggregated only once, to bootstrap a missing table."""
+    wm = read_bronze(spark, bronze_dir + WATERMARK_SUFFIX)
+    if wm is not None:
+        return (wm.where(F.col(EPOCH) != F.lit(epoch_id))
+                .groupBy("ticker").agg(F.max("trade_date").alias("trade_date")))
+    stored = read_bronze(spark, bronze_dir)
+    if stored is None:
+        return None
+    return (stored.where(F.col(EPOCH) != F.lit(epoch_id))
+            .groupBy("ticker").agg(F.max("trade_date").alias("trade_date")))
+
+
 def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, bronze_dir: str,
                  mode: str = "anti") -> None:
     """Append one micro-batch of bronze rows; idempotent per ``epoch_id``.
 
     mode: 'anti' appends rows whose (ticker, trade_date) is not stored yet (J12);
-    'newer' appends rows after the latest stored date per ticker (S6).
+    'newer' appends rows after the latest stored date per ticker (S6), read from the
+    watermark table kept next to bronze. A bronze folder is fed in one mode.
     """
-    stored = read_bronze(spark, bronze_dir)
     new = batch
-    if stored is not None:
-        others = stored.where(F.col(EPOCH) != F.lit(epoch_id))
-        if mode == "newer":
-            new = ingest.newer_than_stored(others.select("ticker", "trade_date"), batch)
-        else:
+    if mode == "newer":
+        latest = _latest_dates(spark, bronze_dir, epoch_id)
+        if latest is not None:
+            new = ingest.newer_than_stored(latest, batch)
+    else:
+        stored = read_bronze(spark, bronze_dir)
+        if stored is not None:
             lo, hi = batch.agg(F.min("trade_date"), F.max("trade_date")).first()
             if lo is None:
                 return
-            window = others.where(F.col("trade_date").between(F.lit(lo), F.lit(hi)))
+            window = (stored.where(F.col(EPOCH) != F.lit(epoch_id))
+                      .where(F.col("trade_date").between(F.lit(lo), F.lit(hi))))
             new = ingest.not_yet_stored(window.select("ticker", "trade_date"), batch)
-    (new.select(*schemas.BRONZE_PRICES.fieldNames()).withColumn(EPOCH, F.lit(epoch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(EPOCH).parquet(bronze_dir))
+    new = new.select(*schemas.BRONZE_PRICES.fieldNames()).withColumn(EPOCH, F.lit(epoch_id))
+    _write_epoch(new, bronze_dir)
+    if mode == "newer":
+        # Written after bronze: a failure in between re-runs the epoch, which rewrites both.
+        marks = spark.read.parquet(bronze_dir).where(F.col(EPOCH) == F.lit(epoch_id))
+        _write_epoch(marks.groupBy("ticker", EPOCH).agg(F.max("trade_date").alias("trade_date")),
+                     bronze_dir + WATERMARK_SUFFIX)
+
+
+def _write_epoch(df: DataFrame, path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(EPOCH).parquet(path))
 
 
 def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,

@@ -149,3 +149,17 @@ def test_slicers(spark):
                                "ticker string, trade_date date")
     assert M.slice_daily(df, tickers=["A"], years=[2025]).count() == 1
     assert M.slice_daily(df, start=dt.date(2025, 1, 1)).count() == 2
+
+
+def test_streaming_newer_mode_uses_watermarks(spark, tmp_dir):
+    landing, bronze, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "bronze", "ckpt"))
+    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-03 00:00:00", [("2025-01-03", "600")])])
+    run_price_ingest(spark, landing, bronze, ckpt, mode="newer")
+    # an older day arrives later: not newer than what is stored → dropped; a newer day is kept
+    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-05 00:00:00",
+                           [("2025-01-02", "590"), ("2025-01-04", "610")])])
+    run_price_ingest(spark, landing, bronze, ckpt, mode="newer")
+    got = sorted(r.trade_date for r in bronze_rows(spark, bronze).collect())
+    assert got == [dt.date(2025, 1, 3), dt.date(2025, 1, 4)]
+    marks = spark.read.parquet(bronze + "_latest").groupBy("ticker").agg(F.max("trade_date").alias("d")).first()
+    assert marks.d == dt.date(2025, 1, 4)
