@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import logging
 import os
 import threading
 from dataclasses import dataclass
@@ -25,6 +26,9 @@ from quantleaf.operators import silver as S
 from quantleaf.sources.proxy import Bronze
 
 
+log = logging.getLogger("quantleaf.refresh")
+
+
 @dataclass
 class Silver:
     prices: DataFrame
@@ -186,6 +190,7 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
               "silver_currency_map": s.currency_map}
     for name, df in tables.items():
         _write(df, _loc(out_dir, name))
+        log.info("%s refreshed", name)
     r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
     return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
                   r["silver_companies"], r["silver_currency_map"])
@@ -203,7 +208,8 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
 
     def put(name: str, df: DataFrame) -> DataFrame:
         p = _loc(out_dir, name)
-        _write(df, p)
+        _write(df, p)        # a failure raises here; later steps do not run on stale inputs
+        log.info("%s refreshed", name)
         paths[name] = p
         return _read(spark, p)
 

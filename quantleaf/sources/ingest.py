@@ -65,7 +65,8 @@ def parse_price_payloads(payloads: DataFrame) -> DataFrame:
         F.col("v.close").cast(d4).alias("close_price"),
         F.col("v.volume").cast("bigint").alias("volume"),
         "exchange", "currency",
-        F.to_timestamp_ntz(F.col("fetched_at")).alias("api_fetched_at"))
+        # A payload without a fetch time gets the ingest time (the table default)
+        F.coalesce(F.to_timestamp_ntz(F.col("fetched_at")), F.localtimestamp()).alias("api_fetched_at"))
 
 
 def newer_than_stored(stored: DataFrame, arriving: DataFrame, key: str = "ticker",

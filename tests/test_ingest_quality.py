@@ -163,3 +163,10 @@ def test_streaming_newer_mode_uses_watermarks(spark, tmp_dir):
     assert got == [dt.date(2025, 1, 3), dt.date(2025, 1, 4)]
     marks = spark.read.parquet(bronze + "_latest").groupBy("ticker").agg(F.max("trade_date").alias("d")).first()
     assert marks.d == dt.date(2025, 1, 4)
+
+
+def test_missing_fetch_time_defaults_to_ingest_time(spark, tmp_dir):
+    land(tmp_dir, [{"symbol": "CEG", "exchange": "NASDAQ", "currency": "USD",
+                    "values": [{"datetime": "2025-01-02", "close": "10", "volume": "1"}]}])
+    r = I.parse_price_payloads(I.read_price_payloads(spark, tmp_dir)).first()
+    assert r.api_fetched_at is not None and r.close_price == D("10.0000") and r.open_price is None
