@@ -295,14 +295,17 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
     r = src.select(F.col("currency_pair").alias("forex_pair"), "trade_date", F.col("close_rate").alias("_rate"))
     j = p.join(r, ["forex_pair", "trade_date"], "left")
     rate = F.col("_rate") if cfg.fx_policy == "null" else F.coalesce(F.col("_rate"), F.lit(1).cast("decimal(18,6)"))
-    j = j.withColumn("forex_rate", rate).withColumn("close_inr", F.col("close_price") * F.col("forex_rate"))
-    lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr"], cfg.bucket_days)
+    j = (j.withColumn("forex_rate", rate)
+         .withColumn("close_inr", F.col("close_price") * F.col("forex_rate"))
+         # the return runs in double; lagging the double keeps the bucket tails a hash aggregate
+         .withColumn("close_inr_d", F.col("close_inr").cast("double")))
+    lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr_d"], cfg.bucket_days)
     return lagged.select(
         "ticker", "trade_date",
         X.try_dec("close_price").alias("close_price"),
         X.try_dec("close_inr").alias("close_price_inr"),
         X.try_dec("daily_return_pct").alias("daily_return_local_pct"),
-        X.try_dec(X.pct_change("close_inr", "prev_close_inr")).alias("daily_return_inr_pct"),
+        X.try_dec(X.pct_change("close_inr_d", "prev_close_inr_d")).alias("daily_return_inr_pct"),
         X.try_dec("forex_rate").alias("forex_rate"),
         (F.when(F.col("_rate").isNotNull(), F.col("forex_pair")) if cfg.sp
          else F.col("forex_pair")).alias("currency_pair"))

@@ -50,12 +50,14 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
         "ticker", "trade_date", "volume",
         *[F.when(factor.isNotNull(), F.col(c) * factor).otherwise(F.col(c)).alias(c)
           for c in PRICE_COLS])
-    with_prev = segmented_lag(conv, ["ticker"], "trade_date", ["close_price"], bucket_days)
+    # the return runs in double; lagging the double keeps the bucket tails a hash aggregate
+    conv = conv.withColumn("_close_d", F.col("close_price").cast("double"))
+    with_prev = segmented_lag(conv, ["ticker"], "trade_date", ["_close_d"], bucket_days)
     return with_prev.select(
         "ticker", "trade_date",
         *[X.to_dec(c).alias(c) for c in PRICE_COLS],
         "volume",
-        X.to_dec(X.pct_change("close_price", "prev_close_price")).alias("daily_return_pct"),
+        X.to_dec(X.pct_change("_close_d", "prev__close_d")).alias("daily_return_pct"),
         F.lit(True).alias("is_valid"))
 
 
