@@ -19,6 +19,9 @@ class EngineConfig:
     # Currencies quoted in a minor unit and the divisor to the major unit.
     # Case-sensitive: 'GBp' (pence) is divided, 'GBP' is not.
     minor_units: dict[str, int] = field(default_factory=lambda: {"GBp": 100})
+    # Alternative rule keyed by ticker (the dbt models list the pence tickers by name);
+    # when set it replaces the currency rule.
+    minor_units_by_ticker: dict[str, int] | None = None
     # Trailing window for 52-week range and volatility: trade_date > as_of - window_days.
     window_days: int = 365
     # Year-ago cut: latest trade_date <= add_months(as_of, -lookback_months).

@@ -32,7 +32,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str, int],
-                 bucket_days: int = 90, cut_lineage: bool = False) -> DataFrame:
+                 bucket_days: int = 90, cut_lineage: bool = False,
+                 minor_units_by_ticker: dict[str, int] | None = None) -> DataFrame:
     """M1: latest fetch per (ticker, date), minor units → major, daily return.
 
     The return is computed on the converted, unrounded close; stored prices and
@@ -45,7 +46,8 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
     dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, payload)
     if cut_lineage:
         dedup = checkpointed(dedup)
-    factor = _minor_factor(minor_units, F.col("currency"))
+    factor = (_minor_factor(minor_units_by_ticker, F.col("ticker")) if minor_units_by_ticker
+              else _minor_factor(minor_units, F.col("currency")))
     conv = dedup.select(
         "ticker", "trade_date", "volume",
         *[F.when(factor.isNotNull(), F.col(c) * factor).otherwise(F.col(c)).alias(c)

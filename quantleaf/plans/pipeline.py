@@ -49,7 +49,8 @@ class GoldInputs:
 
 def build_silver(bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> Silver:
     return Silver(
-        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage),
+        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage,
+                              cfg.minor_units_by_ticker),
         fundamentals=S.clean_fundamentals(bronze.fundamentals, bronze.fund_order),
         forex=S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage),
         companies=bronze.companies,
@@ -66,7 +67,8 @@ _AS_OF: dict[str, dt.date] = {}
 
 def _fingerprint(inputs: list[str], cfg: EngineConfig) -> str:
     """Identity of a silver build: input files (path, size, mtime), the cleaning code, the config."""
-    h = hashlib.sha256(repr((sorted(cfg.minor_units.items()), cfg.bucket_days)).encode())
+    h = hashlib.sha256(repr((sorted(cfg.minor_units.items()), sorted((cfg.minor_units_by_ticker or {}).items()),
+                             cfg.bucket_days)).encode())
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for rel in _SOURCE_FILES:
         with open(os.path.join(root, rel), "rb") as f:

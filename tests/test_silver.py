@@ -150,3 +150,11 @@ def test_calendar_holidays(spark):
     assert len(cal) == 7
     assert not cal[dt.date(2023, 1, 2)].is_trading_day and cal[dt.date(2023, 1, 3)].is_trading_day
     assert not cal[dt.date(2023, 1, 2)].is_weekend
+
+
+def test_minor_units_by_ticker(spark):
+    d1 = dt.date(2025, 1, 2)
+    df = bronze(spark, [("RR", d1, D("600.0000"), "GBP", T0), ("XOM", d1, D("600.0000"), "USD", T0)])
+    out = {r.ticker: r.close_price for r in
+           S.clean_prices(df, ["api_fetched_at"], {"GBp": 100}, minor_units_by_ticker={"RR": 100}).collect()}
+    assert out == {"RR": D("6.0000"), "XOM": D("600.0000")}
