@@ -43,3 +43,18 @@ def test_rank_by_is_rank(spark, vals, desc, buckets):
     pdf["rk"] = pdf.groupby("g")["v"].rank(method="min", ascending=not desc)
     for i, rk in zip(pdf["id"], pdf["rk"]):
         assert got[i] == (None if pd.isna(rk) else int(rk))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), blocks=st.integers(1, 5), chunk=st.integers(1, 40))
+def test_gram_correlation_is_self_join(spark, seed, blocks, chunk):
+    from tests.test_correlation_ranking import PRICE_SCHEMA, brute_force, companies, random_returns
+    from quantleaf.config import EngineConfig
+    from quantleaf.operators.correlation import correlation_matrix
+    tickers = [f"S{i}" for i in range(6)]
+    rows = random_returns(seed, tickers, 25)
+    df = spark.createDataFrame(rows, PRICE_SCHEMA)
+    got = {(r.stock_1, r.stock_2): r.correlation_coefficient for r in
+           correlation_matrix(df, companies(spark, tickers),
+                              EngineConfig(corr_blocks=blocks, corr_chunk_days=chunk)).collect()}
+    assert got == brute_force(rows)
