@@ -60,6 +60,15 @@ def build_silver(bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -
 
 SILVER_TABLES = ["silver_stock_prices", "silver_stock_fundamentals", "silver_forex_rates",
                  "silver_companies", "silver_currency_map"]
+# Row order inside each written file: key then date, so Parquet row-group min/max
+# statistics let ticker / pair and date-range filters (dashboard slicers) skip data.
+_FILE_ORDER = {"silver_stock_prices": ["ticker", "trade_date"],
+               "silver_forex_rates": ["currency_pair", "trade_date"]}
+
+
+def _laid_out(name: str, df: DataFrame) -> DataFrame:
+    cols = _FILE_ORDER.get(name)
+    return df.sortWithinPartitions(*cols) if cols else df
 _SOURCE_FILES = ["operators/silver.py", "operators/windows.py", "sources/proxy.py", "sources/seeds.py",
                  "schemas.py", "config.py"]
 _AS_OF: dict[str, dt.date] = {}
@@ -101,7 +110,7 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
             s = build_silver(bronze, cfg, cut_lineage=True)
             frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))
             for name in missing:
-                frames[name].write.mode("overwrite").parquet(os.path.join(base, name))
+                _laid_out(name, frames[name]).write.mode("overwrite").parquet(os.path.join(base, name))
             _SILVER_READS.pop(key, None)
         if key not in _SILVER_READS:
             _SILVER_READS[key] = Silver(*[spark.read.parquet(os.path.join(base, n)) for n in SILVER_TABLES])
@@ -191,7 +200,7 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
               "silver_forex_rates": s.forex, "silver_companies": s.companies,
               "silver_currency_map": s.currency_map}
     for name, df in tables.items():
-        _write(df, _loc(out_dir, name))
+        _write(_laid_out(name, df), _loc(out_dir, name))
         log.info("%s refreshed", name)
     r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
     return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
