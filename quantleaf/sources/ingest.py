@@ -71,7 +71,10 @@ def parse_price_payloads(payloads: DataFrame) -> DataFrame:
 
 def newer_than_stored(stored: DataFrame, arriving: DataFrame, key: str = "ticker",
                       date_col: str = "trade_date") -> DataFrame:
-    """Arriving rows dated after the latest stored date of their key (all rows of new keys)."""
+    """Arriving rows dated after the latest stored date of their key (all rows of new keys).
+
+    ``stored`` needs only (key, date) rows: full bronze, or — at scale — a small
+    watermark table of the latest date per key (see ``streaming.incremental``)."""
     latest = stored.groupBy(key).agg(F.max(date_col).alias("_latest"))
     return (arriving.join(latest, key, "left")
             .where(F.col("_latest").isNull() | (F.col(date_col) > F.col("_latest")))

@@ -170,3 +170,17 @@ def test_missing_fetch_time_defaults_to_ingest_time(spark, tmp_dir):
                     "values": [{"datetime": "2025-01-02", "close": "10", "volume": "1"}]}])
     r = I.parse_price_payloads(I.read_price_payloads(spark, tmp_dir)).first()
     assert r.api_fetched_at is not None and r.close_price == D("10.0000") and r.open_price is None
+
+
+def test_refresh_all_sp_variant(spark, tmp_dir):
+    from quantleaf.config import EngineConfig
+    from quantleaf.plans import pipeline as P
+    from quantleaf.sources import proxy
+    paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), tmp_dir,
+                          EngineConfig(reference_variant="sp"))
+    perf = spark.read.parquet(paths["gold_stock_performance"])
+    cur = spark.read.parquet(paths["gold_currency_adjusted_returns"])
+    div = spark.read.parquet(paths["gold_dividend_analysis"])
+    n = perf.count()
+    assert 0 < n <= 25 and cur.count() == n and div.count() == n
+    assert perf.where("ticker IS NULL").count() == 0
