@@ -140,15 +140,17 @@ def coefficient(m: DataFrame) -> DataFrame:
     return m.withColumn("_raw", raw).withColumn("correlation_coefficient", X.to_dec("_raw"))
 
 
-def auto_blocks(returns: DataFrame, target_tickers_per_block: int = 512) -> int:
-    n = returns.select("ticker").distinct().count()
+def auto_blocks(instruments: DataFrame, target_tickers_per_block: int = 512) -> int:
+    """Block count from the instrument dimension (a small table, not the return history).
+    It only sizes the work: results do not depend on it."""
+    n = instruments.select("ticker").distinct().count()
     return max(1, math.ceil(n / target_tickers_per_block))
 
 
 def correlation_matrix(prices: DataFrame, companies: DataFrame, cfg: EngineConfig) -> DataFrame:
     """M11 gold_correlation_matrix."""
     rets = prices.where(F.col("daily_return_pct").isNotNull()).select("ticker", "trade_date", "daily_return_pct")
-    blocks = cfg.corr_blocks if cfg.corr_blocks > 0 else auto_blocks(rets)
+    blocks = cfg.corr_blocks if cfg.corr_blocks > 0 else auto_blocks(companies)
     m = pair_moments(rets, blocks, cfg.corr_chunk_days).where(F.col("n") > cfg.min_obs)
     c = coefficient(m)
     how = "inner" if cfg.sp else "left"
