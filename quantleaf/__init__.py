@@ -5,7 +5,7 @@ Bronze → silver → gold as lazy DataFrame plans:
 * ``quantleaf.sources``    bronze readers, seeds, proxy bronze over the test tables, ingestion
 * ``quantleaf.functions``  column-expression helpers (returns, dates, guards)
 * ``quantleaf.operators``  silver cleaning, gold tables, measures, correlation, quality checks
-* ``quantleaf.plans``      refresh pipeline and the query catalog (Spark plan + DuckDB oracle SQL)
+* ``quantleaf.plans``      refresh (M13) and the query catalog (Spark plan + DuckDB oracle SQL)
 * ``quantleaf.streaming``  incremental bronze append with Structured Streaming
 """
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import silver as S
-from quantleaf.plans import pipeline as P
+from quantleaf.plans import refresh as P
 from quantleaf.plans.oracle import avg_dec, with_ctes
 from quantleaf.sources import proxy
 

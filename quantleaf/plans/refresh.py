@@ -1,4 +1,4 @@
-"""The refresh pipeline (bronze → silver → gold) as lazy DataFrame plans.
+"""The refresh (bronze → silver → gold) as lazy DataFrame plans.
 
 ``build_silver`` / ``build_gold`` return DataFrames; ``refresh_*`` write them as
 tables with ``mode("overwrite")``. A table is replaced only when its plan
@@ -248,7 +248,7 @@ def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineCo
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Nightly refresh (E1): ``python -m quantleaf.plans.pipeline --sf-dir DIR --out DIR``
+    """Nightly refresh (E1): ``python -m quantleaf.plans.refresh --sf-dir DIR --out DIR``
     for the proxy inputs, or ``--bronze DIR`` for bronze tables with the declared schemas."""
     import argparse
     import datetime as _dt

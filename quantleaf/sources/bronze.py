@@ -2,7 +2,7 @@
 
 The three bronze tables are read from Parquet (or a catalog table) with their
 declared StructTypes — no inference — and the dimensions from seed CSVs or the
-built-in seed rows. The object matches the proxy bronze, so the same pipeline
+built-in seed rows. The object matches the proxy bronze, so the same refresh
 runs on either.
 """
 

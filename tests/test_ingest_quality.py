@@ -108,7 +108,7 @@ def test_quality_jobs(spark):
 
 
 def test_refresh_all_writes_every_table(spark, tmp_dir):
-    from quantleaf.plans import pipeline as P
+    from quantleaf.plans import refresh as P
     from quantleaf.sources import proxy
     paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), tmp_dir)
     assert set(paths) == {"gold_stock_performance", "gold_currency_adjusted_returns", "gold_category_performance",
@@ -121,9 +121,9 @@ def test_refresh_all_writes_every_table(spark, tmp_dir):
     assert silver.count() == counts["gold_daily_inr_returns"]
 
 
-def test_real_bronze_reader_runs_pipeline(spark, tmp_dir):
-    """Bronze tables with the declared schemas and the seed dimensions feed the same pipeline."""
-    from quantleaf.plans import pipeline as P
+def test_real_bronze_reader_runs_refresh(spark, tmp_dir):
+    """Bronze tables with the declared schemas and the seed dimensions feed the same refresh."""
+    from quantleaf.plans import refresh as P
     from quantleaf.sources import bronze as B
     from quantleaf.config import EngineConfig
     t = dt.datetime(2025, 1, 1)
@@ -174,7 +174,7 @@ def test_missing_fetch_time_defaults_to_ingest_time(spark, tmp_dir):
 
 def test_refresh_all_sp_variant(spark, tmp_dir):
     from quantleaf.config import EngineConfig
-    from quantleaf.plans import pipeline as P
+    from quantleaf.plans import refresh as P
     from quantleaf.sources import proxy
     paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), tmp_dir,
                           EngineConfig(reference_variant="sp"))
