@@ -203,6 +203,9 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
         _write(_laid_out(name, df), _loc(out_dir, name))
         log.info("%s refreshed", name)
     r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
+    # M4: the date dimension for BI time filters, spanning the written price history
+    _write(S.calendar_for(r["silver_stock_prices"]), _loc(out_dir, "silver_calendar"))
+    log.info("silver_calendar refreshed")
     return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
                   r["silver_companies"], r["silver_currency_map"])
 

@@ -119,6 +119,9 @@ def test_refresh_all_writes_every_table(spark, tmp_dir):
     assert counts["gold_region_performance"] == 5 and counts["gold_correlation_matrix"] > 0
     silver = spark.read.parquet(os.path.join(tmp_dir, "silver", "silver_stock_prices"))
     assert silver.count() == counts["gold_daily_inr_returns"]
+    cal = spark.read.parquet(os.path.join(tmp_dir, "silver", "silver_calendar"))
+    span = silver.agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("b")).first()
+    assert cal.count() == (span.b - span.a).days + 1
 
 
 def test_real_bronze_reader_runs_refresh(spark, tmp_dir):
