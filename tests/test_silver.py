@@ -158,3 +158,23 @@ def test_minor_units_by_ticker(spark):
     out = {r.ticker: r.close_price for r in
            S.clean_prices(df, ["api_fetched_at"], {"GBp": 100}, minor_units_by_ticker={"RR": 100}).collect()}
     assert out == {"RR": D("6.0000"), "XOM": D("600.0000")}
+
+
+def test_single_hot_ticker_is_spread_over_tasks(spark):
+    """All rows belong to one ticker; the (ticker, bucket) window still spreads them."""
+    rows = [("HOT", dt.date(2015, 1, 1) + dt.timedelta(days=i), float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        # consume the lagged column so the window stays in the plan
+        out = segmented_lag(df, ["k"], "d", ["v"], bucket_days=30)
+        parts = len(out.select(F.spark_partition_id().alias("p"), "prev_v")
+                    .groupBy("p").agg(F.count("prev_v")).collect())
+        plain = df.select(F.lag("v").over(Window.partitionBy("k").orderBy("d")).alias("x"))
+        plain_parts = len(plain.select(F.spark_partition_id().alias("p"), "x")
+                          .groupBy("p").agg(F.count("x")).collect())
+    finally:
+        spark.conf.set(key, old)
+    assert plain_parts == 1 and parts > 1
