@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quantleaf import schemas
 from quantleaf.functions import exprs as X
 from quantleaf.operators.windows import latest_by_key, segmented_ffill, segmented_lag
+from quantleaf.session import checkpointed
 
 PRICE_COLS = ["open_price", "high_price", "low_price", "close_price"]
 
@@ -24,13 +25,6 @@ def _minor_factor(minor_units: dict[str, int], currency: Column) -> Column:
     return m[currency]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    from quantleaf.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str, int],
                  bucket_days: int = 90, cut_lineage: bool = False,
                  minor_units_by_ticker: dict[str, int] | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import silver as S
+from quantleaf.session import checkpointed
 from quantleaf.sources.proxy import Bronze
 
 
@@ -217,7 +218,7 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
     checkpointed once, so M6, M7 and M10 share one scan of the silver prices.
     """
     g = gold_inputs(silver, cfg)
-    g.stats, g.fx = S.checkpointed(g.stats), S.checkpointed(g.fx)
+    g.stats, g.fx = checkpointed(g.stats), checkpointed(g.fx)
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:

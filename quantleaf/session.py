@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the engine wants. Partition counts are sized for the
 # local test box; on a cluster the deploy config overrides them (getOrCreate keeps
@@ -60,5 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder (never a local
+    one, never ``localCheckpoint``): cuts the lineage so later branches read it back."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
