@@ -104,7 +104,7 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
     are built.
     """
     base = os.path.join(root, "silver-" + _fingerprint(inputs, cfg))
-    key = (spark.sparkContext.applicationId, base)
+    key = (spark.conf.get("spark.app.id", ""), base)
     with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
         missing = [n for n in SILVER_TABLES if not os.path.exists(os.path.join(base, n, "_SUCCESS"))]
         if missing:
