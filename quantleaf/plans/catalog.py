@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quantleaf import schemas
+
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import measures as M
@@ -685,6 +687,45 @@ def q_ingest_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.parse_price_payloads(I.payloads_from_strings(docs))
 
 
+def _epoch_text(seconds_col: str) -> Column:
+    """Wall-clock fetch time (epoch + seconds) as text, independent of the session time zone."""
+    return F.date_format(F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds_col})"),
+                         "yyyy-MM-dd HH:mm:ss")
+
+
+@register("ingest_forex_payload", _oracle(["bronze_forex"], [], """
+SELECT currency_pair, trade_date, CAST(NULL AS DECIMAL(18,6)) AS open_rate, CAST(NULL AS DECIMAL(18,6)) AS high_rate,
+       CAST(NULL AS DECIMAL(18,6)) AS low_rate, close_rate, make_timestamp(fetch_seq * 1000000) AS api_fetched_at
+FROM bronze_forex"""))
+def q_ingest_forex_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 (forex): one JSON document per pair and fetch → bronze FX rows."""
+    fx = proxy.bronze_forex(spark, sf_dir)
+    quote = F.struct(F.date_format("trade_date", "yyyy-MM-dd").alias("datetime"),
+                     F.col("close_rate").cast("string").alias("close"))
+    docs = fx.select(F.col("currency_pair").alias("symbol"), _epoch_text("fetch_seq").alias("fetched_at"),
+                     F.array(quote).alias("values"))
+    return I.parse_forex_payloads(I.payloads_from_strings(docs.select(F.to_json(F.struct("*")).alias("value")),
+                                                          schema=schemas.FOREX_PAYLOAD))
+
+
+@register("ingest_fundamentals_payload", _oracle(["bronze_fund", "companies"], [], """
+SELECT f.ticker, f.report_date, f.market_cap, f.pe_ratio, f.pb_ratio, f.dividend_yield, f.dividend_per_share,
+       f.revenue, f.net_profit, f.roe, f.debt_to_equity, f.book_value, f.shares_outstanding,
+       make_timestamp(f.fetch_seq * 1000000) AS api_fetched_at
+FROM bronze_fund f JOIN companies c ON f.ticker = c.ticker"""))
+def q_ingest_fundamentals_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 (fundamentals): one JSON document per vendor symbol and fetch → bronze rows (S7 mapping)."""
+    f = proxy.bronze_fundamentals(spark, sf_dir)
+    exch = proxy.companies(spark, sf_dir).select("ticker", "exchange")
+    docs = f.join(exch, "ticker", "inner").select(
+        I.vendor_symbol(F.col("ticker"), F.col("exchange")).alias("symbol"),
+        _epoch_text("fetch_seq").alias("fetched_at"),
+        F.col("report_date").cast("string").alias("report_date"),
+        *[F.col(c).cast("string").alias(c) for c in schemas.FUNDAMENTAL_COLUMNS])
+    return I.parse_fundamental_payloads(I.payloads_from_strings(
+        docs.select(F.to_json(F.struct("*")).alias("value")), schema=schemas.FUNDAMENTALS_PAYLOAD))
+
+
 _SPLIT_SQL = """
 , sp AS (SELECT (MIN(fetch_seq) + MAX(fetch_seq)) // 2 AS s FROM bronze_prices),
 st AS (SELECT b.* FROM bronze_prices b, sp WHERE b.fetch_seq <= sp.s),

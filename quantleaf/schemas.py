@@ -92,3 +92,23 @@ PRICE_PAYLOAD = T.StructType([
         T.StructField("volume", T.StringType()),
     ]))),
 ])
+
+# Landed FX payload: one document per pair and fetch; leaf values are strings.
+FOREX_PAYLOAD = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("fetched_at", T.StringType()),
+    T.StructField("values", T.ArrayType(T.StructType([
+        T.StructField("datetime", T.StringType()),
+        T.StructField("open", T.StringType()),
+        T.StructField("high", T.StringType()),
+        T.StructField("low", T.StringType()),
+        T.StructField("close", T.StringType()),
+    ]))),
+])
+
+# Landed fundamentals payload: one document per symbol and fetch, fields named as the
+# bronze columns, values as strings.
+FUNDAMENTALS_PAYLOAD = T.StructType(
+    [T.StructField("symbol", T.StringType()), T.StructField("fetched_at", T.StringType()),
+     T.StructField("report_date", T.StringType())]
+    + [T.StructField(c, T.StringType()) for c in FUNDAMENTAL_COLUMNS])

@@ -47,9 +47,10 @@ def read_price_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PRICE_PAYLOAD).json(path)
 
 
-def payloads_from_strings(df: DataFrame, col: str = "value") -> DataFrame:
+def payloads_from_strings(df: DataFrame, col: str = "value", schema=None) -> DataFrame:
     """S5 for payloads that arrive as JSON strings (a column of a table or a stream)."""
-    return df.select(F.from_json(F.col(col), schemas.PRICE_PAYLOAD).alias("p")).select("p.*")
+    return (df.select(F.from_json(F.col(col), schema or schemas.PRICE_PAYLOAD).alias("p"))
+            .select("p.*"))
 
 
 def parse_price_payloads(payloads: DataFrame) -> DataFrame:
@@ -65,8 +66,34 @@ def parse_price_payloads(payloads: DataFrame) -> DataFrame:
         F.col("v.close").cast(d4).alias("close_price"),
         F.col("v.volume").cast("bigint").alias("volume"),
         "exchange", "currency",
-        # A payload without a fetch time gets the ingest time (the table default)
-        F.coalesce(F.to_timestamp_ntz(F.col("fetched_at")), F.localtimestamp()).alias("api_fetched_at"))
+        _fetched().alias("api_fetched_at"))
+
+
+def _fetched(col: str = "fetched_at") -> Column:
+    # A payload without a fetch time gets the ingest time (the table default)
+    return F.coalesce(F.to_timestamp_ntz(F.col(col)), F.localtimestamp())
+
+
+def parse_forex_payloads(payloads: DataFrame) -> DataFrame:
+    """FX payload documents (schemas.FOREX_PAYLOAD) → bronze FX rows."""
+    d6 = schemas.D18_6
+    v = payloads.select("symbol", "fetched_at", F.explode("values").alias("v"))
+    return v.select(
+        F.col("symbol").alias("currency_pair"),
+        F.to_date(F.col("v.datetime")).alias("trade_date"),
+        *[F.col(f"v.{k}").cast(d6).alias(f"{k}_rate") for k in ("open", "high", "low", "close")],
+        _fetched().alias("api_fetched_at"))
+
+
+def parse_fundamental_payloads(payloads: DataFrame) -> DataFrame:
+    """Fundamentals payload documents (schemas.FUNDAMENTALS_PAYLOAD) → bronze rows;
+    vendor symbols are mapped back to tickers."""
+    types = {f.name: f.dataType for f in schemas.BRONZE_FUNDAMENTALS.fields}
+    return payloads.select(
+        ticker_of(F.col("symbol")).alias("ticker"),
+        F.to_date(F.col("report_date")).alias("report_date"),
+        *[F.col(c).cast(types[c]).alias(c) for c in schemas.FUNDAMENTAL_COLUMNS],
+        _fetched().alias("api_fetched_at"))
 
 
 def newer_than_stored(stored: DataFrame, arriving: DataFrame, key: str = "ticker",

@@ -187,3 +187,16 @@ def test_refresh_all_sp_variant(spark, tmp_dir):
     n = perf.count()
     assert 0 < n <= 25 and cur.count() == n and div.count() == n
     assert perf.where("ticker IS NULL").count() == 0
+
+
+def test_forex_and_fundamental_payload_files(spark, tmp_dir):
+    fx_dir, fund_dir = os.path.join(tmp_dir, "fx"), os.path.join(tmp_dir, "fund")
+    land(fx_dir, [{"symbol": "USD/INR", "fetched_at": "2025-01-03 00:00:00",
+                   "values": [{"datetime": "2025-01-02", "close": "85.123456"}]}])
+    land(fund_dir, [{"symbol": "VOW3.DE", "fetched_at": "2025-01-03 00:00:00", "market_cap": "1000",
+                     "pe_ratio": "4.5", "shares_outstanding": "10"}])
+    fx = I.parse_forex_payloads(spark.read.schema(schemas.FOREX_PAYLOAD).json(fx_dir)).first()
+    assert (fx.currency_pair, fx.trade_date, fx.close_rate, fx.open_rate) == \
+        ("USD/INR", dt.date(2025, 1, 2), D("85.123456"), None)
+    fu = I.parse_fundamental_payloads(spark.read.schema(schemas.FUNDAMENTALS_PAYLOAD).json(fund_dir)).first()
+    assert (fu.ticker, fu.market_cap, fu.pe_ratio, fu.revenue) == ("VOW", 1000, D("4.5000"), None)
