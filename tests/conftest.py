@@ -12,7 +12,8 @@ from quantleaf.session import get_spark  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[4]", app="quantleaf-tests", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="quantleaf-test-ckpt-")})
+                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="quantleaf-test-ckpt-"),
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="quantleaf-test-wh-")})
     yield s
     s.stop()
 

@@ -200,3 +200,15 @@ def test_forex_and_fundamental_payload_files(spark, tmp_dir):
         ("USD/INR", dt.date(2025, 1, 2), D("85.123456"), None)
     fu = I.parse_fundamental_payloads(spark.read.schema(schemas.FUNDAMENTALS_PAYLOAD).json(fund_dir)).first()
     assert (fu.ticker, fu.market_cap, fu.pe_ratio, fu.revenue) == ("VOW", 1000, D("4.5000"), None)
+
+
+def test_refresh_into_catalog_tables(spark):
+    """The refresh writes catalog tables (CTAS-style saveAsTable) when given database names."""
+    from quantleaf.plans import refresh as P
+    from quantleaf.sources import proxy
+    spark.sql("CREATE DATABASE IF NOT EXISTS ql_silver")
+    spark.sql("CREATE DATABASE IF NOT EXISTS ql_gold")
+    paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), "ql_silver", gold_dir="ql_gold")
+    assert paths["gold_stock_performance"] == "ql_gold.gold_stock_performance"
+    assert spark.table("ql_gold.gold_stock_performance").count() == 25
+    assert spark.table("ql_silver.silver_calendar").count() > 0
