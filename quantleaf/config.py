@@ -55,6 +55,16 @@ class EngineConfig:
     # currency code, matched FX pair, best category of the best stock, raw-value buckets).
     reference_variant: str = "dbt"
 
+    def __post_init__(self) -> None:
+        if self.fx_policy not in ("exact_or_one", "asof", "null"):
+            raise ValueError(f"fx_policy must be 'exact_or_one', 'asof' or 'null', not {self.fx_policy!r}")
+        if self.reference_variant not in ("dbt", "sp"):
+            raise ValueError(f"reference_variant must be 'dbt' or 'sp', not {self.reference_variant!r}")
+        if self.window_days <= 0 or self.lookback_months <= 0 or self.bucket_days <= 0:
+            raise ValueError("window_days, lookback_months and bucket_days must be positive")
+        if any(d <= 0 for d in {**self.minor_units, **(self.minor_units_by_ticker or {})}.values()):
+            raise ValueError("minor-unit divisors must be positive")
+
     @property
     def sp(self) -> bool:
         return self.reference_variant == "sp"

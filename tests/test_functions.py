@@ -63,3 +63,12 @@ def test_null_correlation_label(spark):
 
 def test_try_dec_overflow_is_null(spark):
     assert one(spark, X.try_dec(F.lit(1e9))) is None
+
+
+def test_config_rejects_unknown_settings():
+    from quantleaf.config import EngineConfig
+    for bad in (dict(fx_policy="asoff"), dict(reference_variant="tsql"), dict(bucket_days=0),
+                dict(minor_units={"GBp": 0})):
+        with pytest.raises(ValueError):
+            EngineConfig(**bad)
+    assert EngineConfig(fx_policy="asof", reference_variant="sp").sp
