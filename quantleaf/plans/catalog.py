@@ -78,30 +78,30 @@ def layers(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None) ->
 # ----------------------------------------------------------------------------- oracle pieces
 
 _STATS_SQL = """
-cp AS (SELECT ticker, close_price, volume FROM (
+last_px AS (SELECT ticker, close_price, volume FROM (
          SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
          FROM silver_prices sp, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-yap AS (SELECT ticker, close_price AS year_ago_price, trade_date AS year_ago_date FROM (
+cut_px AS (SELECT ticker, close_price AS year_ago_price, trade_date AS year_ago_date FROM (
          SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
          FROM silver_prices sp, as_of WHERE trade_date <= CAST(as_of.d - INTERVAL 12 MONTH AS DATE)) x WHERE rn = 1),
-ep AS (SELECT ticker, close_price AS earliest_price, trade_date AS earliest_date FROM (
+first_px AS (SELECT ticker, close_price AS earliest_price, trade_date AS earliest_date FROM (
          SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date ASC) AS rn
          FROM silver_prices sp, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-w52 AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low
+range_52w AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low
         FROM silver_prices sp, as_of WHERE trade_date > as_of.d - 365 AND trade_date <= as_of.d GROUP BY ticker),
-vol AS (SELECT ticker, CAST(STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS DECIMAL(18,4)) AS volatility
+vol_52w AS (SELECT ticker, CAST(STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS DECIMAL(18,4)) AS volatility
         FROM silver_prices sp, as_of WHERE trade_date > as_of.d - 365 AND trade_date <= as_of.d
           AND daily_return_pct IS NOT NULL GROUP BY ticker),
 stats AS (
-  SELECT c.ticker, cp.close_price AS current_price, cp.volume AS latest_volume,
-         COALESCE(yap.year_ago_price, ep.earliest_price) AS base_price,
-         yap.year_ago_price, ep.earliest_price,
-         (CAST(cp.close_price AS DOUBLE) - CAST(COALESCE(yap.year_ago_price, ep.earliest_price) AS DOUBLE))
-           / NULLIF(CAST(COALESCE(yap.year_ago_price, ep.earliest_price) AS DOUBLE), 0) * 100 AS yoy_raw,
-         w52.week_52_high, w52.week_52_low, vol.volatility
-  FROM companies c LEFT JOIN cp ON c.ticker = cp.ticker LEFT JOIN yap ON c.ticker = yap.ticker
-  LEFT JOIN ep ON c.ticker = ep.ticker LEFT JOIN w52 ON c.ticker = w52.ticker
-  LEFT JOIN vol ON c.ticker = vol.ticker)"""
+  SELECT c.ticker, last_px.close_price AS current_price, last_px.volume AS latest_volume,
+         COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS base_price,
+         cut_px.year_ago_price, first_px.earliest_price,
+         (CAST(last_px.close_price AS DOUBLE) - CAST(COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS DOUBLE))
+           / NULLIF(CAST(COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS DOUBLE), 0) * 100 AS yoy_raw,
+         range_52w.week_52_high, range_52w.week_52_low, vol_52w.volatility
+  FROM companies c LEFT JOIN last_px ON c.ticker = last_px.ticker LEFT JOIN cut_px ON c.ticker = cut_px.ticker
+  LEFT JOIN first_px ON c.ticker = first_px.ticker LEFT JOIN range_52w ON c.ticker = range_52w.ticker
+  LEFT JOIN vol_52w ON c.ticker = vol_52w.ticker)"""
 
 _PERF_SQL = """
 perf AS (
@@ -117,22 +117,22 @@ perf AS (
   FROM companies c LEFT JOIN stats s ON c.ticker = s.ticker LEFT JOIN silver_fund f ON c.ticker = f.ticker)"""
 
 _FXS_SQL = """
-lf AS (SELECT currency_pair, close_rate AS end_rate FROM (
+fx_end AS (SELECT currency_pair, close_rate AS end_rate FROM (
          SELECT fx.*, ROW_NUMBER() OVER (PARTITION BY currency_pair ORDER BY trade_date DESC) AS rn
          FROM silver_forex fx, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-sf AS (SELECT currency_pair, close_rate AS start_rate FROM (
+fx_start AS (SELECT currency_pair, close_rate AS start_rate FROM (
          SELECT fx.*, ROW_NUMBER() OVER (PARTITION BY currency_pair ORDER BY trade_date DESC) AS rn
          FROM silver_forex fx, as_of WHERE trade_date <= CAST(as_of.d - INTERVAL 12 MONTH AS DATE)) x WHERE rn = 1)"""
 
 _CUR_SQL = """
 cur_base AS (
-  SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency, cm.forex_pair,
+  SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency, cmap.forex_pair,
          CAST(s.yoy_raw AS DECIMAL(18,4)) AS return_local_pct,
-         CASE WHEN cm.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE sf.start_rate END AS s_rate,
-         CASE WHEN cm.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE lf.end_rate END AS e_rate
-  FROM companies c LEFT JOIN currency_map cm ON c.currency = cm.currency_code
+         CASE WHEN cmap.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_start.start_rate END AS s_rate,
+         CASE WHEN cmap.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_end.end_rate END AS e_rate
+  FROM companies c LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
   LEFT JOIN stats s ON c.ticker = s.ticker
-  LEFT JOIN lf ON cm.forex_pair = lf.currency_pair LEFT JOIN sf ON cm.forex_pair = sf.currency_pair),
+  LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair LEFT JOIN fx_start ON cmap.forex_pair = fx_start.currency_pair),
 cur AS (
   SELECT ticker, company_name, category, region, original_currency, return_local_pct,
          CAST(s_rate AS DECIMAL(18,6)) AS inr_start_rate, CAST(e_rate AS DECIMAL(18,6)) AS inr_end_rate,
@@ -155,12 +155,12 @@ daily AS (
          TRY_CAST(forex_rate AS DECIMAL(10,2)) AS forex_rate,
          forex_pair AS currency_pair
   FROM (SELECT *, CAST(LAG(close_inr) OVER (PARTITION BY ticker ORDER BY trade_date) AS DOUBLE) AS prev_inr
-        FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair,
+        FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair,
                      COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS forex_rate,
                      CAST(sp.close_price AS DECIMAL(28,4)) * COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS close_inr
               FROM silver_prices sp JOIN companies c ON sp.ticker = c.ticker
-              JOIN currency_map cm ON c.currency = cm.currency_code
-              LEFT JOIN silver_forex fx ON cm.forex_pair = fx.currency_pair AND sp.trade_date = fx.trade_date) b) z)"""
+              JOIN currency_map cmap ON c.currency = cmap.currency_code
+              LEFT JOIN silver_forex fx ON cmap.forex_pair = fx.currency_pair AND sp.trade_date = fx.trade_date) b) z)"""
 
 _GOLD_BASE = ["bronze_prices", "companies", "currency_map", "bronze_forex", "bronze_fund",
               "silver_prices", "silver_forex", "silver_fund", "as_of"]
@@ -266,19 +266,19 @@ def q_gold_currency_adjusted_returns(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 _REGION_TAIL = f"""
-, rs AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')},
+, region_stats AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')},
                 {avg_dec('volatility', 4, 'avg_volatility')}, {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')},
                 CAST(COUNT(*) AS INTEGER) AS stock_count
          FROM perf GROUP BY region),
-bc AS (SELECT region, category FROM (
+top_cat AS (SELECT region, category FROM (
          SELECT region, category, ROW_NUMBER() OVER (PARTITION BY region ORDER BY cat_return DESC NULLS LAST, category) AS rn,
                 cat_return
          FROM (SELECT region, category, AVG(yoy_return_pct) AS cat_return FROM perf GROUP BY region, category) a) b
        WHERE rn = 1 AND cat_return IS NOT NULL),
-ci AS (SELECT region, {avg_dec('currency_impact_pct', 4, 'avg_ci')} FROM cur GROUP BY region)
-SELECT rs.region, rs.avg_yoy_return_pct, rs.avg_volatility, rs.avg_sharpe_ratio, rs.stock_count,
-       bc.category AS best_category, COALESCE(ci.avg_ci, CAST(0 AS DECIMAL(18,4))) AS avg_currency_impact_pct
-FROM rs LEFT JOIN bc ON rs.region = bc.region LEFT JOIN ci ON rs.region = ci.region"""
+impact_avg AS (SELECT region, {avg_dec('currency_impact_pct', 4, 'avg_ci')} FROM cur GROUP BY region)
+SELECT region_stats.region, region_stats.avg_yoy_return_pct, region_stats.avg_volatility, region_stats.avg_sharpe_ratio, region_stats.stock_count,
+       top_cat.category AS best_category, COALESCE(impact_avg.avg_ci, CAST(0 AS DECIMAL(18,4))) AS avg_currency_impact_pct
+FROM region_stats LEFT JOIN top_cat ON region_stats.region = top_cat.region LEFT JOIN impact_avg ON region_stats.region = impact_avg.region"""
 
 
 # The region oracle appends its own CTEs after the shared ones.
@@ -298,13 +298,13 @@ SELECT c.ticker, c.company_name, c.category, c.region,
             THEN CAST(f.dividend_per_share AS DOUBLE)
                  / NULLIF(CAST(f.net_profit AS DOUBLE) / NULLIF(CAST(f.shares_outstanding AS DOUBLE), 0), 0)
             END AS DECIMAL(18,4)) AS payout_ratio,
-       CAST(COALESCE(f.dividend_per_share, CAST(0 AS DECIMAL(18,4))) * COALESCE(lf.end_rate, CAST(1 AS DECIMAL(18,6)))
+       CAST(COALESCE(f.dividend_per_share, CAST(0 AS DECIMAL(18,4))) * COALESCE(fx_end.end_rate, CAST(1 AS DECIMAL(18,6)))
             AS DECIMAL(18,4)) AS dividend_in_inr,
        (f.dividend_yield IS NOT NULL AND f.dividend_yield > 0) AS pays_dividend
 FROM companies c LEFT JOIN stats s ON c.ticker = s.ticker
 LEFT JOIN silver_fund f ON c.ticker = f.ticker
-LEFT JOIN currency_map cm ON c.currency = cm.currency_code
-LEFT JOIN lf ON cm.forex_pair = lf.currency_pair"""
+LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
+LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair"""
 
 
 @register("gold_dividend_analysis", _oracle(_GOLD_BASE, [_STATS_SQL, _FXS_SQL], _DIV_TAIL))
@@ -623,9 +623,9 @@ daily_asof AS (
   FROM (SELECT *, CAST(LAG(close_inr) OVER (PARTITION BY ticker ORDER BY trade_date) AS DOUBLE) AS prev_inr
         FROM (SELECT b.*, COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS forex_rate,
                      CAST(b.close_price AS DECIMAL(28,4)) * COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS close_inr
-              FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair
+              FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair
                     FROM silver_prices sp JOIN companies c ON sp.ticker = c.ticker
-                    JOIN currency_map cm ON c.currency = cm.currency_code) b
+                    JOIN currency_map cmap ON c.currency = cmap.currency_code) b
               ASOF LEFT JOIN silver_forex fx
                 ON b.forex_pair = fx.currency_pair AND b.trade_date >= fx.trade_date) j) z)"""
 
@@ -879,8 +879,8 @@ def q_pair_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("short_history_check", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], """
-SELECT s.ticker, ep.earliest_date, p.yoy_return_pct, p.yoy_return_pct IS NOT NULL AS has_return
-FROM stats s JOIN perf p ON s.ticker = p.ticker JOIN ep ON s.ticker = ep.ticker
+SELECT s.ticker, first_px.earliest_date, p.yoy_return_pct, p.yoy_return_pct IS NOT NULL AS has_return
+FROM stats s JOIN perf p ON s.ticker = p.ticker JOIN first_px ON s.ticker = first_px.ticker
 WHERE s.year_ago_price IS NULL"""))
 def q_short_history_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short-history tickers still get a return."""
@@ -898,7 +898,7 @@ def _sp_gold(spark: SparkSession, sf_dir: str) -> P.GoldInputs:
 
 
 _PERF_SP_SQL = """
-sfw AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low,
+window_stats AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low,
                STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS vol_raw
         FROM silver_prices sp, as_of
         WHERE trade_date > CAST(as_of.d - INTERVAL 12 MONTH AS DATE) AND trade_date <= as_of.d GROUP BY ticker),
@@ -911,18 +911,18 @@ perf_sp AS (
          CAST(w.vol_raw AS DECIMAL(18,4)) AS volatility,
          CAST((s.yoy_raw - 0.0) / NULLIF(w.vol_raw, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
          f.pe_ratio, f.market_cap, f.roe, f.debt_to_equity, f.dividend_yield
-  FROM companies c JOIN stats s ON c.ticker = s.ticker JOIN sfw w ON c.ticker = w.ticker
+  FROM companies c JOIN stats s ON c.ticker = s.ticker JOIN window_stats w ON c.ticker = w.ticker
   JOIN silver_fund f ON c.ticker = f.ticker)"""
 
 _CUR_SP_SQL = """
 cur_sp_base AS (
   SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency,
          p.yoy_return_pct AS return_local_pct, c.currency = 'INR' AS home,
-         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE sf.start_rate END AS s_rate,
-         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE lf.end_rate END AS e_rate
+         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_start.start_rate END AS s_rate,
+         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_end.end_rate END AS e_rate
   FROM companies c JOIN perf_sp p ON c.ticker = p.ticker
-  LEFT JOIN currency_map cm ON c.currency = cm.currency_code
-  LEFT JOIN lf ON cm.forex_pair = lf.currency_pair LEFT JOIN sf ON cm.forex_pair = sf.currency_pair),
+  LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
+  LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair LEFT JOIN fx_start ON cmap.forex_pair = fx_start.currency_pair),
 cur_sp AS (
   SELECT ticker, company_name, category, region, original_currency, return_local_pct,
          CAST(s_rate AS DECIMAL(18,6)) AS inr_start_rate, CAST(e_rate AS DECIMAL(18,6)) AS inr_end_rate,
@@ -963,14 +963,14 @@ def q_gold_category_performance_sp(spark: SparkSession, sf_dir: str) -> DataFram
 
 _REGION_SP_TAIL = f"""
 , j AS (SELECT p.*, cu.currency_impact_pct FROM perf_sp p JOIN cur_sp cu ON p.ticker = cu.ticker),
-bc AS (SELECT region, category FROM (
+top_cat AS (SELECT region, category FROM (
          SELECT region, category,
                 ROW_NUMBER() OVER (PARTITION BY region ORDER BY yoy_return_pct DESC NULLS LAST, category) AS rn
          FROM perf_sp) b WHERE rn = 1)
 SELECT j.region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')},
        {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')}, CAST(COUNT(j.ticker) AS INTEGER) AS stock_count,
-       bc.category AS best_category, {avg_dec('currency_impact_pct', 4, 'avg_currency_impact_pct')}
-FROM j JOIN bc ON j.region = bc.region GROUP BY j.region, bc.category"""
+       top_cat.category AS best_category, {avg_dec('currency_impact_pct', 4, 'avg_currency_impact_pct')}
+FROM j JOIN top_cat ON j.region = top_cat.region GROUP BY j.region, top_cat.category"""
 
 
 @register("gold_region_performance_sp",
@@ -989,12 +989,12 @@ SELECT c.ticker, c.company_name, c.category, c.region,
        CAST(CAST(f.dividend_per_share AS DOUBLE)
             / NULLIF(CAST(f.net_profit // NULLIF(f.shares_outstanding, 0) AS DOUBLE), 0) AS DECIMAL(18,4)) AS payout_ratio,
        CAST(CASE WHEN c.currency = 'INR' THEN CAST(f.dividend_per_share AS DECIMAL(38,10))
-                 ELSE CAST(f.dividend_per_share AS DECIMAL(28,4)) * lf.end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
+                 ELSE CAST(f.dividend_per_share AS DECIMAL(28,4)) * fx_end.end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
        f.dividend_yield IS NOT NULL AS pays_dividend
 FROM companies c JOIN perf_sp p ON c.ticker = p.ticker JOIN silver_fund f ON c.ticker = f.ticker
 LEFT JOIN stats s ON c.ticker = s.ticker
-LEFT JOIN currency_map cm ON c.currency = cm.currency_code
-LEFT JOIN lf ON cm.forex_pair = lf.currency_pair"""
+LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
+LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair"""
 
 
 @register("gold_dividend_analysis_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL], _DIV_SP_TAIL))
@@ -1024,8 +1024,8 @@ def q_gold_correlation_matrix_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DAILY_SP_SQL = _DAILY_SQL.replace("forex_pair AS currency_pair", "matched_pair AS currency_pair").replace(
-    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair,",
-    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cm.forex_pair, "
+    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair,",
+    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair, "
     "fx.currency_pair AS matched_pair,")
 
 
