@@ -208,8 +208,8 @@ def region_performance(perf: DataFrame, cur: DataFrame, cfg: EngineConfig | None
                   X.to_dec(F.avg("volatility")).alias("avg_volatility"),
                   X.to_dec(F.avg("sharpe_ratio")).alias("avg_sharpe_ratio"),
                   F.count(F.lit(1)).cast("int").alias("stock_count")))
-    best = (perf.groupBy("region", "category").agg(F.avg("yoy_return_pct").alias("cat_return"))
-            .groupBy("region").agg(_best("category", "cat_return").alias("best_category")))
+    best = (perf.groupBy("region", "category").agg(F.avg("yoy_return_pct").alias("category_avg"))
+            .groupBy("region").agg(_best("category", "category_avg").alias("best_category")))
     impact = cur.groupBy("region").agg(X.to_dec(F.avg("currency_impact_pct")).alias("_ci"))
     return (stats.join(best, "region", "left").join(impact, "region", "left")
             .select("region", "avg_yoy_return_pct", "avg_volatility", "avg_sharpe_ratio", "stock_count",

@@ -241,13 +241,13 @@ _CAT_TAIL = f"""
 SELECT category,
        {avg_dec('yoy_return_pct', 4, 'average_yoy_return_pct')},
        {avg_dec('volatility', 4, 'avg_volatility')},
-       MAX(CASE WHEN best_rn = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS best_stock,
-       MAX(CASE WHEN worst_rn = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS worst_stock,
+       MAX(CASE WHEN hi_rank = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS best_stock,
+       MAX(CASE WHEN lo_rank = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS worst_stock,
        {avg_dec('pe_ratio', 4, 'avg_pe_ratio')},
        CAST(SUM(market_cap) AS BIGINT) AS total_market_cap,
        {avg_dec('dividend_yield', 6, 'avg_dividend_yield')}
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct DESC NULLS LAST, ticker) AS best_rn,
-                ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct ASC NULLS LAST, ticker) AS worst_rn
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct DESC NULLS LAST, ticker) AS hi_rank,
+                ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct ASC NULLS LAST, ticker) AS lo_rank
       FROM perf) r
 GROUP BY category"""
 
@@ -266,19 +266,19 @@ def q_gold_currency_adjusted_returns(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 _REGION_TAIL = f"""
-, region_stats AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')},
+, per_region AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')},
                 {avg_dec('volatility', 4, 'avg_volatility')}, {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')},
                 CAST(COUNT(*) AS INTEGER) AS stock_count
          FROM perf GROUP BY region),
 top_cat AS (SELECT region, category FROM (
-         SELECT region, category, ROW_NUMBER() OVER (PARTITION BY region ORDER BY cat_return DESC NULLS LAST, category) AS rn,
-                cat_return
-         FROM (SELECT region, category, AVG(yoy_return_pct) AS cat_return FROM perf GROUP BY region, category) a) b
-       WHERE rn = 1 AND cat_return IS NOT NULL),
+         SELECT region, category, ROW_NUMBER() OVER (PARTITION BY region ORDER BY category_avg DESC NULLS LAST, category) AS rn,
+                category_avg
+         FROM (SELECT region, category, AVG(yoy_return_pct) AS category_avg FROM perf GROUP BY region, category) a) b
+       WHERE rn = 1 AND category_avg IS NOT NULL),
 impact_avg AS (SELECT region, {avg_dec('currency_impact_pct', 4, 'avg_ci')} FROM cur GROUP BY region)
-SELECT region_stats.region, region_stats.avg_yoy_return_pct, region_stats.avg_volatility, region_stats.avg_sharpe_ratio, region_stats.stock_count,
+SELECT per_region.region, per_region.avg_yoy_return_pct, per_region.avg_volatility, per_region.avg_sharpe_ratio, per_region.stock_count,
        top_cat.category AS best_category, COALESCE(impact_avg.avg_ci, CAST(0 AS DECIMAL(18,4))) AS avg_currency_impact_pct
-FROM region_stats LEFT JOIN top_cat ON region_stats.region = top_cat.region LEFT JOIN impact_avg ON region_stats.region = impact_avg.region"""
+FROM per_region LEFT JOIN top_cat ON per_region.region = top_cat.region LEFT JOIN impact_avg ON per_region.region = impact_avg.region"""
 
 
 # The region oracle appends its own CTEs after the shared ones.
