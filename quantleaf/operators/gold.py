@@ -238,8 +238,9 @@ def dividend_analysis(stats: DataFrame, fundamentals: DataFrame, fxs: DataFrame,
     np_, sh, dps = F.col("net_profit"), F.col("shares_outstanding"), F.col("dividend_per_share")
     dy = F.col("dividend_yield")
     if sp:
-        eps = F.expr("net_profit div nullif(shares_outstanding, 0)")
-        payout = X.safe_div(dps, eps)
+        # BIGINT/BIGINT EPS (truncated), then an exact decimal quotient as in the procedures
+        eps = F.expr("net_profit div nullif(shares_outstanding, 0)").cast("decimal(20,0)")
+        payout = dps / F.nullif(eps, F.lit(0).cast("decimal(20,0)"))
         home = F.col("currency") == F.lit(cfg.home_currency)
         inr = F.when(home, dps).otherwise(dps * F.col("end_rate"))
         pays = dy.isNotNull()

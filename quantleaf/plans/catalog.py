@@ -986,8 +986,12 @@ SELECT c.ticker, c.company_name, c.category, c.region,
        CAST(s.current_price AS DECIMAL(18,4)) AS stock_price,
        CAST(f.dividend_per_share AS DECIMAL(18,4)) AS annual_dividend,
        CAST(f.dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
-       CAST(CAST(f.dividend_per_share AS DOUBLE)
-            / NULLIF(CAST(f.net_profit // NULLIF(f.shares_outstanding, 0) AS DOUBLE), 0) AS DECIMAL(18,4)) AS payout_ratio,
+       -- exact DPS / integer EPS, rounded half away from zero to 4 dp (integer arithmetic)
+       CASE WHEN f.net_profit // NULLIF(f.shares_outstanding, 0) = 0 THEN NULL ELSE CAST(CAST(
+         SIGN(CAST(f.dividend_per_share * 10000 AS HUGEINT)) * SIGN(f.net_profit // NULLIF(f.shares_outstanding, 0))
+         * ((2 * ABS(CAST(f.dividend_per_share * 10000 AS HUGEINT)) + ABS(f.net_profit // NULLIF(f.shares_outstanding, 0)))
+            // (2 * ABS(f.net_profit // NULLIF(f.shares_outstanding, 0))))
+         AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) END AS payout_ratio,
        CAST(CASE WHEN c.currency = 'INR' THEN CAST(f.dividend_per_share AS DECIMAL(38,10))
                  ELSE CAST(f.dividend_per_share AS DECIMAL(28,4)) * fx_end.end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
        f.dividend_yield IS NOT NULL AS pays_dividend
