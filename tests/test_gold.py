@@ -221,3 +221,13 @@ def test_period_grains(world):
     assert q[(20252, "A")].local_return_pct is not None
     y = {(r.period, r.ticker): r for r in M.period_returns(daily, "year").collect()}
     assert y[(2024, "A")].local_return_pct == D("120.0000")   # 50 → 110
+
+
+def test_sp_payout_exact_tie_rounds_half_up(spark, world):
+    """9.979 / 4 = 2.49475 exactly: the decimal quotient rounds half up (a double would not)."""
+    w = world
+    sp = replace(w["cfg"], reference_variant="sp")
+    fund = spark.createDataFrame(
+        [("A", None, 1, None, None, D("0.01"), D("9.979"), None, 400, None, None, None, 100, True)], FUND)
+    div = by_ticker(G.dividend_analysis(w["stats"], fund, w["fxs"], w["companies"], w["cmap"], sp))
+    assert div["A"].payout_ratio == D("2.4948")
