@@ -58,3 +58,17 @@ def test_gram_correlation_is_self_join(spark, seed, blocks, chunk):
            correlation_matrix(df, companies(spark, tickers),
                               EngineConfig(corr_blocks=blocks, corr_chunk_days=chunk)).collect()}
     assert got == brute_force(rows)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 3), st.integers(0, 5),
+                               st.integers(0, 1000), st.integers(-99, 99)), min_size=1, max_size=150))
+def test_latest_by_key_is_last_by_order_tuple(spark, rows):
+    from quantleaf.operators.windows import latest_by_key
+    uniq = {(k, d, f, t): v for k, d, f, t, v in rows}          # the order tuple is unique per key
+    data = [(k, d, f, t, v) for (k, d, f, t), v in uniq.items()]
+    df = spark.createDataFrame(data, "k string, d int, fetch int, tie int, v int")
+    got = {(r.k, r.d): r.v for r in latest_by_key(df, ["k", "d"], ["fetch", "tie"], ["v"]).collect()}
+    pdf = pd.DataFrame(data, columns=["k", "d", "fetch", "tie", "v"]).sort_values(["fetch", "tie"])
+    want = {key: g["v"].iloc[-1] for key, g in pdf.groupby(["k", "d"])}
+    assert got == want
