@@ -231,3 +231,20 @@ def test_sp_payout_exact_tie_rounds_half_up(spark, world):
         [("A", None, 1, None, None, D("0.01"), D("9.979"), None, 400, None, None, None, 100, True)], FUND)
     div = by_ticker(G.dividend_analysis(w["stats"], fund, w["fxs"], w["companies"], w["cmap"], sp))
     assert div["A"].payout_ratio == D("2.4948")
+
+
+def test_scenario_and_week52_measures(spark):
+    from quantleaf.operators import measures as M
+    rets = spark.createDataFrame([("A", D("10.0000")), ("B", D("-5.0000"))],
+                                 "ticker string, return_inr_pct decimal(18,4)")
+    g = {(r.ticker, r.amount, r.tax_rate): r for r in
+         M.scenario_returns(rets, amounts=(1000,), tax_rates=("0.2",)).collect()}
+    a = g[("A", D("1000.00"), D("0.2000"))]
+    assert (a.gross_gain, a.tax, a.net_gain, a.final_value) == (D("100.00"), D("20.00"), D("80.00"), D("1080.00"))
+    b = g[("B", D("1000.00"), D("0.2000"))]       # no tax on a loss
+    assert (b.gross_gain, b.tax, b.net_gain, b.final_value) == (D("-50.00"), D("0.00"), D("-50.00"), D("950.00"))
+    perf = spark.createDataFrame([("A", D("15"), D("10"), D("20")), ("B", D("5"), D("5"), D("5"))],
+                                 "ticker string, current_price decimal(18,4), week_52_low decimal(18,4), "
+                                 "week_52_high decimal(18,4)")
+    pos = {r.ticker: r.position_pct for r in M.week52_position(perf).collect()}
+    assert pos == {"A": D("50.0000"), "B": None}   # a zero range has no position
