@@ -248,3 +248,23 @@ def test_scenario_and_week52_measures(spark):
                                  "week_52_high decimal(18,4)")
     pos = {r.ticker: r.position_pct for r in M.week52_position(perf).collect()}
     assert pos == {"A": D("50.0000"), "B": None}   # a zero range has no position
+
+
+def test_category_period_measures(spark):
+    from quantleaf.operators import measures as M
+    day = lambda m, d: dt.date(2025, m, d)
+    rows = [("A", day(1, 2), D("10.00"), D("10.00"), D("1.00")), ("A", day(6, 2), D("12.00"), D("12.00"), D("3.00")),
+            ("B", day(1, 2), D("20.00"), D("20.00"), D("2.00")), ("B", day(6, 2), D("24.00"), D("24.00"), D("2.00")),
+            ("C", day(1, 2), D("5.00"), D("5.00"), None), ("C", day(6, 2), D("4.00"), D("4.00"), D("-20.00"))]
+    daily = spark.createDataFrame(rows, "ticker string, trade_date date, close_price decimal(10,2), "
+                                        "close_price_inr decimal(10,2), daily_return_local_pct decimal(10,2)")
+    comp = spark.createDataFrame([("A", "X"), ("B", "X"), ("C", "Y")], "ticker string, category string")
+    cat = {r.category: r for r in M.category_period_returns(daily, comp).collect()}
+    assert cat["X"].avg_local_return_pct == D("20.0000") and cat["X"].ticker_count == 2   # A +20 %, B +20 %
+    vol = {r.category: r.avg_volatility for r in M.category_period_volatility(daily, comp).collect()}
+    assert vol["X"] == D("0.5000")          # population stdev: A → 1.0, B → 0.0
+    bw = sorted((r.kind, r.ticker) for r in M.best_worst_stock(daily, comp).where("category = 'X'").collect())
+    assert bw == [("best", "A"), ("best", "B"), ("worst", "A"), ("worst", "B")]   # ties kept
+    fund = spark.createDataFrame([("A", D("0.6000"))], "ticker string, dividend_per_share decimal(18,4)")
+    y = M.dynamic_dividend_yield(daily, fund).first()
+    assert (y.last_close, y.dividend_yield_pct) == (D("12.00"), D("5.000000"))
