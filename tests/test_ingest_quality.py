@@ -212,3 +212,14 @@ def test_refresh_into_catalog_tables(spark):
     assert paths["gold_stock_performance"] == "ql_gold.gold_stock_performance"
     assert spark.table("ql_gold.gold_stock_performance").count() == 25
     assert spark.table("ql_silver.silver_calendar").count() > 0
+
+
+def test_pair_count_and_layer_listing(spark):
+    prices = spark.createDataFrame([("A", D(1)), ("B", D(2)), ("C", None), ("C", D(3))],
+                                   "ticker string, daily_return_pct decimal(18,4)")
+    corr = spark.createDataFrame([("A", "B"), ("A", "C")], "stock_1 string, stock_2 string")
+    r = Q.pair_count_check(corr, prices).first()
+    assert (r.n, r.pairs, r.expected_pairs, r.complete) == (3, 2, 3, False)
+    t = spark.createDataFrame([(1, "x")], "id int, name string")
+    lst = Q.layer_listing({"t": t}, {"t": "silver"}).first()
+    assert (lst.layer, lst.table_name, lst.row_count, lst.column_count, lst.columns) == ("silver", "t", 1, 2, "id, name")
