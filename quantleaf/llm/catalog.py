@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, mixing
+from . import line_rules, mixing, quality_qda, toxicity
 from .common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_qda": lambda s, d: quality_qda.op1_query(table(s, d, "documents"), table(s, d, "labels")),
+        "op6_toxicity": lambda s, d: toxicity.op6_query(table(s, d, "documents"), table(s, d, "labels")),
         "op7_line_rules": lambda s, d: line_rules.op7_query(table(s, d, "documents")),
         "op8_mix_sources": lambda s, d: mixing.op8_query(table(s, d, "documents")),
     }

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batch`` in slices of about ``limit`` text bytes (one row at least)."""
-    sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if i > start and total + n > limit:
