@@ -65,6 +65,33 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
+@lru_cache(maxsize=1)
+def _late_letters():
+    """Matches the characters that the regex module takes for letters or numbers and the tiktoken library, with
+    its older Unicode tables, does not; None if there are none."""
+    import regex
+    import tiktoken
+
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    late: set[str] = set()
+    for kind in (r"\p{L}", r"\p{N}"):
+        library = tiktoken.Encoding("kind", pat_str=kind, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        known = library.decode_bytes(library.encode_ordinary(every)).decode()
+        late |= set(regex.findall(kind, every)) - set(known)
+    return regex.compile("[" + "".join(map(regex.escape, sorted(late))) + "]") if late else None
+
+
+def split(text: str, pattern: str) -> list[str]:
+    """Matches of the pattern, as the tiktoken library would find them."""
+    late = None if text.isascii() or max(text) < "\u0500" else _late_letters()
+    if late is None or not late.search(text):
+        return _pattern(pattern).findall(text)
+    found = []              # matched with a private-use character in their place, cut from the text itself
+    for m in _pattern(pattern).finditer(late.sub("\ue000", text)):
+        found.append(text[m.start():m.end()])
+    return found
+
+
 def replay(words: list[bytes], path: str) -> list[list[int]]:
     """Ids of each word, by applying all merges to all words in rank order."""
     if not words:
@@ -140,7 +167,7 @@ def decode(ids: list[int], path: str) -> bytes:
 
 def _documents(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, finish_values, schema: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = make_blocks(rows, lambda text: _pattern(pattern).findall(text), bags=False)
+    blocks = make_blocks(rows, lambda text: split(text, pattern), bags=False)
 
     def finish(block: dict, starts: np.ndarray, values: np.ndarray) -> dict:
         ends = block["ends"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_rules, mixing, quality_qda, token_counts, toxicity
+from . import byte_bpe, line_rules, merkle, mixing, quality_qda, token_counts, toxicity
 from .common import table
 
 
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_qda": lambda s, d: quality_qda.op1_query(table(s, d, "documents"), table(s, d, "labels")),
         "op2_token_counts": lambda s, d: token_counts.op2_query(table(s, d, "documents")),
+        "op3_merkle": lambda s, d: merkle.op3_query(table(s, d, "documents")),
         "op6_toxicity": lambda s, d: toxicity.op6_query(table(s, d, "documents"), table(s, d, "labels")),
         "op7_line_rules": lambda s, d: line_rules.op7_query(table(s, d, "documents")),
         "op8_mix_sources": lambda s, d: mixing.op8_query(table(s, d, "documents")),
