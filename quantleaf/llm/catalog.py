@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_rules, merkle, mixing, quality_qda, token_counts, toxicity, wrappers
+from . import byte_bpe, line_rules, merkle, mixing, neardups, quality_qda, token_counts, toxicity, wrappers
 from .common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op10_neardups": lambda s, d: neardups.op10_query(table(s, d, "documents")),
         "op1_quality_qda": lambda s, d: quality_qda.op1_query(table(s, d, "documents"), table(s, d, "labels")),
         "op2_token_counts": lambda s, d: token_counts.op2_query(table(s, d, "documents")),
         "op3_merkle": lambda s, d: merkle.op3_query(table(s, d, "documents")),
