@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_rules, merkle, mixing, neardups, quality_qda, token_counts, toxicity, wrappers
+from . import byte_bpe, licenses, line_rules, merkle, mixing, neardups, quality_qda, token_counts, toxicity, wrappers
 from .common import table
 
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": lambda s, d: token_counts.op2_query(table(s, d, "documents")),
         "op3_merkle": lambda s, d: merkle.op3_query(table(s, d, "documents")),
         "op4_wrappers": lambda s, d: wrappers.op4_query(table(s, d, "pages")),
+        "op5_licenses": lambda s, d: licenses.op5_query(table(s, d, "documents")),
         "op6_toxicity": lambda s, d: toxicity.op6_query(table(s, d, "documents"), table(s, d, "labels")),
         "op7_line_rules": lambda s, d: line_rules.op7_query(table(s, d, "documents")),
         "op8_mix_sources": lambda s, d: mixing.op8_query(table(s, d, "documents")),

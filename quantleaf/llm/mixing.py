@@ -89,6 +89,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     (copies * F.col("size")).alias("taken"), *(["kept_columns"] if keep else []))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it."""
+    m = mix_sources(docs, keep=docs.columns, **options).where("copies > 0")
+    return m.select("kept_columns", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("kept_columns.*")
+
+
 def op8_query(docs: DataFrame) -> DataFrame:
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 

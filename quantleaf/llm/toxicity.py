@@ -95,7 +95,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
                .where(F.col("y").isin(0, 1) & (crc_mod(F.col("label_id"), modulus) != rest))
                .orderBy(F.xxhash64("label_id"), "label_id", "y").limit(max_rows))
     # Bounded: max_rows pairs of an id and a label.
-    rows = docs.join(F.broadcast(y), docs["doc_id"] == y["label_id"]).select("doc_id", "y", "text")
+    texts = docs.select("doc_id", "text")
+    rows = texts.join(F.broadcast(y), texts["doc_id"] == y["label_id"]).select("doc_id", "y", "text")
     # A text counts once for each label: groups of copies would make their words look significant.
     return (rows.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).groupBy("h", "y")
                 .agg(F.min_by(F.struct("doc_id", "text"), "doc_id").alias("r")).select("r.doc_id", "y", "r.text"))
