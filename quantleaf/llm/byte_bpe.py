@@ -212,15 +212,19 @@ def digest_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def digests(numbers, starts, values) -> dict:
         count = np.diff(starts)
-        ids = values.tolist()
         bounds = starts.tolist()
-        pieces = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        as_text = [" ".join(map(str, p)) for p in pieces]
-        as_bytes = [decode(p, path) for p in pieces]
-        listed = [d.tolist() for d in numbers]
-        return {"n_tokens": pa.array([int(count[d].sum()) for d in numbers], pa.int64()),
-                "ids_sha256": [hashlib.sha256(" ".join([as_text[k] for k in d]).encode()).hexdigest() for d in listed],
-                "decoded_sha256": [hashlib.sha256(b"".join([as_bytes[k] for k in d])).hexdigest() for d in listed]}
+        as_text, as_bytes = [], []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            ids = values[a:b].tolist()
+            as_text.append(" ".join(map(str, ids)))
+            as_bytes.append(decode(ids, path))
+        totals, ids_digests, byte_digests = [], [], []
+        for d in numbers:
+            words = d.tolist()          # one document's at a time: lists of all would take most of a worker's memory
+            totals.append(int(count[d].sum()))
+            ids_digests.append(hashlib.sha256(" ".join([as_text[k] for k in words]).encode()).hexdigest())
+            byte_digests.append(hashlib.sha256(b"".join([as_bytes[k] for k in words])).hexdigest())
+        return {"n_tokens": pa.array(totals, pa.int64()), "ids_sha256": ids_digests, "decoded_sha256": byte_digests}
 
     return _documents(docs, id_col, text_col, path, pattern or default_pattern(), digests,
                       "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -25,6 +25,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import scratch_dir, text_slices
 
@@ -40,12 +41,12 @@ def pack(values) -> bytes:
 
 def unpack(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def make_blocks(docs: DataFrame, split: Callable[[str], list[str]], bags: bool, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The table of blocks of ``docs`` (doc_id, text); ``bags``: distinct pre-tokens with frequencies instead of sequences."""
-    id_type = dict(docs.dtypes)["doc_id"]
+    id_type = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = 0
@@ -56,14 +57,13 @@ def make_blocks(docs: DataFrame, split: Callable[[str], list[str]], bags: bool,
             freq = np.concatenate(times) if times else np.zeros(0, np.uint32)
             key = (TaskContext.get().partitionId() << 32) + made
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([key], pa.int64()), "ids": pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
+                "block": pa.array([key], pa.int64()), "ids": pa.array([ids], pa.list_(to_arrow_type(id_type))),
                 "n_bytes": pa.array([sizes], pa.list_(pa.int64())), "ends": [pack(ends)], "numbers": [pack(flat)],
                 "times": [pack(freq)], "tokens": pa.array([list(place)], pa.list_(pa.string()))})
 
         for batch in batches:
             for part in text_slices(batch):
-                ids.append(part.column("doc_id"))
-                for text in part.column("text").to_pylist():
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
                     text = text or ""
                     found = split(text)
                     if bags:
@@ -71,18 +71,19 @@ def make_blocks(docs: DataFrame, split: Callable[[str], list[str]], bags: bool,
                         found = list(bag)
                         times.append(np.fromiter(bag.values(), np.uint32, len(bag)))
                     numbers.append(np.fromiter((place.setdefault(t, len(place)) for t in found), np.uint32, len(found)))
+                    ids.append(doc_id)
                     ends.append(ends[-1] + len(found))
                     sizes.append(len(text.encode()))
                     chars += len(text)
-                if chars >= block_chars:
-                    yield block()
-                    made += 1
-                    place, numbers, times, ids, sizes, ends, chars = {}, [], [], [], [], [0], 0
+                    if chars >= block_chars:
+                        yield block()
+                        made += 1
+                        place, numbers, times, ids, sizes, ends, chars = {}, [], [], [], [], [0], 0
         if ids:
             yield block()
 
     rows = docs.select("doc_id", "text").mapInArrow(
-        run, f"block long, ids array<{id_type}>, n_bytes array<long>, ends binary, numbers binary, times binary, tokens array<string>")
+        run, f"block long, ids array<{id_type.simpleString()}>, n_bytes array<long>, ends binary, numbers binary, times binary, tokens array<string>")
     spark = docs.sparkSession
     name = f"quantleaf_blocks_{uuid.uuid4().hex}"
     (rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").format("parquet")
@@ -151,19 +152,21 @@ def resolve(blocks: DataFrame, encoded: DataFrame, finish: Callable[[dict, np.nd
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 parts = row["parts"].as_py() or []
-                number = [np.cumsum(unpack(p["numbers"])) for p in parts]
-                length = [unpack(p["lengths"]) for p in parts]
+                number = [np.cumsum(unpack(p["numbers"]), dtype=np.int64) for p in parts]
+                length = [unpack(p["lengths"]).astype(np.int64) for p in parts]
                 size = 1 + max((int(k[-1]) for k in number), default=-1)
                 lengths = np.zeros(size, np.int64)
                 for k, n in zip(number, length, strict=True):
                     lengths[k] = n
                 starts = np.concatenate([[0], np.cumsum(lengths)])
-                values = np.zeros(int(starts[-1]), np.int64)
+                values = np.zeros(int(starts[-1]), np.uint32)
                 for k, n, p in zip(number, length, parts, strict=True):
                     place = np.repeat(starts[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     values[place] = unpack(p["values"])
                 block = {"ids": row["ids"].values, "n_bytes": row["n_bytes"].values.to_numpy(),
-                         **{c: unpack(row[c].as_py()) for c in ("ends", "numbers", "times")}}
+                         "ends": unpack(row["ends"].as_py()).astype(np.int64),
+                         **{c: unpack(row[c].as_py()) for c in ("numbers", "times")}}
+                row = parts = number = length = place = None
                 yield pa.RecordBatch.from_pydict(finish(block, starts, values))
 
     parts = encoded.groupBy("block").agg(F.collect_list(F.struct("numbers", "lengths", "values")).alias("parts"))

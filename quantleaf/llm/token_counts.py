@@ -65,7 +65,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     blocks = make_blocks(rows, split, bags=True)
 
     def finish(block: dict, starts: np.ndarray, values: np.ndarray) -> dict:
-        weighted = np.concatenate([[0], np.cumsum(values[block["numbers"]] * block["times"])])
+        weighted = np.concatenate([[0], np.cumsum(values[block["numbers"]].astype(np.int64) * block["times"])])
         return {"doc_id": block["ids"], "n_bytes": pa.array(block["n_bytes"]),
                 "n_tokens": pa.array(weighted[block["ends"][1:]] - weighted[block["ends"][:-1]])}
 
