@@ -10,8 +10,8 @@ the template's words that are matched. A license is found where a window of twic
 Windows that hold too few words of the template to reach the coverage are passed over, which loses nothing. The
 templates are a fixed table, sent to the tasks; texts are read once, without a shuffle.
 
-Defined results: a null or empty text has no license (coverage 0, empty list). Equal coverage: the longer template, then
-the smaller name comes first. Statements repeated in a text are listed each. Repeated rows and equal or null ids give
+Matches are listed by the number of matched words, then by coverage, name and place; of matches that overlap, only the first
+is. Defined results: a null or empty text has no license (coverage 0, empty list). Statements repeated in a text are listed each. Repeated rows and equal or null ids give
 one row each. An empty table gives no rows. Other columns of the input are not looked at.
 """
 
@@ -147,12 +147,13 @@ class Scanner:
                     if len(pairs) >= least:
                         first, last = places[i] + pairs[0][0], places[i] + pairs[-1][0] + 1
                         found.append({"license": name, "coverage": len(pairs) / len(template), "first_word": first, "end_word": last,
-                                      "words": len(template)})
-                        i = bisect_left(places, last)
-                        continue
-                i += 1
-        found.sort(key=lambda f: (-f["coverage"], -f["words"], f["license"], f["first_word"]))
-        kept: list[dict] = []       # of matches that overlap, the best one
+                                      "words": len(pairs)})
+                        if len(pairs) == len(template):
+                            i = bisect_left(places, last)
+                            continue
+                i += 1          # a later start may match more of the same statement
+        found.sort(key=lambda f: (-f["words"], -f["coverage"], f["license"], f["first_word"]))
+        kept: list[dict] = []       # of matches that overlap, the one with the most matched words
         for f in found:
             if all(f["end_word"] <= g["first_word"] or g["end_word"] <= f["first_word"] for g in kept):
                 kept.append(f)

@@ -49,10 +49,11 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> li
     """Sorted distinct shingle hashes of each text, words with A-Z in lower case."""
     words = Words(raw, offsets, lower=True)
     h, sets = words.hash, []
+    windows = max(len(h) - width + 1, 0)
     with np.errstate(over="ignore"):
-        rolled = np.zeros(max(len(h) - width + 1, 0), _U)
-        for k in range(width):
-            rolled = mix64(rolled * _U(0x9E3779B97F4A7C15) + h[k:len(h) - width + 1 + k])
+        rolled = np.zeros(windows, _U)
+        for k in range(width if windows else 0):
+            rolled = mix64(rolled * _U(0x9E3779B97F4A7C15) + h[k:k + windows])
         for first, n in zip(words.first.tolist(), words.count.tolist(), strict=True):
             if n >= width:
                 sets.append(np.unique(rolled[first:first + n - width + 1]))
