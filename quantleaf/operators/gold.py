@@ -69,7 +69,7 @@ def fx_stats(fx: DataFrame, as_of: dt.date, cfg: EngineConfig) -> DataFrame:
 
 def ticker_pairs(companies: DataFrame, currency_map: DataFrame) -> DataFrame:
     """ticker → home-currency FX pair (NULL for home-currency tickers)."""
-    cm = F.broadcast(currency_map.select("currency_code", "forex_pair"))  # fixed-size seed
+    cm = currency_map.select("currency_code", "forex_pair")
     return (companies.join(cm, companies.currency == cm.currency_code, "left")
             .select(companies["*"], cm.forex_pair))
 
@@ -286,16 +286,21 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
 
     ``cfg.fx_policy``: 'exact_or_one' (a missing rate counts as 1, as the
     reference), 'asof' (last known rate, needs ``fx_dense`` from ``densify_fx``),
-    'null' (missing rate → NULL home-currency values).
+    'null' (missing rate → NULL home-currency values). Under the last two, rows before a pair's first quote have no
+    home-currency value, and only home-currency rows have rate 1. A value beyond DECIMAL(10,2) fails (ANSI casts).
     """
-    cm = F.broadcast(currency_map.select("currency_code", "forex_pair"))  # fixed-size seed
+    cm = currency_map.select("currency_code", "forex_pair")
     tp = companies.select("ticker", "currency").join(cm, F.col("currency") == cm.currency_code, "inner")
     p = prices.select("ticker", "trade_date", "close_price", "daily_return_pct").join(
         tp.select("ticker", "forex_pair"), "ticker", "inner")
     src = fx_dense if (cfg.fx_policy == "asof" and fx_dense is not None) else fx
     r = src.select(F.col("currency_pair").alias("forex_pair"), "trade_date", F.col("close_rate").alias("_rate"))
     j = p.join(r, ["forex_pair", "trade_date"], "left")
-    rate = F.col("_rate") if cfg.fx_policy == "null" else F.coalesce(F.col("_rate"), F.lit(1).cast("decimal(18,6)"))
+    one = F.lit(1).cast("decimal(18,6)")
+    if cfg.fx_policy == "exact_or_one":
+        rate = F.coalesce(F.col("_rate"), one)
+    else:       # only the home currency has rate 1; a pair without a (known) quote has none
+        rate = F.when(F.col("forex_pair").isNull(), one).otherwise(F.col("_rate"))
     j = (j.withColumn("forex_rate", rate)
          .withColumn("close_inr", F.col("close_price") * F.col("forex_rate"))
          # the return runs in double; lagging the double keeps the bucket tails a hash aggregate
@@ -303,10 +308,10 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
     lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr_d"], cfg.bucket_days)
     return lagged.select(
         "ticker", "trade_date",
-        X.try_dec("close_price").alias("close_price"),
-        X.try_dec("close_inr").alias("close_price_inr"),
-        X.try_dec("daily_return_pct").alias("daily_return_local_pct"),
-        X.try_dec(X.pct_change("close_inr_d", "prev_close_inr_d")).alias("daily_return_inr_pct"),
-        X.try_dec("forex_rate").alias("forex_rate"),
+        X.to_dec("close_price", 10, 2).alias("close_price"),
+        X.to_dec("close_inr", 10, 2).alias("close_price_inr"),
+        X.to_dec("daily_return_pct", 10, 2).alias("daily_return_local_pct"),
+        X.to_dec(X.pct_change("close_inr_d", "prev_close_inr_d"), 10, 2).alias("daily_return_inr_pct"),
+        X.to_dec("forex_rate", 10, 2).alias("forex_rate"),
         (F.when(F.col("_rate").isNotNull(), F.col("forex_pair")) if cfg.sp
          else F.col("forex_pair")).alias("currency_pair"))

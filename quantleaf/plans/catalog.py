@@ -77,90 +77,83 @@ def layers(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None) ->
 
 # ----------------------------------------------------------------------------- oracle pieces
 
+# One grouped pass per ticker: picks by arg_max / arg_min, windows by FILTER (both variants' windows at once).
 _STATS_SQL = """
-last_px AS (SELECT ticker, close_price, volume FROM (
-         SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
-         FROM silver_prices sp, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-cut_px AS (SELECT ticker, close_price AS year_ago_price, trade_date AS year_ago_date FROM (
-         SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date DESC) AS rn
-         FROM silver_prices sp, as_of WHERE trade_date <= CAST(as_of.d - INTERVAL 12 MONTH AS DATE)) x WHERE rn = 1),
-first_px AS (SELECT ticker, close_price AS earliest_price, trade_date AS earliest_date FROM (
-         SELECT sp.*, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trade_date ASC) AS rn
-         FROM silver_prices sp, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-range_52w AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low
-        FROM silver_prices sp, as_of WHERE trade_date > as_of.d - 365 AND trade_date <= as_of.d GROUP BY ticker),
-vol_52w AS (SELECT ticker, CAST(STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS DECIMAL(18,4)) AS volatility
-        FROM silver_prices sp, as_of WHERE trade_date > as_of.d - 365 AND trade_date <= as_of.d
-          AND daily_return_pct IS NOT NULL GROUP BY ticker),
+known AS (SELECT p.*, d AS as_of_date, CAST(d - INTERVAL 12 MONTH AS DATE) AS cut, CAST(daily_return_pct AS DOUBLE) AS ret
+          FROM silver_prices p CROSS JOIN as_of WHERE trade_date <= d),
+picks AS (
+  SELECT ticker, arg_max(close_price, trade_date) AS current_price, arg_max(volume, trade_date) AS latest_volume,
+         arg_max(close_price, trade_date) FILTER (trade_date <= cut) AS year_ago_price,
+         arg_min(close_price, trade_date) AS earliest_price, min(trade_date) AS earliest_date,
+         max(high_price) FILTER (trade_date > as_of_date - 365) AS week_52_high,
+         min(low_price) FILTER (trade_date > as_of_date - 365) AS week_52_low,
+         CAST(stddev_samp(ret) FILTER (trade_date > as_of_date - 365) AS DECIMAL(18,4)) AS volatility,
+         max(high_price) FILTER (trade_date > cut) AS year_high, min(low_price) FILTER (trade_date > cut) AS year_low,
+         stddev_samp(ret) FILTER (trade_date > cut) AS year_deviation, count(*) FILTER (trade_date > cut) AS year_rows
+  FROM known GROUP BY ticker),
 stats AS (
-  SELECT c.ticker, last_px.close_price AS current_price, last_px.volume AS latest_volume,
-         COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS base_price,
-         cut_px.year_ago_price, first_px.earliest_price,
-         (CAST(last_px.close_price AS DOUBLE) - CAST(COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS DOUBLE))
-           / NULLIF(CAST(COALESCE(cut_px.year_ago_price, first_px.earliest_price) AS DOUBLE), 0) * 100 AS yoy_raw,
-         range_52w.week_52_high, range_52w.week_52_low, vol_52w.volatility
-  FROM companies c LEFT JOIN last_px ON c.ticker = last_px.ticker LEFT JOIN cut_px ON c.ticker = cut_px.ticker
-  LEFT JOIN first_px ON c.ticker = first_px.ticker LEFT JOIN range_52w ON c.ticker = range_52w.ticker
-  LEFT JOIN vol_52w ON c.ticker = vol_52w.ticker)"""
+  SELECT companies.ticker, picks.* EXCLUDE (ticker), coalesce(year_ago_price, earliest_price) AS base_price,
+         (CAST(current_price AS DOUBLE) - CAST(coalesce(year_ago_price, earliest_price) AS DOUBLE))
+           / NULLIF(CAST(coalesce(year_ago_price, earliest_price) AS DOUBLE), 0) * 100 AS yoy_raw
+  FROM companies LEFT JOIN picks USING (ticker))"""
 
 _PERF_SQL = """
 perf AS (
-  SELECT c.ticker, c.company_name, c.category, c.region, c.currency,
-         CAST(s.current_price AS DECIMAL(18,4)) AS current_price,
-         CAST(s.yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct,
-         CAST(s.week_52_high AS DECIMAL(18,4)) AS week_52_high,
-         CAST(s.week_52_low AS DECIMAL(18,4)) AS week_52_low,
-         s.volatility,
-         CAST(CASE WHEN s.volatility IS NULL OR s.volatility = 0 THEN NULL
-                   ELSE (s.yoy_raw - 0.0) / CAST(s.volatility AS DOUBLE) END AS DECIMAL(18,4)) AS sharpe_ratio,
-         f.pe_ratio, f.market_cap, f.roe, f.debt_to_equity, f.dividend_yield
-  FROM companies c LEFT JOIN stats s ON c.ticker = s.ticker LEFT JOIN silver_fund f ON c.ticker = f.ticker)"""
+  SELECT ticker, company_name, category, region, currency, CAST(current_price AS DECIMAL(18,4)) AS current_price,
+         CAST(yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct, CAST(week_52_high AS DECIMAL(18,4)) AS week_52_high,
+         CAST(week_52_low AS DECIMAL(18,4)) AS week_52_low, volatility,
+         CAST(yoy_raw / NULLIF(CAST(volatility AS DOUBLE), 0) AS DECIMAL(18,4)) AS sharpe_ratio,
+         pe_ratio, market_cap, roe, debt_to_equity, dividend_yield
+  FROM companies LEFT JOIN stats USING (ticker) LEFT JOIN silver_fund USING (ticker))"""
 
 _FXS_SQL = """
-fx_end AS (SELECT currency_pair, close_rate AS end_rate FROM (
-         SELECT fx.*, ROW_NUMBER() OVER (PARTITION BY currency_pair ORDER BY trade_date DESC) AS rn
-         FROM silver_forex fx, as_of WHERE trade_date <= as_of.d) x WHERE rn = 1),
-fx_start AS (SELECT currency_pair, close_rate AS start_rate FROM (
-         SELECT fx.*, ROW_NUMBER() OVER (PARTITION BY currency_pair ORDER BY trade_date DESC) AS rn
-         FROM silver_forex fx, as_of WHERE trade_date <= CAST(as_of.d - INTERVAL 12 MONTH AS DATE)) x WHERE rn = 1)"""
-
-_CUR_SQL = """
-cur_base AS (
-  SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency, cmap.forex_pair,
-         CAST(s.yoy_raw AS DECIMAL(18,4)) AS return_local_pct,
-         CASE WHEN cmap.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_start.start_rate END AS s_rate,
-         CASE WHEN cmap.forex_pair IS NULL THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_end.end_rate END AS e_rate
-  FROM companies c LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
-  LEFT JOIN stats s ON c.ticker = s.ticker
-  LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair LEFT JOIN fx_start ON cmap.forex_pair = fx_start.currency_pair),
+pair_rates AS (
+  SELECT currency_pair AS forex_pair, arg_max(close_rate, trade_date) AS end_rate,
+         arg_max(close_rate, trade_date) FILTER (trade_date <= CAST(d - INTERVAL 12 MONTH AS DATE)) AS start_rate
+  FROM silver_forex CROSS JOIN as_of WHERE trade_date <= d GROUP BY currency_pair)"""
+
+def _currency_effect(home: str) -> str:
+    """Home-currency return and its currency part from local return l and rate growth g."""
+    return f"""CASE WHEN {home} THEN local ELSE CAST(((1 + l / 100.0) * g - 1) * 100 AS DECIMAL(18,4)) END AS return_inr_pct,
+         CASE WHEN {home} THEN 0 ELSE CAST(((1 + l / 100.0) * g - 1) * 100 - l AS DECIMAL(18,4)) END AS currency_impact_pct"""
+
+
+_CUR_SQL = f"""
 cur AS (
-  SELECT ticker, company_name, category, region, original_currency, return_local_pct,
-         CAST(s_rate AS DECIMAL(18,6)) AS inr_start_rate, CAST(e_rate AS DECIMAL(18,6)) AS inr_end_rate,
-         CASE WHEN forex_pair IS NULL THEN return_local_pct ELSE CAST(
-           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
-           AS DECIMAL(18,4)) END AS return_inr_pct,
-         CASE WHEN forex_pair IS NULL THEN CAST(0 AS DECIMAL(18,4)) ELSE CAST(
-           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
-             - CAST(return_local_pct AS DOUBLE)
-           AS DECIMAL(18,4)) END AS currency_impact_pct
-  FROM cur_base)"""
-
-_DAILY_SQL = """
-daily AS (
-  SELECT ticker, trade_date,
-         TRY_CAST(close_price AS DECIMAL(10,2)) AS close_price,
-         TRY_CAST(close_inr AS DECIMAL(10,2)) AS close_price_inr,
-         TRY_CAST(daily_return_pct AS DECIMAL(10,2)) AS daily_return_local_pct,
-         TRY_CAST((CAST(close_inr AS DOUBLE) - prev_inr) / NULLIF(prev_inr, 0) * 100 AS DECIMAL(10,2)) AS daily_return_inr_pct,
-         TRY_CAST(forex_rate AS DECIMAL(10,2)) AS forex_rate,
-         forex_pair AS currency_pair
-  FROM (SELECT *, CAST(LAG(close_inr) OVER (PARTITION BY ticker ORDER BY trade_date) AS DOUBLE) AS prev_inr
-        FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair,
-                     COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS forex_rate,
-                     CAST(sp.close_price AS DECIMAL(28,4)) * COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS close_inr
-              FROM silver_prices sp JOIN companies c ON sp.ticker = c.ticker
-              JOIN currency_map cmap ON c.currency = cmap.currency_code
-              LEFT JOIN silver_forex fx ON cmap.forex_pair = fx.currency_pair AND sp.trade_date = fx.trade_date) b) z)"""
+  SELECT ticker, company_name, category, region, currency AS original_currency, local AS return_local_pct,
+         first_rate AS inr_start_rate, last_rate AS inr_end_rate, {_currency_effect("forex_pair IS NULL")}
+  FROM (SELECT *, CAST(local AS DOUBLE) AS l, CAST(last_rate AS DOUBLE) / NULLIF(CAST(first_rate AS DOUBLE), 0) AS g
+        FROM (SELECT companies.*, forex_pair, CAST(yoy_raw AS DECIMAL(18,4)) AS local,
+                     CAST(CASE WHEN forex_pair IS NULL THEN 1 ELSE start_rate END AS DECIMAL(18,6)) AS first_rate,
+                     CAST(CASE WHEN forex_pair IS NULL THEN 1 ELSE end_rate END AS DECIMAL(18,6)) AS last_rate
+              FROM companies LEFT JOIN currency_map ON currency = currency_code
+              LEFT JOIN stats USING (ticker) LEFT JOIN pair_rates USING (forex_pair))))"""
+
+def _daily_sql(rate: str, fx_join: str, pair: str = "forex_pair", name: str = "daily") -> str:
+    """Daily home-currency returns: ``rate`` is the rate of a row, ``fx_join`` how it meets the quotes; the row before is
+    found by an ASOF join."""
+    return f"""
+valued AS (
+  SELECT q.ticker, q.trade_date, q.close_price, q.daily_return_pct, {pair} AS pair, {rate} AS rate,
+         CAST(q.close_price AS DECIMAL(28,4)) * {rate} AS home_value
+  FROM (SELECT silver_prices.*, forex_pair
+        FROM companies JOIN currency_map ON currency = currency_code JOIN silver_prices USING (ticker)) q
+  {fx_join}),
+{name} AS (
+  SELECT t.ticker, t.trade_date, CAST(t.close_price AS DECIMAL(10,2)) AS close_price,
+         CAST(t.home_value AS DECIMAL(10,2)) AS close_price_inr, CAST(t.daily_return_pct AS DECIMAL(10,2)) AS daily_return_local_pct,
+         CAST((CAST(t.home_value AS DOUBLE) - CAST(y.home_value AS DOUBLE)) / NULLIF(CAST(y.home_value AS DOUBLE), 0) * 100
+              AS DECIMAL(10,2)) AS daily_return_inr_pct,
+         CAST(t.rate AS DECIMAL(10,2)) AS forex_rate, t.pair AS currency_pair
+  FROM valued t ASOF LEFT JOIN valued y ON t.ticker = y.ticker AND t.trade_date > y.trade_date)"""
+
+
+_ONE = "CAST(1 AS DECIMAL(18,6))"
+_SAME_DAY = "LEFT JOIN silver_forex fx ON q.forex_pair = fx.currency_pair AND q.trade_date = fx.trade_date"
+_LAST_KNOWN = "ASOF LEFT JOIN silver_forex fx ON q.forex_pair = fx.currency_pair AND q.trade_date >= fx.trade_date"
+# Rate 1 for the home currency only; no quote yet: NULL.
+_HOME_ONE = f"CASE WHEN q.forex_pair IS NULL THEN {_ONE} ELSE fx.close_rate END"
+_DAILY_SQL = _daily_sql(f"coalesce(fx.close_rate, {_ONE})", _SAME_DAY)
 
 _GOLD_BASE = ["bronze_prices", "companies", "currency_map", "bronze_forex", "bronze_fund",
               "silver_prices", "silver_forex", "silver_fund", "as_of"]
@@ -174,20 +167,23 @@ def _oracle(names: list[str], extra: list[str], tail: str) -> str:
 
 @register("silver_prices", _oracle(["silver_prices"], [], "SELECT * FROM silver_prices"))
 def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1, S1, W1, W7, P4, P10, P12."""
-    return layers(spark, sf_dir).silver.prices
+    """Built from bronze, not read from a stored build."""
+    b, cfg = proxy.load(spark, sf_dir), EngineConfig()
+    return S.clean_prices(b.prices, b.price_order, cfg.minor_units, cfg.bucket_days, True, cfg.minor_units_by_ticker)
 
 
 @register("silver_forex", _oracle(["silver_forex"], [], "SELECT * FROM silver_forex"))
 def q_silver_forex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3."""
-    return layers(spark, sf_dir).silver.forex
+    """M3: built from bronze."""
+    b = proxy.load(spark, sf_dir)
+    return S.clean_forex(b.forex, b.fx_order, EngineConfig().bucket_days, True)
 
 
 @register("silver_fundamentals", _oracle(["silver_fund"], [], "SELECT * FROM silver_fund"))
 def q_silver_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2."""
-    return layers(spark, sf_dir).silver.fundamentals
+    """M2: built from bronze."""
+    b = proxy.load(spark, sf_dir)
+    return S.clean_fundamentals(b.fundamentals, b.fund_order)
 
 
 _CAL_SQL = """
@@ -237,19 +233,15 @@ def q_gold_stock_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.stock_performance(layers(spark, sf_dir).gold())
 
 
+_AVERAGES = f"""{avg_dec('yoy_return_pct', 4, 'average_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')}"""
+_TOTALS = f"""{avg_dec('pe_ratio', 4, 'avg_pe_ratio')}, CAST(SUM(market_cap) AS BIGINT) AS total_market_cap,
+       {avg_dec('dividend_yield', 6, 'avg_dividend_yield')}"""
+# Best and worst: the smallest struct of (key, ticker), so equal returns go to the first ticker.
+_BEST = "struct_extract(min({'k': -yoy_return_pct, 't': ticker}) FILTER (yoy_return_pct IS NOT NULL), 't')"
+_WORST = "struct_extract(min({'k': yoy_return_pct, 't': ticker}) FILTER (yoy_return_pct IS NOT NULL), 't')"
 _CAT_TAIL = f"""
-SELECT category,
-       {avg_dec('yoy_return_pct', 4, 'average_yoy_return_pct')},
-       {avg_dec('volatility', 4, 'avg_volatility')},
-       MAX(CASE WHEN hi_rank = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS best_stock,
-       MAX(CASE WHEN lo_rank = 1 AND yoy_return_pct IS NOT NULL THEN ticker END) AS worst_stock,
-       {avg_dec('pe_ratio', 4, 'avg_pe_ratio')},
-       CAST(SUM(market_cap) AS BIGINT) AS total_market_cap,
-       {avg_dec('dividend_yield', 6, 'avg_dividend_yield')}
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct DESC NULLS LAST, ticker) AS hi_rank,
-                ROW_NUMBER() OVER (PARTITION BY category ORDER BY yoy_return_pct ASC NULLS LAST, ticker) AS lo_rank
-      FROM perf) r
-GROUP BY category"""
+SELECT category, {_AVERAGES}, {_BEST} AS best_stock, {_WORST} AS worst_stock, {_TOTALS}
+FROM perf GROUP BY category"""
 
 
 @register("gold_category_performance", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], _CAT_TAIL))
@@ -265,20 +257,15 @@ def q_gold_currency_adjusted_returns(spark: SparkSession, sf_dir: str) -> DataFr
     return P.currency_adjusted(layers(spark, sf_dir).gold())
 
 
+_FIRST_CATEGORY = "struct_extract(min({'k': -%s, 'c': category}) FILTER (%s IS NOT NULL), 'c')"
 _REGION_TAIL = f"""
-, per_region AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')},
-                {avg_dec('volatility', 4, 'avg_volatility')}, {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')},
-                CAST(COUNT(*) AS INTEGER) AS stock_count
-         FROM perf GROUP BY region),
-top_cat AS (SELECT region, category FROM (
-         SELECT region, category, ROW_NUMBER() OVER (PARTITION BY region ORDER BY category_avg DESC NULLS LAST, category) AS rn,
-                category_avg
-         FROM (SELECT region, category, AVG(yoy_return_pct) AS category_avg FROM perf GROUP BY region, category) a) b
-       WHERE rn = 1 AND category_avg IS NOT NULL),
-impact_avg AS (SELECT region, {avg_dec('currency_impact_pct', 4, 'avg_ci')} FROM cur GROUP BY region)
-SELECT per_region.region, per_region.avg_yoy_return_pct, per_region.avg_volatility, per_region.avg_sharpe_ratio, per_region.stock_count,
-       top_cat.category AS best_category, COALESCE(impact_avg.avg_ci, CAST(0 AS DECIMAL(18,4))) AS avg_currency_impact_pct
-FROM per_region LEFT JOIN top_cat ON per_region.region = top_cat.region LEFT JOIN impact_avg ON per_region.region = impact_avg.region"""
+, by_category AS (SELECT region, category, AVG(yoy_return_pct) AS mean FROM perf GROUP BY ALL),
+leaders AS (SELECT region, {_FIRST_CATEGORY % ("mean", "mean")} AS best_category FROM by_category GROUP BY region),
+impacts AS (SELECT region, {avg_dec('currency_impact_pct', 4, 'impact')} FROM cur GROUP BY region),
+figures AS (SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')},
+                   {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')}, CAST(COUNT(*) AS INTEGER) AS stock_count FROM perf GROUP BY region)
+SELECT figures.*, best_category, coalesce(impact, CAST(0 AS DECIMAL(18,4))) AS avg_currency_impact_pct
+FROM figures LEFT JOIN leaders USING (region) LEFT JOIN impacts USING (region)"""
 
 
 # The region oracle appends its own CTEs after the shared ones.
@@ -290,21 +277,15 @@ def q_gold_region_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.region_performance(P.stock_performance(g), P.currency_adjusted(g))
 
 _DIV_TAIL = """
-SELECT c.ticker, c.company_name, c.category, c.region,
-       CAST(s.current_price AS DECIMAL(18,4)) AS stock_price,
-       CAST(f.dividend_per_share AS DECIMAL(18,4)) AS annual_dividend,
-       CAST(f.dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
-       CAST(CASE WHEN f.net_profit IS NOT NULL AND f.shares_outstanding IS NOT NULL AND f.shares_outstanding > 0
-            THEN CAST(f.dividend_per_share AS DOUBLE)
-                 / NULLIF(CAST(f.net_profit AS DOUBLE) / NULLIF(CAST(f.shares_outstanding AS DOUBLE), 0), 0)
-            END AS DECIMAL(18,4)) AS payout_ratio,
-       CAST(COALESCE(f.dividend_per_share, CAST(0 AS DECIMAL(18,4))) * COALESCE(fx_end.end_rate, CAST(1 AS DECIMAL(18,6)))
-            AS DECIMAL(18,4)) AS dividend_in_inr,
-       (f.dividend_yield IS NOT NULL AND f.dividend_yield > 0) AS pays_dividend
-FROM companies c LEFT JOIN stats s ON c.ticker = s.ticker
-LEFT JOIN silver_fund f ON c.ticker = f.ticker
-LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
-LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair"""
+SELECT ticker, company_name, category, region, CAST(current_price AS DECIMAL(18,4)) AS stock_price,
+       CAST(dividend_per_share AS DECIMAL(18,4)) AS annual_dividend, CAST(dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
+       CAST(CAST(dividend_per_share AS DOUBLE)
+            / NULLIF(CAST(net_profit AS DOUBLE) / CASE WHEN shares_outstanding > 0 THEN CAST(shares_outstanding AS DOUBLE) END, 0)
+            AS DECIMAL(18,4)) AS payout_ratio,
+       CAST(coalesce(dividend_per_share, 0) * coalesce(end_rate, CAST(1 AS DECIMAL(18,6))) AS DECIMAL(18,4)) AS dividend_in_inr,
+       coalesce(dividend_yield > 0, FALSE) AS pays_dividend
+FROM companies LEFT JOIN stats USING (ticker) LEFT JOIN silver_fund USING (ticker)
+LEFT JOIN currency_map ON currency = currency_code LEFT JOIN pair_rates USING (forex_pair)"""
 
 
 @register("gold_dividend_analysis", _oracle(_GOLD_BASE, [_STATS_SQL, _FXS_SQL], _DIV_TAIL))
@@ -321,32 +302,25 @@ def q_gold_daily_inr_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, L.cfg)
 
 
+# DuckDB's own corr() over the paired days, where both series vary.
 _CORR_SQL = """
-dr AS (SELECT ticker, trade_date, CAST(daily_return_pct * 10000 AS BIGINT) AS x
-       FROM silver_prices WHERE daily_return_pct IS NOT NULL),
-sums AS (
-  SELECT s1.ticker AS stock_1, s2.ticker AS stock_2, CAST(COUNT(*) AS HUGEINT) AS n,
-         SUM(CAST(s1.x AS HUGEINT)) AS sx, SUM(CAST(s2.x AS HUGEINT)) AS sy,
-         SUM(CAST(s1.x AS HUGEINT) * s2.x) AS sxy, SUM(CAST(s1.x AS HUGEINT) * s1.x) AS sxx,
-         SUM(CAST(s2.x AS HUGEINT) * s2.x) AS syy
-  FROM dr s1 JOIN dr s2 ON s1.trade_date = s2.trade_date AND s1.ticker < s2.ticker
-  GROUP BY s1.ticker, s2.ticker),
-corr AS (
-  SELECT stock_1, stock_2,
-         CAST(CAST(n * sxy - sx * sy AS DOUBLE)
-              / NULLIF(SQRT(CAST(n * sxx - sx * sx AS DOUBLE) * CAST(n * syy - sy * sy AS DOUBLE)), 0)
-              AS DECIMAL(18,4)) AS correlation_coefficient
-  FROM sums)"""
-
-_CORR_TAIL = """
-SELECT c.stock_1, c.stock_2, c1.category AS stock_1_category, c2.category AS stock_2_category,
-       c1.region AS stock_1_region, c2.region AS stock_2_region, c.correlation_coefficient,
-       CASE WHEN c.correlation_coefficient IS NULL THEN NULL
-            WHEN c.correlation_coefficient >= 0.7 THEN 'Strong Positive'
-            WHEN c.correlation_coefficient >= 0.3 THEN 'Weak Positive'
-            WHEN c.correlation_coefficient >= -0.3 THEN 'Uncorrelated'
-            ELSE 'Negative' END AS relationship
-FROM corr c LEFT JOIN companies c1 ON c.stock_1 = c1.ticker LEFT JOIN companies c2 ON c.stock_2 = c2.ticker"""
+moves AS (SELECT ticker, trade_date, CAST(daily_return_pct AS DOUBLE) AS move FROM silver_prices WHERE daily_return_pct IS NOT NULL),
+paired AS (
+  SELECT a.ticker AS stock_1, b.ticker AS stock_2,
+         CASE WHEN min(a.move) < max(a.move) AND min(b.move) < max(b.move) THEN corr(a.move, b.move) END AS r
+  FROM moves a JOIN moves b ON a.trade_date = b.trade_date AND a.ticker < b.ticker GROUP BY ALL)"""
+
+
+def _corr_tail(coefficient: str, null_label: str, join: str) -> str:
+    return f"""
+SELECT stock_1, stock_2, one.category AS stock_1_category, two.category AS stock_2_category, one.region AS stock_1_region,
+       two.region AS stock_2_region, CAST(r AS DECIMAL(18,4)) AS correlation_coefficient,
+       CASE WHEN {coefficient} IS NULL THEN {null_label} WHEN {coefficient} < -0.3 THEN 'Negative'
+            WHEN {coefficient} < 0.3 THEN 'Uncorrelated' WHEN {coefficient} < 0.7 THEN 'Weak Positive' ELSE 'Strong Positive' END AS relationship
+FROM paired {join} companies one ON stock_1 = one.ticker {join} companies two ON stock_2 = two.ticker"""
+
+
+_CORR_TAIL = _corr_tail("CAST(r AS DECIMAL(18,4))", "NULL", "LEFT JOIN")
 
 
 @register("gold_correlation_matrix", _oracle(["silver_prices", "companies"], [_CORR_SQL], _CORR_TAIL))
@@ -366,25 +340,16 @@ def _daily(L: Layers) -> DataFrame:
 
 
 _PR_SQL = """
-pr_rows AS (
-  SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker, trade_date, close_price, close_price_inr,
-         ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date) AS rf,
-         ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date DESC) AS rl
-  FROM daily),
-pr_ends AS (
-  SELECT period, ticker,
-         MAX(CASE WHEN rf = 1 THEN close_price END) AS first_close,
-         MAX(CASE WHEN rl = 1 THEN close_price END) AS last_close,
-         MAX(CASE WHEN rf = 1 THEN close_price_inr END) AS first_inr,
-         MAX(CASE WHEN rl = 1 THEN close_price_inr END) AS last_inr
-  FROM pr_rows GROUP BY period, ticker),
 pr AS (
   SELECT period, ticker, first_close, last_close,
          CAST((CAST(last_close AS DOUBLE) - CAST(first_close AS DOUBLE)) / NULLIF(CAST(first_close AS DOUBLE), 0) * 100
               AS DECIMAL(18,4)) AS local_return_pct,
          CAST((CAST(last_inr AS DOUBLE) - CAST(first_inr AS DOUBLE)) / NULLIF(CAST(first_inr AS DOUBLE), 0) * 100
               AS DECIMAL(18,4)) AS inr_return_pct
-  FROM pr_ends)"""
+  FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker,
+               arg_min(close_price, trade_date) AS first_close, arg_max(close_price, trade_date) AS last_close,
+               arg_min(close_price_inr, trade_date) AS first_inr, arg_max(close_price_inr, trade_date) AS last_inr
+        FROM daily GROUP BY ALL))"""
 
 
 @register("period_returns", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL], """
@@ -438,10 +403,8 @@ def q_best_worst_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l.period, l.ticker, l.last_close, f.dividend_per_share,
        CAST(CAST(f.dividend_per_share AS DOUBLE) / NULLIF(CAST(l.last_close AS DOUBLE), 0) * 100 AS DECIMAL(18,6))
          AS dividend_yield_pct
-FROM (SELECT period, ticker, MAX(CASE WHEN rl = 1 THEN close_price END) AS last_close
-      FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker, close_price,
-                   ROW_NUMBER() OVER (PARTITION BY year(trade_date), ticker ORDER BY trade_date DESC) AS rl
-            FROM daily) d GROUP BY period, ticker) l
+FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker, arg_max(close_price, trade_date) AS last_close
+      FROM daily GROUP BY ALL) l
 JOIN silver_fund f ON l.ticker = f.ticker"""))
 def q_dynamic_dividend_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M21."""
@@ -596,13 +559,9 @@ def q_normalize_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("standardize_quarter", _oracle(["silver_prices"], [], """
-SELECT ticker, quarter_end_date, close_price AS quarter_close, n_days FROM (
-  SELECT ticker, quarter_end_date, close_price,
-         COUNT(*) OVER (PARTITION BY ticker, quarter_end_date) AS n_days,
-         ROW_NUMBER() OVER (PARTITION BY ticker, quarter_end_date ORDER BY trade_date DESC) AS rn
-  FROM (SELECT *, CAST(last_day(date_trunc('quarter', trade_date) + INTERVAL 2 MONTH) AS DATE) AS quarter_end_date
-        FROM silver_prices) q) x
-WHERE rn = 1"""))
+SELECT ticker, CAST(last_day(date_trunc('quarter', trade_date) + INTERVAL 2 MONTH) AS DATE) AS quarter_end_date,
+       arg_max(close_price, trade_date) AS quarter_close, COUNT(*) AS n_days
+FROM silver_prices GROUP BY ALL"""))
 def q_standardize_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade dates mapped to their quarter end; last close and day count per (ticker, quarter)."""
     p = S.standardize_quarter(layers(spark, sf_dir).silver.prices, "trade_date", "quarter_end_date")
@@ -611,34 +570,32 @@ def q_standardize_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.max_by("close_price", d).alias("quarter_close"), F.count(F.lit(1)).alias("n_days")))
 
 
-_ASOF_SQL = """
-daily_asof AS (
-  SELECT ticker, trade_date,
-         TRY_CAST(close_price AS DECIMAL(10,2)) AS close_price,
-         TRY_CAST(close_inr AS DECIMAL(10,2)) AS close_price_inr,
-         TRY_CAST(daily_return_pct AS DECIMAL(10,2)) AS daily_return_local_pct,
-         TRY_CAST((CAST(close_inr AS DOUBLE) - prev_inr) / NULLIF(prev_inr, 0) * 100 AS DECIMAL(10,2)) AS daily_return_inr_pct,
-         TRY_CAST(forex_rate AS DECIMAL(10,2)) AS forex_rate,
-         forex_pair AS currency_pair
-  FROM (SELECT *, CAST(LAG(close_inr) OVER (PARTITION BY ticker ORDER BY trade_date) AS DOUBLE) AS prev_inr
-        FROM (SELECT b.*, COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS forex_rate,
-                     CAST(b.close_price AS DECIMAL(28,4)) * COALESCE(fx.close_rate, CAST(1 AS DECIMAL(18,6))) AS close_inr
-              FROM (SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair
-                    FROM silver_prices sp JOIN companies c ON sp.ticker = c.ticker
-                    JOIN currency_map cmap ON c.currency = cmap.currency_code) b
-              ASOF LEFT JOIN silver_forex fx
-                ON b.forex_pair = fx.currency_pair AND b.trade_date >= fx.trade_date) j) z)"""
+_ASOF_SQL = _daily_sql(_HOME_ONE, _LAST_KNOWN, name="daily_asof")
 
 
 @register("daily_returns_asof_fx", _oracle(_GOLD_BASE, [_ASOF_SQL], "SELECT * FROM daily_asof"))
 def q_daily_returns_asof_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J14 + W9: M12 with the last known FX rate on days without a quote."""
+    """J14 + W9: M12 with the last known FX rate on days without a quote; NULL before a pair's first quote."""
+    return _daily_with(layers(spark, sf_dir), "asof")
+
+
+@register("daily_returns_asof_fx_early", _oracle(_GOLD_BASE, [_ASOF_SQL], "SELECT * FROM daily_asof"))
+def q_daily_returns_asof_fx_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J14 with a reporting date in the middle of the history: prices after it still meet their own rates."""
+    import datetime as dt
+    return _daily_with(layers(spark, sf_dir, EngineConfig(as_of=dt.date(1999, 6, 30))), "asof")
+
+
+@register("daily_returns_null_fx", _oracle(_GOLD_BASE, [_daily_sql(_HOME_ONE, _SAME_DAY)], "SELECT * FROM daily"))
+def q_daily_returns_null_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 with NULL home-currency values on days without a quote."""
+    return _daily_with(layers(spark, sf_dir), "null")
+
+
+def _daily_with(L: Layers, fx_policy: str) -> DataFrame:
     from dataclasses import replace
-    L = layers(spark, sf_dir)
-    s = L.silver
-    cfg = replace(L.cfg, fx_policy="asof")
-    dense = G.densify_fx(s.forex, cfg.as_of, cfg.bucket_days)
-    return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, cfg, dense)
+    g = P.gold_inputs(L.silver, replace(L.cfg, fx_policy=fx_policy))
+    return P.daily_inr(g)
 
 
 # ----------------------------------------------------------------------------- ingestion
@@ -670,7 +627,7 @@ def proxy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         # wall-clock time of the fetch (epoch + seconds) as TIMESTAMP_NTZ: no session time zone
         F.date_format(F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, fetch_seq)"),
                       "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
-        "values")
+        "values", "fetch_seq")
 
 
 _PAYLOAD_SQL = """
@@ -683,7 +640,7 @@ FROM bronze_prices"""
 @register("ingest_payload", _oracle(["bronze_prices"], [], _PAYLOAD_SQL))
 def q_ingest_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON payload strings → bronze rows (vendor symbols mapped back to tickers)."""
-    docs = proxy_payloads(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    docs = proxy_payloads(spark, sf_dir).drop("fetch_seq").select(F.to_json(F.struct("*")).alias("value"))
     return I.parse_price_payloads(I.payloads_from_strings(docs))
 
 
@@ -759,19 +716,30 @@ def q_ingest_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.not_yet_stored(stored, arriving)
 
 
-@register("stream_ingest", _oracle(["bronze_prices"], [], _PAYLOAD_SQL))
+def _feeds_sql() -> str:
+    """Three feeds by document: each appends the rows whose key the earlier ones did not store."""
+    feed = "SELECT * FROM payload_rows WHERE feed = {} "
+    unseen = "AND (ticker, trade_date) NOT IN (SELECT (ticker, trade_date) FROM payload_rows WHERE feed < {})"
+    parts = [feed.format(k) + (unseen.format(k) if k else "") for k in range(3)]
+    rows = _PAYLOAD_SQL.strip().replace("\nFROM bronze_prices", ", fetch_seq % 3 AS feed\nFROM bronze_prices")
+    return f", payload_rows AS ({rows})\nSELECT * EXCLUDE (feed) FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+@register("stream_ingest", _oracle(["bronze_prices"], [], _feeds_sql()))
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1: payload files landed in the shared folder, ingested by a Structured Streaming
-    query (AvailableNow + foreachBatch duplicate check), bronze read back."""
+    """ST1: payload files landed in the shared folder, ingested by Structured Streaming (AvailableNow + foreachBatch
+    duplicate check), bronze read back. Two landings of one feed overlap in their keys (two micro-batches of one
+    checkpoint); a second feed with a checkpoint of its own overlaps with both."""
     import uuid
 
     from quantleaf.session import scratch_path
-    from quantleaf.streaming.incremental import run_price_ingest
+    from quantleaf.streaming.incremental import bronze_rows, run_price_ingest
     run = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
-    landing, bronze, ckpt = f"{run}/landing", f"{run}/bronze", f"{run}/checkpoint"
-    proxy_payloads(spark, sf_dir).write.json(landing)
-    run_price_ingest(spark, landing, bronze, ckpt, mode="anti")
-    from quantleaf.streaming.incremental import bronze_rows
+    bronze = f"{run}/bronze"
+    docs = proxy_payloads(spark, sf_dir).withColumn("feed", F.pmod(F.col("fetch_seq"), F.lit(3)))
+    for k, feed in enumerate(("first", "first", "second")):
+        docs.where(F.col("feed") == k).drop("feed", "fetch_seq").write.mode("append").json(f"{run}/landing-{feed}")
+        run_price_ingest(spark, f"{run}/landing-{feed}", bronze, f"{run}/checkpoint-{feed}", mode="anti")
     return bronze_rows(spark, bronze)
 
 
@@ -871,20 +839,23 @@ def q_unit_conversion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pair_count_check", _oracle(["silver_prices", "companies"], [_CORR_SQL], """
 SELECT n, pairs, CAST(n * (n - 1) / 2 AS BIGINT) AS expected_pairs, pairs = CAST(n * (n - 1) / 2 AS BIGINT) AS complete
 FROM (SELECT (SELECT COUNT(DISTINCT ticker) FROM silver_prices WHERE daily_return_pct IS NOT NULL) AS n,
-             (SELECT COUNT(*) FROM corr) AS pairs) x"""))
+             (SELECT COUNT(*) FROM paired) AS pairs) x"""))
 def q_pair_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7: correlation pairs vs n(n−1)/2."""
     L = layers(spark, sf_dir)
     return Q.pair_count_check(P.correlation(L.gold()), L.silver.prices)
 
 
-@register("short_history_check", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], """
-SELECT s.ticker, first_px.earliest_date, p.yoy_return_pct, p.yoy_return_pct IS NOT NULL AS has_return
-FROM stats s JOIN perf p ON s.ticker = p.ticker JOIN first_px ON s.ticker = first_px.ticker
-WHERE s.year_ago_price IS NULL"""))
+@register("short_history_check", _oracle(_GOLD_BASE, [_STATS_SQL.replace(
+    "WHERE trade_date <= d)", f"WHERE trade_date <= d AND NOT (ticker = '{proxy.SHORT_HISTORY_TICKER}' AND trade_date < "
+    f"DATE '{proxy.SHORT_HISTORY_START}'))"), _PERF_SQL], """
+SELECT ticker, earliest_date, yoy_return_pct, yoy_return_pct IS NOT NULL AS has_return
+FROM stats JOIN perf USING (ticker) WHERE year_ago_price IS NULL AND stats.current_price IS NOT NULL"""))
 def q_short_history_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short-history tickers still get a return."""
-    g = layers(spark, sf_dir).gold()
+    """Short-history tickers still get a return. The listing date of one ticker is set later here, for this check only."""
+    from dataclasses import replace
+    L = layers(spark, sf_dir)
+    g = P.gold_inputs(replace(L.silver, prices=proxy.late_listing(L.silver.prices)), L.cfg)
     return Q.short_history_check(P.stock_performance(g), g.stats)
 
 
@@ -898,42 +869,24 @@ def _sp_gold(spark: SparkSession, sf_dir: str) -> P.GoldInputs:
 
 
 _PERF_SP_SQL = """
-window_stats AS (SELECT ticker, MAX(high_price) AS week_52_high, MIN(low_price) AS week_52_low,
-               STDDEV_SAMP(CAST(daily_return_pct AS DOUBLE)) AS vol_raw
-        FROM silver_prices sp, as_of
-        WHERE trade_date > CAST(as_of.d - INTERVAL 12 MONTH AS DATE) AND trade_date <= as_of.d GROUP BY ticker),
 perf_sp AS (
-  SELECT c.ticker, c.company_name, c.category, c.region, c.currency,
-         CAST(s.current_price AS DECIMAL(18,4)) AS current_price,
-         CAST(s.yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct,
-         CAST(w.week_52_high AS DECIMAL(18,4)) AS week_52_high,
-         CAST(w.week_52_low AS DECIMAL(18,4)) AS week_52_low,
-         CAST(w.vol_raw AS DECIMAL(18,4)) AS volatility,
-         CAST((s.yoy_raw - 0.0) / NULLIF(w.vol_raw, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
-         f.pe_ratio, f.market_cap, f.roe, f.debt_to_equity, f.dividend_yield
-  FROM companies c JOIN stats s ON c.ticker = s.ticker JOIN window_stats w ON c.ticker = w.ticker
-  JOIN silver_fund f ON c.ticker = f.ticker)"""
-
-_CUR_SP_SQL = """
-cur_sp_base AS (
-  SELECT c.ticker, c.company_name, c.category, c.region, c.currency AS original_currency,
-         p.yoy_return_pct AS return_local_pct, c.currency = 'INR' AS home,
-         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_start.start_rate END AS s_rate,
-         CASE WHEN c.currency = 'INR' THEN CAST(1 AS DECIMAL(18,6)) ELSE fx_end.end_rate END AS e_rate
-  FROM companies c JOIN perf_sp p ON c.ticker = p.ticker
-  LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
-  LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair LEFT JOIN fx_start ON cmap.forex_pair = fx_start.currency_pair),
+  SELECT ticker, company_name, category, region, currency, CAST(current_price AS DECIMAL(18,4)) AS current_price,
+         CAST(yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct, CAST(year_high AS DECIMAL(18,4)) AS week_52_high,
+         CAST(year_low AS DECIMAL(18,4)) AS week_52_low, CAST(year_deviation AS DECIMAL(18,4)) AS volatility,
+         CAST(yoy_raw / NULLIF(year_deviation, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
+         pe_ratio, market_cap, roe, debt_to_equity, dividend_yield
+  FROM companies JOIN stats USING (ticker) JOIN silver_fund USING (ticker) WHERE year_rows > 0)"""
+
+_CUR_SP_SQL = f"""
 cur_sp AS (
-  SELECT ticker, company_name, category, region, original_currency, return_local_pct,
-         CAST(s_rate AS DECIMAL(18,6)) AS inr_start_rate, CAST(e_rate AS DECIMAL(18,6)) AS inr_end_rate,
-         CASE WHEN home THEN return_local_pct ELSE CAST(
-           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
-           AS DECIMAL(18,4)) END AS return_inr_pct,
-         CASE WHEN home THEN CAST(0 AS DECIMAL(18,4)) ELSE CAST(
-           ((1 + CAST(return_local_pct AS DOUBLE) / 100.0) * (CAST(e_rate AS DOUBLE) / NULLIF(CAST(s_rate AS DOUBLE), 0)) - 1) * 100
-             - CAST(return_local_pct AS DOUBLE)
-           AS DECIMAL(18,4)) END AS currency_impact_pct
-  FROM cur_sp_base)"""
+  SELECT ticker, company_name, category, region, currency AS original_currency, local AS return_local_pct,
+         first_rate AS inr_start_rate, last_rate AS inr_end_rate, {_currency_effect("currency = 'INR'")}
+  FROM (SELECT *, CAST(local AS DOUBLE) AS l, CAST(last_rate AS DOUBLE) / NULLIF(CAST(first_rate AS DOUBLE), 0) AS g
+        FROM (SELECT companies.*, yoy_return_pct AS local,
+                     CAST(CASE WHEN companies.currency = 'INR' THEN 1 ELSE start_rate END AS DECIMAL(18,6)) AS first_rate,
+                     CAST(CASE WHEN companies.currency = 'INR' THEN 1 ELSE end_rate END AS DECIMAL(18,6)) AS last_rate
+              FROM companies JOIN perf_sp USING (ticker) LEFT JOIN currency_map ON companies.currency = currency_code
+              LEFT JOIN pair_rates USING (forex_pair))))"""
 
 
 @register("gold_stock_performance_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL], "SELECT * FROM perf_sp"))
@@ -949,9 +902,11 @@ def q_gold_currency_adjusted_returns_sp(spark: SparkSession, sf_dir: str) -> Dat
     return P.currency_adjusted(_sp_gold(spark, sf_dir))
 
 
-_CAT_SP_TAIL = _CAT_TAIL.replace("AND yoy_return_pct IS NOT NULL ", "").replace(
-    "ORDER BY yoy_return_pct ASC NULLS LAST, ticker", "ORDER BY yoy_return_pct ASC NULLS FIRST, ticker").replace(
-    "FROM perf) r", "FROM perf_sp) r")
+# A NULL return is last among the best and first among the worst.
+_CAT_SP_TAIL = f"""
+SELECT category, {_AVERAGES}, coalesce({_BEST}, min(ticker)) AS best_stock,
+       coalesce(min(ticker) FILTER (yoy_return_pct IS NULL), {_WORST}) AS worst_stock, {_TOTALS}
+FROM perf_sp GROUP BY category"""
 
 
 @register("gold_category_performance_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL], _CAT_SP_TAIL))
@@ -962,15 +917,13 @@ def q_gold_category_performance_sp(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 _REGION_SP_TAIL = f"""
-, j AS (SELECT p.*, cu.currency_impact_pct FROM perf_sp p JOIN cur_sp cu ON p.ticker = cu.ticker),
-top_cat AS (SELECT region, category FROM (
-         SELECT region, category,
-                ROW_NUMBER() OVER (PARTITION BY region ORDER BY yoy_return_pct DESC NULLS LAST, category) AS rn
-         FROM perf_sp) b WHERE rn = 1)
-SELECT j.region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')},
-       {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')}, CAST(COUNT(j.ticker) AS INTEGER) AS stock_count,
-       top_cat.category AS best_category, {avg_dec('currency_impact_pct', 4, 'avg_currency_impact_pct')}
-FROM j JOIN top_cat ON j.region = top_cat.region GROUP BY j.region, top_cat.category"""
+, leaders AS (SELECT region, coalesce({_FIRST_CATEGORY % ("yoy_return_pct", "yoy_return_pct")}, min(category)) AS best_category
+              FROM perf_sp GROUP BY region)
+SELECT region, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, {avg_dec('volatility', 4, 'avg_volatility')},
+       {avg_dec('sharpe_ratio', 4, 'avg_sharpe_ratio')}, CAST(COUNT(ticker) AS INTEGER) AS stock_count, best_category,
+       {avg_dec('currency_impact_pct', 4, 'avg_currency_impact_pct')}
+FROM perf_sp JOIN (SELECT ticker, currency_impact_pct FROM cur_sp) USING (ticker) JOIN leaders USING (region)
+GROUP BY region, best_category"""
 
 
 @register("gold_region_performance_sp",
@@ -981,24 +934,20 @@ def q_gold_region_performance_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.region_performance(P.stock_performance(g), P.currency_adjusted(g), g.cfg)
 
 
+# The payout is exact: dividend in 1/10000 over whole earnings per share, rounded half away from zero in integers.
 _DIV_SP_TAIL = """
-SELECT c.ticker, c.company_name, c.category, c.region,
-       CAST(s.current_price AS DECIMAL(18,4)) AS stock_price,
-       CAST(f.dividend_per_share AS DECIMAL(18,4)) AS annual_dividend,
-       CAST(f.dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
-       -- exact DPS / integer EPS, rounded half away from zero to 4 dp (integer arithmetic)
-       CASE WHEN f.net_profit // NULLIF(f.shares_outstanding, 0) = 0 THEN NULL ELSE CAST(CAST(
-         SIGN(CAST(f.dividend_per_share * 10000 AS HUGEINT)) * SIGN(f.net_profit // NULLIF(f.shares_outstanding, 0))
-         * ((2 * ABS(CAST(f.dividend_per_share * 10000 AS HUGEINT)) + ABS(f.net_profit // NULLIF(f.shares_outstanding, 0)))
-            // (2 * ABS(f.net_profit // NULLIF(f.shares_outstanding, 0))))
-         AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) END AS payout_ratio,
-       CAST(CASE WHEN c.currency = 'INR' THEN CAST(f.dividend_per_share AS DECIMAL(38,10))
-                 ELSE CAST(f.dividend_per_share AS DECIMAL(28,4)) * fx_end.end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
-       f.dividend_yield IS NOT NULL AS pays_dividend
-FROM companies c JOIN perf_sp p ON c.ticker = p.ticker JOIN silver_fund f ON c.ticker = f.ticker
-LEFT JOIN stats s ON c.ticker = s.ticker
-LEFT JOIN currency_map cmap ON c.currency = cmap.currency_code
-LEFT JOIN fx_end ON cmap.forex_pair = fx_end.currency_pair"""
+SELECT ticker, company_name, category, region, CAST(price AS DECIMAL(18,4)) AS stock_price,
+       CAST(dividend_per_share AS DECIMAL(18,4)) AS annual_dividend, CAST(dividend_yield AS DECIMAL(18,6)) AS dividend_yield_pct,
+       CASE WHEN eps <> 0 THEN CAST(CAST(SIGN(units) * SIGN(eps) * ((2 * ABS(units) + ABS(eps)) // (2 * ABS(eps))) AS DECIMAL(38,0))
+                                    * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) END AS payout_ratio,
+       CAST(CASE WHEN currency = 'INR' THEN CAST(dividend_per_share AS DECIMAL(38,10))
+                 ELSE CAST(dividend_per_share AS DECIMAL(28,4)) * end_rate END AS DECIMAL(18,4)) AS dividend_in_inr,
+       dividend_yield IS NOT NULL AS pays_dividend
+FROM (SELECT companies.*, stats.current_price AS price, silver_fund.* EXCLUDE (ticker),
+             net_profit // NULLIF(shares_outstanding, 0) AS eps, CAST(dividend_per_share * 10000 AS HUGEINT) AS units
+      FROM companies JOIN silver_fund USING (ticker) JOIN stats USING (ticker)
+      WHERE ticker IN (SELECT ticker FROM perf_sp))
+LEFT JOIN currency_map ON currency = currency_code LEFT JOIN pair_rates USING (forex_pair)"""
 
 
 @register("gold_dividend_analysis_sp", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL], _DIV_SP_TAIL))
@@ -1007,17 +956,7 @@ def q_gold_dividend_analysis_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.dividend(_sp_gold(spark, sf_dir))
 
 
-_CORR_SP_TAIL = """
-, cr AS (SELECT stock_1, stock_2,
-                CAST(n * sxy - sx * sy AS DOUBLE)
-                / NULLIF(SQRT(CAST(n * sxx - sx * sx AS DOUBLE) * CAST(n * syy - sy * sy AS DOUBLE)), 0) AS r
-         FROM sums)
-SELECT c.stock_1, c.stock_2, c1.category AS stock_1_category, c2.category AS stock_2_category,
-       c1.region AS stock_1_region, c2.region AS stock_2_region,
-       CAST(c.r AS DECIMAL(18,4)) AS correlation_coefficient,
-       CASE WHEN c.r >= 0.7 THEN 'Strong Positive' WHEN c.r >= 0.3 THEN 'Weak Positive'
-            WHEN c.r >= -0.3 THEN 'Uncorrelated' ELSE 'Negative' END AS relationship
-FROM cr c JOIN companies c1 ON c.stock_1 = c1.ticker JOIN companies c2 ON c.stock_2 = c2.ticker"""
+_CORR_SP_TAIL = _corr_tail("r", "'Negative'", "JOIN")
 
 
 @register("gold_correlation_matrix_sp",
@@ -1027,10 +966,7 @@ def q_gold_correlation_matrix_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.correlation(_sp_gold(spark, sf_dir))
 
 
-_DAILY_SP_SQL = _DAILY_SQL.replace("forex_pair AS currency_pair", "matched_pair AS currency_pair").replace(
-    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair,",
-    "SELECT sp.ticker, sp.trade_date, sp.close_price, sp.daily_return_pct, cmap.forex_pair, "
-    "fx.currency_pair AS matched_pair,")
+_DAILY_SP_SQL = _daily_sql(f"coalesce(fx.close_rate, {_ONE})", _SAME_DAY, pair="fx.currency_pair")
 
 
 @register("gold_daily_inr_returns_sp", _oracle(_GOLD_BASE, [_DAILY_SP_SQL], "SELECT * FROM daily"))

@@ -38,8 +38,8 @@ SHORT_HISTORY_START = "2001-04-18"
 PRICE_CURRENCY = {1: "USD", 3: "GBp", 4: "EUR"}          # else INR
 COMPANY_CURRENCY = {1: "USD", 3: "GBP", 4: "EUR"}        # else INR
 EXCHANGE_OF = {"USD": "NYSE", "GBP": "LSE", "EUR": "XETRA", "INR": "NSE"}
-# order priority → FX pair ('5-LOW' rows are not rates)
-PRIORITY_PAIR = {"1-URGENT": "USD/INR", "2-HIGH": "GBP/INR", "3-MEDIUM": "EUR/INR"}  # else KRW/INR
+# order priority → FX pair
+PRIORITY_PAIR = {"1-URGENT": "USD/INR", "2-HIGH": "GBP/INR", "3-MEDIUM": "EUR/INR", "5-LOW": "JPY/INR"}  # else KRW/INR
 # --- end of fixed values -----------------------------------------------------------
 
 
@@ -111,9 +111,7 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     trade_date = F.to_date("l_shipdate")
     d = schemas.D18_4
-    return (j.where(~((F.col("p_brand") == SHORT_HISTORY_TICKER)
-                      & (trade_date < F.lit(SHORT_HISTORY_START).cast("date"))))
-            .select(
+    return (j.select(
                 F.col("p_brand").alias("ticker"),
                 trade_date.alias("trade_date"),
                 _dec(unit * (1 - F.col("l_discount") / 2) * mult, d).alias("open_price"),
@@ -126,6 +124,12 @@ def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "l_linenumber", "l_partkey", "l_suppkey"))
 
 
+def late_listing(prices: DataFrame) -> DataFrame:
+    """Prices with one ticker listed late, for the short-history check only: no other query drops rows."""
+    early = (F.col("ticker") == SHORT_HISTORY_TICKER) & (F.col("trade_date") < F.lit(SHORT_HISTORY_START).cast("date"))
+    return prices.where(~early)
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = (_table(spark, sf_dir, "part").select("p_brand").distinct()
               .withColumn("k", _brand_no()))
@@ -150,8 +154,7 @@ def bronze_forex(spark: SparkSession, sf_dir: str) -> DataFrame:
         pair = F.when(c, F.lit(p)) if pair is None else pair.when(c, F.lit(p))
     pair = pair.otherwise(F.lit("KRW/INR"))
     rate = _dec(F.lit(20) + F.col("o_totalprice") / 10000, schemas.D18_6)
-    return (o.where(F.col("o_orderpriority") != "5-LOW")
-            .select(pair.alias("currency_pair"),
+    return (o.select(pair.alias("currency_pair"),
                     F.to_date("o_orderdate").alias("trade_date"),
                     rate.alias("close_rate"),
                     F.col("o_orderkey").alias("fetch_seq")))

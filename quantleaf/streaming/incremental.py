@@ -6,11 +6,13 @@ appended to bronze after the duplicate check against what bronze already holds
 *first* fetch of a key, while later layers take the *latest* fetch.
 
 Exactly-once effect on a plain Parquet table: every micro-batch writes its own
-partition ``_epoch=<batch id>`` with dynamic partition overwrite. A batch that is
-re-run after a failure (same batch id) replaces its own partial output and checks
-duplicates only against the *other* epochs, so nothing is lost or doubled. The
-duplicate check reads only the batch's date range of bronze (row-group min/max
-pruning), not the whole table.
+partition ``_epoch=<query id>-<batch id>`` with dynamic partition overwrite. The query
+id is the one Spark keeps in the checkpoint: a batch that is re-run after a failure
+replaces its own partial output and checks duplicates only against the *other* epochs,
+while another feed, or the same feed with a new checkpoint, writes partitions of its own, so
+nothing is lost or doubled. The duplicate check reads only the batch's date range of
+bronze (row-group min/max pruning), not the whole table. A batch is parsed once and held
+while it is checked and written.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
         return None
 
 
-def _latest_dates(spark: SparkSession, bronze_dir: str, epoch_id: int) -> DataFrame | None:
+def _latest_dates(spark: SparkSession, bronze_dir: str, epoch_id: str) -> DataFrame | None:
     """Latest stored date per ticker from the small watermark table (one row per ticker
     and epoch); bronze itself is aggregated only once, to bootstrap a missing table."""
     wm = read_bronze(spark, bronze_dir + WATERMARK_SUFFIX)
@@ -48,7 +50,7 @@ def _latest_dates(spark: SparkSession, bronze_dir: str, epoch_id: int) -> DataFr
             .groupBy("ticker").agg(F.max("trade_date").alias("trade_date")))
 
 
-def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, bronze_dir: str,
+def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: str, bronze_dir: str,
                  mode: str = "anti") -> None:
     """Append one micro-batch of bronze rows; idempotent per ``epoch_id``.
 
@@ -64,11 +66,10 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, bronze_di
     else:
         stored = read_bronze(spark, bronze_dir)
         if stored is not None:
+            # An empty batch has no range: the filter is then NULL and the batch appends nothing.
             lo, hi = batch.agg(F.min("trade_date"), F.max("trade_date")).first()
-            if lo is None:
-                return
             window = (stored.where(F.col(EPOCH) != F.lit(epoch_id))
-                      .where(F.col("trade_date").between(F.lit(lo), F.lit(hi))))
+                      .where(F.col("trade_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))))
             new = ingest.not_yet_stored(window.select("ticker", "trade_date"), batch)
     new = new.select(*schemas.BRONZE_PRICES.fieldNames()).withColumn(EPOCH, F.lit(epoch_id))
     _write_epoch(new, bronze_dir)
@@ -84,6 +85,11 @@ def _write_epoch(df: DataFrame, path: str) -> None:
      .partitionBy(EPOCH).parquet(path))
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote to the checkpoint's metadata when the query first started (any file system)."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
                      mode: str = "anti", max_files_per_trigger: int | None = None) -> None:
     """Process every payload file available now, then stop (Trigger.AvailableNow)."""
@@ -91,8 +97,17 @@ def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, che
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = ingest.parse_price_payloads(reader.json(landing_dir))
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch = batch.persist()
+        try:
+            ingest_batch(session, batch, f"{_query_id(session, checkpoint)}-{batch_id}", bronze_dir, mode)
+        finally:
+            batch.unpersist()
+
     q = (rows.writeStream
-         .foreachBatch(lambda batch, epoch_id: ingest_batch(batch.sparkSession, batch, epoch_id, bronze_dir, mode))
+         .foreachBatch(append)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
