@@ -12,7 +12,9 @@
    full sets of their texts.
 5. Connected components of the confirmed links are found by alternating stars. Then all pairs that share a
    bucket, agree enough and still lie in different components are confirmed too: no link between
-   components is lost when a proposed pair fails.
+   components is lost when a proposed pair fails. These pairs can be very many in a group of copies near the
+   threshold, so they are never rows: a first pass names the representatives of each cell that have such a pair, a
+   second one gets their texts and confirms the pairs inside the cell, each pair in the first bucket that it shares.
 
 Chance of missing a pair at the threshold (0.75) in all bands: (1 - 0.75 ** 5) ** 40, about 2e-5; a lost
 pair matters only if no other path links the two.
@@ -154,74 +156,121 @@ def _forest(ids: np.ndarray, sketches: np.ndarray, side: np.ndarray | None, leas
     return pairs
 
 
-def _crossing(ids: np.ndarray, sketches: np.ndarray, side: np.ndarray | None, component: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """All pairs of different components that agree in enough bins."""
-    pairs = []
-    for k in range(len(ids) - 1):
-        rest = np.arange(k + 1, len(ids))
-        rest = rest[component[rest] != component[k]]
-        if side is not None:
-            rest = rest[side[rest] != side[k]]
-        if len(rest):
-            near = rest[_agreeing(sketches[rest], sketches[k]) >= least]
-            pairs.extend((int(ids[k]), int(ids[j])) for j in near)
-    return pairs
+def _crossing(rows: dict[str, np.ndarray], k: int, bucket: int, mixed: bool, least: int) -> np.ndarray:
+    """Rows after row k of a cell that are in another component, agree with it in enough bins, and share no earlier bucket."""
+    rest = np.arange(k + 1, len(rows["rep"]))
+    rest = rest[rows["component"][rest] != rows["component"][k]]
+    if mixed:
+        rest = rest[rows["part"][rest] != rows["part"][k]]
+    if not len(rest):
+        return rest
+    rest = rest[_agreeing(rows["sketch"][rest], rows["sketch"][k]) >= least]
+    own = rows["open"][k]
+    shared = (rows["open"][rest] == own) & (own != 0)
+    return rest[own[np.argmax(shared, axis=1)] == bucket]
+
+
+def _columns(batch: pa.RecordBatch, s: int, e: int) -> dict[str, np.ndarray]:
+    """A cell's rows as arrays."""
+    rows = batch.slice(s, e - s)
+    out = {c: rows.column(c).to_numpy() for c in ("rep", "part", "component")}
+    out["sketch"] = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(e - s, -1)
+    out["open"] = rows.column("open").flatten().to_numpy().reshape(e - s, -1)
+    return out
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch], handle) -> Iterator[pa.RecordBatch]:
+    """Calls ``handle(batch, start, end, bucket, mixed)`` for each cell of rows sorted by (bucket, cell); yields the batches
+    that it returns. A cell can go on in the next batch."""
+    held: list[pa.RecordBatch] = []
+
+    def cells(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        bucket, cell = rows.column("bucket").to_numpy(), rows.column("cell").to_numpy()
+        mixed = rows.column("mixed").to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.flatnonzero((np.diff(bucket) != 0) | (np.diff(cell) != 0)) + 1, [len(cell)]])
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if e - s > 1:
+                out = handle(rows, s, e, int(bucket[s]), bool(mixed[s]))
+                if out is not None:
+                    yield out
 
-
-def propose(members: DataFrame, every_crossing: bool, least: int = LEAST_AGREEING, chunk: int = CHUNK) -> DataFrame:
-    """Distinct pairs (a < b) from rows (bucket, n, rep, component, sketch)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs_of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            cell = rows.column("cell").to_numpy()
-            bucket = rows.column("bucket").to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero((np.diff(bucket) != 0) | (np.diff(cell) != 0)) + 1, [len(cell)]])
-            ids, part = rows.column("rep").to_numpy(), rows.column("part").to_numpy()
-            component, mixed = rows.column("component").to_numpy(), rows.column("mixed").to_numpy(zero_copy_only=False)
-            sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-            found: list[tuple[int, int]] = []
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                if e - s < 2:
-                    continue
-                side = part[s:e] if mixed[s] else None
-                if every_crossing:
-                    found += _crossing(ids[s:e], sketches[s:e], side, component[s:e], least)
-                else:
-                    found += _forest(ids[s:e], sketches[s:e], side, least)
-            if found:
-                a = np.array(found, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a.min(1)), pa.array(a.max(1))], ["a", "b"])
-
-        for batch in batches:           # a group of rows can go on in the next batch
-            if not batch.num_rows:
-                continue
-            bucket, cell = batch.column("bucket").to_numpy(), batch.column("cell").to_numpy()
-            last = np.flatnonzero((bucket != bucket[-1]) | (cell != cell[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and (held[-1].column("bucket")[-1].as_py() != int(bucket[0]) or held[-1].column("cell")[-1].as_py() != int(cell[0])):
-                yield from pairs_of(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held = []
-            if cut:
-                held.append(batch.slice(0, cut))
-                yield from pairs_of(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from pairs_of(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = F.ceil(F.col("n") / chunk).cast("int")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket, cell = batch.column("bucket").to_numpy(), batch.column("cell").to_numpy()
+        last = np.flatnonzero((bucket != bucket[-1]) | (cell != cell[-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if held and (held[-1].column("bucket")[-1].as_py() != int(bucket[0]) or held[-1].column("cell")[-1].as_py() != int(cell[0])):
+            yield from cells(held)
+            held = []
+        if cut:
+            yield from cells([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield from cells(held)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "bucket", "cell").sortWithinPartitions("bucket", "cell", "rep")
+
+
+def cells(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Rows with bucket, n and rep, each in every cell (pair of chunks of the bucket) that its chunk is part of."""
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)).cast("int")
     rows = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int"))
-    # Cells are the pairs of chunks; a row goes to each cell of its chunk.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bucket", "rep", "component", "sketch", "part", (F.col("part") != F.col("other")).alias("mixed_row"),
-                       (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).alias("cell"),
-                       (F.col("parts") > 1).alias("many"), "parts")
-    rows = rows.withColumn("mixed", F.col("many") & (F.floor(F.col("cell") / F.col("parts")) != F.col("cell") % F.col("parts")))
-    rows = rows.select("bucket", "cell", "mixed", "part", "rep", "component", "sketch")
-    return (rows.repartition(tasks, "bucket", "cell").sortWithinPartitions("bucket", "cell", "rep")
-                .mapInArrow(run, "a long, b long").distinct())
+    return (rows.withColumn("cell", F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
+                .withColumn("mixed", F.floor(F.col("cell") / F.col("parts")) != F.col("cell") % F.col("parts"))
+                .drop("n", "parts", "other"))
+
+
+def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int = CHUNK) -> DataFrame:
+    """Distinct pairs (a < b) of the buckets' spanning forests, from rows (bucket, n, rep, sketch)."""
+    def forest(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
+        part = rows.slice(s, e - s)
+        sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(e - s, -1)
+        pairs = _forest(part.column("rep").to_numpy(), sketches, part.column("part").to_numpy() if mixed else None, least)
+        a = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(a.min(1)), pa.array(a.max(1))], ["a", "b"]) if len(a) else None
+
+    return _dealt(cells(members, chunk)).mapInArrow(lambda batches: _by_cell(batches, forest), "a long, b long").distinct()
+
+
+def crossing_links(members: DataFrame, texts: DataFrame, least: int = LEAST_AGREEING, chunk: int = CHUNK) -> DataFrame:
+    """Links (a, b) between components, from rows (bucket, n, rep, component, sketch, open): ``open`` has the keys of the
+    representative's buckets by band, 0 for those that need no look."""
+    def named(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
+        cell, wanted = _columns(rows, s, e), np.zeros(e - s, bool)
+        for k in range(e - s - 1):
+            near = _crossing(cell, k, bucket, mixed, least)
+            if len(near):
+                wanted[k] = True
+                wanted[near] = True
+        return rows.slice(s, e - s).filter(pa.array(wanted)) if wanted.any() else None
+
+    def linked(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
+        cell = _columns(rows, s, e)
+        sets = [t for part in text_slices(rows.slice(s, e - s).select(["text"])) for t in shingle_sets(*buffer_of(part.column("text")))]
+        links, component = [], cell["component"].copy()
+        cell["component"] = component       # follows the links found here
+        for k in range(e - s - 1):
+            for j in _crossing(cell, k, bucket, mixed, least).tolist():
+                if component[j] != component[k]:        # not yet joined by a link of this cell
+                    common = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+                    if common and 100 * common >= PERCENT * (len(sets[k]) + len(sets[j]) - common):
+                        links.append(sorted((int(cell["rep"][k]), int(cell["rep"][j]))))
+                        component[component == component[j]] = component[k]
+        a = np.array(links, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"]) if len(a) else None
+
+    columns = ["bucket", "cell", "mixed", "part", "rep", "component", "sketch", "open"]
+    rows = cells(members, chunk).select(*columns)
+    found = _dealt(rows).mapInArrow(lambda batches: _by_cell(batches, named), rows.schema)
+    return _dealt(found.join(texts, "rep").select(*columns, "text")).mapInArrow(
+        lambda batches: _by_cell(batches, linked), "a long, b long").distinct()
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,19 +335,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = full.groupBy("n", "first", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     members = materialise(rows.join(buckets, "bucket").select("bucket", "n", "rep"), "members")
     reps = materialise(members.select("rep").distinct(), "reps")
-    sketches = materialise(classes.join(reps, "rep").select("rep", "sketch"), "sketches")
+    sketches = materialise(classes.join(reps, "rep").select("rep", "sketch", "bands"), "sketches")
     texts = materialise(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep"), "texts")
 
-    first = propose(members.withColumn("component", F.col("rep")).join(sketches, "rep"), every_crossing=False)
-    checked = materialise(confirm(first, texts), "checked")
-    links = checked.where("linked").select("a", "b")
+    first = propose(members.join(sketches.select("rep", "sketch"), "rep"))
+    links = materialise(confirm(first, texts).where("linked").select("a", "b"), "links")
     labels = components(links)
 
     now = members.join(labels, members["rep"] == labels["node"], "left").select(
         "bucket", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    open_buckets = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = propose(now.join(open_buckets, "bucket").join(sketches, "rep"), every_crossing=True).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialise(confirm(rest, texts).where("linked").select("a", "b"), "links")
+    unsettled = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    now = materialise(now.join(unsettled, "bucket"), "unsettled")
+    own = now.groupBy("rep").agg(F.collect_set("bucket").alias("own"))      # one bucket per band at most
+    keys = sketches.join(own, "rep").select("rep", "sketch", F.transform(
+        "bands", lambda k: F.when(F.array_contains("own", k), k).otherwise(0)).alias("open"))
+    more = materialise(crossing_links(now.join(keys, "rep"), texts), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 

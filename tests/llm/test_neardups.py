@@ -69,10 +69,16 @@ def test_hot_group(spark):
 
 
 def test_chunks_of_a_large_bucket(spark, monkeypatch):
-    texts = near_copies(seed=4)
-    whole = neardups.propose
-    monkeypatch.setattr(neardups, "propose", lambda members, every_crossing: whole(members, every_crossing, chunk=16))
-    check(spark, texts)
+    propose, crossing = neardups.propose, neardups.crossing_links
+    monkeypatch.setattr(neardups, "propose", lambda members: propose(members, chunk=16))
+    monkeypatch.setattr(neardups, "crossing_links", lambda members, texts: crossing(members, texts, chunk=16))
+    check(spark, near_copies(seed=4))
+
+
+def test_links_that_no_proposed_pair_finds(spark, monkeypatch):
+    """Without any proposed pair, the second pass alone finds all links."""
+    monkeypatch.setattr(neardups, "propose", lambda members: members.sparkSession.createDataFrame([], "a long, b long"))
+    check(spark, near_copies(n=80, seed=6))
 
 
 def test_awkward_rows(spark):
