@@ -43,6 +43,19 @@ def slice_daily(daily: DataFrame, tickers: Sequence[str] | None = None,
     return out
 
 
+def slice_category(daily: DataFrame, companies: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """The category slicer filters the dimension, which filters the series."""
+    chosen = companies.where(F.col("category").isin(list(categories))).select("ticker")
+    return daily.join(chosen, "ticker", "left_semi")
+
+
+def leading_categories(perf: DataFrame, n: int = 3) -> DataFrame:
+    """T5: the ``n`` categories with the highest average return, ordered by the aggregate — the limit is the feature."""
+    return (perf.groupBy("category").agg(F.avg("yoy_return_pct").alias("_avg"), F.count("yoy_return_pct").alias("stocks"))
+            .orderBy(F.col("_avg").desc_nulls_last(), "category").limit(n)
+            .select("category", X.to_dec("_avg").alias("avg_yoy_return_pct"), "stocks"))
+
+
 def period_returns(daily: DataFrame, grain: str = "year") -> DataFrame:
     """Local and home-currency return from the first to the last close of each
     (period, ticker), and the currency effect (FIRSTDATE/LASTDATE in context)."""

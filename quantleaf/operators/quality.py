@@ -42,8 +42,15 @@ def previous_trading_day(as_of: dt.date) -> dt.date:
     return d
 
 
+def counts_against_expected(tables: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """V3: row count of each table against ``expected`` (table_name, expected_rows)."""
+    return (row_counts(tables).join(expected, "table_name", "left")
+            .select("table_name", "row_count", "expected_rows", F.col("row_count").eqNullSafe(F.col("expected_rows")).alias("as_expected")))
+
+
 def freshness(df: DataFrame, key: str, as_of: dt.date, date_col: str = "trade_date") -> DataFrame:
-    """V5: last date per key against the previous trading day before ``as_of``."""
+    """V5: last date per key against the previous trading day before ``as_of`` — the day of the check, given by the
+    caller: a feed that has stopped is behind it."""
     expected = previous_trading_day(as_of)
     return (df.groupBy(key).agg(F.max(date_col).alias("last_date"))
             .select(key, "last_date", F.lit(expected).alias("expected_date"),

@@ -22,7 +22,7 @@ from quantleaf.operators import quality as Q
 from quantleaf.operators import silver as S
 from quantleaf.operators.windows import latest_by_key
 from quantleaf.plans import refresh as P
-from quantleaf.plans.oracle import avg_dec, with_ctes
+from quantleaf.plans.oracle import BASE_CTES, avg_dec, with_ctes
 from quantleaf.sources import ingest as I
 from quantleaf.sources import proxy
 
@@ -623,7 +623,7 @@ def proxy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("ticker", "fetch_seq", "exchange", "currency")
             .agg(F.collect_list(quote).alias("values")))
     return docs.select(
-        I.vendor_symbol(F.col("ticker"), F.col("exchange")).alias("symbol"), "exchange", "currency",
+        I.price_symbol(F.col("ticker")).alias("symbol"), I.price_exchange(F.col("exchange")).alias("exchange"), "currency",
         # wall-clock time of the fetch (epoch + seconds) as TIMESTAMP_NTZ: no session time zone
         F.date_format(F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, fetch_seq)"),
                       "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
@@ -1009,3 +1009,141 @@ def q_layer_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
               "gold_stock_performance": P.stock_performance(L.gold())}
     return Q.layer_listing(tables, {"silver_stock_prices": "silver", "silver_forex_rates": "silver",
                                     "gold_stock_performance": "gold"})
+
+
+# ----------------------------------------------------------------------------- options, slicers, refresh
+
+@register("gold_currency_adjusted_returns_one", _oracle(_GOLD_BASE, [_STATS_SQL, _FXS_SQL, _CUR_SQL.replace(
+    "THEN 1 ELSE start_rate END", "THEN 1 ELSE coalesce(start_rate, 1) END").replace(
+    "THEN 1 ELSE end_rate END", "THEN 1 ELSE coalesce(end_rate, 1) END")], "SELECT * FROM cur"))
+def q_currency_adjusted_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 with ``fx_start_default_one``: a missing rate counts as 1."""
+    return P.currency_adjusted(layers(spark, sf_dir, EngineConfig(fx_start_default_one=True)).gold())
+
+
+_MIN_OBS = 930
+
+
+@register("gold_correlation_min_obs", _oracle(["silver_prices", "companies"], [_CORR_SQL.replace(
+    "GROUP BY ALL)", f"GROUP BY a.ticker, b.ticker HAVING count(*) > {_MIN_OBS})")], _CORR_TAIL))
+def q_correlation_min_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 over pairs with more than ``min_obs`` common days."""
+    return P.correlation(layers(spark, sf_dir, EngineConfig(min_obs=_MIN_OBS)).gold())
+
+
+@register("leading_categories", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], f"""
+SELECT category, {avg_dec('yoy_return_pct', 4, 'avg_yoy_return_pct')}, COUNT(yoy_return_pct) AS stocks
+FROM perf GROUP BY category ORDER BY 2 DESC NULLS LAST, 1 LIMIT 3"""))
+def q_leading_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: ORDER BY an aggregate, top 3."""
+    return M.leading_categories(P.stock_performance(layers(spark, sf_dir).gold()))
+
+
+_SLICED = """trade_date BETWEEN DATE '1995-03-01' AND DATE '1999-10-31' AND year(trade_date) IN (1995, 1997, 1999)
+    AND ticker IN (SELECT ticker FROM companies WHERE category IN ('CAT_1', 'CAT_2'))"""
+
+
+@register("period_returns_sliced", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL.replace("FROM daily", f"FROM daily WHERE {_SLICED}")], """
+SELECT period, ticker, first_close, last_close, local_return_pct, inr_return_pct,
+       CAST(inr_return_pct - local_return_pct AS DECIMAL(18,4)) AS currency_impact_pct
+FROM pr"""))
+def q_period_returns_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15–M17 under the dashboard's slicers: category, years and date range."""
+    import datetime as dt
+    L = layers(spark, sf_dir)
+    daily = M.slice_daily(_daily(L), None, [1995, 1997, 1999], dt.date(1995, 3, 1), dt.date(1999, 10, 31))
+    return M.period_returns(M.slice_category(daily, L.silver.companies, ["CAT_1", "CAT_2"]))
+
+
+@register("price_volume_sliced", _oracle(["silver_prices"], [], """
+SELECT ticker, trade_date, close_price, volume FROM silver_prices
+WHERE ticker IN ('Brand#11', 'Brand#12', 'Brand#3') AND trade_date >= DATE '1996-01-01' AND trade_date <= DATE '1998-12-31'"""))
+def q_price_volume_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M25 for chosen tickers and dates: the slicers reach the silver scan."""
+    import datetime as dt
+    return M.price_volume_series(layers(spark, sf_dir).silver.prices, ["Brand#11", "Brand#12", "Brand#3"],
+                                 dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+
+
+@register("forex_trend_sliced", _oracle(["silver_forex"], [], """
+SELECT currency_pair, trade_date, close_rate, daily_change_pct FROM silver_forex
+WHERE currency_pair IN ('USD/INR', 'JPY/INR') AND trade_date >= DATE '1996-01-01' AND trade_date <= DATE '1997-06-30'"""))
+def q_forex_trend_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M26 for chosen pairs and dates."""
+    import datetime as dt
+    return M.forex_trend(layers(spark, sf_dir).silver.forex, ["USD/INR", "JPY/INR"], dt.date(1996, 1, 1), dt.date(1997, 6, 30))
+
+
+@register("freshness_given_date", _oracle(["silver_prices"], [], """
+SELECT ticker, MAX(trade_date) AS last_date, DATE '2024-05-31' AS expected_date,
+       CAST(DATE '2024-05-31' - MAX(trade_date) AS INTEGER) AS days_behind, MAX(trade_date) >= DATE '2024-05-31' AS is_fresh
+FROM silver_prices GROUP BY ticker"""))
+def q_freshness_given_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 on a given day (a Monday; the Friday before is expected): a stopped feed is reported."""
+    import datetime as dt
+    return Q.freshness(layers(spark, sf_dir).silver.prices, "ticker", dt.date(2024, 6, 3))
+
+
+_EXPECTED_SQL = """
+, n AS (SELECT (SELECT COUNT(*) FROM companies) AS c, (SELECT COUNT(DISTINCT category) FROM companies) AS cat,
+               (SELECT COUNT(DISTINCT region) FROM companies) AS reg,
+               (SELECT COUNT(*) FROM (SELECT DISTINCT ticker, trade_date FROM bronze_prices)) AS px,
+               (SELECT COUNT(*) FROM (SELECT DISTINCT currency_pair, trade_date FROM bronze_forex)) AS fx,
+               (SELECT COUNT(DISTINCT ticker) FROM bronze_fund) AS fund,
+               (SELECT COUNT(*) FROM daily) AS d, (SELECT COUNT(*) FROM paired) AS pairs),
+t AS (SELECT unnest([{'t': 'silver_stock_prices', 'n': px, 'e': px}, {'t': 'silver_forex_rates', 'n': fx, 'e': fx},
+                     {'t': 'silver_stock_fundamentals', 'n': fund, 'e': fund}, {'t': 'gold_stock_performance', 'n': c, 'e': c},
+                     {'t': 'gold_currency_adjusted_returns', 'n': c, 'e': c}, {'t': 'gold_dividend_analysis', 'n': c, 'e': c},
+                     {'t': 'gold_category_performance', 'n': cat, 'e': cat}, {'t': 'gold_region_performance', 'n': reg, 'e': reg},
+                     {'t': 'gold_daily_inr_returns', 'n': d, 'e': px}, {'t': 'gold_correlation_matrix', 'n': pairs, 'e': c * (c - 1) // 2}]) AS r FROM n)
+SELECT r.t AS table_name, r.n AS row_count, CAST(r.e AS BIGINT) AS expected_rows, r.n = r.e AS as_expected FROM t"""
+
+
+@register("refresh_all_counts", with_ctes(_GOLD_BASE, [_DAILY_SQL, _CORR_SQL]).rstrip() + _EXPECTED_SQL)
+def q_refresh_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole refresh written to tables; each table's rows against the number expected from bronze."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    b = proxy.load(spark, sf_dir)
+    out = scratch_path(spark, f"refresh-{uuid.uuid4().hex}")
+    gold = P.refresh_all(spark, b, out)
+    tables = {n: spark.read.parquet(f"{out}/silver/{n}") for n in P.SILVER_TABLES[:3]}
+    tables |= {n: spark.read.parquet(path) for n, path in gold.items()}
+    # Dimension and key counts of bronze: a handful of scalars.
+    c = b.companies.agg(F.count(F.lit(1)).alias("c"), F.countDistinct("category").alias("cat"), F.countDistinct("region").alias("reg"))
+    px = b.prices.agg(F.countDistinct("ticker", "trade_date").alias("px"))
+    fx = b.forex.agg(F.countDistinct("currency_pair", "trade_date").alias("fx"))
+    fund = b.fundamentals.agg(F.countDistinct("ticker").alias("fund"))
+    counts = {k: v for df in (c, px, fx, fund) for k, v in df.first().asDict().items()}
+    expected = {"silver_stock_prices": counts["px"], "silver_forex_rates": counts["fx"], "silver_stock_fundamentals": counts["fund"],
+                "gold_stock_performance": counts["c"], "gold_currency_adjusted_returns": counts["c"], "gold_dividend_analysis": counts["c"],
+                "gold_category_performance": counts["cat"], "gold_region_performance": counts["reg"],
+                "gold_daily_inr_returns": counts["px"], "gold_correlation_matrix": counts["c"] * (counts["c"] - 1) // 2}
+    return Q.counts_against_expected(tables, spark.createDataFrame(list(expected.items()), "table_name string, expected_rows long"))
+
+
+# Stored bronze has no line numbers: its fetch order is the fetch time, then the quoted values.
+_STORED = [BASE_CTES["silver_prices"].replace("'line': l_linenumber, 'part': l_partkey, 'supp': l_suppkey, 'open_price': open_price,", (
+    "'close_price': close_price, 'volume': volume, 'open_price': open_price,")).replace("'low_price': low_price, 'close_price': close_price, 'volume': volume,",
+                                                                                        "'low_price': low_price,")]
+
+
+@register("gold_from_stored_bronze", "WITH " + ",\n".join(x.strip() for x in (
+    [BASE_CTES["bronze_prices"], BASE_CTES["companies"], BASE_CTES["currency_map"], BASE_CTES["bronze_forex"], BASE_CTES["bronze_fund"], *_STORED,
+     BASE_CTES["silver_forex"], BASE_CTES["silver_fund"], BASE_CTES["as_of"], _STATS_SQL, _PERF_SQL])) + "\nSELECT * FROM perf")
+def q_gold_from_stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze tables as stored Parquet with the declared schemas, seeds as CSV files; M6 from them."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    from quantleaf.sources import bronze as stored
+    from quantleaf.sources import seeds
+    root = scratch_path(spark, f"bronze-{uuid.uuid4().hex}")
+    q_ingest_payload(spark, sf_dir).write.parquet(f"{root}/bronze_stock_prices")
+    q_ingest_forex_payload(spark, sf_dir).write.parquet(f"{root}/bronze_forex_rates")
+    q_ingest_fundamentals_payload(spark, sf_dir).write.parquet(f"{root}/bronze_stock_fundamentals")
+    proxy.companies(spark, sf_dir).write.option("header", True).csv(f"{root}/companies")
+    seeds.currency_map(spark).write.option("header", True).csv(f"{root}/currency_map")
+    b = stored.load(spark, root, companies_csv=f"{root}/companies", currency_map_csv=f"{root}/currency_map")
+    return P.stock_performance(P.gold_inputs(P.build_silver(b, EngineConfig(), cut_lineage=True), EngineConfig()))

@@ -15,6 +15,7 @@ import hashlib
 import logging
 import os
 import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,22 +71,39 @@ _FILE_ORDER = {"silver_stock_prices": ["ticker", "trade_date"],
 def _laid_out(name: str, df: DataFrame) -> DataFrame:
     cols = _FILE_ORDER.get(name)
     return df.sortWithinPartitions(*cols) if cols else df
-_SOURCE_FILES = ["operators/silver.py", "operators/windows.py", "sources/proxy.py", "sources/seeds.py",
-                 "schemas.py", "config.py"]
+# Raise when the meaning of a stored silver table changes: older builds are then not read.
+SILVER_VERSION = 2
 _AS_OF: dict[str, dt.date] = {}
 
 
-def _fingerprint(inputs: list[str], cfg: EngineConfig) -> str:
-    """Identity of a silver build: input files (path, size, mtime), the cleaning code, the config."""
-    h = hashlib.sha256(repr((sorted(cfg.minor_units.items()), sorted((cfg.minor_units_by_ticker or {}).items()),
+def _file_states(spark: SparkSession, path: str) -> list[str] | None:
+    """Path, size and time of every file below ``path`` on any Hadoop file system; None if it can't be told."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+        out = []
+        while found.hasNext():
+            f = found.next()
+            out.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        return sorted(out)
+    except Exception:       # no such path, no Hadoop access (Spark Connect): the build is not reused
+        return None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    return bool(_file_states(spark, path))
+
+
+def _fingerprint(spark: SparkSession, inputs: list[str], cfg: EngineConfig) -> str | None:
+    """Identity of a silver build: the inputs' files, the version of the cleaning code, the config; None: unknown."""
+    h = hashlib.sha256(repr((SILVER_VERSION, sorted(cfg.minor_units.items()), sorted((cfg.minor_units_by_ticker or {}).items()),
                              cfg.bucket_days)).encode())
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for rel in _SOURCE_FILES:
-        with open(os.path.join(root, rel), "rb") as f:
-            h.update(f.read())
     for p in sorted(inputs):
-        st = os.stat(p) if os.path.exists(p) else None
-        h.update(f"{p}:{st.st_size if st else -1}:{st.st_mtime_ns if st else -1}".encode())
+        states = _file_states(spark, p)
+        if not states:
+            return None
+        h.update("\n".join(states).encode())
     return h.hexdigest()[:20]
 
 
@@ -103,10 +121,11 @@ def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig,
     interrupted build is redone, never half-read. Plans for missing tables only
     are built.
     """
-    base = os.path.join(root, "silver-" + _fingerprint(inputs, cfg))
+    # Inputs that can't be identified get a build of their own, used for this call only.
+    base = os.path.join(root, "silver-" + (_fingerprint(spark, inputs, cfg) or uuid.uuid4().hex))
     key = (spark.conf.get("spark.app.id", ""), base)
     with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
-        missing = [n for n in SILVER_TABLES if not os.path.exists(os.path.join(base, n, "_SUCCESS"))]
+        missing = [n for n in SILVER_TABLES if not _exists(spark, os.path.join(base, n, "_SUCCESS"))]
         if missing:
             s = build_silver(bronze, cfg, cut_lineage=True)
             frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))

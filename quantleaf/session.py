@@ -48,11 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster it comes from ``spark.checkpoint.dir`` (a shared file system
-    every executor can reach). Only when the setting is absent — local tests —
-    is a scratch folder created and registered.
+    every executor can reach). Only in local mode, where driver and executors are
+    one process, is a scratch folder created when the setting is absent.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quantleaf-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

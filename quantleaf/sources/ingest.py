@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from quantleaf import schemas
 
 # --- fixed values: vendor symbol conventions --------------------------------------
-# database ticker → symbol used by the price API
+# database ticker → symbol used by both APIs
 API_SYMBOL = {"VOW": "VOW3"}
-# exchange → suffix used by the quote vendor's symbols
+# price API: database exchange → exchange code of the call (the symbol is bare)
+PRICE_EXCHANGE = {"XETRA": "XETR"}
+# fundamentals API: exchange → suffix of the symbol (no exchange in the call)
 EXCHANGE_SUFFIX = {"LSE": ".L", "NSE": ".NS", "XETRA": ".DE"}
 # --- end of fixed values -----------------------------------------------------------
 
@@ -30,14 +32,34 @@ def _lookup(mapping: dict[str, str], key: Column) -> Column:
     return F.coalesce(m[key], key)
 
 
+def price_symbol(ticker: Column) -> Column:
+    """Database ticker → symbol of a price call (S7): the API symbol, without a suffix."""
+    return _lookup(API_SYMBOL, ticker)
+
+
+def price_exchange(exchange: Column) -> Column:
+    """Database exchange → exchange code of a price call."""
+    return _lookup(PRICE_EXCHANGE, exchange)
+
+
+def exchange_of(code: Column) -> Column:
+    """Exchange code of a price payload → database exchange."""
+    return _lookup({v: k for k, v in PRICE_EXCHANGE.items()}, code)
+
+
+def price_ticker(symbol: Column) -> Column:
+    """Symbol of a price payload → database ticker: bare symbols, a dot belongs to the ticker."""
+    return _lookup({v: k for k, v in API_SYMBOL.items()}, symbol)
+
+
 def vendor_symbol(ticker: Column, exchange: Column) -> Column:
-    """Database ticker → vendor symbol (S7): API symbol plus exchange suffix."""
+    """Database ticker → symbol of a fundamentals call (S7): API symbol plus exchange suffix."""
     suffix = F.create_map(*[F.lit(x) for kv in EXCHANGE_SUFFIX.items() for x in kv])[exchange]
     return F.concat(_lookup(API_SYMBOL, ticker), F.coalesce(suffix, F.lit("")))
 
 
 def ticker_of(symbol: Column) -> Column:
-    """Vendor symbol → database ticker (S7, F17): strip the suffix, undo the API symbol map."""
+    """Symbol of a fundamentals payload → database ticker (S7, F17): strip the suffix, undo the API symbol map."""
     bare = F.regexp_replace(symbol, _SUFFIX_RE, "")
     return _lookup({v: k for k, v in API_SYMBOL.items()}, bare)
 
@@ -53,28 +75,29 @@ def payloads_from_strings(df: DataFrame, col: str = "value", schema=None) -> Dat
             .select("p.*"))
 
 
-def parse_price_payloads(payloads: DataFrame) -> DataFrame:
-    """Payload documents → bronze price rows (one per value entry)."""
+def parse_price_payloads(payloads: DataFrame, ingested_at=None) -> DataFrame:
+    """Payload documents → bronze price rows (one per value entry). ``ingested_at`` (a timestamp) stands in where a
+    document has no fetch time (S12); without it such rows have none."""
     d4 = schemas.D18_4
     v = payloads.select("symbol", "exchange", "currency", "fetched_at", F.explode("values").alias("v"))
     return v.select(
-        ticker_of(F.col("symbol")).alias("ticker"),
+        price_ticker(F.col("symbol")).alias("ticker"),
         F.to_date(F.col("v.datetime")).alias("trade_date"),
         F.col("v.open").cast(d4).alias("open_price"),
         F.col("v.high").cast(d4).alias("high_price"),
         F.col("v.low").cast(d4).alias("low_price"),
         F.col("v.close").cast(d4).alias("close_price"),
         F.col("v.volume").cast("bigint").alias("volume"),
-        "exchange", "currency",
-        _fetched().alias("api_fetched_at"))
+        exchange_of(F.col("exchange")).alias("exchange"), "currency",
+        _fetched(ingested_at).alias("api_fetched_at"))
 
 
-def _fetched(col: str = "fetched_at") -> Column:
-    # A payload without a fetch time gets the ingest time (the table default)
-    return F.coalesce(F.to_timestamp_ntz(F.col(col)), F.localtimestamp())
+def _fetched(ingested_at=None, col: str = "fetched_at") -> Column:
+    # The table default is the time of the ingest, which the caller passes in
+    return F.coalesce(F.to_timestamp_ntz(F.col(col)), F.lit(ingested_at).cast("timestamp_ntz"))
 
 
-def parse_forex_payloads(payloads: DataFrame) -> DataFrame:
+def parse_forex_payloads(payloads: DataFrame, ingested_at=None) -> DataFrame:
     """FX payload documents (schemas.FOREX_PAYLOAD) → bronze FX rows."""
     d6 = schemas.D18_6
     v = payloads.select("symbol", "fetched_at", F.explode("values").alias("v"))
@@ -82,10 +105,10 @@ def parse_forex_payloads(payloads: DataFrame) -> DataFrame:
         F.col("symbol").alias("currency_pair"),
         F.to_date(F.col("v.datetime")).alias("trade_date"),
         *[F.col(f"v.{k}").cast(d6).alias(f"{k}_rate") for k in ("open", "high", "low", "close")],
-        _fetched().alias("api_fetched_at"))
+        _fetched(ingested_at).alias("api_fetched_at"))
 
 
-def parse_fundamental_payloads(payloads: DataFrame) -> DataFrame:
+def parse_fundamental_payloads(payloads: DataFrame, ingested_at=None) -> DataFrame:
     """Fundamentals payload documents (schemas.FUNDAMENTALS_PAYLOAD) → bronze rows;
     vendor symbols are mapped back to tickers."""
     types = {f.name: f.dataType for f in schemas.BRONZE_FUNDAMENTALS.fields}
@@ -93,7 +116,7 @@ def parse_fundamental_payloads(payloads: DataFrame) -> DataFrame:
         ticker_of(F.col("symbol")).alias("ticker"),
         F.to_date(F.col("report_date")).alias("report_date"),
         *[F.col(c).cast(types[c]).alias(c) for c in schemas.FUNDAMENTAL_COLUMNS],
-        _fetched().alias("api_fetched_at"))
+        _fetched(ingested_at).alias("api_fetched_at"))
 
 
 def newer_than_stored(stored: DataFrame, arriving: DataFrame, key: str = "ticker",

@@ -150,7 +150,9 @@ def test_daily_inr_returns_policies(world):
             G.daily_inr_returns(w["prices"], w["fx"], w["companies"], w["cmap"], asof, dense).collect()}
     assert out2[("A", dt.date(2024, 6, 30))].forex_rate == D("83.00")   # last quote 2024-06-28
     assert out2[("A", dt.date(2025, 6, 30))].forex_rate == D("86.00")
-    assert out2[("A", dt.date(2024, 6, 1))].forex_rate == D("1.00")     # before the first quote
+    early = out2[("A", dt.date(2024, 6, 1))]                            # before the first quote: no rate, no value
+    assert early.forex_rate is None and early.close_price_inr is None and early.close_price is not None
+    assert out2[("B", dt.date(2025, 6, 30))].forex_rate == D("1.00")    # home currency
 
 
 def test_stored_procedure_variant(world):

@@ -36,7 +36,7 @@ def test_symbol_mapping(spark):
 
 
 def test_parse_payload_files(spark, tmp_dir):
-    land(tmp_dir, [payload("VOW3.DE", "XETRA", "EUR", "2025-01-03 02:30:00",
+    land(tmp_dir, [payload("VOW3", "XETR", "EUR", "2025-01-03 02:30:00",
                            [("2025-01-02", "90.1234"), ("2025-01-03", "91.5")])])
     rows = I.parse_price_payloads(I.read_price_payloads(spark, tmp_dir)).collect()
     assert {(r.ticker, r.trade_date, r.close_price) for r in rows} == {
@@ -57,10 +57,10 @@ def test_newer_and_anti(spark):
 
 def test_streaming_ingest_is_idempotent(spark, tmp_dir):
     landing, bronze, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "bronze", "ckpt"))
-    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-02 00:00:00", [("2025-01-02", "600")])])
+    land(landing, [payload("RR", "LSE", "GBp", "2025-01-02 00:00:00", [("2025-01-02", "600")])])
     run_price_ingest(spark, landing, bronze, ckpt)
     # the same quote re-delivered in a new file, plus a new day
-    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-03 00:00:00",
+    land(landing, [payload("RR", "LSE", "GBp", "2025-01-03 00:00:00",
                            [("2025-01-02", "600"), ("2025-01-03", "610")])])
     run_price_ingest(spark, landing, bronze, ckpt)
     run_price_ingest(spark, landing, bronze, ckpt)   # nothing new: no-op
@@ -156,10 +156,10 @@ def test_slicers(spark):
 
 def test_streaming_newer_mode_uses_watermarks(spark, tmp_dir):
     landing, bronze, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "bronze", "ckpt"))
-    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-03 00:00:00", [("2025-01-03", "600")])])
+    land(landing, [payload("RR", "LSE", "GBp", "2025-01-03 00:00:00", [("2025-01-03", "600")])])
     run_price_ingest(spark, landing, bronze, ckpt, mode="newer")
     # an older day arrives later: not newer than what is stored → dropped; a newer day is kept
-    land(landing, [payload("RR.L", "LSE", "GBp", "2025-01-05 00:00:00",
+    land(landing, [payload("RR", "LSE", "GBp", "2025-01-05 00:00:00",
                            [("2025-01-02", "590"), ("2025-01-04", "610")])])
     run_price_ingest(spark, landing, bronze, ckpt, mode="newer")
     got = sorted(r.trade_date for r in bronze_rows(spark, bronze).collect())
@@ -168,11 +168,13 @@ def test_streaming_newer_mode_uses_watermarks(spark, tmp_dir):
     assert marks.d == dt.date(2025, 1, 4)
 
 
-def test_missing_fetch_time_defaults_to_ingest_time(spark, tmp_dir):
+def test_missing_fetch_time_defaults_to_given_ingest_time(spark, tmp_dir):
+    import datetime as dt
+    at = dt.datetime(2025, 1, 4, 3, 0)
     land(tmp_dir, [{"symbol": "CEG", "exchange": "NASDAQ", "currency": "USD",
                     "values": [{"datetime": "2025-01-02", "close": "10", "volume": "1"}]}])
-    r = I.parse_price_payloads(I.read_price_payloads(spark, tmp_dir)).first()
-    assert r.api_fetched_at is not None and r.close_price == D("10.0000") and r.open_price is None
+    r = I.parse_price_payloads(I.read_price_payloads(spark, tmp_dir), at).first()
+    assert r.api_fetched_at == at and r.close_price == D("10.0000") and r.open_price is None
 
 
 def test_refresh_all_sp_variant(spark, tmp_dir):
@@ -223,3 +225,40 @@ def test_pair_count_and_layer_listing(spark):
     t = spark.createDataFrame([(1, "x")], "id int, name string")
     lst = Q.layer_listing({"t": t}, {"t": "silver"}).first()
     assert (lst.layer, lst.table_name, lst.row_count, lst.column_count, lst.columns) == ("silver", "t", 1, 2, "id, name")
+
+
+def _price_doc(ticker, date, close, fetched="2024-01-01 00:00:00"):
+    import json
+    return json.dumps({"symbol": ticker, "exchange": "XETR", "currency": "EUR", "fetched_at": fetched, "values": [
+        {"datetime": date, "open": "1", "high": "1", "low": "1", "close": close, "volume": "1"}]})
+
+
+def test_new_checkpoint_and_second_feed_keep_stored_rows(spark, tmp_dir):
+    """Batch numbers start again with a new checkpoint; the stored rows must stay."""
+    import os
+    for k in ("a", "b"):
+        os.makedirs(f"{tmp_dir}/{k}")
+    bronze = f"{tmp_dir}/bronze"
+    with open(f"{tmp_dir}/a/1.json", "w") as f:
+        f.write(_price_doc("VOW3", "2024-01-02", "10"))
+    run_price_ingest(spark, f"{tmp_dir}/a", bronze, f"{tmp_dir}/c1")
+    with open(f"{tmp_dir}/b/1.json", "w") as f:
+        f.write(_price_doc("VOW3", "2024-01-02", "99") + "\n" + _price_doc("BP.A", "2024-01-03", "11"))
+    run_price_ingest(spark, f"{tmp_dir}/b", bronze, f"{tmp_dir}/c2")       # another feed, batch 0 again
+    run_price_ingest(spark, f"{tmp_dir}/a", bronze, f"{tmp_dir}/c3")       # the first feed from a reset checkpoint
+    got = sorted((r.ticker, str(r.trade_date), float(r.close_price), r.exchange) for r in bronze_rows(spark, bronze).collect())
+    assert got == [("BP.A", "2024-01-03", 11.0, "XETRA"), ("VOW", "2024-01-02", 10.0, "XETRA")]
+
+
+def test_price_symbols_are_bare_and_fetch_time_is_given(spark):
+    import datetime as dt
+
+    from quantleaf.sources import ingest as I
+    docs = spark.createDataFrame([(_price_doc("VOW3", "2024-01-02", "10", None),), (_price_doc("ABC.DE", "2024-01-02", "10"),)], "value string")
+    at = dt.datetime(2024, 5, 1, 12, 0)
+    rows = {r.ticker: r for r in I.parse_price_payloads(I.payloads_from_strings(docs), at).collect()}
+    assert set(rows) == {"VOW", "ABC.DE"} and rows["VOW"].api_fetched_at == at
+    assert {r.api_fetched_at for r in I.parse_price_payloads(I.payloads_from_strings(docs)).collect()} == {None, dt.datetime(2024, 1, 1)}
+    sym = spark.createDataFrame([("VOW", "XETRA"), ("BP", "LSE")], "t string, e string").select(
+        I.price_symbol(F.col("t")).alias("p"), I.price_exchange(F.col("e")).alias("x"), I.vendor_symbol(F.col("t"), F.col("e")).alias("f"))
+    assert [tuple(r) for r in sym.collect()] == [("VOW3", "XETR", "VOW3.DE"), ("BP", "LSE", "BP.L")]

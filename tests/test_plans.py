@@ -51,8 +51,16 @@ def test_lag_window_partitioned_by_ticker_and_bucket(spark):
     assert "partial_max_by" in p
 
 
-def test_daily_inr_only_seed_broadcast_is_explicit(spark):
-    from quantleaf.operators import gold
-    import inspect
-    src = inspect.getsource(gold)
-    assert src.count("F.broadcast(") == 2 and src.count("fixed-size seed") == 2
+def test_daily_inr_forces_no_broadcast(spark):
+    """The currency map can come from any file: its join follows the planner's size checks."""
+    from quantleaf.plans import catalog
+    L = catalog.layers(spark, "/root/testdata/sf0.001")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        plan = catalog._daily(L)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
