@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantleaf.functions import exprs as X
-from quantleaf.operators.ranking import rank_by, top_by
+from quantleaf.operators.ranking import rank_by
+from quantleaf.session import checkpointed
 
 
 def _period(grain: str, d: Column) -> Column:
@@ -96,12 +97,15 @@ def category_period_volatility(daily: DataFrame, companies: DataFrame, grain: st
 def best_worst_stock(daily: DataFrame, companies: DataFrame, grain: str = "year",
                      measure: str = "local_return_pct") -> DataFrame:
     """TOPN(1) best and worst ticker per (period, category); ties are all kept."""
-    pr = (period_returns(daily, grain).join(companies.select("ticker", "category"), "ticker", "inner")
-          .where(F.col(measure).isNotNull())
-          .select("period", "category", "ticker", F.col(measure).alias("return_pct")))
-    best = top_by(pr, "return_pct", ["period", "category"], descending=True).withColumn("kind", F.lit("best"))
-    worst = top_by(pr, "return_pct", ["period", "category"], descending=False).withColumn("kind", F.lit("worst"))
-    return best.unionByName(worst).select("period", "category", "kind", "ticker", "return_pct")
+    # One row per (period, ticker), stored once: the series is scanned once, not for every use below.
+    pr = checkpointed(period_returns(daily, grain).join(companies.select("ticker", "category"), "ticker", "inner")
+                      .where(F.col(measure).isNotNull())
+                      .select("period", "category", "ticker", F.col(measure).alias("return_pct")))
+    ends = pr.groupBy("period", "category").agg(F.max("return_pct").alias("_hi"), F.min("return_pct").alias("_lo"))
+    kinds = F.filter(F.array(F.when(F.col("return_pct") == F.col("_hi"), F.lit("best")),
+                             F.when(F.col("return_pct") == F.col("_lo"), F.lit("worst"))), lambda k: k.isNotNull())
+    return (pr.join(ends, ["period", "category"], "inner").withColumn("kind", F.explode(kinds))
+            .select("period", "category", "kind", "ticker", "return_pct"))
 
 
 def dynamic_dividend_yield(daily: DataFrame, fundamentals: DataFrame, grain: str = "year") -> DataFrame:

@@ -45,7 +45,9 @@ def rank_by(df: DataFrame, value: str, partition: list[str] | None = None,
     ranked = (d.select(*part, value, "_b", F.coalesce(F.sum("_c").over(in_bucket), F.lit(0)).alias("_before"))
               .join(offsets, [*part, "_b"], "inner")
               .select(*part, value, (F.col("_off") + F.col("_before") + 1).cast("int").alias(out)))
-    return df.join(ranked, [*part, value], "left")
+    # Rows without a value have no rank; kept out of the join, where they would all meet in one partition.
+    unranked = df.where(v.isNull()).withColumn(out, F.lit(None).cast("int"))
+    return df.where(v.isNotNull()).join(ranked, [*part, value], "left").select(*df.columns, out).unionByName(unranked)
 
 
 def top_by(df: DataFrame, value: str, partition: list[str], descending: bool = True) -> DataFrame:

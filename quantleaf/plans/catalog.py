@@ -22,6 +22,7 @@ from quantleaf.operators import quality as Q
 from quantleaf.operators import silver as S
 from quantleaf.operators.windows import latest_by_key
 from quantleaf.plans import refresh as P
+from quantleaf.session import checkpointed
 from quantleaf.plans.oracle import BASE_CTES, avg_dec, with_ctes
 from quantleaf.sources import ingest as I
 from quantleaf.sources import proxy
@@ -75,6 +76,13 @@ def layers(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None) ->
     return Layers(b, silver, cfg.with_as_of(as_of))
 
 
+def _shared(g: P.GoldInputs) -> P.GoldInputs:
+    """Gold inputs whose per-ticker and per-pair figures (one row each) are stored once, as the refresh does: the price
+    history is then scanned once, however many steps use them."""
+    g.stats, g.fx = checkpointed(g.stats), checkpointed(g.fx)
+    return g
+
+
 # ----------------------------------------------------------------------------- oracle pieces
 
 # One grouped pass per ticker: picks by arg_max / arg_min, windows by FILTER (both variants' windows at once).
@@ -273,7 +281,7 @@ FROM figures LEFT JOIN leaders USING (region) LEFT JOIN impacts USING (region)""
           with_ctes(_GOLD_BASE, [_STATS_SQL, _PERF_SQL, _FXS_SQL, _CUR_SQL]).rstrip() + _REGION_TAIL)
 def q_gold_region_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9."""
-    g = layers(spark, sf_dir).gold()
+    g = _shared(layers(spark, sf_dir).gold())
     return G.region_performance(P.stock_performance(g), P.currency_adjusted(g))
 
 _DIV_TAIL = """
@@ -456,7 +464,7 @@ def _rank_sql(value: str, partition: str | None, desc: bool = True) -> str:
 SELECT category, ticker, yoy_return_pct, {_rank_sql('yoy_return_pct', 'category')} AS category_rank FROM perf"""))
 def q_yoy_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M24 (W10)."""
-    return M.yoy_comparison(P.stock_performance(layers(spark, sf_dir).gold()))
+    return M.yoy_comparison(checkpointed(P.stock_performance(layers(spark, sf_dir).gold())))
 
 
 _DIV_CTE = """
@@ -468,7 +476,7 @@ SELECT ticker, company_name, dividend_yield_pct, annual_dividend, pays_dividend,
        {_rank_sql('dividend_yield_pct', None)} AS yield_rank FROM div"""))
 def q_dividend_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M27 (T2, W10)."""
-    return M.dividend_ranking(P.dividend(layers(spark, sf_dir).gold()))
+    return M.dividend_ranking(checkpointed(P.dividend(layers(spark, sf_dir).gold())))
 
 
 @register("sharpe_ranking", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL], f"""
@@ -479,7 +487,7 @@ def q_dividend_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT ticker, yoy_return_pct, volatility, sharpe, {_rank_sql('sharpe', None)} AS sharpe_rank FROM sh"""))
 def q_sharpe_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M28 (rf = 0 as the reference)."""
-    return M.sharpe_ranking(P.stock_performance(layers(spark, sf_dir).gold()))
+    return M.sharpe_ranking(checkpointed(P.stock_performance(layers(spark, sf_dir).gold())))
 
 
 @register("price_volume_series", _oracle(["silver_prices"], [], """
@@ -930,7 +938,7 @@ GROUP BY region, best_category"""
           with_ctes(_GOLD_BASE, [_STATS_SQL, _PERF_SP_SQL, _FXS_SQL, _CUR_SP_SQL]).rstrip() + _REGION_SP_TAIL)
 def q_gold_region_performance_sp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9, stored-procedure variant (best category of the best stock, inner join, C14 / C15)."""
-    g = _sp_gold(spark, sf_dir)
+    g = _shared(_sp_gold(spark, sf_dir))
     return G.region_performance(P.stock_performance(g), P.currency_adjusted(g), g.cfg)
 
 

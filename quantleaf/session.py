@@ -53,7 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quantleaf-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
