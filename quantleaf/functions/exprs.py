@@ -68,13 +68,6 @@ def in_trailing_window(d: ColumnOrName, as_of, days: int) -> Column:
     return (col(d) > F.date_sub(F.lit(as_of), days)) & (col(d) <= F.lit(as_of))
 
 
-def map_lookup(mapping: dict, key: ColumnOrName, default: ColumnOrName | None = None) -> Column:
-    """Dictionary lookup with a default (F17): ``coalesce(map[k], default)``."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    v = m[col(key)]
-    return v if default is None else F.coalesce(v, col(default) if isinstance(default, (str, Column)) else F.lit(default))
-
-
 def correlation_label(coef: ColumnOrName, null_label: str | None = None) -> Column:
     """Ordered buckets of a (rounded) correlation coefficient (P5)."""
     c = col(coef)

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quantleaf import schemas
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import silver as S
@@ -224,6 +225,7 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: Engin
               "silver_forex_rates": s.forex, "silver_companies": s.companies,
               "silver_currency_map": s.currency_map}
     for name, df in tables.items():
+        schemas.check_contract(name, df)
         _write(_laid_out(name, df), _loc(out_dir, name))
         log.info("%s refreshed", name)
     r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
@@ -245,6 +247,7 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
+        schemas.check_contract(name, df)
         p = _loc(out_dir, name)
         _write(df, p)        # a failure raises here; later steps do not run on stale inputs
         log.info("%s refreshed", name)

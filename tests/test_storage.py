@@ -46,3 +46,19 @@ def test_no_scratch_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_output_contract(spark):
+    from quantleaf import schemas
+    from quantleaf.sources import proxy
+    b = proxy.load(spark, "/root/testdata/sf0.001")
+    for variant in ("dbt", "sp"):
+        cfg = EngineConfig(reference_variant=variant)
+        silver = P.build_silver(b, cfg)
+        gold = P.build_gold(silver, cfg)
+        assert set(gold) == set(schemas.GOLD) and set(P.SILVER_TABLES) == set(schemas.SILVER)
+        for name, df in {**gold, "silver_stock_prices": silver.prices, "silver_forex_rates": silver.forex,
+                         "silver_stock_fundamentals": silver.fundamentals}.items():
+            schemas.check_contract(name, df)
+    with pytest.raises(ValueError, match="gold_stock_performance"):
+        schemas.check_contract("gold_stock_performance", gold["gold_stock_performance"].drop("roe"))
