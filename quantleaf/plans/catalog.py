@@ -54,8 +54,13 @@ def oracle_sql() -> dict[str, str]:
 @dataclass
 class Layers:
     bronze: proxy.Bronze
-    silver: P.Silver
-    cfg: EngineConfig
+    silver: P.StoredSilver
+    settings: EngineConfig
+
+    @property
+    def cfg(self) -> EngineConfig:
+        """The settings with the reporting date (which the prices give, where it is not set)."""
+        return self.settings.with_as_of(self.silver.as_of)
 
     def gold(self) -> P.GoldInputs:
         return P.gold_inputs(self.silver, self.cfg)
@@ -66,14 +71,13 @@ silver_root: str | None = None
 
 
 def layers(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None) -> Layers:
-    """Bronze (lazy, over the test tables) and silver (materialised once per input
-    fingerprint in the shared checkpoint folder, then read back)."""
+    """Bronze (lazy, over the test tables) and silver (each table materialised on first use, once per input
+    fingerprint, in the shared checkpoint folder, then read back)."""
     from quantleaf.session import checkpoint_dir
     cfg = cfg or EngineConfig()
     b = proxy.load(spark, sf_dir)
     inputs = [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "part", "orders", "region")]
-    silver, as_of = P.materialized_silver(spark, b, cfg, silver_root or checkpoint_dir(spark), inputs)
-    return Layers(b, silver, cfg.with_as_of(as_of))
+    return Layers(b, P.StoredSilver(spark, b, cfg, silver_root or checkpoint_dir(spark), inputs), cfg)
 
 
 def _shared(g: P.GoldInputs) -> P.GoldInputs:
@@ -864,7 +868,8 @@ def q_short_history_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short-history tickers still get a return. The listing date of one ticker is set later here, for this check only."""
     from dataclasses import replace
     L = layers(spark, sf_dir)
-    g = P.gold_inputs(replace(L.silver, prices=proxy.late_listing(L.silver.prices)), L.cfg)
+    silver = L.silver.tables()
+    g = P.gold_inputs(replace(silver, prices=proxy.late_listing(silver.prices)), L.cfg)
     return Q.short_history_check(P.stock_performance(g), g.stats)
 
 

@@ -50,15 +50,19 @@ class GoldInputs:
     fx: DataFrame
 
 
+def build_silver_table(name: str, bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> DataFrame:
+    if name == "silver_stock_prices":
+        return S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage,
+                              cfg.minor_units_by_ticker)
+    if name == "silver_stock_fundamentals":
+        return S.clean_fundamentals(bronze.fundamentals, bronze.fund_order)
+    if name == "silver_forex_rates":
+        return S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage)
+    return {"silver_companies": bronze.companies, "silver_currency_map": bronze.currency_map}[name]
+
+
 def build_silver(bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> Silver:
-    return Silver(
-        prices=S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage,
-                              cfg.minor_units_by_ticker),
-        fundamentals=S.clean_fundamentals(bronze.fundamentals, bronze.fund_order),
-        forex=S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage),
-        companies=bronze.companies,
-        currency_map=bronze.currency_map,
-    )
+    return Silver(*[build_silver_table(n, bronze, cfg, cut_lineage) for n in SILVER_TABLES])
 
 
 SILVER_TABLES = ["silver_stock_prices", "silver_stock_fundamentals", "silver_forex_rates",
@@ -108,39 +112,51 @@ def _fingerprint(spark: SparkSession, inputs: list[str], cfg: EngineConfig) -> s
     return h.hexdigest()[:20]
 
 
-_SILVER_READS: dict[tuple[str, str], Silver] = {}
-_SILVER_LOCK = threading.Lock()
+_SILVER_LOCK = threading.RLock()
 
 
-def materialized_silver(spark: SparkSession, bronze: Bronze, cfg: EngineConfig, root: str,
-                        inputs: list[str]) -> tuple[Silver, dt.date]:
-    """Silver tables written once per input fingerprint under ``root`` (a shared folder)
-    and read back; gold queries start from the written tables (as the reference's
-    gold layer reads its silver tables), and the lineage to bronze is cut.
+class StoredSilver:
+    """Silver tables, each written on first use, once per input fingerprint, under ``root`` (a shared folder) and read
+    back: gold queries start from the written tables (as the reference's gold layer reads its silver tables), the lineage to
+    bronze is cut, and a query that needs FX alone does not deduplicate prices.
 
-    A table counts as written only when its ``_SUCCESS`` marker exists, so an
-    interrupted build is redone, never half-read. Plans for missing tables only
-    are built.
+    A table counts as written only when its ``_SUCCESS`` marker exists, so an interrupted build is redone, never half-read.
     """
-    # Inputs that can't be identified get a build of their own, used for this call only.
-    base = os.path.join(root, "silver-" + (_fingerprint(spark, inputs, cfg) or uuid.uuid4().hex))
-    key = (spark.conf.get("spark.app.id", ""), base)
-    with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
-        missing = [n for n in SILVER_TABLES if not _exists(spark, os.path.join(base, n, "_SUCCESS"))]
-        if missing:
-            s = build_silver(bronze, cfg, cut_lineage=True)
-            frames = dict(zip(SILVER_TABLES, [s.prices, s.fundamentals, s.forex, s.companies, s.currency_map]))
-            for name in missing:
-                _laid_out(name, frames[name]).write.mode("overwrite").parquet(os.path.join(base, name))
-            _SILVER_READS.pop(key, None)
-        if key not in _SILVER_READS:
-            _SILVER_READS[key] = Silver(*[spark.read.parquet(os.path.join(base, n)) for n in SILVER_TABLES])
-        silver = _SILVER_READS[key]
-        if cfg.as_of is not None:
-            return silver, cfg.as_of
-        if base not in _AS_OF:   # the data-derived default: last trade date of this build
-            _AS_OF[base] = silver.prices.agg(F.max("trade_date")).first()[0]
-        return silver, _AS_OF[base]
+
+    def __init__(self, spark: SparkSession, bronze: Bronze, cfg: EngineConfig, root: str, inputs: list[str]):
+        self.spark, self.bronze, self.cfg = spark, bronze, cfg
+        # Inputs that can't be identified get a build of their own, used by this object only.
+        self.base = os.path.join(root, "silver-" + (_fingerprint(spark, inputs, cfg) or uuid.uuid4().hex))
+        self._read: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
+            if name not in self._read:
+                path = os.path.join(self.base, name)
+                if not _exists(self.spark, os.path.join(path, "_SUCCESS")):
+                    df = build_silver_table(name, self.bronze, self.cfg, cut_lineage=True)
+                    _laid_out(name, df).write.mode("overwrite").parquet(path)
+                self._read[name] = self.spark.read.parquet(path)
+            return self._read[name]
+
+    prices = property(lambda self: self._table("silver_stock_prices"))
+    fundamentals = property(lambda self: self._table("silver_stock_fundamentals"))
+    forex = property(lambda self: self._table("silver_forex_rates"))
+    companies = property(lambda self: self._table("silver_companies"))
+    currency_map = property(lambda self: self._table("silver_currency_map"))
+
+    @property
+    def as_of(self) -> dt.date:
+        """The configured reporting date, else the last trade date of this build."""
+        if self.cfg.as_of is not None:
+            return self.cfg.as_of
+        if self.base not in _AS_OF:
+            _AS_OF[self.base] = self.prices.agg(F.max("trade_date")).first()[0]
+        return _AS_OF[self.base]
+
+    def tables(self) -> Silver:
+        """All tables, built where missing."""
+        return Silver(*[self._table(n) for n in SILVER_TABLES])
 
 
 def gold_inputs(silver: Silver, cfg: EngineConfig) -> GoldInputs:
