@@ -69,6 +69,8 @@ class Page:
     label: list[str] = field(default_factory=lambda: ["#"])
     parent: list[int] = field(default_factory=lambda: [-1])
     never: list[bool] = field(default_factory=lambda: [False])
+    banned: list[bool] = field(default_factory=lambda: [False])     # by its own tag, role or state
+    named: list[bool] = field(default_factory=lambda: [False])      # by its own class or id
     main: list[int] = field(default_factory=lambda: [0])        # 2: article or main, 1: named like one
     pieces: list[tuple[int, int, str, bool]] = field(default_factory=list)      # element, block, text, in a link
 
@@ -135,21 +137,38 @@ def parse(source: str | None) -> Page:
         a = _attributes(given) if given.strip() else {}
         names = f"{a.get('class', '')} {a.get('id', '')}".strip()
         in_article = any(t == "article" for t, _ in stack)
-        never = (page.never[above] or tag in NEVER or (tag == "header" and not in_article) or a.get("role", "").lower() in ROLES
-                 or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(a.get("style", "")))
-                 or (bool(names) and tag not in ("html", "body", "article", "main") and bool(NAMES.search(names)))
-                 or (tag == "article" and bool(names) and bool(re.search(r"comment|teaser|related", names, re.I))))
+        banned = (tag in NEVER or (tag == "header" and not in_article) or a.get("role", "").lower() in ROLES or "hidden" in a
+                  or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(a.get("style", "")))
+                  or (tag == "article" and bool(names) and bool(re.search(r"comment|teaser|related", names, re.I))))
+        named = bool(names) and tag not in ("html", "body", "article", "main") and bool(NAMES.search(names))
         main = 2 if tag in ("article", "main") or a.get("role", "").lower() == "main" else 1 if names and MAIN_NAMES.search(names) else 0
         page.label.append(f"{tag}.{'.'.join(sorted(set(re.sub(r'[0-9]+', '0', names).split())))}" if names else tag)
         page.parent.append(above)
-        page.never.append(never)
+        page.never.append(page.never[above] or banned or named)
+        page.banned.append(banned)
+        page.named.append(named)
         page.main.append(main)
         stack.append((tag, len(page.label) - 1))
     if skip is None and at < len(source):
         page.pieces.append((stack[-1][1], block, source[at:], links > 0))
+    _spare_article(page)
     return page
 
 
+def _spare_article(page: Page) -> None:
+    """A name such as "has-sidebar" on an element around the only article does not make the article a sidebar."""
+    articles = [i for i, m in enumerate(page.main) if m == 2 and not page.banned[i]]
+    if not articles or not all(page.never[i] for i in articles):
+        return
+    around = set()
+    for i in articles:
+        while i >= 0:
+            around.add(i)
+            i = page.parent[i]
+    for i in range(1, len(page.label)):
+        page.never[i] = page.never[page.parent[i]] or page.banned[i] or (page.named[i] and i not in around)
+
+
 def shape(page: Page) -> tuple[str, list[int]]:
     """The page's shape as text (JSON of [label, child, ...]), and the number of each element in it, in page order.
     Neighbouring siblings of equal shape share their numbers."""

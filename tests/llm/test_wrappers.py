@@ -25,6 +25,8 @@ def test_known_pages():
         (SHELL % "<main><p>Main</p><div class='ad'>Buy</div><p hidden>h</p></main>", "Main"),
         (SHELL % "<div class='post'><p>Posted</p></div><div><p>else</p></div>", "Posted"),
         ("<article><p>Story</p><div class='comment-list'><article class='comment'>bad</article></div></article>", "Story"),
+        ("<div class='has-sidebar'><article><p>Told</p></article><div class='sidebar'>no</div></div>", "Told"),
+        ("<article><p>Told</p></article><section class='comments'><article>bad</article></section>", "Told"),
         ("<div><p>no article</p><table><tr><td>a<td>b</table></div>", "no article\na\nb"),
         ("<a href='x>y'>q</a><p title=it's>z</p>", "q\nz"), ("<div>" * 500 + "deep" + "</div>" * 500, "deep"), ("</p></div>stray<!-- x", "stray"),
     ]
