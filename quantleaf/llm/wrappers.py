@@ -1,8 +1,8 @@
 """HTML extraction by wrapper induction.
 
 1. A page is parsed to a tree of its block elements (label: tag, class, id); repeated siblings of equal shape
-   count once. The most frequent shape among a host's pages is the host's template tree.
-2. Every page of the host is aligned to it by simple tree matching. Over all pages, text that is the same at
+   count once. The most frequent shape among a host's distinct pages is the host's template tree.
+2. Every page of the host is aligned to it by simple tree matching. Over all distinct pages, text that is the same at
    a template node on most pages is template; what varies is a content slot.
 3. The slots that hold the article are the varying ones below the template's main container: an article or
    main element, or else the lowest node with most of the varying text that is not links. Menus, headers, footers,
@@ -10,13 +10,14 @@
 
 Blocks are joined in page order. Parsing forgives unclosed and misplaced tags and pages that break off.
 
-All counts are sums over (host, node) or (host, node, text) with partial aggregation, so a host with a third of
-all pages is no hot group; pages meet their template by a join on the host that Spark broadcasts while the
+Pages of a host whose blocks outside menus, notices and the like have the same texts are one page to all counts, however many
+copies there are: copies of an article don't make it a template. All counts are sums over (host, page), (host, node) or
+(host, node, text) with partial aggregation, so a host with a third of all pages is no hot group; pages meet their template by a join on the host that Spark broadcasts while the
 templates are small and otherwise splits where skewed.
 
 Defined results: a null or empty page, or one without content, gives the empty text and 0 characters. A null url, or
-one without a host, belongs to the host "". Equal rows give equal rows, one each. Hosts with fewer than
-``MIN_PAGES`` pages have no constant texts. Elements nested below ``MAX_DEPTH`` count as part of the one above; their
+one without a host, belongs to the host "". Equal rows give equal rows, one each. A text on fewer than
+``MIN_PAGES`` distinct pages of a host is never constant. Elements nested below ``MAX_DEPTH`` count as part of the one above; their
 text stays. An empty table gives no rows. Other columns of the input are not looked at.
 """
 
@@ -280,15 +281,21 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def identity(page: Page) -> int:
+    """The same for pages whose blocks that can be content have the same texts."""
+    return text_hash("\n".join(t for e, t, _, _ in blocks_of(page) if not page.never[e]))
+
+
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "html"):
-            yield pa.RecordBatch.from_arrays([part.column("host"), pa.array([shape(parse(t))[0] for t in part.column("html").to_pylist()])],
-                                             ["host", "shape"])
+            pages = [parse(t) for t in part.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("host"), pa.array([identity(p) for p in pages], pa.int64()),
+                                              pa.array([shape(p)[0] for p in pages], pa.string())], ["host", "page", "shape"])
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text at a template node of a page: host, node, text, chars, link_chars (text null: the page itself)."""
+    """A row for each text at a template node of a page: host, page, node, text, chars, link_chars (text null: the page itself)."""
     align = Aligner()
     for batch in batches:
         for part in text_slices(batch, "html"):
@@ -297,16 +304,18 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = parse(source)
                 text, number = shape(page)
                 to = align(text, template)
-                rows.append((host, -1, None, 0, 0))
+                same = identity(page)
+                rows.append((host, same, -1, None, 0, 0))
                 seen = set()
                 for element, words, chars, link_chars in blocks_of(page):
                     node = to.get(number[element])
                     if node is not None and not page.never[element] and (node, words) not in seen:
                         seen.add((node, words))
-                        rows.append((host, node, words, chars, link_chars))
+                        rows.append((host, same, node, text_hash(words), chars, link_chars))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
-                ["host", "node", "text", "chars", "link_chars"])
+                [pa.array([r[k] for r in rows], t)
+                 for k, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                ["host", "page", "node", "text", "chars", "link_chars"])
 
 
 def _container(template: str, weight: dict[int, int]) -> int | None:
@@ -328,18 +337,21 @@ def _container(template: str, weight: dict[int, int]) -> int | None:
 
 def induce(pages: DataFrame) -> DataFrame:
     """Templates of ``pages`` (host, html): host, template, constants (node and hash of the text), container."""
-    shapes = (pages.select("host", "html").mapInArrow(_shapes, "host string, shape string")
+    # Copies of a page are one page, here and below.
+    shapes = (pages.select("host", "html").mapInArrow(_shapes, "host string, page long, shape string")
+                   .groupBy("host", "page").agg(F.min("shape").alias("shape"))
                    .groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
     seeds = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("template"))
     seeds = materialise(seeds, "templates")
     slots = pages.join(seeds, "host").select("host", "html", "template").mapInArrow(
-        _slots, "host string, node int, text string, chars long, link_chars long")
-    # One row per page and text at a node, so that counts are counts of pages.
-    texts = materialise(slots.withColumn("text", F.xxhash64("text")).groupBy("host", "node", "text").agg(
+        _slots, "host string, page long, node int, text long, chars long, link_chars long")
+    # One row per distinct page and text at a node, so that counts are counts of distinct pages.
+    slots = slots.groupBy("host", "node", "text", "page").agg(F.max("chars").alias("chars"), F.max("link_chars").alias("link_chars"))
+    texts = materialise(slots.groupBy("host", "node", "text").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars")), "slots")
     totals = texts.where("node = -1").select("host", F.col("n").alias("n_pages"))
     judged = texts.where("node >= 0").join(totals, "host").withColumn(
-        "constant", (F.col("n_pages") >= MIN_PAGES) & (F.col("n") >= CONSTANT_SHARE * F.col("n_pages")))
+        "constant", (F.col("n") >= MIN_PAGES) & (F.col("n") >= CONSTANT_SHARE * F.col("n_pages")))
     constants = judged.where("constant").groupBy("host").agg(F.collect_list(F.struct("node", "text")).alias("constants"))
     nodes = judged.where("NOT constant").groupBy("host", "node").agg(F.sum(F.col("chars") - F.col("link_chars")).alias("weight"))
     weights = nodes.groupBy("host").agg(F.collect_list(F.struct("node", "weight")).alias("weights"))

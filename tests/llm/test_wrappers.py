@@ -81,6 +81,21 @@ def test_constant_slots_are_template(spark):
     assert wrappers.op4_query(pages.limit(0)).collect() == []
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    shell = "<body><div><p>Share this page now</p></div><div>%s</div><footer>%d</footer></body>"
+    copy = "<article><h1>One story</h1><p>It is told often.</p></article>"
+    rows = [(i, f"http://h.example.org/{i}", shell % (copy, i % 7)) for i in range(180)]        # 90 % of the host
+    rows += [(i, f"http://h.example.org/{i}", shell % (f"<h2>Page {i}</h2><p>Its text is {i * 7}.</p>", i)) for i in range(180, 200)]
+    rows += [(200 + i, f"http://few.example.org/{i}", shell % (copy if i < 20 else f"<p>Other text {i}</p>", i)) for i in range(23)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.op4_query(pages).collect()}
+    assert len(got) == len(rows)
+    assert {got[i] for i in range(180)} == {got[i] for i in range(200, 220)} == {"One story\nIt is told often."}
+    for i in range(180, 200):
+        assert got[i] == f"Page {i}\nIts text is {i * 7}."
+    assert got[222] == "Share this page now\nOther text 22"      # four distinct pages show no template
+
+
 def test_given_pages(spark):
     import html
     import re
