@@ -61,6 +61,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|"
     r"<[a-zA-Z][^<>]*+\Z", re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW | {"head"}}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
@@ -80,17 +81,19 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
+def _after_raw(source: str, tag: str, at: int) -> int:
+    """The place after the end tag of a raw element whose content begins at ``at``; its content is not markup."""
+    m = _RAW_END[tag].search(source, at)
+    return m.end() if m else len(source)
+
+
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#", 0)]       # open elements: tag, element of the page
-    block, links, at, skip = 0, 0, 0, None
-    for m in _TOKEN.finditer(source):
+    block, links, at = 0, 0, 0
+    tokens = _TOKEN.finditer(source)
+    while (m := next(tokens, None)) is not None:
         start = m.start()
-        if skip is not None:
-            if not (start >= at and (m[1] or m[4]) and (m[2] or m[5]).lower() == skip):
-                continue
-            skip, at = None, m.end()
-            continue
         if start > at:
             page.pieces.append((stack[-1][1], block, source[at:start], links > 0))
         at = m.end()
@@ -115,7 +118,8 @@ def parse(source: str | None) -> Page:
         given = m[3] or m[6] or ""
         if tag in RAW or tag == "head":
             if not given.endswith("/"):
-                skip = tag
+                at = _after_raw(source, tag, at)
+                tokens = _TOKEN.finditer(source, at)
             continue
         closing = CLOSES.get(tag, frozenset()) | ({"p"} if tag in BLOCKS else frozenset())
         limits = LIMITS.get(tag, _P_LIMITS if "p" in closing else frozenset())
@@ -150,7 +154,7 @@ def parse(source: str | None) -> Page:
         page.named.append(named)
         page.main.append(main)
         stack.append((tag, len(page.label) - 1))
-    if skip is None and at < len(source):
+    if at < len(source):
         page.pieces.append((stack[-1][1], block, source[at:], links > 0))
     _spare_article(page)
     return page

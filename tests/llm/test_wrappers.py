@@ -34,6 +34,13 @@ def test_known_pages():
         assert text_of(source) == want, source
 
 
+def test_raw_elements_end_at_their_end_tag():
+    for raw in ("<script>for(i=0;i<n;i++){f()}</script>", "<script>a='<!--';if(a<b)c()</SCRIPT >", "<style>a<b{}</style\n>", "<textarea>a<b</textarea>",
+                "<script>x='</scripts>'+\"<p title='\"</script>", "<title>a <b</title>", "<script src=a></script x='y'>"):
+        assert text_of(f"<div>{raw}<article><p>Told</p></article><script>1</script></div>") == "Told", raw
+    assert text_of("<p>Told</p><script>if(a<b)") == "Told"
+
+
 def test_tree_matching_is_largest():
     rnd = random.Random(1)
 
