@@ -8,7 +8,9 @@
    main element, or else the lowest node with most of the varying text that is not links. Menus, headers, footers,
    asides, forms, adverts, notices and reader comments are known by tag, role, class or id, and never content.
 
-Blocks are joined in page order. Parsing forgives unclosed and misplaced tags and pages that break off.
+Blocks are joined in page order. Parsing forgives unclosed and misplaced tags and pages that break off: a head ends at the
+first text or element that can't be in it; an unclosed button, select, svg, math or object ends with its parent, or at the
+next block element if no end tag for it is left on the page.
 
 Pages of a host whose blocks outside menus, notices and the like have the same texts are one page to all counts, however many
 copies there are: copies of an article don't make it a template. All counts are sums over (host, page), (host, node) or
@@ -45,10 +47,12 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th
     thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select button".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+HIDDEN = frozenset("object svg math select button".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 NEVER = frozenset("nav aside footer form dialog menu".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-          "option": {"option"}, "body": {"head"}}
+          "option": {"option"}, "button": {"button"}, "select": {"select"}}
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 _P_LIMITS = BLOCKS - {"p"}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -61,7 +65,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|"
     r"<[a-zA-Z][^<>]*+\Z", re.S)
-_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW | {"head"}}
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
@@ -90,48 +94,81 @@ def _after_raw(source: str, tag: str, at: int) -> int:
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#", 0)]       # open elements: tag, element of the page
-    block, links, at = 0, 0, 0
+    block, links, hidden, at, in_head = 0, 0, 0, 0, False
+    last_end: dict[str, int] = {}       # where the last end tag of a hidden element is
+
+    def close(k: int) -> None:
+        nonlocal links, hidden
+        for t, _ in stack[k:]:
+            links -= t == "a"
+            hidden -= t in HIDDEN
+        del stack[k:]
+
+    def text(start: int, end: int) -> None:
+        nonlocal in_head
+        if in_head:
+            if source[start:end].isspace():
+                return
+            in_head = False
+        if not hidden:
+            page.pieces.append((stack[-1][1], block, source[start:end], links > 0))
+
     tokens = _TOKEN.finditer(source)
     while (m := next(tokens, None)) is not None:
         start = m.start()
         if start > at:
-            page.pieces.append((stack[-1][1], block, source[at:start], links > 0))
+            text(at, start)
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
         if m[1] or m[4]:
-            if tag in BLOCKS:
-                block += 1
+            in_head = in_head and tag not in ("head", "body", "html")
+            was = hidden
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in ("table", "td", "th") and tag not in BLOCKS:
                     break
+            if tag in BLOCKS and not (hidden and hidden == was):
+                block += 1
             continue
-        if tag == "br" or tag == "hr":
+        if tag == "head":
+            in_head = True
+        in_head = in_head and tag in IN_HEAD
+        if (tag == "br" or tag == "hr") and not hidden:
             block += 1
-        if tag in VOID:
+        if tag in VOID or tag == "head":
             continue
         given = m[3] or m[6] or ""
-        if tag in RAW or tag == "head":
+        if tag in RAW:
             if not given.endswith("/"):
                 at = _after_raw(source, tag, at)
                 tokens = _TOKEN.finditer(source, at)
             continue
+        if (hidden or tag in HIDDEN) and given.endswith("/"):
+            continue
+        if hidden and tag in BLOCKS:        # ends the outermost hidden element that has no end tag ahead, and what is in it
+            for k in range(1, len(stack)):
+                t = stack[k][0]
+                if t in HIDDEN:
+                    if t not in last_end:
+                        last_end[t] = max((e.start() for e in re.finditer(rf"</{t}(?=[\s/>])", source, re.I)), default=-1)
+                    if last_end[t] < at:
+                        close(k)
+                        break
         closing = CLOSES.get(tag, frozenset()) | ({"p"} if tag in BLOCKS else frozenset())
         limits = LIMITS.get(tag, _P_LIMITS if "p" in closing else frozenset())
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in closing:
-                links -= sum(t == "a" for t, _ in stack[k:])
-                del stack[k:]
+            if stack[k][0] in closing and (stack[k][0] != "p" or not hidden or not any(t in HIDDEN for t, _ in stack[k:])):
+                close(k)
                 break
             if stack[k][0] in limits:
                 break
-        if tag not in BLOCKS:
+        if tag not in BLOCKS or hidden:
             links += tag == "a"
+            hidden += tag in HIDDEN
             stack.append((tag, stack[-1][1]))
             continue
         block += 1
@@ -155,7 +192,7 @@ def parse(source: str | None) -> Page:
         page.main.append(main)
         stack.append((tag, len(page.label) - 1))
     if at < len(source):
-        page.pieces.append((stack[-1][1], block, source[at:], links > 0))
+        text(at, len(source))
     _spare_article(page)
     return page
 

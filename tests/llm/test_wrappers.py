@@ -41,6 +41,21 @@ def test_raw_elements_end_at_their_end_tag():
     assert text_of("<p>Told</p><script>if(a<b)") == "Told"
 
 
+def test_unclosed_head_and_hidden_elements():
+    cases = [
+        ("<head><title>t</title><body><article><p>Told</p></article>", "Told"), ("<html><head><meta x>\n<title>t</title><p>Told", "Told"),
+        ("<head><script>1</script>\n Told <p>more", "Told\nmore"), ("<head><title>t</title></head>\n<body>Told", "Told"),
+        ("<p>a <button><div>no</div></button> b</p>", "a b"), ("<p>a <svg><path d='x'/><text>no</text></svg>b<math/>c</p>", "a bc"),
+        ("<div><object><p>no</p></object></div><p>b</p>", "b"), ("<select><option>no<option>no</select><button>no<button>no</button><p>b", "b"),
+        ("<ul><li>a<select><option>no<li>b</ul>", "a\nb"), ("<button><ul><li>no<li>no</ul></button>b", "b"),
+    ]
+    for tag in ("button", "select", "svg", "math", "object"):
+        cases += [(f"<body><div><{tag}>no</div><article><p>Told</p></article>", "Told"), (f"<p>One</p><{tag}>no<p>Two</p>", "One\nTwo"),
+                  (f"<article><p>One <{tag}>no</p><p>Two</p></article><{tag}>no</{tag}>", "One\nTwo")]
+    for source, want in cases:
+        assert text_of(source) == want, source
+
+
 def test_tree_matching_is_largest():
     rnd = random.Random(1)
 
