@@ -6,7 +6,10 @@
    a template node on most pages is template; what varies is a content slot.
 3. The slots that hold the article are the varying ones below the template's main container: an article or
    main element, or else the lowest node with most of the varying text that is not links. Menus, headers, footers,
-   asides, forms, adverts, notices and reader comments are known by tag, role, class or id, and never content.
+   asides, forms, adverts, notices and reader comments are known by tag, role, class or id, and never content. Inside an article or main element a part
+   of an id such as "side-effects" names nothing, headings and paragraphs are never known by name, a part of a class counts only
+   where most text is links, and a whole name (but for comments and adverts) gives way where the text below it is mostly
+   outside links and differs between the host's pages.
 
 Blocks are joined in page order. Parsing forgives unclosed and misplaced tags and pages that break off: a head ends at the
 first text or element that can't be in it; an unclosed button, select, svg, math or object ends with its parent, or at the
@@ -56,10 +59,16 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 _P_LIMITS = BLOCKS - {"p"}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|menu|nav\w*|breadcrumbs?|sidebar|side|aside|footer|foot|"
+_WORDS = (
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|menu|nav\w*|breadcrumbs?|sidebar|side|aside|footer|foot|"
     r"masthead|topbar|header|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|"
-    r"social|comments?|replies|disqus|related|recommend\w*|teasers?|widget|toolbar|pagination|pager|search|skip|legal)(?:$|[\s_-])", re.I)
+    r"social|comments?|replies|disqus|related|recommend\w*|teasers?|widget|toolbar|pagination|pager|search|skip|legal")
+NAMES = re.compile(rf"(?:^|[\s_-])(?:{_WORDS})(?:$|[\s_-])", re.I)
+WHOLE = re.compile(_WORDS, re.I)
+FOREIGN = re.compile(r"comments?(?:[_-](?:area|box|list|section|threads?|wrapper))?|replies|disqus|ads?(?:[_-](?:banner|box|slot|unit|wrapper))?|"
+                     r"advert\w*|adsense|sponsor\w*|promo\w*", re.I)
+HARD, SOFT, IN_CLASS = 1, 2, 3
+_COMMENT_ID = re.compile(r"(?:\w+-)?(?:comments?|teasers?|related)(?:[_-]?[0-9]+)?", re.I)
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|main|content)(?:$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(
@@ -76,7 +85,8 @@ class Page:
     parent: list[int] = field(default_factory=lambda: [-1])
     never: list[bool] = field(default_factory=lambda: [False])
     banned: list[bool] = field(default_factory=lambda: [False])     # by its own tag, role or state
-    named: list[bool] = field(default_factory=lambda: [False])      # by its own class or id
+    named: list[int] = field(default_factory=lambda: [0])       # by its own class or id: 0, HARD or SOFT
+    soft: list[int] = field(default_factory=lambda: [0])        # of never ones, the lowest SOFT element around, if no other cause (0: none)
     main: list[int] = field(default_factory=lambda: [0])        # 2: article or main, 1: named like one
     pieces: list[tuple[int, int, str, bool]] = field(default_factory=list)      # element, block, text, in a link
 
@@ -85,6 +95,24 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
+def _named(tag: str, given: dict[str, str], inside: bool) -> int:
+    """Whether class or id names an element as no content. Inside an article or main element only whole names do: HARD for comments
+    and adverts, SOFT for others, IN_CLASS for a part of a class name, which counts where the text is mostly links."""
+    names = f"{given.get('class', '')} {given.get('id', '')}".strip()
+    if not names or tag in ("html", "body", "article", "main"):
+        return 0
+    if not inside:
+        return HARD if NAMES.search(names) else 0
+    if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+        return 0
+    whole = [*given.get("class", "").split(), given.get("id", "").strip()]
+    if any(FOREIGN.fullmatch(w) for w in whole):
+        return HARD
+    if any(WHOLE.fullmatch(w) for w in whole):
+        return SOFT
+    return IN_CLASS if NAMES.search(given.get("class", "")) else 0
+
+
 def _after_raw(source: str, tag: str, at: int) -> int:
     """The place after the end tag of a raw element whose content begins at ``at``; its content is not markup."""
     m = _RAW_END[tag].search(source, at)
@@ -95,6 +123,7 @@ def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#", 0)]       # open elements: tag, element of the page
     block, links, hidden, at, in_head = 0, 0, 0, 0, False
+    inside = [False]        # of an article or main element
     last_end: dict[str, int] = {}       # where the last end tag of a hidden element is
 
     def close(k: int) -> None:
@@ -181,22 +210,50 @@ def parse(source: str | None) -> Page:
         in_article = any(t == "article" for t, _ in stack)
         banned = (tag in NEVER or (tag == "header" and not in_article) or a.get("role", "").lower() in ROLES or "hidden" in a
                   or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(a.get("style", "")))
-                  or (tag == "article" and bool(names) and bool(re.search(r"comment|teaser|related", names, re.I))))
-        named = bool(names) and tag not in ("html", "body", "article", "main") and bool(NAMES.search(names))
+                  or (tag == "article" and bool(names) and bool(re.search(r"comment|teaser|related", a.get("class", ""), re.I)
+                                                                or _COMMENT_ID.fullmatch(a.get("id", "").strip()))))
         main = 2 if tag in ("article", "main") or a.get("role", "").lower() == "main" else 1 if names and MAIN_NAMES.search(names) else 0
         page.label.append(f"{tag}.{'.'.join(sorted(set(re.sub(r'[0-9]+', '0', names).split())))}" if names else tag)
         page.parent.append(above)
-        page.never.append(page.never[above] or banned or named)
         page.banned.append(banned)
-        page.named.append(named)
+        page.named.append(_named(tag, a, inside[above]))
         page.main.append(main)
+        inside.append(inside[above] or main == 2)
         stack.append((tag, len(page.label) - 1))
     if at < len(source):
         text(at, len(source))
+    _judge_classes(page)
+    _mark(page, frozenset())
     _spare_article(page)
     return page
 
 
+def _judge_classes(page: Page) -> None:
+    """IN_CLASS becomes HARD for elements with more text in links than outside, and 0 for others."""
+    if IN_CLASS not in page.named:
+        return
+    balance = [0] * len(page.label)
+    for element, _, text, link in page.pieces:
+        size = len("".join(text.split()))
+        balance[element] += size if link else -size
+    for i in range(len(page.label) - 1, 0, -1):
+        if page.named[i] == IN_CLASS:
+            page.named[i] = HARD if balance[i] > 0 else 0
+        balance[page.parent[i]] += balance[i]
+
+
+def _mark(page: Page, around: set[int] | frozenset[int]) -> None:
+    """Fills ``never`` and ``soft``; names of the elements ``around`` don't count."""
+    page.never, page.soft = [False], [0]
+    for i in range(1, len(page.label)):
+        above, named = page.parent[i], 0 if i in around else page.named[i]
+        page.never.append(page.never[above] or page.banned[i] or bool(named))
+        if page.banned[i] or named == HARD or (page.never[above] and not page.soft[above]):
+            page.soft.append(0)
+        else:
+            page.soft.append(i if named else page.soft[above])
+
+
 def _spare_article(page: Page) -> None:
     """A name such as "has-sidebar" on an element around the only article does not make the article a sidebar."""
     articles = [i for i, m in enumerate(page.main) if m == 2 and not page.banned[i]]
@@ -207,8 +264,7 @@ def _spare_article(page: Page) -> None:
         while i >= 0:
             around.add(i)
             i = page.parent[i]
-    for i in range(1, len(page.label)):
-        page.never[i] = page.never[page.parent[i]] or page.banned[i] or (page.named[i] and i not in around)
+    _mark(page, around)
 
 
 def shape(page: Page) -> tuple[str, list[int]]:
@@ -324,7 +380,13 @@ def host_of(url: Column) -> Column:
 
 def identity(page: Page) -> int:
     """The same for pages whose blocks that can be content have the same texts."""
-    return text_hash("\n".join(t for e, t, _, _ in blocks_of(page) if not page.never[e]))
+    return text_hash("\n".join(t for e, t, _, _ in blocks_of(page) if not page.never[e] or page.soft[e]))
+
+
+def soft_slot(to: dict[int, int], number: list[int], element: int) -> int | None:
+    """The slot of all text below a SOFT element: below -1, so that it is none of its template node's own."""
+    node = to.get(number[element])
+    return None if node is None else -2 - node
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,10 +411,14 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((host, same, -1, None, 0, 0))
                 seen = set()
                 for element, words, chars, link_chars in blocks_of(page):
-                    node = to.get(number[element])
-                    if node is not None and not page.never[element] and (node, words) not in seen:
-                        seen.add((node, words))
-                        rows.append((host, same, node, text_hash(words), chars, link_chars))
+                    nodes, soft = [] if page.never[element] else [to.get(number[element])], page.soft[element]
+                    while soft:
+                        nodes.append(soft_slot(to, number, soft))
+                        soft = page.soft[page.parent[soft]]
+                    for node in nodes:
+                        if node is not None and (node, words) not in seen:
+                            seen.add((node, words))
+                            rows.append((host, same, node, text_hash(words), chars, link_chars))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], t)
                  for k, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
@@ -377,7 +443,8 @@ def _container(template: str, weight: dict[int, int]) -> int | None:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """Templates of ``pages`` (host, html): host, template, constants (node and hash of the text), container."""
+    """Templates of ``pages`` (host, html): host, template, constants (node and hash of the text), container, spared (slots of
+    SOFT elements that are content)."""
     # Copies of a page are one page, here and below.
     shapes = (pages.select("host", "html").mapInArrow(_shapes, "host string, page long, shape string")
                    .groupBy("host", "page").agg(F.min("shape").alias("shape"))
@@ -391,22 +458,30 @@ def induce(pages: DataFrame) -> DataFrame:
     texts = materialise(slots.groupBy("host", "node", "text").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars")), "slots")
     totals = texts.where("node = -1").select("host", F.col("n").alias("n_pages"))
-    judged = texts.where("node >= 0").join(totals, "host").withColumn(
+    judged = texts.where("node <> -1").join(totals, "host").withColumn(
         "constant", (F.col("n") >= MIN_PAGES) & (F.col("n") >= CONSTANT_SHARE * F.col("n_pages")))
     constants = judged.where("constant").groupBy("host").agg(F.collect_list(F.struct("node", "text")).alias("constants"))
-    nodes = judged.where("NOT constant").groupBy("host", "node").agg(F.sum(F.col("chars") - F.col("link_chars")).alias("weight"))
+    nodes = judged.where("node >= 0 AND NOT constant").groupBy("host", "node").agg(F.sum(F.col("chars") - F.col("link_chars")).alias("weight"))
     weights = nodes.groupBy("host").agg(F.collect_list(F.struct("node", "weight")).alias("weights"))
 
+    # Text below a SOFT element that is mostly outside links and differs from page to page is content.
+    own = (F.col("n") < MIN_PAGES) & (F.col("n") < CONSTANT_SHARE * F.col("n_pages"))
+    spared = (judged.where((F.col("node") < -1) & (F.col("n_pages") >= MIN_PAGES)).groupBy("host", "node").agg(
+        F.sum("chars").alias("chars"), F.sum(F.when(own, F.col("chars") - F.col("link_chars")).otherwise(0)).alias("varying"))
+        .where("2 * varying > chars").groupBy("host").agg(F.collect_list("node").alias("spared")))
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             picked = [_container(t, {w["node"]: w["weight"] for w in ws or []})
                       for t, ws in zip(batch.column("template").to_pylist(), batch.column("weights").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("template"), batch.column("constants"),
-                                              pa.array(picked, pa.int32())], ["host", "template", "constants", "container"])
+                                              pa.array(picked, pa.int32()), batch.column("spared")],
+                                             ["host", "template", "constants", "container", "spared"])
 
-    joined = seeds.join(constants, "host", "left").join(weights, "host", "left").select("host", "template", "constants", "weights")
+    joined = seeds.join(constants, "host", "left").join(weights, "host", "left").join(spared, "host", "left").select(
+        "host", "template", "constants", "weights", "spared")
     return materialise(joined.mapInArrow(
-        choose, "host string, template string, constants array<struct<node:int,text:bigint>>, container int"), "wrappers")
+        choose, "host string, template string, constants array<struct<node:int,text:bigint>>, container int, spared array<int>"), "wrappers")
 
 
 def text_hash(text: str) -> int:
@@ -415,9 +490,16 @@ def text_hash(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[tuple[int, int]], container: int | None) -> str:
+def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[tuple[int, int]], container: int | None,
+              spared: set[int] | frozenset[int] = frozenset()) -> str:
     blocks = blocks_of(page)
     n = len(page.label)
+    never = page.never
+    if spared:
+        never = [False] * n
+        for i in range(1, n):
+            never[i] = never[page.parent[i]] or (page.never[i] and not page.soft[i]) or (
+                page.soft[i] == i and soft_slot(to, number, i) not in spared)
 
     def below(chosen: list[bool]) -> list[bool]:
         inside = chosen[:]
@@ -426,7 +508,7 @@ def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[t
         return inside
 
     def content(inside: list[bool]) -> list[tuple[int, str]]:
-        return [(e, t) for e, t, _, _ in blocks if inside[e] and not page.never[e]]
+        return [(e, t) for e, t, _, _ in blocks if inside[e] and not never[e]]
 
     inside = [True] * n
     for strength in (2, 1):
@@ -447,7 +529,8 @@ def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[t
                 inside = own
     kept = content(inside)
     if constant:
-        kept = [(e, t) for e, t in kept if (to.get(number[e], -1), text_hash(t)) not in constant]
+        kept = [(e, t) for e, t in kept if (
+            soft_slot(to, number, page.soft[e]) if page.soft[e] else to.get(number[e], -1), text_hash(t)) not in constant]
     return "\n".join(t for _, t in kept)
 
 
@@ -456,12 +539,12 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "html"):
             texts = []
-            for source, template, constants, container in zip(
-                    *(part.column(c).to_pylist() for c in ("html", "template", "constants", "container")), strict=True):
+            for source, template, constants, container, spared in zip(
+                    *(part.column(c).to_pylist() for c in ("html", "template", "constants", "container", "spared")), strict=True):
                 page = parse(source)
                 shaped, number = shape(page)
                 constant = {(c["node"], c["text"]) for c in constants or []}
-                texts.append(main_text(page, align(shaped, template), number, constant, container))
+                texts.append(main_text(page, align(shaped, template), number, constant, container, set(spared or [])))
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
@@ -472,7 +555,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
     wrappers = induce(rows)
-    return rows.join(wrappers, "host", "left").select("page_id", "url", "html", "template", "constants", "container").mapInArrow(
+    return rows.join(wrappers, "host", "left").select("page_id", "url", "html", "template", "constants", "container", "spared").mapInArrow(
         _extracted, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")
 
 

@@ -103,6 +103,31 @@ def test_constant_slots_are_template(spark):
     assert wrappers.op4_query(pages.limit(0)).collect() == []
 
 
+def test_names_inside_an_article():
+    cases = [(f"<{o}><p>One</p><section id='{i}'><h2 id='{i}-2'>H</h2><p>Two</p></section></{o}>", "One\nH\nTwo")
+             for o in ("article", "main", "div role=main") for i in ("side-effects", "related-work", "legal-basis", "search-results")]
+    cases = [(source.replace("</div role=main>", "</div>"), want) for source, want in cases]
+    cases += [
+        ("<article id='commentary-on-x'><h2 id='legal'>H</h2><p class='notice'>Two</p><div class='side-effects'>Three</div></article>", "H\nTwo\nThree"),
+        ("<article><p>One</p><div class='ad'>no</div><div id='comments'>no</div><ul class='comment-list'><li>no</ul><div class='x share'>no</div></article>", "One"),
+        ("<article><p>One</p><ul class='share-buttons'><li><a>no</a><li><a>no</a></ul><article id='comment-12'>no</article></article>", "One"),
+        ("<section id='related-work'><p>no</p></section><article><p>One</p></article>", "One"),
+    ]
+    for source, want in cases:
+        assert text_of(source) == want, source
+
+
+def test_varying_text_below_a_name(spark):
+    page = ("<body><article><p>Story %d</p><section id='legal'><h2>Law</h2><p>Paragraph %d applies.</p></section><div class='notice'>All of it</div>"
+            "<div class='related'><a>Story %d too</a></div><div class='comments'>I say %d</div></article></body>")
+    rows = [(i, f"http://h.example.org/{i}", page.replace("%d", str(i))) for i in range(20)]
+    rows += [(20 + i, "http://few.example.org/", page.replace("%d", str(i))) for i in range(3)]
+    got = {r.page_id: r.text for r in wrappers.op4_query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):     # the constant heading is template
+        assert got[i] == f"Story {i}\nParagraph {i} applies."
+    assert [got[i] for i in range(20, 23)] == ["Story 0", "Story 1", "Story 2"]
+
+
 def test_copies_of_an_article_are_no_template(spark):
     shell = "<body><div><p>Share this page now</p></div><div>%s</div><footer>%d</footer></body>"
     copy = "<article><h1>One story</h1><p>It is told often.</p></article>"
