@@ -5,7 +5,9 @@ text is aligned to a template like this: equal words at both ends are matched; o
 once in the window and once in the template are anchors; the longest increasing subsequence of their
 positions is matched, and each gap between anchors is aligned in the same way. Coverage is the share of
 the template's words that are matched. A license is found where a window of twice the template's length reaches
-``MIN_COVERAGE``.
+``MIN_COVERAGE`` and the words that tell the license from others are matched: in statements of less than ``NOTICE`` words all but
+``COMMON`` ones, no farther apart than in the template; in notices the version's number after "version" and the name of
+the GNU license. So another name or version is another license or none, whatever the coverage.
 
 Windows that hold too few words of the template to reach the coverage are passed over, which loses nothing. The
 templates are a fixed table, sent to the tasks; texts are read once, without a shuffle.
@@ -30,6 +32,8 @@ from .common import text_slices
 
 MIN_COVERAGE = 0.8
 SLACK = 8                  # words that a window may hold beyond twice the template's length
+NOTICE = 20                # words from which a template is a notice
+COMMON = frozenset("code is licensed program released software the this under version work".split())
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 #: Wording of public licenses.
@@ -41,6 +45,23 @@ TEMPLATES = {
         required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
         BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
         governing permissions and limitations under the License.""",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
+    "agpl-3.0 text": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "apache-2.0 text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "bsd": "Released under the BSD License.",
+    "bsd-2-clause": "Released under the BSD 2-Clause License.",
+    "bsd-3-clause": "Released under the BSD 3-Clause License.",
+    "bsd-3-clause notice": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+        derived from this software without specific prior written permission.""",
     "bsd-2-clause notice": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
         that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
         conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
@@ -48,11 +69,35 @@ TEMPLATES = {
     "cc-by-4.0": "Licensed under CC BY 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc0-1.0": "Licensed under CC0 1.0.",
+    "cc0-1.0 notice": """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights
+        to this software to the public domain worldwide. This software is distributed without any warranty.""",
+    "cc0-1.0 text": "Creative Commons Legal Code CC0 1.0 Universal",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0 notice": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "gpl-2.0 text": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl-3.0 text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
         Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
         version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
         warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "isc": "Released under the ISC License.",
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-2.1 notice": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later
+        version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "lgpl-2.1 text": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "lgpl-3.0 text": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     "isc notice": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
         granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "mit": "Released under the MIT License.",
@@ -61,7 +106,12 @@ TEMPLATES = {
         use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
         the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
         shall be included in all copies or substantial portions of the Software.""",
+    "mpl-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "mpl-2.0 notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
+TEMPLATES |= {f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}."
+              for kind in ("by", "by-nc", "by-nc-nd", "by-nc-sa", "by-nd", "by-sa") for version in ("3.0", "4.0")}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -111,10 +161,24 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def identifying(words: list[str]) -> list[list[int]]:
+    """Places of a template's words that must be matched; those of one list no farther apart than in the template."""
+    if len(words) < NOTICE:
+        return [[i for i, w in enumerate(words) if w not in COMMON]]
+    return ([[i] for i, w in enumerate(words) if w in ("affero", "lesser")]
+            + [[i, i + 1] for i, w in enumerate(words[:-1]) if w in ("v", "version") and words[i + 1][0].isdigit()])
+
+
+def names_it(pairs: list[tuple[int, int]], groups: list[list[int]]) -> bool:
+    at = {p: i for i, p in pairs}
+    return all(p in at for g in groups for p in g) and all(at[q] - at[p] <= q - p for g in groups for p, q in zip(g, g[1:], strict=False))
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float = MIN_COVERAGE):
         self.templates = [(name, words_of(text)) for name, text in sorted(templates.items())]
         self.least = [max(1, -int(-min_coverage * len(words) // 1)) for _, words in self.templates]
+        self.identifying = [identifying(words) for _, words in self.templates]
         self.holders: dict[str, list[int]] = {}
         for k, (_, words) in enumerate(self.templates):
             for w in set(words):
@@ -142,9 +206,10 @@ class Scanner:
                     for size in (width, len(template) + SLACK):
                         window = words[places[i]:places[i] + size]
                         pairs = align(window, template)
-                        if len(pairs) >= least:
+                        found_it = len(pairs) >= least and names_it(pairs, self.identifying[k])
+                        if found_it:
                             break
-                    if len(pairs) >= least:
+                    if found_it:
                         first, last = places[i] + pairs[0][0], places[i] + pairs[-1][0] + 1
                         found.append({"license": name, "coverage": len(pairs) / len(template), "first_word": first, "end_word": last,
                                       "words": len(pairs)})

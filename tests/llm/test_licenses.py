@@ -52,6 +52,26 @@ def test_planted_statements():
     assert [f["license"] for f in twice] == ["mit", "mit"] and twice[0]["end_word"] <= twice[1]["first_word"]
 
 
+def test_near_misses_are_not_another_license():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    cases = [
+        ("Released under the BSD License.", "bsd"), ("Licensed under CC BY 3.0.", "cc-by-3.0"), ("Licensed under CC BY 2.0.", None),
+        ("Apache License, Version 1.1", None), ("Licensed under the Apache License, Version 1.1", "apache-1.1"),
+        ("This work is licensed under the GNU General Public License, version 2", "gpl-2.0"),
+        ("This work is licensed under the GNU General Public License, version 1", None),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", "lgpl-3.0"),
+        ("It was released under the band's own license.", None), ("Licensed under CC BY-SA 4.0", "cc-by-sa-4.0"), ("Released under MIT License", "mit"),
+        ("Released under the eye of MIT staff, who hold a license.", None), ("all of their rights are reserved", None),
+        (licenses.TEMPLATES["gpl-3.0 notice"].replace("version 3", "version 2"), "gpl-2.0 notice"),
+        (licenses.TEMPLATES["gpl-3.0 notice"].replace("version 3", "version 1"), None),
+        (licenses.TEMPLATES["bsd-2-clause notice"], "bsd-2-clause notice"), (licenses.TEMPLATES["bsd-3-clause notice"], "bsd-3-clause notice"),
+    ]
+    for text, want in cases:
+        for around in ("", SENTENCE):
+            found = scanner.scan(around + text + " " + around)
+            assert (found[0]["license"] if found else None) == want, text
+
+
 def test_every_statement_of_the_documents_is_found(spark):
     docs = documents(spark)
     texts = {r.doc_id: r.text for r in docs.collect()}
