@@ -28,7 +28,7 @@ An empty table gives no rows. Other columns of the input are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -117,9 +117,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row, i in enumerate(filled):
                 key[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 keys[i], sketches[i] = bands[row], short[row].tobytes()
+            passed = [c for c in part.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(key, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["doc_id", "n", "key", "bands", "sketch"])
+                [*[part.column(c) for c in passed], pa.array([len(s) for s in sets], pa.int64()), pa.array(key, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], [*passed, "n", "key", "bands", "sketch"])
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -325,18 +326,16 @@ def components(links: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ the operator
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    found = materialise(signatures(docs, id_col, text_col), "signatures")
-    classes = materialise(found.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+def _labels(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, component) of the classes (rep, bands, sketch) that are linked with others; ``texts_of`` gives the rows (rep, text) of the
+    classes of a table (rep)."""
     rows = classes.select(F.explode("bands").alias("bucket"), "rep")
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"), F.bit_xor(F.xxhash64("rep")).alias("x")).where("n > 1")
     buckets = full.groupBy("n", "first", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
     members = materialise(rows.join(buckets, "bucket").select("bucket", "n", "rep"), "members")
     reps = materialise(members.select("rep").distinct(), "reps")
     sketches = materialise(classes.join(reps, "rep").select("rep", "sketch", "bands"), "sketches")
-    texts = materialise(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep"), "texts")
+    texts = materialise(texts_of(reps), "texts")
 
     first = propose(members.join(sketches.select("rep", "sketch"), "rep"))
     links = materialise(confirm(first, texts).where("linked").select("a", "b"), "links")
@@ -352,6 +351,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = materialise(crossing_links(now.join(keys, "rep"), texts), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
+    return labels
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    found = materialise(signatures(docs, id_col, text_col), "signatures")
+    classes = materialise(found.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+    labels = _labels(classes, lambda reps: docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep"))
 
     out = found.select("doc_id", "n", "key").join(classes.select("key", "rep"), "key", "left")
     out = out.join(labels, out["rep"] == labels["node"], "left")
@@ -365,7 +373,35 @@ def op10_query(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, without the near-duplicates of an earlier one: of each group, the smallest id stays,
-    and of rows with the same id and text one."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    """The documents, all columns, without the near-duplicates of an earlier one: of each group one row stays, with the smallest id
+    (no id is the largest). A row counts by its id and text, so one id can have several texts. Of rows with the same id and
+    text one stays, also where both are null or the text has no shingles."""
+    row_id, row_hash = docs["doc_id"].cast("long"), F.xxhash64(docs["text"], docs["text"].isNull())
+    found = docs.select(row_id.alias("doc_id"), row_hash.alias("hash"), docs["text"])
+    found = materialise(found.mapInArrow(_signatures, "doc_id long, hash long, n long, key binary, bands array<long>, sketch binary"), "signatures")
+    # Numbers are given once and stored; a class has the text of its first row.
+    classes = found.where("key IS NOT NULL").groupBy("key").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+    def texts_of(reps: DataFrame) -> DataFrame:
+        wanted = classes.join(reps, "rep").select("rep", F.col("first.doc_id").alias("of_id"), F.col("first.hash").alias("of_hash"))
+        rows = docs.select(row_id.alias("row_id"), row_hash.alias("row_hash"), docs["text"])
+        rows = rows.join(wanted, F.col("row_id").eqNullSafe(F.col("of_id")) & (F.col("row_hash") == F.col("of_hash")))
+        return rows.groupBy("rep").agg(F.first("text").alias("text"))       # repeated rows
+
+    labels = _labels(classes, texts_of)
+    rows = found.groupBy("doc_id", "hash", "key").agg(F.count(F.lit(1)).alias("times"))
+    joined = rows.where("key IS NOT NULL").join(classes.select("key", "rep"), "key")
+    joined = joined.join(labels, joined["rep"] == labels["node"], "left").withColumn("group", F.coalesce("component", "rep"))
+    first = joined.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "times")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.hash").alias("kept_hash"), F.col("first.times").alias("kept_times"))
+    kept = materialise(kept.union(rows.where("key IS NULL").select("doc_id", "hash", "times")), "kept")
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return docs.join(some, row_id.eqNullSafe(some["kept_id"]) & (row_hash == some["kept_hash"]), "left_semi")
+
+    once, repeated = rows_of(kept.where("kept_times = 1")), rows_of(kept.where("kept_times > 1"))
+    # Of repeated rows with different other columns, always the same one.
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    return once.union(repeated.groupBy(row_id.alias("kept_id"), row_hash.alias("kept_hash")).agg(one).select("row.*"))

@@ -104,6 +104,20 @@ def test_keep_one(spark):
     assert 9 in ids and 10 not in ids and 11 not in ids and {0, 1, 2, 3} <= ids and None in ids
 
 
+def test_keep_one_keeps_one_row(spark):
+    long = [" ".join(f"w{k}-{i}" for i in range(60)) for k in range(4)]
+    near = long[0] + " and more"
+    rows = [(5, long[0])] * 30 + [(7, near), (7, long[1]), (7, long[1])] + [(None, long[2])] * 9 + [(None, long[0]), (None, None), (None, None), (None, "")]
+    rows += [(8, None), (8, None), (9, ""), (10, ""), (11, long[3]), (12, long[3] + " end"), (13, near)]
+    docs = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    kept = neardups.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [(5, long[0]), (7, long[1]), (None, long[2]), (None, None), (None, ""), (8, None), (9, ""), (10, ""), (11, long[3])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert neardups.keep_one(awkward_docs(spark)).count() == 20
+    assert neardups.keep_one(empty_docs(spark)).collect() == []
+
+
 def test_sketch_fills_every_bin_and_estimates():
     rnd = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.75, 0.9):
