@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes, and which belong together corpus-wide.
 
-1. A task encodes its documents with both tokenizers and places the tokens by byte. For each batch, ``pandas.merge_asof``,
+1. A task encodes its documents with both tokenizers, each distinct piece of text once, and places the tokens by byte. For each batch, ``pandas.merge_asof``,
    keyed by document, finds for each token start the other side's covering token, in both directions; the union of both
    is the set of overlapping token pairs (links). Offsets where tokens of both sides end cut the tokens into groups.
 2. A block is a run of documents of one task, of bounded size, with a dictionary of its distinct id pairs and in how many
@@ -26,6 +26,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch_dir, text_slices
+from .common import buffer_of, materialise, scratch_dir, text_slices
 from .pretokens import pack, unpack
+from .token_counts import check_model
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_LINKS = 8_000_000        # a block ends at this many distinct (document, pair), or with its task
+KNOWN = 800_000                # distinct pieces of text whose ids a task remembers
 SIDE = 1 << 20                 # a pair of ids as one number: a * SIDE + b
 
 
@@ -58,8 +61,8 @@ def _byte_of_char() -> dict[str, int]:
 class Side:
     """A tokenizer as a batch encoder, the bytes of its entries, and its ids written with each separator."""
 
-    def __init__(self, encode, entry_bytes: list[bytes]):
-        self.encode, self.bytes = encode, entry_bytes
+    def __init__(self, encode, encode_pieces, entry_bytes: list[bytes]):
+        self.encode, self.encode_pieces, self.bytes = encode, encode_pieces, entry_bytes
         self.length = np.fromiter(map(len, entry_bytes), np.int64, len(entry_bytes))
         self.written = [f"{i}{mark}" for mark in ",|;" for i in range(len(entry_bytes))]
 
@@ -71,14 +74,21 @@ def byte_level_side(path: str) -> Side:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     with open(path, encoding="utf-8") as f:
-        added = {t["id"]: t["content"].encode() for t in json.load(f).get("added_tokens", [])}
+        model = json.load(f)
+    cut = model.get("pre_tokenizer") or {}
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        raise ValueError("not a byte-level tokenizer whose pre-tokens hold white space at their start only")
+    added = {t["id"]: t["content"].encode() for t in model.get("added_tokens", [])}
     byte = _byte_of_char()
     vocabulary = {i: t for t, i in tokenizer.get_vocab(with_added_tokens=True).items()}
     entries = [added.get(i) or bytes(byte[c] for c in vocabulary[i]) for i in range(max(vocabulary) + 1)]
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-    return Side(encode, entries)
+
+    def encode_pieces(pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    return Side(encode, encode_pieces, entries)
 
 
 @lru_cache(maxsize=2)
@@ -89,7 +99,10 @@ def piece_side(path: str) -> Side:
     def entry(piece: str) -> bytes:
         found = re.fullmatch("<0x([0-9A-F]{2})>", piece)
         return bytes([int(found[1], 16)]) if found else piece.replace("▁", " ").encode()
-    return Side(lambda texts: p.encode(texts, num_threads=1), [entry(p.id_to_piece(i)) for i in range(p.get_piece_size())])
+    check_model(path)
+    # behind a line feed the model puts no space of its own before a piece; the feed and the space before it are two tokens
+    return Side(lambda texts: p.encode(texts, num_threads=1), lambda pieces: [ids[2:] for ids in p.encode(["\n" + t for t in pieces], num_threads=1)],
+                [entry(p.id_to_piece(i)) for i in range(p.get_piece_size())])
 
 
 def tokens_of(texts: list[str | None], side: Side, other: Side) -> tuple[list[list[int]], list[list[int]]]:
@@ -104,12 +117,86 @@ def tokens_of(texts: list[str | None], side: Side, other: Side) -> tuple[list[li
     return ids_a, ids_b
 
 
-def frame(ids: list[list[int]], side: Side) -> pd.DataFrame:
+def cut_pieces(texts: list[str]) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """Text number and bytes of the pieces of ``space + text``. A piece ends before a space or line feed that follows a
+    visible ASCII character: pre-tokens of both sides hold such white space at their start only, so no token crosses that place."""
+    raw, offsets = buffer_of(pa.array([" " + t for t in texts], pa.large_string()))
+    cut = (raw == 32) | (raw == 10)
+    cut[1:] &= (raw[:-1] > 32) & (raw[:-1] < 127)
+    cut[offsets[:-1]] = True
+    starts = np.flatnonzero(cut)
+    bounds = np.append(starts, len(raw)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))])
+    return np.searchsorted(offsets, starts, side="right") - 1, pieces
+
+
+class Known:
+    """Ids of both sides of the distinct pieces seen so far, as flat arrays; ``whole``: both give back the piece's bytes."""
+
+    def __init__(self, sides: tuple[Side, Side], limit: int = KNOWN):
+        self.sides, self.limit = sides, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[bytes, int] = {}
+        self.whole = np.zeros(0, bool)
+        self.flat = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.start = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def append(self, ids: list[list[list[int]]], whole: list[bool]) -> None:
+        for k in (0, 1):
+            lengths = np.fromiter(map(len, ids[k]), np.int64, len(ids[k]))
+            self.flat[k] = np.concatenate([self.flat[k], np.fromiter(chain.from_iterable(ids[k]), np.int64, int(lengths.sum()))])
+            self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + np.cumsum(lengths)])
+        self.whole = np.append(self.whole, np.array(whole, bool))
+
+    def slots(self, pieces: list[bytes]) -> np.ndarray:
+        if len(self.whole) + len(pieces) > self.limit:
+            self.forget()
+        new = [p for p in pieces if p not in self.slot]
+        texts = [p.decode() for p in new]
+        ids = [side.encode_pieces(texts) for side in self.sides]
+        a, b = (side.bytes.__getitem__ for side in self.sides)
+        whole = [b"".join(map(a, x)) == p == b"".join(map(b, y)) for p, x, y in zip(new, *ids, strict=True)]
+        self.slot.update(zip(new, range(len(self.whole), len(self.whole) + len(new)), strict=True))
+        self.append(ids, whole)
+        return np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+
+    def take(self, k: int, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of side ``k`` of the pieces in ``slots``, one after the other, and how many each has."""
+        n = self.start[k][slots + 1] - self.start[k][slots]
+        return self.flat[k][np.repeat(self.start[k][slots], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], n
+
+
+def encode_texts(texts: list[str | None], known: Known) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both sides: ids of all texts, one after the other, and the text of each id. Texts without tokens: see the module."""
+    filled = [i for i, t in enumerate(texts) if t]
+    if not filled:
+        return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * 2
+    number, pieces = cut_pieces([texts[i] for i in filled])
+    distinct = pieces.dictionary_encode()
+    slot = known.slots(distinct.dictionary.to_pylist())[distinct.indices.to_numpy()]
+    doc = np.array(filled)[number]
+    odd = np.unique(doc[~known.whole[slot]])        # texts with a piece that does not come back: encoded as a whole, which decides
+    if len(odd):
+        ids = tokens_of([texts[i] for i in odd], *known.sides)
+        first = len(known.whole)
+        known.append(list(ids), [False] * len(odd))
+        stay = ~np.isin(doc, odd)
+        doc, slot = np.append(doc[stay], odd), np.append(slot[stay], first + np.arange(len(odd)))
+        order = np.argsort(doc, kind="stable")
+        doc, slot = doc[order], slot[order]
+    out = []
+    for k in (0, 1):
+        ids, n = known.take(k, slot)
+        out.append((ids, np.repeat(doc, n)))
+    return out
+
+
+def frame(ids: np.ndarray, doc: np.ndarray, side: Side) -> pd.DataFrame:
     """doc, id, start, end, place of all tokens; documents lie one after the other on the byte axis."""
-    flat = np.fromiter((x for d in ids for x in d), np.int64, sum(map(len, ids)))
-    end = np.cumsum(side.length[flat])
-    return pd.DataFrame({"doc": np.repeat(np.arange(len(ids)), list(map(len, ids))), "id": flat,
-                         "start": end - side.length[flat], "end": end, "place": np.arange(len(flat))})
+    end = np.cumsum(side.length[ids])
+    return pd.DataFrame({"doc": doc, "id": ids, "start": end - side.length[ids], "end": end, "place": np.arange(len(ids))})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +206,9 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     starts = ["doc", "start", "place"]
     left = pd.merge_asof(a[starts], b[starts], on="start", by="doc", suffixes=("", "_other"))
     right = pd.merge_asof(b[starts], a[starts], on="start", by="doc", suffixes=("", "_other"))
-    links = np.union1d(left["place"].to_numpy() * len(b) + left["place_other"].to_numpy(),
-                       right["place_other"].to_numpy() * len(b) + right["place"].to_numpy())
+    links = np.sort(np.concatenate([left["place"].to_numpy() * len(b) + left["place_other"].to_numpy(),
+                                    right["place_other"].to_numpy() * len(b) + right["place"].to_numpy()]))
+    links = links[np.append(True, links[1:] != links[:-1])]
     return links // len(b), links % len(b)
 
 
@@ -149,12 +237,12 @@ def written_groups(a: pd.DataFrame, b: pd.DataFrame, group_a: np.ndarray, group_
     return out
 
 
-def align(texts: list[str | None], side: Side, other: Side) -> dict:
+def align(texts: list[str | None], known: Known) -> dict:
     """Per text: n_a, n_b, n_groups, n_links, the written groups; and its distinct id pairs (``pair``) with their
     numbers of links (``times``), one text after the other (``pairs`` of them)."""
     n = len(texts)
-    ids_a, ids_b = tokens_of(texts, side, other)
-    a, b = frame(ids_a, side), frame(ids_b, other)
+    side, other = known.sides
+    a, b = (frame(*ids, s) for ids, s in zip(encode_texts(texts, known), known.sides, strict=True))
     group_a, group_b = groups(a, b)
     place_a, place_b = overlaps(a, b)
     doc_a = a["doc"].to_numpy()
@@ -176,7 +264,7 @@ _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 def make_blocks(docs: DataFrame, path_a: str, path_b: str, digest: bool, block_links: int = BLOCK_LINKS) -> DataFrame:
     """The stored table of blocks: per document the counts, its groups (or their digest) and its pairs by number; per block the dictionary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, other = byte_level_side(path_a), piece_side(path_b)
+        known = Known((byte_level_side(path_a), piece_side(path_b)))
         made, ids, kept = 0, [], []
 
         def block() -> pa.RecordBatch:
@@ -192,7 +280,7 @@ def make_blocks(docs: DataFrame, path_a: str, path_b: str, digest: bool, block_l
 
         for batch in batches:
             for part in text_slices(batch):
-                found = align(part.column("text").to_pylist(), side, other)
+                found = align(part.column("text").to_pylist(), known)
                 if digest:
                     found["groups"] = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found["groups"]]
                 kept.append(found)

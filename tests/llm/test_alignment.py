@@ -70,7 +70,7 @@ def brute_force(texts):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=4))
 def test_align_equals_all_pairs(texts):
-    got = alignment.align(texts, *SIDES)
+    got = alignment.align(texts, alignment.Known(SIDES, limit=20))
     for i, t in enumerate(texts):
         a, b = tokens(t)
         text, n = written(a, b)
