@@ -40,7 +40,7 @@ from .pretokens import pack, unpack
 
 WINDOW = 50
 GRAM = 16
-GROUP = 8192                   # fragments of one tree in a task
+GROUP = 2048                   # fragments of one tree in a task
 AT_ONCE = 16_384               # fragments whose suffixes are sorted together (whole groups)
 BLOCK_BYTES = 32_000_000
 _U = np.uint64
@@ -94,6 +94,17 @@ def fragments(words: Words, window: int = WINDOW, gram: int = GRAM) -> tuple[np.
     return names[least[cut]], row[cut], start[cut] - words.first[row[cut]], np.diff(np.append(cut, len(start)))
 
 
+_DIGESTS = pa.list_(pa.struct([("digest", pa.binary()), ("least", pa.int64()), ("most", pa.int64()), ("members", pa.binary())]))
+
+
+def _digest_keys(digests: list[bytes | None], ids: list[int | None]) -> list[dict]:
+    at = np.array([i for i, d in enumerate(digests) if d is not None and ids[i] is not None], np.int64)
+    names, entry = np.unique(np.array([digests[i] for i in at], "S16"), return_inverse=True)
+    found = packed_keys([entry], at, np.zeros_like(at), np.array([ids[i] for i in at], np.int64))
+    digest = [digests[np.frombuffer(m, "<i8")[0]] for m in found["members"]]
+    return [dict(digest=d, least=a, most=b, members=m) for d, a, b, m in zip(digest, found["least"].tolist(), found["most"].tolist(), found["members"], strict=True)]
+
+
 def make_blocks(docs: DataFrame, window: int, gram: int, block_bytes: int) -> DataFrame:
     """The stored table of blocks: ids, texts, digests of the word sequences (null: no window), and the fragments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +114,7 @@ def make_blocks(docs: DataFrame, window: int, gram: int, block_bytes: int) -> Da
             name, row, first, n = (np.concatenate(x) for x in zip(*found, strict=True))
             return pa.RecordBatch.from_pydict({
                 "block": pa.array([(TaskContext.get().partitionId() << 32) + made], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())),
-                "texts": pa.array([texts], pa.list_(pa.string())), "digests": pa.array([digests], pa.list_(pa.binary())),
+                "texts": pa.array([texts], pa.list_(pa.string())), "digests": pa.array([_digest_keys(digests, ids)], _DIGESTS),
                 "names": [name.tobytes()], "rows": [pack(row)], "firsts": [pack(first)], "counts": [pack(n)]})
 
         for batch in batches:
@@ -122,7 +133,7 @@ def make_blocks(docs: DataFrame, window: int, gram: int, block_bytes: int) -> Da
         if ids:
             yield block()
 
-    rows = docs.mapInArrow(run, "block long, ids array<long>, texts array<string>, digests array<binary>, names binary, rows binary, "
+    rows = docs.mapInArrow(run, "block long, ids array<long>, texts array<string>, digests array<struct<digest:binary,least:bigint,most:bigint,members:binary>>, names binary, rows binary, "
                                 "firsts binary, counts binary")
     spark = docs.sparkSession
     name = f"quantleaf_suffixes_{uuid.uuid4().hex}"
@@ -136,22 +147,40 @@ def make_blocks(docs: DataFrame, window: int, gram: int, block_bytes: int) -> Da
 # ------------------------------------------------------------------ first holders of equal keys
 
 
-def first_holders(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """block, row, first, source of the rows (block, row, first, doc, keys) whose key also has a smaller doc, ``source``.
+def packed_keys(keys: list[np.ndarray], row: np.ndarray, first: np.ndarray, doc: np.ndarray) -> dict:
+    """Distinct keys (rows of ``keys``) with their least and greatest doc and their members (row, first, doc) as bytes."""
+    order = np.lexsort((*reversed(keys),))
+    new = np.append(True, np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0))[:len(order)]
+    at = np.flatnonzero(new)
+    members = np.stack([row, first, doc], 1).astype("<i8")[order]
+    bounds = [*at.tolist(), len(order)]
+    return {"keys": [k[order][at] for k in keys], "members": [members[s:e].tobytes() for s, e in zip(bounds, bounds[1:], strict=False)],
+            "least": np.minimum.reduceat(members[:, 2], at) if len(at) else np.zeros(0, np.int64),
+            "most": np.maximum.reduceat(members[:, 2], at) if len(at) else np.zeros(0, np.int64)}
+
 
-    Rows of a block meet first, so a key has at most one row per block when all meet, however often it occurs."""
-    in_block = rows.groupBy("block", *keys).agg(F.min("doc").alias("least"), F.collect_list(F.struct("row", "first", "doc")).alias("members"))
-    held = in_block.withColumn("source", F.min("least").over(Window.partitionBy(*keys)))
-    return held.where(F.exists("members", lambda m: m["doc"] > F.col("source"))).select("block", "source", F.inline("members")).where("source < doc").drop("doc")
+def later_members(held: list[dict] | None) -> np.ndarray:
+    """row, first, 1, source of the members whose doc is larger than the key's ``source``."""
+    found = [np.zeros((0, 4), np.int64)]
+    for h in held or []:
+        m = np.frombuffer(h["members"], "<i8").reshape(-1, 3)
+        m = m[m[:, 2] > h["source"]]
+        found.append(np.stack([m[:, 0], m[:, 1], np.ones(len(m), np.int64), np.full(len(m), h["source"])], 1))
+    return np.concatenate(found)
+
+
+def first_holders(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """block, ``name``: the members of keys (block, keys, least, most, members) that also has a document with a smaller id, the ``source``.
+
+    A key comes once or a few times per block with its members packed, so few rows meet, however often it occurs."""
+    held = rows.withColumn("source", F.min("least").over(Window.partitionBy(*keys))).where("source < most")
+    return held.groupBy("block").agg(F.collect_list(F.struct("source", "members")).alias(name))
 
 
 def whole_copies(blocks: DataFrame) -> DataFrame:
-    """block, copies: the rows whose words are those of a document with a smaller id, with that id."""
-    rows = (blocks.select("block", F.posexplode(F.arrays_zip("ids", "digests")).alias("row", "d"))
-                  .select("block", "row", F.lit(0).alias("first"), F.col("d.ids").alias("doc"), F.col("d.digests").alias("digest"))
-                  .where("doc IS NOT NULL AND digest IS NOT NULL"))
-    found = first_holders(rows, ["digest"])
-    return materialise(found.groupBy("block").agg(F.collect_list(F.struct("row", "source")).alias("copies")), "suffix-copies")
+    """block, copies: the rows whose words are those of a document with a smaller id."""
+    rows = blocks.select("block", F.explode("digests").alias("d")).select("block", "d.*")
+    return materialise(first_holders(rows, ["digest"], "copies"), "suffix-copies")
 
 
 # ------------------------------------------------------------------ trees
@@ -163,7 +192,7 @@ def _own_fragments(row: dict) -> tuple[np.ndarray, ...]:
     at, first, n = (unpack(row[c].as_py()).astype(np.int64) for c in ("rows", "firsts", "counts"))
     ids = row["ids"].values
     out = ids.is_null().to_numpy(zero_copy_only=False).copy()
-    out[[c["row"] for c in row["copies"].as_py() or []]] = True
+    out[later_members(row["copies"].as_py())[:, 0]] = True
     keep = ~out[at] if len(at) else np.zeros(0, bool)
     return name[keep], at[keep], first[keep], n[keep], ids.fill_null(0).to_numpy()
 
@@ -192,7 +221,8 @@ def tree_names(blocks: DataFrame, copies: DataFrame, group: int) -> DataFrame:
 
 
 def shipped(blocks: DataFrame, copies: DataFrame, trees: DataFrame, window: int, gram: int) -> DataFrame:
-    """Fragments of shared trees (name, text) and, for large trees, their windows (key_1, key_2): block, row, first, doc each."""
+    """Fragments of shared trees (block, name, row, first, doc, text) and, for large trees, their distinct windows
+    (block, key_1, key_2, least, most, members)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -219,27 +249,31 @@ def shipped(blocks: DataFrame, copies: DataFrame, trees: DataFrame, window: int,
                     data = raw.tobytes()
                     cold = ~big
                     text = [data[s:e] for s, e in zip(words.start[begin[cold]].tolist(), words.end[begin[cold] + k[cold] + window - 2].tolist(), strict=True)]
-                    yield _rows(block, a[cold], f[cold], ids, len(text), name=g[cold].view(np.int64), text=text)
+                    yield _filled({"block": np.full(len(text), block), "name": g[cold].view(np.int64), "row": a[cold], "first": f[cold],
+                                   "doc": ids[a[cold]], "text": pa.array(text, pa.binary()).cast(pa.string())})
                     if big.any():
                         one, two = run_hashes(words.hash, window), run_hashes(words.hash ^ _MULT, window)
                         k, a, f, begin = k[big], a[big], f[big], begin[big]
                         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-                        spot = np.repeat(begin, k) + step
-                        yield _rows(block, np.repeat(a, k), np.repeat(f, k) + step, ids, len(spot),
-                                    key_1=one[spot].view(np.int64), key_2=two[spot].view(np.int64))
+                        spot, owner = np.repeat(begin, k) + step, np.repeat(a, k)
+                        found = packed_keys([one[spot].view(np.int64), two[spot].view(np.int64)], owner, np.repeat(f, k) + step, ids[owner])
+                        yield _filled({"block": np.full(len(found["least"]), block), "key_1": found["keys"][0], "key_2": found["keys"][1],
+                                       **{c: found[c] for c in ("least", "most", "members")}})
 
     rows = (blocks.select("block", "ids", "texts", "names", "rows", "firsts", "counts").join(trees, "block").join(copies, "block", "left")
-                  .mapInArrow(run, "block long, row int, first int, doc long, name long, text string, key_1 long, key_2 long"))
+                  .mapInArrow(run, ", ".join(f"{c} {t}" for c, (t, _) in _SHIPPED.items())))
     return materialise(rows, "suffix-fragments")
 
 
-def _rows(block: int, at: np.ndarray, first: np.ndarray, ids: np.ndarray, n: int, **given) -> pa.RecordBatch:
-    columns = {"name": pa.int64(), "text": pa.string(), "key_1": pa.int64(), "key_2": pa.int64()}
-    return pa.RecordBatch.from_pydict({
-        "block": pa.array(np.full(n, block), pa.int64()), "row": pa.array(at, pa.int32()), "first": pa.array(first, pa.int32()),
-        "doc": pa.array(ids[at], pa.int64()),
-        **{c: pa.array(given[c], pa.binary()).cast(t) if c == "text" and c in given else pa.array(given[c], t) if c in given else pa.nulls(n, t)
-           for c, t in columns.items()}})
+_SHIPPED = {"block": ("long", pa.int64()), "name": ("long", pa.int64()), "row": ("int", pa.int32()), "first": ("int", pa.int32()),
+            "doc": ("long", pa.int64()), "text": ("string", pa.string()), "key_1": ("long", pa.int64()), "key_2": ("long", pa.int64()),
+            "least": ("long", pa.int64()), "most": ("long", pa.int64()), "members": ("binary", pa.binary())}
+
+
+def _filled(given: dict) -> pa.RecordBatch:
+    """A batch of ``_SHIPPED`` columns, null where not given."""
+    n = len(given["block"])
+    return pa.RecordBatch.from_pydict({c: pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, (_, t) in _SHIPPED.items()})
 
 
 def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,22 +343,23 @@ def tree_repeats(fragments_: DataFrame, window: int, at_once: int) -> DataFrame:
 
 def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP, at_once: int = AT_ONCE,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The stored blocks with what was found in them: ids, texts, copies (row, source), hits (row, first, n, source)."""
+    """The stored blocks with what was found in them: ids, texts, copies, hits (row, first, n, source), windows of large trees."""
     blocks = make_blocks(docs, window, gram, block_bytes)
     copies = whole_copies(blocks)
     sent = shipped(blocks, copies, tree_names(blocks, copies, group), window, gram)
-    windows = sent.where("key_1 IS NOT NULL").select("block", "row", "first", "doc", "key_1", "key_2")
-    hits = (tree_repeats(sent, window, at_once).select("block", "row", "first", "n", "source")
-            .unionByName(first_holders(windows, ["key_1", "key_2"]).select("block", "row", "first", F.lit(1).alias("n"), "source")))
-    by_block = hits.groupBy("block").agg(F.collect_list(F.struct("row", "first", "n", "source")).alias("hits"))
-    return blocks.select("block", "ids", "texts").join(copies, "block", "left").join(by_block, "block", "left").drop("block")
+    by_block = (tree_repeats(sent, window, at_once).groupBy("block")
+                .agg(F.collect_list(F.struct("row", "first", "n", "source")).alias("hits")))
+    windows = sent.where("key_1 IS NOT NULL").select("block", "key_1", "key_2", "least", "most", "members")
+    return (blocks.select("block", "ids", "texts").join(copies, "block", "left").join(by_block, "block", "left")
+                  .join(first_holders(windows, ["key_1", "key_2"], "windows"), "block", "left").drop("block"))
 
 
 def _hits(row: dict) -> tuple[list, dict[int, int], np.ndarray]:
-    copies = {c["row"]: c["source"] for c in row["copies"].as_py() or []}
+    copies = {r: source for r, _, _, source in later_members(row["copies"].as_py()).tolist()}
     found = row["hits"].values if row["hits"].is_valid else None
-    table = (np.stack([found.field(c).to_numpy().astype(np.int64) for c in ("row", "first", "n", "source")], 1) if found is not None and len(found)
-             else np.zeros((0, 4), np.int64))
+    table = later_members(row["windows"].as_py())
+    if found is not None and len(found):
+        table = np.concatenate([table, np.stack([found.field(c).to_numpy().astype(np.int64) for c in ("row", "first", "n", "source")], 1)])
     return row["ids"].as_py(), copies, table[np.lexsort((table[:, 1], table[:, 0]))]
 
 
