@@ -42,7 +42,7 @@ WINDOW = 50
 GRAM = 16
 GROUP = 2048                   # fragments of one tree in a task
 AT_ONCE = 16_384               # fragments whose suffixes are sorted together (whole groups)
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
 
