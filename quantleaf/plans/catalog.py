@@ -22,6 +22,7 @@ from quantleaf.operators import quality as Q
 from quantleaf.operators import silver as S
 from quantleaf.operators.windows import latest_by_key
 from quantleaf.plans import refresh as P
+from quantleaf.plans import versions
 from quantleaf.session import checkpointed
 from quantleaf.plans.oracle import BASE_CTES, avg_dec, with_ctes
 from quantleaf.sources import ingest as I
@@ -729,6 +730,64 @@ def q_ingest_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.not_yet_stored(stored, arriving)
 
 
+# Planted faults, by fetch: broken JSON, an error response, no values, an unreadable close, an unreadable date.
+_FAULTS = 11
+
+
+def _faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents (fetch_seq, value), some of them faulty."""
+    m = F.pmod(F.col("fetch_seq"), F.lit(_FAULTS))
+    docs = proxy_payloads(spark, sf_dir).withColumn("values", F.when(m == 3, F.array_compact(F.array(F.lit(None).cast(
+        schemas.PRICE_PAYLOAD["values"].dataType.elementType)))).when(m == 4, F.transform("values", lambda v: v.withField("close", F.lit("n/a"))))
+        .when(m == 5, F.transform("values", lambda v: v.withField("datetime", F.lit("yesterday")))).otherwise(F.col("values")))
+    text = F.to_json(F.struct("symbol", "exchange", "currency", "fetched_at", "values"))
+    return docs.select("fetch_seq", F.when(m == 1, F.substring(text, 1, 25)).when(m == 2, F.lit('{"code": 429, "message": "limit", "status": "error"}'))
+                       .otherwise(text).alias("value"))
+
+
+_REJECTS_SQL = f"""
+, documents_of AS (SELECT ticker, fetch_seq, count(*) AS entries FROM bronze_prices GROUP BY ALL),
+units AS (
+  SELECT CASE WHEN fetch_seq % {_FAULTS} NOT IN (1, 2) THEN ticker END AS symbol,
+         ['broken JSON', 'error response', 'no values', 'bad close', 'bad datetime'][fetch_seq % {_FAULTS}] AS reason,
+         CASE WHEN fetch_seq % {_FAULTS} IN (1, 2, 3) THEN 1 ELSE entries END AS n
+  FROM documents_of)
+SELECT symbol, coalesce(reason, 'accepted') AS reason, CAST(sum(n) AS BIGINT) AS units FROM units GROUP BY ALL"""
+
+
+def _units_by_reason(rejected: DataFrame, kept: DataFrame) -> DataFrame:
+    kept = kept.select(I.price_symbol(F.col("ticker")).alias("symbol"), F.lit("accepted").alias("reason"))
+    return rejected.select("symbol", "reason").unionByName(kept).groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("units"))
+
+
+@register("ingest_rejects", _oracle(["bronze_prices"], [], _REJECTS_SQL))
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty documents and entries are set aside with their reason; accepted and rejected add up to what landed."""
+    lines = _faulty_lines(spark, sf_dir).withColumn("file", F.lit(None).cast("string"))
+    units = checkpointed(I.check_payloads(lines, I.PRICE_FEED))
+    return _units_by_reason(I.rejects(units), I.accepted(units, I.PRICE_FEED))
+
+
+@register("stream_rejects", _oracle(["bronze_prices"], [], _REJECTS_SQL + """
+UNION ALL SELECT 'all', 'landed', CAST(sum(n) AS BIGINT) FROM units
+UNION ALL SELECT 'all', 'accepted', CAST(coalesce(sum(n) FILTER (reason IS NULL), 0) AS BIGINT) FROM units"""))
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1, S5: the same documents as files of a stream in two micro-batches: bronze, the rejects table and the batches' counts."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    from quantleaf.streaming import incremental as N
+    run = scratch_path(spark, f"stream-rejects-{uuid.uuid4().hex}")
+    lines = checkpointed(_faulty_lines(spark, sf_dir))
+    for k in (0, 1):
+        lines.where(F.pmod(F.col("fetch_seq"), F.lit(2)) == k).select("value").write.mode("append").text(f"{run}/landing")
+        N.run_price_ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/checkpoint", mode="all")
+    counts = spark.read.parquet(f"{run}/bronze" + N.COUNTS_SUFFIX).agg(F.sum("landed").alias("landed"), F.sum("accepted").alias("accepted"))
+    totals = counts.select(F.explode(F.map_from_arrays(F.array(F.lit("landed"), F.lit("accepted")), F.array("landed", "accepted")))
+                           .alias("reason", "units")).select(F.lit("all").alias("symbol"), "reason", "units")
+    return _units_by_reason(spark.read.parquet(f"{run}/bronze" + N.REJECTS_SUFFIX), N.bronze_rows(spark, f"{run}/bronze")).unionByName(totals)
+
+
 def _feeds_sql() -> str:
     """Three feeds by document: each appends the rows whose key the earlier ones did not store."""
     feed = "SELECT * FROM payload_rows WHERE feed = {} "
@@ -1122,8 +1181,8 @@ def q_refresh_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = proxy.load(spark, sf_dir)
     out = scratch_path(spark, f"refresh-{uuid.uuid4().hex}")
     gold = P.refresh_all(spark, b, out)
-    tables = {n: spark.read.parquet(f"{out}/silver/{n}") for n in P.SILVER_TABLES[:3]}
-    tables |= {n: spark.read.parquet(path) for n, path in gold.items()}
+    version = versions.current(spark, out)
+    tables = {n: version.table(n) for n in [*P.SILVER_TABLES[:3], *gold]}
     # Dimension and key counts of bronze: a handful of scalars.
     c = b.companies.agg(F.count(F.lit(1)).alias("c"), F.countDistinct("category").alias("cat"), F.countDistinct("region").alias("reg"))
     px = b.prices.agg(F.countDistinct("ticker", "trade_date").alias("px"))
@@ -1137,6 +1196,79 @@ def q_refresh_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.counts_against_expected(tables, spark.createDataFrame(list(expected.items()), "table_name string, expected_rows long"))
 
 
+_AFTER_FAILURE_SQL = """
+SELECT 'silver_stock_prices' AS table_name, CAST(1 AS BIGINT) AS version, COUNT(*) AS row_count, CAST(SUM(close_price) AS DECIMAL(38,6)) AS figure FROM silver_prices
+UNION ALL SELECT 'silver_forex_rates', 1, COUNT(*), CAST(SUM(close_rate) AS DECIMAL(38,6)) FROM silver_forex
+UNION ALL SELECT 'gold_stock_performance', 1, COUNT(*), CAST(SUM(current_price) AS DECIMAL(38,6)) FROM perf
+UNION ALL SELECT 'gold_daily_inr_returns', 1, COUNT(*), CAST(SUM(close_price_inr) AS DECIMAL(38,6)) FROM daily"""
+
+
+def _wrong_unit(bronze: proxy.Bronze) -> proxy.Bronze:
+    """The same bronze with a rate feed a hundred million times too high: silver holds it, the last gold table (M12) cannot."""
+    out = proxy.Bronze(bronze.spark, bronze.sf_dir)
+    out.forex = bronze.forex.withColumn("close_rate", (F.col("close_rate") * 100_000_000).cast(schemas.D18_6))
+    return out
+
+
+def _figures(version: versions.Version) -> DataFrame:
+    """Row count and a sum of tables of one version."""
+    figure = {"silver_stock_prices": "close_price", "silver_forex_rates": "close_rate", "gold_stock_performance": "current_price",
+              "gold_daily_inr_returns": "close_price_inr"}
+    parts = [version.table(n).agg(F.lit(n).alias("table_name"), F.lit(version.number).cast("long").alias("version"),
+                                  F.count(F.lit(1)).alias("row_count"), F.sum(c).cast("decimal(38,6)").alias("figure"))
+             for n, c in figure.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _failed_refresh(spark: SparkSession, bronze: proxy.Bronze, *target: str) -> None:
+    """A refresh that must fail in its last table."""
+    from pyspark.errors import PySparkException
+    try:
+        P.refresh_all(spark, _wrong_unit(bronze), target[0], gold_dir=target[1] if len(target) > 1 else None)
+    except PySparkException:
+        return
+    raise AssertionError("the refresh of rates beyond DECIMAL(10,2) should have failed")
+
+
+_FIGURES_SQL = with_ctes(_GOLD_BASE, [_STATS_SQL, _PERF_SQL, _DAILY_SQL]).rstrip() + _AFTER_FAILURE_SQL
+
+
+@register("refresh_failed_keeps_tables", _FIGURES_SQL)
+def q_refresh_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh, then one that fails in its last table: version 1 is read, with the rows of before."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    b = proxy.load(spark, sf_dir)
+    out = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    P.refresh_all(spark, b, out)
+    _failed_refresh(spark, b, out)
+    return _figures(versions.current(spark, out))
+
+
+@register("refresh_failed_keeps_catalog_tables", _FIGURES_SQL)
+def q_refresh_failed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with catalog tables in two databases (their folders in the shared one)."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    b = proxy.load(spark, sf_dir)
+    key = uuid.uuid4().hex
+    names = [f"ql_{layer}_{key}" for layer in ("silver", "gold")]
+    for name in names:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    try:
+        P.refresh_all(spark, b, names[0], gold_dir=names[1])
+        _failed_refresh(spark, b, *names)
+        return checkpointed(_figures(versions.current(spark, names[1])))
+    finally:
+        for name in names:
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 # Stored bronze has no line numbers: its fetch order is the fetch time, then the quoted values.
 _STORED = [BASE_CTES["silver_prices"].replace("'line': l_linenumber, 'part': l_partkey, 'supp': l_suppkey, 'open_price': open_price,", (
     "'close_price': close_price, 'volume': volume, 'open_price': open_price,")).replace("'low_price': low_price, 'close_price': close_price, 'volume': volume,",

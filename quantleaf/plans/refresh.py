@@ -1,11 +1,10 @@
 """The refresh (bronze → silver → gold) as lazy DataFrame plans.
 
-``build_silver`` / ``build_gold`` return DataFrames; ``refresh_*`` write them as
-tables with ``mode("overwrite")``. A table is replaced only when its plan
-succeeds (write-then-swap; no empty-table window), and a failing step raises
-instead of leaving later steps to run on stale data. Gold steps that re-read a
-silver table read it back from its written location, which also cuts the
-lineage between the layers.
+``build_silver`` / ``build_gold`` return DataFrames; ``refresh_*`` write them aside
+and publish all of them as one version (``plans.versions``): a step that fails, in
+its first task or its last, leaves the published tables as they were and
+raises. Gold steps that re-read a silver table read it back from its written
+location, which also cuts the lineage between the layers.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from quantleaf import schemas
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import silver as S
+from quantleaf.plans import versions
 from quantleaf.session import checkpointed
 from quantleaf.sources.proxy import Bronze
 
@@ -217,58 +217,29 @@ def build_gold(silver: Silver, cfg: EngineConfig) -> dict[str, DataFrame]:
     }
 
 
-def _write(df: DataFrame, path: str) -> None:
-    """Overwrite a table: a path is Parquet, a bare name is a catalog table (CTAS)."""
-    if "/" in path or path.startswith("file:"):
-        df.write.mode("overwrite").parquet(path)
-    else:
-        df.write.mode("overwrite").saveAsTable(path)
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path) if ("/" in path or path.startswith("file:")) else spark.table(path)
-
-
-def _loc(out: str, name: str) -> str:
-    """Tables go under a folder (path) or into a database (``db.`` prefix)."""
-    return os.path.join(out, name) if ("/" in out or out.startswith("file:")) else f"{out}.{name}"
-
-
-def refresh_silver(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig) -> Silver:
-    """Write the silver tables and return them read back from storage."""
+def _write_silver(build: versions.Build, bronze: Bronze, cfg: EngineConfig, target: str | None = None) -> Silver:
+    """Write the silver tables and the calendar into ``build``; returns them read back from storage."""
     s = build_silver(bronze, cfg, cut_lineage=True)
-    tables = {"silver_stock_prices": s.prices, "silver_stock_fundamentals": s.fundamentals,
-              "silver_forex_rates": s.forex, "silver_companies": s.companies,
-              "silver_currency_map": s.currency_map}
-    for name, df in tables.items():
-        schemas.check_contract(name, df)
-        _write(_laid_out(name, df), _loc(out_dir, name))
-        log.info("%s refreshed", name)
-    r = {name: _read(spark, _loc(out_dir, name)) for name in tables}
+    r = {name: build.write(name, _laid_out(name, df), target)
+         for name, df in zip(SILVER_TABLES, (s.prices, s.fundamentals, s.forex, s.companies, s.currency_map), strict=True)}
     # M4: the date dimension for BI time filters, spanning the written price history
-    _write(S.calendar_for(r["silver_stock_prices"]), _loc(out_dir, "silver_calendar"))
-    log.info("silver_calendar refreshed")
-    return Silver(r["silver_stock_prices"], r["silver_stock_fundamentals"], r["silver_forex_rates"],
-                  r["silver_companies"], r["silver_currency_map"])
+    build.write("silver_calendar", S.calendar_for(r["silver_stock_prices"]), target)
+    return Silver(*[r[n] for n in SILVER_TABLES])
 
 
-def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineConfig) -> dict[str, str]:
-    """Write the gold tables in dependency order; returns name → path.
+def _write_gold(build: versions.Build, silver: Silver, cfg: EngineConfig, target: str | None = None) -> list[str]:
+    """Write the gold tables into ``build`` in dependency order; returns their names.
 
     The per-ticker and per-pair aggregates (one row per ticker / pair) are
     checkpointed once, so M6, M7 and M10 share one scan of the silver prices.
     """
     g = gold_inputs(silver, cfg)
     g.stats, g.fx = checkpointed(g.stats), checkpointed(g.fx)
-    paths: dict[str, str] = {}
+    names = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        schemas.check_contract(name, df)
-        p = _loc(out_dir, name)
-        _write(df, p)        # a failure raises here; later steps do not run on stale inputs
-        log.info("%s refreshed", name)
-        paths[name] = p
-        return _read(spark, p)
+        names.append(name)
+        return build.write(name, df, target)     # a failure raises here; nothing is published
 
     perf = put("gold_stock_performance", stock_performance(g))
     cur = put("gold_currency_adjusted_returns", currency_adjusted(g))
@@ -277,20 +248,39 @@ def refresh_gold(spark: SparkSession, silver: Silver, out_dir: str, cfg: EngineC
     put("gold_dividend_analysis", dividend(g))
     put("gold_correlation_matrix", correlation(g))
     put("gold_daily_inr_returns", daily_inr(g))
-    return paths
+    return names
 
 
-def refresh_all(spark: SparkSession, bronze: Bronze, out_dir: str, cfg: EngineConfig | None = None,
+def refresh_silver(spark: SparkSession, bronze: Bronze, out: str, cfg: EngineConfig) -> Silver:
+    """Publish the silver tables as a version of ``out`` (a folder or a database); returns them read back."""
+    with versions.building(spark, out, schemas.check_contract) as build:
+        silver = _write_silver(build, bronze, cfg)
+        build.publish()
+        return silver
+
+
+def refresh_gold(spark: SparkSession, silver: Silver, out: str, cfg: EngineConfig) -> dict[str, str]:
+    """Publish the gold tables as a version of ``out``; returns name → place."""
+    with versions.building(spark, out, schemas.check_contract) as build:
+        _write_gold(build, silver, cfg)
+        return build.publish().places
+
+
+def refresh_all(spark: SparkSession, bronze: Bronze, out: str, cfg: EngineConfig | None = None,
                 gold_dir: str | None = None) -> dict[str, str]:
-    """Silver then gold. ``out_dir`` is a folder (tables under silver/ and gold/) or, with
-    ``gold_dir``, two database names for catalog tables."""
+    """Silver then gold, published together: readers of ``versions.current(spark, out)`` see one version of all tables.
+
+    ``out`` is a folder or a database. With ``gold_dir``, a second database: the gold tables are written there, its version holds
+    all tables, and ``out`` gets a version of the silver ones. Returns name → place of the gold tables."""
     cfg = cfg or EngineConfig()
-    if gold_dir is None:
-        silver_out, gold_out = os.path.join(out_dir, "silver"), os.path.join(out_dir, "gold")
-    else:
-        silver_out, gold_out = out_dir, gold_dir
-    silver = refresh_silver(spark, bronze, silver_out, cfg)
-    return refresh_gold(spark, silver, gold_out, cfg)
+    with versions.building(spark, gold_dir or out, schemas.check_contract) as build:
+        silver = _write_silver(build, bronze, cfg, out)
+        silver_names = build.names()
+        gold_names = _write_gold(build, silver, cfg)
+        version = build.publish()
+        if gold_dir:
+            build.publish(out, silver_names)
+    return {n: version.places[n] for n in gold_names}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -304,7 +294,7 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf-dir", help="folder with the generated test tables (proxy bronze)")
     src.add_argument("--bronze", help="folder with bronze_stock_prices / _fundamentals / bronze_forex_rates")
-    ap.add_argument("--out", required=True, help="output folder (silver/ and gold/ below it)")
+    ap.add_argument("--out", required=True, help="output folder; plans.versions.current() reads its latest version")
     ap.add_argument("--as-of", help="reporting date YYYY-MM-DD (default: last trade date)")
     ap.add_argument("--variant", default="dbt", choices=["dbt", "sp"])
     a = ap.parse_args(argv)

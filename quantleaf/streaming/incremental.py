@@ -26,6 +26,7 @@ from quantleaf.sources import ingest
 
 EPOCH = "_epoch"
 WATERMARK_SUFFIX = "_latest"   # per-epoch latest date per ticker, next to the bronze folder
+REJECTS_SUFFIX, COUNTS_SUFFIX = "_rejects", "_counts"
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
@@ -56,14 +57,15 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: str, bronze_di
 
     mode: 'anti' appends rows whose (ticker, trade_date) is not stored yet (J12);
     'newer' appends rows after the latest stored date per ticker (S6), read from the
-    watermark table kept next to bronze. A bronze folder is fed in one mode.
+    watermark table kept next to bronze; 'all' appends every row (later layers take the
+    latest fetch). A bronze folder is fed in one mode.
     """
     new = batch
     if mode == "newer":
         latest = _latest_dates(spark, bronze_dir, epoch_id)
         if latest is not None:
             new = ingest.newer_than_stored(latest, batch)
-    else:
+    elif mode == "anti":
         stored = read_bronze(spark, bronze_dir)
         if stored is not None:
             # An empty batch has no range: the filter is then NULL and the batch appends nothing.
@@ -90,23 +92,45 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
+class TooManyRejects(RuntimeError):
+    """A micro-batch holds more rejects than the feed allows; it is not appended."""
+
+
+def ingest_checked(spark: SparkSession, checked: DataFrame, epoch_id: str, bronze_dir: str, mode: str = "anti",
+                   max_reject_share: float | None = None) -> None:
+    """Append the accepted units of a batch to bronze, its rejects and its counts to their own tables beside it.
+
+    Rejects and counts are written first, so they can be looked at when the share of rejects stops the feed."""
+    _write_epoch(ingest.rejects(checked).withColumn(EPOCH, F.lit(epoch_id)), bronze_dir + REJECTS_SUFFIX)
+    counts = ingest.unit_counts(checked).first()
+    _write_epoch(spark.createDataFrame([(*counts, epoch_id)], f"landed long, accepted long, rejected long, {EPOCH} string"),
+                 bronze_dir + COUNTS_SUFFIX)
+    if max_reject_share is not None and counts.rejected > max_reject_share * counts.landed:
+        raise TooManyRejects(f"{counts.rejected} of {counts.landed} units of batch {epoch_id} are rejected")
+    ingest_batch(spark, ingest.accepted(checked, ingest.PRICE_FEED), epoch_id, bronze_dir, mode)
+
+
 def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint: str,
-                     mode: str = "anti", max_files_per_trigger: int | None = None) -> None:
-    """Process every payload file available now, then stop (Trigger.AvailableNow)."""
-    reader = spark.readStream.schema(schemas.PRICE_PAYLOAD)
+                     mode: str = "anti", max_files_per_trigger: int | None = None, max_reject_share: float | None = None) -> None:
+    """Process every payload file available now, then stop (Trigger.AvailableNow).
+
+    Documents and entries that can't be used go to ``<bronze>_rejects`` with their text, reason and file, the numbers of each
+    micro-batch to ``<bronze>_counts``. A batch with a larger share of rejects than ``max_reject_share`` fails and stops the feed."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = ingest.parse_price_payloads(reader.json(landing_dir))
+    lines = reader.text(landing_dir).select("value", F.col("_metadata.file_path").alias("file")).where("trim(value) != ''")
+    units = ingest.check_payloads(lines, ingest.PRICE_FEED)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         batch = batch.persist()
         try:
-            ingest_batch(session, batch, f"{_query_id(session, checkpoint)}-{batch_id}", bronze_dir, mode)
+            ingest_checked(session, batch, f"{_query_id(session, checkpoint)}-{batch_id}", bronze_dir, mode, max_reject_share)
         finally:
             batch.unpersist()
 
-    q = (rows.writeStream
+    q = (units.writeStream
          .foreachBatch(append)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

@@ -117,9 +117,11 @@ def test_refresh_all_writes_every_table(spark, tmp_dir):
     counts = {n: spark.read.parquet(p).count() for n, p in paths.items()}
     assert counts["gold_stock_performance"] == 25 and counts["gold_category_performance"] == 4
     assert counts["gold_region_performance"] == 5 and counts["gold_correlation_matrix"] > 0
-    silver = spark.read.parquet(os.path.join(tmp_dir, "silver", "silver_stock_prices"))
+    from quantleaf.plans import versions
+    version = versions.current(spark, tmp_dir)
+    silver = version.table("silver_stock_prices")
     assert silver.count() == counts["gold_daily_inr_returns"]
-    cal = spark.read.parquet(os.path.join(tmp_dir, "silver", "silver_calendar"))
+    cal = version.table("silver_calendar")
     span = silver.agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("b")).first()
     assert cal.count() == (span.b - span.a).days + 1
 
@@ -211,9 +213,10 @@ def test_refresh_into_catalog_tables(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS ql_silver")
     spark.sql("CREATE DATABASE IF NOT EXISTS ql_gold")
     paths = P.refresh_all(spark, proxy.load(spark, "/root/testdata/sf0.001"), "ql_silver", gold_dir="ql_gold")
-    assert paths["gold_stock_performance"] == "ql_gold.gold_stock_performance"
-    assert spark.table("ql_gold.gold_stock_performance").count() == 25
-    assert spark.table("ql_silver.silver_calendar").count() > 0
+    assert paths["gold_stock_performance"].startswith("ql_gold.gold_stock_performance__")
+    from quantleaf.plans import versions
+    assert versions.current(spark, "ql_gold").table("gold_stock_performance").count() == 25
+    assert versions.current(spark, "ql_silver").table("silver_calendar").count() > 0
 
 
 def test_pair_count_and_layer_listing(spark):
