@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,33 @@ def pct_change(new: ColumnOrName, old: ColumnOrName) -> Column:
     return (n - o) / F.nullif(o, F.lit(0.0)) * 100
 
 
+def unscaled(c: ColumnOrName, scale: int) -> Column:
+    """A decimal with at most ``scale`` fraction digits as an integer: c · 10^scale."""
+    return (col(c) * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")
+
+
+def exact_quotient(num: Column, den: Column, precision: int, scale: int) -> Column:
+    """num / den of two integers (DECIMAL(38,0)), already scaled by 10^scale, as DECIMAL(precision, scale): rounded half away
+    from zero, as T-SQL's casts do, with no step in double; NULL for a zero or NULL divisor."""
+    a, b = F.abs(num), F.abs(F.nullif(den, F.lit(0).cast("decimal(38,0)")))
+    size = F.call_function("div", 2 * a + b, 2 * b)      # DECIMAL div DECIMAL is an integer
+    signed = F.when((num < 0) != (den < 0), -size).otherwise(size).cast("decimal(19,0)")
+    return (signed * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+
+
+def exact_pct(new: ColumnOrName, old: ColumnOrName, digits: int, precision: int = 18, scale: int = 4) -> Column:
+    """(new - old) / old * 100 of decimals with at most ``digits`` fraction digits, exact."""
+    n, o = unscaled(new, digits), unscaled(old, digits)
+    return exact_quotient((n - o) * F.lit(Decimal(10) ** (2 + scale)), o, precision, scale)
+
+
+def exact_compound(local_pct: ColumnOrName, end_rate: ColumnOrName, start_rate: ColumnOrName, less_local: bool = False) -> Column:
+    """((1 + r/100) * end/start - 1) * 100, less r itself with ``less_local``, of DECIMAL(18,4) returns and DECIMAL(18,6) rates, exact."""
+    r, e, s = unscaled(local_pct, 4), unscaled(end_rate, 6), unscaled(start_rate, 6)
+    num = (r + 1_000_000) * e - s * 1_000_000
+    return exact_quotient(num - r * s if less_local else num, s, 18, 4)
+
+
 def compound_pct(local_pct: ColumnOrName, end_rate: ColumnOrName, start_rate: ColumnOrName) -> Column:
     """Home-currency return: ((1 + r/100) * end/start - 1) * 100."""
     ratio = dbl(end_rate) / F.nullif(dbl(start_rate), F.lit(0.0))

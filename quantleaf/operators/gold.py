@@ -11,6 +11,7 @@ planner and AQE, which broadcast them only while their measured size is small.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def ticker_stats(prices: DataFrame, as_of: dt.date, cfg: EngineConfig) -> DataFr
             .withColumn("base_price", F.coalesce("year_ago_price", "earliest_price"))
             .withColumn("base_date", F.when(F.col("year_ago_price").isNotNull(), F.col("year_ago_date"))
                         .otherwise(F.col("earliest_date")))
-            .withColumn("yoy_raw", X.pct_change("current_price", "base_price"))
+            .withColumn("yoy_raw", X.exact_pct("current_price", "base_price", 4))
             .withColumn("volatility", X.to_dec("_vol"))
             .withColumnRenamed("_vol", "volatility_raw"))
 
@@ -84,16 +85,17 @@ def stock_performance(stats: DataFrame, companies: DataFrame, fundamentals: Data
     where the procedure would fail).
     """
     f = fundamentals.select("ticker", "pe_ratio", "market_cap", "roe", "debt_to_equity", "dividend_yield")
-    rf = F.lit(float(cfg.risk_free))
     if cfg.sp:
         j = (companies.join(stats.where(F.col("window_rows") > 0), "ticker", "inner")
              .join(f, "ticker", "inner"))
-        sharpe = (F.col("yoy_raw") - rf) / F.nullif(F.col("volatility_raw"), F.lit(0.0))
+        # a raw deviation is a double: so is the quotient
+        yoy = X.pct_change("current_price", "base_price")
+        sharpe = (yoy - F.lit(float(cfg.risk_free))) / F.nullif(F.col("volatility_raw"), F.lit(0.0))
     else:
         j = companies.join(stats, "ticker", "left").join(f, "ticker", "left")
-        vol = F.col("volatility")
-        sharpe = F.when(vol.isNull() | (vol == 0), F.lit(None)).otherwise(
-            (F.col("yoy_raw") - rf) / vol.cast("double"))
+        # (return - risk-free) / volatility over the unrounded return: one quotient of integers
+        cur, base, vol, rf = (X.unscaled(c, 4) for c in ("current_price", "base_price", "volatility", F.lit(Decimal(str(cfg.risk_free)))))
+        sharpe = X.exact_quotient((cur - base) * F.lit(Decimal(10) ** 10) - rf * base * 10_000, base * vol, 18, 4)
     return j.select(
         "ticker", "company_name", "category", "region", "currency",
         X.to_dec("current_price").alias("current_price"),
@@ -137,16 +139,15 @@ def currency_adjusted_returns(stats: DataFrame, fxs: DataFrame, companies: DataF
         start_r = F.when(home, one).otherwise(start)
         end_r = F.when(home, one).otherwise(F.col("end_rate"))
     local = X.to_dec("yoy_raw")
-    inr = X.compound_pct(local, end_r, start_r)
     return j.select(
         "ticker", "company_name", "category", "region",
         F.col("currency").alias("original_currency"),
         local.alias("return_local_pct"),
         X.to_dec(start_r, 18, 6).alias("inr_start_rate"),
         X.to_dec(end_r, 18, 6).alias("inr_end_rate"),
-        F.when(home, local).otherwise(X.to_dec(inr)).alias("return_inr_pct"),
+        F.when(home, local).otherwise(X.exact_compound(local, end_r, start_r)).alias("return_inr_pct"),
         F.when(home, F.lit(0).cast("decimal(18,4)"))
-         .otherwise(X.to_dec(inr - local.cast("double"))).alias("currency_impact_pct"))
+         .otherwise(X.exact_compound(local, end_r, start_r, less_local=True)).alias("currency_impact_pct"))
 
 
 def _best(label: str, value: str, desc: bool = True):
@@ -302,16 +303,14 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
     else:       # only the home currency has rate 1; a pair without a (known) quote has none
         rate = F.when(F.col("forex_pair").isNull(), one).otherwise(F.col("_rate"))
     j = (j.withColumn("forex_rate", rate)
-         .withColumn("close_inr", F.col("close_price") * F.col("forex_rate"))
-         # the return runs in double; lagging the double keeps the bucket tails a hash aggregate
-         .withColumn("close_inr_d", F.col("close_inr").cast("double")))
-    lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr_d"], cfg.bucket_days)
+         .withColumn("close_inr", (F.col("close_price") * F.col("forex_rate")).cast("decimal(38,10)")))
+    lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr"], cfg.bucket_days)
     return lagged.select(
         "ticker", "trade_date",
         X.to_dec("close_price", 10, 2).alias("close_price"),
         X.to_dec("close_inr", 10, 2).alias("close_price_inr"),
         X.to_dec("daily_return_pct", 10, 2).alias("daily_return_local_pct"),
-        X.to_dec(X.pct_change("close_inr_d", "prev_close_inr_d"), 10, 2).alias("daily_return_inr_pct"),
+        X.exact_pct("close_inr", "prev_close_inr", 10, 10, 2).alias("daily_return_inr_pct"),
         X.to_dec("forex_rate", 10, 2).alias("forex_rate"),
         (F.when(F.col("_rate").isNotNull(), F.col("forex_pair")) if cfg.sp
          else F.col("forex_pair")).alias("currency_pair"))

@@ -67,8 +67,8 @@ def period_returns(daily: DataFrame, grain: str = "year") -> DataFrame:
               F.max_by("close_price", d).alias("last_close"),
               F.min_by("close_price_inr", d).alias("first_close_inr"),
               F.max_by("close_price_inr", d).alias("last_close_inr")))
-    local = X.to_dec(X.pct_change("last_close", "first_close"))
-    inr = X.to_dec(X.pct_change("last_close_inr", "first_close_inr"))
+    local = X.exact_pct("last_close", "first_close", 4)
+    inr = X.exact_pct("last_close_inr", "first_close_inr", 4)
     return g.select(F.col("period").cast("int").alias("period"), "ticker", "first_close", "last_close",
                     local.alias("local_return_pct"), inr.alias("inr_return_pct"),
                     X.to_dec(inr - local).alias("currency_impact_pct"))

@@ -13,6 +13,7 @@ from quantleaf.functions import exprs as X
 from quantleaf.operators.windows import latest_by_key, segmented_ffill, segmented_lag
 from quantleaf.session import checkpointed
 
+_CLOSE_DIGITS = 10
 PRICE_COLS = ["open_price", "high_price", "low_price", "close_price"]
 
 
@@ -30,7 +31,7 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
                  minor_units_by_ticker: dict[str, int] | None = None) -> DataFrame:
     """M1: latest fetch per (ticker, date), minor units → major, daily return.
 
-    The return is computed on the converted, unrounded close; stored prices and
+    The return is the exact quotient of the converted, unrounded closes; stored prices and
     returns are DECIMAL(18,4). With ``cut_lineage`` the deduplicated rows are
     checkpointed once, so the two branches of the segmented LAG (rows and bucket
     tails) read them instead of deduplicating bronze twice.
@@ -46,14 +47,14 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
         "ticker", "trade_date", "volume",
         *[F.when(factor.isNotNull(), F.col(c) * factor).otherwise(F.col(c)).alias(c)
           for c in PRICE_COLS])
-    # the return runs in double; lagging the double keeps the bucket tails a hash aggregate
-    conv = conv.withColumn("_close_d", F.col("close_price").cast("double"))
-    with_prev = segmented_lag(conv, ["ticker"], "trade_date", ["_close_d"], bucket_days)
+    # 4 digits of the price and 6 of the unit
+    with_prev = segmented_lag(conv.withColumn("close_price", F.col("close_price").cast(f"decimal(28,{_CLOSE_DIGITS})")),
+                              ["ticker"], "trade_date", ["close_price"], bucket_days)
     return with_prev.select(
         "ticker", "trade_date",
         *[X.to_dec(c).alias(c) for c in PRICE_COLS],
         "volume",
-        X.to_dec(X.pct_change("_close_d", "prev__close_d")).alias("daily_return_pct"),
+        X.exact_pct("close_price", "prev_close_price", _CLOSE_DIGITS).alias("daily_return_pct"),
         F.lit(True).alias("is_valid"))
 
 
@@ -79,7 +80,7 @@ def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
     with_prev = segmented_lag(dedup, ["currency_pair"], "trade_date", ["close_rate"], bucket_days)
     return with_prev.select(
         "currency_pair", "trade_date", "close_rate",
-        X.to_dec(X.pct_change("close_rate", "prev_close_rate"), 18, 6).alias("daily_change_pct"),
+        X.exact_pct("close_rate", "prev_close_rate", 6, 18, 6).alias("daily_change_pct"),
         F.lit(True).alias("is_valid"))
 
 

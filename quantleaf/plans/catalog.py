@@ -24,7 +24,7 @@ from quantleaf.operators.windows import latest_by_key
 from quantleaf.plans import refresh as P
 from quantleaf.plans import versions
 from quantleaf.session import checkpointed
-from quantleaf.plans.oracle import BASE_CTES, avg_dec, with_ctes
+from quantleaf.plans.oracle import BASE_CTES, avg_dec, pct, quotient, whole, with_ctes
 from quantleaf.sources import ingest as I
 from quantleaf.sources import proxy
 
@@ -91,7 +91,7 @@ def _shared(g: P.GoldInputs) -> P.GoldInputs:
 # ----------------------------------------------------------------------------- oracle pieces
 
 # One grouped pass per ticker: picks by arg_max / arg_min, windows by FILTER (both variants' windows at once).
-_STATS_SQL = """
+_STATS_SQL = f"""
 known AS (SELECT p.*, d AS as_of_date, CAST(d - INTERVAL 12 MONTH AS DATE) AS cut, CAST(daily_return_pct AS DOUBLE) AS ret
           FROM silver_prices p CROSS JOIN as_of WHERE trade_date <= d),
 picks AS (
@@ -106,16 +106,16 @@ picks AS (
   FROM known GROUP BY ticker),
 stats AS (
   SELECT companies.ticker, picks.* EXCLUDE (ticker), coalesce(year_ago_price, earliest_price) AS base_price,
-         (CAST(current_price AS DOUBLE) - CAST(coalesce(year_ago_price, earliest_price) AS DOUBLE))
-           / NULLIF(CAST(coalesce(year_ago_price, earliest_price) AS DOUBLE), 0) * 100 AS yoy_raw
+         {pct("current_price", "coalesce(year_ago_price, earliest_price)", 4)} AS yoy_raw
   FROM companies LEFT JOIN picks USING (ticker))"""
 
-_PERF_SQL = """
+_PERF_SQL = f"""
 perf AS (
   SELECT ticker, company_name, category, region, currency, CAST(current_price AS DECIMAL(18,4)) AS current_price,
          CAST(yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct, CAST(week_52_high AS DECIMAL(18,4)) AS week_52_high,
          CAST(week_52_low AS DECIMAL(18,4)) AS week_52_low, volatility,
-         CAST(yoy_raw / NULLIF(CAST(volatility AS DOUBLE), 0) AS DECIMAL(18,4)) AS sharpe_ratio,
+         {quotient(f"(({whole('current_price', 4)} - {whole('base_price', 4)}) * 10000000000)",
+                   f"({whole('base_price', 4)} * {whole('volatility', 4)})")} AS sharpe_ratio,
          pe_ratio, market_cap, roe, debt_to_equity, dividend_yield
   FROM companies LEFT JOIN stats USING (ticker) LEFT JOIN silver_fund USING (ticker))"""
 
@@ -126,16 +126,18 @@ pair_rates AS (
   FROM silver_forex CROSS JOIN as_of WHERE trade_date <= d GROUP BY currency_pair)"""
 
 def _currency_effect(home: str) -> str:
-    """Home-currency return and its currency part from local return l and rate growth g."""
-    return f"""CASE WHEN {home} THEN local ELSE CAST(((1 + l / 100.0) * g - 1) * 100 AS DECIMAL(18,4)) END AS return_inr_pct,
-         CASE WHEN {home} THEN 0 ELSE CAST(((1 + l / 100.0) * g - 1) * 100 - l AS DECIMAL(18,4)) END AS currency_impact_pct"""
+    """Home-currency return and its currency part from the local return and the first and last rate."""
+    grown = f"((1000000 + {whole('local', 4)}) * {whole('last_rate', 6)} - 1000000 * {whole('first_rate', 6)})"
+    return f"""CASE WHEN {home} THEN local ELSE {quotient(grown, whole('first_rate', 6))} END AS return_inr_pct,
+         CASE WHEN {home} THEN 0 ELSE {quotient(f"({grown} - {whole('local', 4)} * {whole('first_rate', 6)})", whole('first_rate', 6))}
+           END AS currency_impact_pct"""
 
 
 _CUR_SQL = f"""
 cur AS (
   SELECT ticker, company_name, category, region, currency AS original_currency, local AS return_local_pct,
          first_rate AS inr_start_rate, last_rate AS inr_end_rate, {_currency_effect("forex_pair IS NULL")}
-  FROM (SELECT *, CAST(local AS DOUBLE) AS l, CAST(last_rate AS DOUBLE) / NULLIF(CAST(first_rate AS DOUBLE), 0) AS g
+  FROM (SELECT *
         FROM (SELECT companies.*, forex_pair, CAST(yoy_raw AS DECIMAL(18,4)) AS local,
                      CAST(CASE WHEN forex_pair IS NULL THEN 1 ELSE start_rate END AS DECIMAL(18,6)) AS first_rate,
                      CAST(CASE WHEN forex_pair IS NULL THEN 1 ELSE end_rate END AS DECIMAL(18,6)) AS last_rate
@@ -155,8 +157,7 @@ valued AS (
 {name} AS (
   SELECT t.ticker, t.trade_date, CAST(t.close_price AS DECIMAL(10,2)) AS close_price,
          CAST(t.home_value AS DECIMAL(10,2)) AS close_price_inr, CAST(t.daily_return_pct AS DECIMAL(10,2)) AS daily_return_local_pct,
-         CAST((CAST(t.home_value AS DOUBLE) - CAST(y.home_value AS DOUBLE)) / NULLIF(CAST(y.home_value AS DOUBLE), 0) * 100
-              AS DECIMAL(10,2)) AS daily_return_inr_pct,
+         {pct("t.home_value", "y.home_value", 10, 2, 10)} AS daily_return_inr_pct,
          CAST(t.rate AS DECIMAL(10,2)) AS forex_rate, t.pair AS currency_pair
   FROM valued t ASOF LEFT JOIN valued y ON t.ticker = y.ticker AND t.trade_date > y.trade_date)"""
 
@@ -352,13 +353,11 @@ def _daily(L: Layers) -> DataFrame:
     return G.daily_inr_returns(s.prices, s.forex, s.companies, s.currency_map, L.cfg)
 
 
-_PR_SQL = """
+_PR_SQL = f"""
 pr AS (
   SELECT period, ticker, first_close, last_close,
-         CAST((CAST(last_close AS DOUBLE) - CAST(first_close AS DOUBLE)) / NULLIF(CAST(first_close AS DOUBLE), 0) * 100
-              AS DECIMAL(18,4)) AS local_return_pct,
-         CAST((CAST(last_inr AS DOUBLE) - CAST(first_inr AS DOUBLE)) / NULLIF(CAST(first_inr AS DOUBLE), 0) * 100
-              AS DECIMAL(18,4)) AS inr_return_pct
+         {pct("last_close", "first_close", 4)} AS local_return_pct,
+         {pct("last_inr", "first_inr", 4)} AS inr_return_pct
   FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker,
                arg_min(close_price, trade_date) AS first_close, arg_max(close_price, trade_date) AS last_close,
                arg_min(close_price_inr, trade_date) AS first_inr, arg_max(close_price_inr, trade_date) AS last_inr
@@ -946,7 +945,8 @@ perf_sp AS (
   SELECT ticker, company_name, category, region, currency, CAST(current_price AS DECIMAL(18,4)) AS current_price,
          CAST(yoy_raw AS DECIMAL(18,4)) AS yoy_return_pct, CAST(year_high AS DECIMAL(18,4)) AS week_52_high,
          CAST(year_low AS DECIMAL(18,4)) AS week_52_low, CAST(year_deviation AS DECIMAL(18,4)) AS volatility,
-         CAST(yoy_raw / NULLIF(year_deviation, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
+         CAST((CAST(current_price AS DOUBLE) - CAST(base_price AS DOUBLE)) / NULLIF(CAST(base_price AS DOUBLE), 0) * 100
+              / NULLIF(year_deviation, 0) AS DECIMAL(18,4)) AS sharpe_ratio,
          pe_ratio, market_cap, roe, debt_to_equity, dividend_yield
   FROM companies JOIN stats USING (ticker) JOIN silver_fund USING (ticker) WHERE year_rows > 0)"""
 
@@ -954,7 +954,7 @@ _CUR_SP_SQL = f"""
 cur_sp AS (
   SELECT ticker, company_name, category, region, currency AS original_currency, local AS return_local_pct,
          first_rate AS inr_start_rate, last_rate AS inr_end_rate, {_currency_effect("currency = 'INR'")}
-  FROM (SELECT *, CAST(local AS DOUBLE) AS l, CAST(last_rate AS DOUBLE) / NULLIF(CAST(first_rate AS DOUBLE), 0) AS g
+  FROM (SELECT *
         FROM (SELECT companies.*, yoy_return_pct AS local,
                      CAST(CASE WHEN companies.currency = 'INR' THEN 1 ELSE start_rate END AS DECIMAL(18,6)) AS first_rate,
                      CAST(CASE WHEN companies.currency = 'INR' THEN 1 ELSE end_rate END AS DECIMAL(18,6)) AS last_rate

@@ -6,8 +6,8 @@ proxy bronze derivation and the silver layer are shared CTEs; each query adds
 its own tail.
 
 Numeric conventions shared with the Spark side:
-* prices, rates and ratios are exact DECIMALs; return arithmetic runs in DOUBLE
-  and is cast to DECIMAL at the end, as the reference's output contract does;
+* prices, rates and returns are exact DECIMALs: a return is a quotient of integers (HUGEINT), rounded half
+  away from zero to the digits of its column;
 * averages of decimals use exact half-up rounding of SUM/COUNT (DuckDB's AVG
   on DECIMAL goes through DOUBLE and would round ties differently).
 """
@@ -28,6 +28,22 @@ def avg_dec(expr: str, scale: int, out: str | None = None) -> str:
     return body if out is None else f"{body} AS {out}"
 
 
+def whole(expr: str, scale: int) -> str:
+    """A decimal with at most ``scale`` fraction digits as HUGEINT."""
+    return f"CAST(CAST({expr} AS DECIMAL(28,{scale})) * {10 ** scale} AS HUGEINT)"
+
+
+def quotient(num: str, den: str, scale: int = 4, precision: int = 18) -> str:
+    """num / den of HUGEINTs (num scaled by 10^scale), rounded half away from zero; NULL for a zero divisor."""
+    q = f"SIGN({num}) * SIGN({den}) * ((2 * ABS({num}) + ABS({den})) // NULLIF(2 * ABS({den}), 0))"
+    return f"CAST(CAST({q} AS DECIMAL(38,0)) * CAST({10.0 ** -scale:.{scale}f} AS DECIMAL({scale + 1},{scale})) AS DECIMAL({precision},{scale}))"
+
+
+def pct(new: str, old: str, digits: int, scale: int = 4, precision: int = 18) -> str:
+    """(new - old) / old * 100, exact."""
+    return quotient(f"(({whole(new, digits)} - {whole(old, digits)}) * {10 ** (scale + 2)})", whole(old, digits), scale, precision)
+
+
 BRONZE_PRICES = """
 bronze_prices AS (
   SELECT p_brand AS ticker, CAST(l_shipdate AS DATE) AS trade_date,
@@ -90,16 +106,15 @@ bronze_fund AS (
 )"""
 
 # Silver layer (M1–M3). A struct that begins with the fetch order is compared field by field, so its maximum within a
-# key is the latest fetch; the previous quote is found by an ASOF join. Returns run on the unrounded converted close, in
-# double, and are stored as DECIMAL.
-SILVER_PRICES = """
+# key is the latest fetch; the previous quote is found by an ASOF join. Returns run on the unrounded converted close.
+SILVER_PRICES = f"""
 dedup_prices AS (
   SELECT ticker, trade_date, last.open_price, last.high_price, last.low_price, last.close_price, last.volume, last.currency,
          CASE last.currency WHEN 'GBp' THEN 0.01 ELSE 1.00 END AS unit
   FROM (SELECT ticker, trade_date,
-               max({'seq': fetch_seq, 'line': l_linenumber, 'part': l_partkey, 'supp': l_suppkey, 'open_price': open_price,
+               max({{'seq': fetch_seq, 'line': l_linenumber, 'part': l_partkey, 'supp': l_suppkey, 'open_price': open_price,
                     'high_price': high_price, 'low_price': low_price, 'close_price': close_price, 'volume': volume,
-                    'currency': currency}) AS last
+                    'currency': currency}}) AS last
         FROM bronze_prices GROUP BY ticker, trade_date)
 ),
 silver_prices AS (
@@ -109,22 +124,20 @@ silver_prices AS (
          CAST(now.low_price * now.unit AS DECIMAL(18,4)) AS low_price,
          CAST(now.close_price * now.unit AS DECIMAL(18,4)) AS close_price,
          now.volume,
-         CAST((CAST(now.close_price * now.unit AS DOUBLE) - CAST(before.close_price * before.unit AS DOUBLE))
-              / NULLIF(CAST(before.close_price * before.unit AS DOUBLE), 0) * 100 AS DECIMAL(18,4)) AS daily_return_pct,
+         {pct("now.close_price * now.unit", "before.close_price * before.unit", 10)} AS daily_return_pct,
          TRUE AS is_valid
   FROM dedup_prices now ASOF LEFT JOIN dedup_prices before
     ON now.ticker = before.ticker AND now.trade_date > before.trade_date
 )"""
 
-SILVER_FOREX = """
+SILVER_FOREX = f"""
 fx_days AS (
-  SELECT currency_pair, trade_date, max({'seq': fetch_seq, 'rate': close_rate}).rate AS close_rate
+  SELECT currency_pair, trade_date, max({{'seq': fetch_seq, 'rate': close_rate}}).rate AS close_rate
   FROM bronze_forex GROUP BY currency_pair, trade_date
 ),
 silver_forex AS (
   SELECT now.currency_pair, now.trade_date, now.close_rate,
-         CAST((CAST(now.close_rate AS DOUBLE) - CAST(before.close_rate AS DOUBLE)) / NULLIF(CAST(before.close_rate AS DOUBLE), 0) * 100
-              AS DECIMAL(18,6)) AS daily_change_pct,
+         {pct("now.close_rate", "before.close_rate", 6, 6)} AS daily_change_pct,
          TRUE AS is_valid
   FROM fx_days now ASOF LEFT JOIN fx_days before
     ON now.currency_pair = before.currency_pair AND now.trade_date > before.trade_date

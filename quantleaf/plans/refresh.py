@@ -77,7 +77,7 @@ def _laid_out(name: str, df: DataFrame) -> DataFrame:
     cols = _FILE_ORDER.get(name)
     return df.sortWithinPartitions(*cols) if cols else df
 # Raise when the meaning of a stored silver table changes: older builds are then not read.
-SILVER_VERSION = 2
+SILVER_VERSION = 3
 _AS_OF: dict[str, dt.date] = {}
 
 
