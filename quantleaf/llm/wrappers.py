@@ -6,10 +6,12 @@
    a template node on most pages is template; what varies is a content slot.
 3. The slots that hold the article are the varying ones below the template's main container: an article or
    main element, or else the lowest node with most of the varying text that is not links. Menus, headers, footers,
-   asides, forms, adverts, notices and reader comments are known by tag, role, class or id, and never content. Inside an article or main element a part
-   of an id such as "side-effects" names nothing, headings and paragraphs are never known by name, a part of a class counts only
-   where most text is links, and a whole name (but for comments and adverts) gives way where the text below it is mostly
-   outside links and differs between the host's pages.
+   asides, forms, adverts, notices and reader comments are known by tag, role, class or id. A name is a hint that the slots overrule:
+   a part of a class or id, such as "post-header" or "has-sidebar" (inside an article or main element also a whole one), gives way
+   where the text below it is mostly outside links and differs between the host's pages, and outside articles no name drops an
+   element that holds more than half of the page's text outside links. Only comments, adverts and teasers don't give way. Inside an article or main
+   element a part of an id such as "side-effects" names nothing, and a part of a class counts only where most text is links. Headings
+   and paragraphs are known by whole class names at most, inside an article by none.
 
 Blocks are joined in page order. Parsing forgives unclosed and misplaced tags and pages that break off: a head ends at the
 first text or element that can't be in it; an unclosed button, select, svg, math or object ends with its parent, or at the
@@ -54,6 +56,7 @@ RAW = frozenset("script style noscript template textarea title iframe".split())
 HIDDEN = frozenset("object svg math select button".split())
 IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 NEVER = frozenset("nav aside footer form dialog menu".split())
+HOLDERS = frozenset("article body center details div fieldset form html main section table tbody td tr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "button": {"button"}, "select": {"select"}}
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -67,7 +70,8 @@ NAMES = re.compile(rf"(?:^|[\s_-])(?:{_WORDS})(?:$|[\s_-])", re.I)
 WHOLE = re.compile(_WORDS, re.I)
 FOREIGN = re.compile(r"comments?(?:[_-](?:area|box|list|section|threads?|wrapper))?|replies|disqus|ads?(?:[_-](?:banner|box|slot|unit|wrapper))?|"
                      r"advert\w*|adsense|sponsor\w*|promo\w*", re.I)
-HARD, SOFT, IN_CLASS = 1, 2, 3
+_FOREIGN_PART = re.compile(r"(?:^|[\s_-])(?:comments?|replies|disqus|ads?|advert\w*|adsense|sponsor\w*|promo\w*|related|recommend\w*|teasers?)(?:$|[\s_-])", re.I)
+HARD, SOFT, IN_CLASS, WHOLE_NAME, PART = 1, 2, 3, 4, 5
 _COMMENT_ID = re.compile(r"(?:\w+-)?(?:comments?|teasers?|related)(?:[_-]?[0-9]+)?", re.I)
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|main|content)(?:$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -96,20 +100,22 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _named(tag: str, given: dict[str, str], inside: bool) -> int:
-    """Whether class or id names an element as no content. Inside an article or main element only whole names do: HARD for comments
-    and adverts, SOFT for others, IN_CLASS for a part of a class name, which counts where the text is mostly links."""
+    """Whether class or id names an element as no content: HARD for comments and adverts (outside articles also teasers). Inside an
+    article or main element, SOFT for other whole names, IN_CLASS for a part of a class name, which counts where the text is mostly
+    links. Outside, WHOLE_NAME for whole names and PART for parts of them."""
     names = f"{given.get('class', '')} {given.get('id', '')}".strip()
     if not names or tag in ("html", "body", "article", "main"):
         return 0
-    if not inside:
-        return HARD if NAMES.search(names) else 0
-    if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+    plain = tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")
+    if inside and plain:
         return 0
-    whole = [*given.get("class", "").split(), given.get("id", "").strip()]
+    whole = given.get("class", "").split() if plain else [*given.get("class", "").split(), given.get("id", "").strip()]
     if any(FOREIGN.fullmatch(w) for w in whole):
         return HARD
     if any(WHOLE.fullmatch(w) for w in whole):
-        return SOFT
+        return SOFT if inside else WHOLE_NAME
+    if not inside:
+        return 0 if plain or not NAMES.search(names) else HARD if _FOREIGN_PART.search(names) else PART
     return IN_CLASS if NAMES.search(given.get("class", "")) else 0
 
 
@@ -223,6 +229,7 @@ def parse(source: str | None) -> Page:
     if at < len(source):
         text(at, len(source))
     _judge_classes(page)
+    _judge_names(page)
     _mark(page, frozenset())
     _spare_article(page)
     return page
@@ -242,6 +249,25 @@ def _judge_classes(page: Page) -> None:
         balance[page.parent[i]] += balance[i]
 
 
+def _judge_names(page: Page) -> None:
+    """WHOLE_NAME becomes HARD and PART SOFT, but 0 for elements that hold more than half of the page's text outside links, comments
+    and the like."""
+    if not any(k in (PART, WHOLE_NAME) for k in page.named):
+        return
+    n = len(page.label)
+    out, size = [False] * n, [0] * n
+    for i in range(1, n):
+        out[i] = out[page.parent[i]] or page.banned[i] or page.named[i] == HARD
+    for element, _, text, link in page.pieces:
+        if not link and not out[element]:
+            size[element] += len("".join(text.split()))
+    for i in range(n - 1, 0, -1):
+        size[page.parent[i]] += size[i]
+    for i in range(1, n):
+        if page.named[i] in (PART, WHOLE_NAME):
+            page.named[i] = 0 if 2 * size[i] > size[0] else HARD if page.named[i] == WHOLE_NAME else SOFT
+
+
 def _mark(page: Page, around: set[int] | frozenset[int]) -> None:
     """Fills ``never`` and ``soft``; names of the elements ``around`` don't count."""
     page.never, page.soft = [False], [0]
@@ -426,7 +452,8 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _container(template: str, weight: dict[int, int]) -> int | None:
-    """The lowest template node that holds most of the varying text outside links."""
+    """The lowest template node that holds most of the varying text outside links: an element that holds others, as repeated
+    paragraphs share one node, which would leave out the headline between them."""
     best, todo = None, [_numbered(json.loads(template))]
     total = sum(weight.values())
     if not total:
@@ -438,7 +465,7 @@ def _container(template: str, weight: dict[int, int]) -> int | None:
     while todo:
         node = todo.pop()
         if inside(node) >= CONTAINER_SHARE * total:
-            best, todo = node[1], list(node[2])
+            best, todo = node[1], [c for c in node[2] if c[0].split(".")[0] in HOLDERS]
     return best
 
 
@@ -462,13 +489,17 @@ def induce(pages: DataFrame) -> DataFrame:
         "constant", (F.col("n") >= MIN_PAGES) & (F.col("n") >= CONSTANT_SHARE * F.col("n_pages")))
     constants = judged.where("constant").groupBy("host").agg(F.collect_list(F.struct("node", "text")).alias("constants"))
     nodes = judged.where("node >= 0 AND NOT constant").groupBy("host", "node").agg(F.sum(F.col("chars") - F.col("link_chars")).alias("weight"))
-    weights = nodes.groupBy("host").agg(F.collect_list(F.struct("node", "weight")).alias("weights"))
 
     # Text below a SOFT element that is mostly outside links and differs from page to page is content.
     own = (F.col("n") < MIN_PAGES) & (F.col("n") < CONSTANT_SHARE * F.col("n_pages"))
     spared = (judged.where((F.col("node") < -1) & (F.col("n_pages") >= MIN_PAGES)).groupBy("host", "node").agg(
         F.sum("chars").alias("chars"), F.sum(F.when(own, F.col("chars") - F.col("link_chars")).otherwise(0)).alias("varying"))
-        .where("2 * varying > chars").groupBy("host").agg(F.collect_list("node").alias("spared")))
+        .where("2 * varying > chars"))
+    # The container is found over all content, so spared slots weigh at their template node.
+    weights = (nodes.unionByName(spared.select("host", (-2 - F.col("node")).alias("node"), F.col("varying").alias("weight")))
+               .groupBy("host", "node").agg(F.sum("weight").alias("weight"))
+               .groupBy("host").agg(F.collect_list(F.struct("node", "weight")).alias("weights")))
+    spared = spared.groupBy("host").agg(F.collect_list("node").alias("spared"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -513,7 +544,7 @@ def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[t
     inside = [True] * n
     for strength in (2, 1):
         # The outermost elements that are marked as the article, of those with the most text.
-        marked = [i for i in range(n) if page.main[i] == strength and not page.never[i]]
+        marked = [i for i in range(n) if page.main[i] == strength and not never[i]]
         if strength == 2:
             articles = [i for i in marked if page.label[i].split(".")[0] == "article"]
             marked = articles or marked

@@ -160,3 +160,48 @@ def test_text_hash_is_that_of_the_column(spark):
     words = ["", "a", "été", "Share this page now"]
     got = [r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("h")).collect()]
     assert got == [wrappers.text_hash(w) for w in words]
+
+
+LAYOUTS = {
+    "has-sidebar": "<div class='layout has-sidebar'>{head}{body}<div class='sidebar'><p>About us</p></div></div>",
+    "share-page": "<div class='share-page'>{head}{body}</div>",
+    "post-header": "<div class='wrap'><div class='post-header'>{head}</div><div class='post-body'>{body}</div></div>",
+    "side-by-side": "<div class='side-by-side'><div>{head}{body}</div></div><div class='site-footer'><p>Imprint</p></div>",
+    "with-header": "<div class='page with-header'><div class='site-header'><p>The site</p></div>{head}{body}</div>",
+    "search-results": "<section id='search-results'>{head}{body}</section><div class='login-box'><p>Sign in</p></div>",
+}
+
+
+def layout_pages(rnd, layout, article, n=30):
+    for i in range(n):
+        words = lambda k: " ".join(rnd.choice("red blue green one two three sun moon sea sky".split()) for _ in range(k))
+        head, body = f"Title {i} {words(4)}", [f"{words(rnd.randint(15, 40))} {i}.{k}" for k in range(rnd.randint(2, 5))]
+        inner = LAYOUTS[layout].format(head=f"<h1>{head}</h1>", body="".join(f"<p>{p}</p>" for p in body))
+        inner = f"<article>{inner}</article>" if article else inner
+        yield ("<html><body><header>Site</header><nav><a href='/'>Home</a></nav><div class='cookie-banner'><p>We use cookies</p></div>" + inner +
+               "<div class='comments-area'><p>" + words(60) + "</p></div><footer>us</footer></body></html>"), "\n".join([head, *body])
+
+
+def test_names_give_way_to_varying_slots(spark):
+    rnd, rows, want = random.Random(8), [], {}
+    for layout in LAYOUTS:
+        for article in (False, True):
+            for source, text in layout_pages(rnd, layout, article):
+                want[len(rows)] = (layout, article, text)
+                rows.append((len(rows), f"http://{layout}-{article}.test/{len(rows)}".lower(), source))
+    got = {r.page_id: r.text for r in wrappers.op4_query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    missed = {(w[0], w[1]) for i, w in want.items() if not set(w[2].split("\n")) <= set(got[i].split("\n"))}
+    assert not missed
+    added = {}
+    for i, (layout, article, text) in want.items():
+        for line in set(got[i].split("\n")) - set(text.split("\n")):
+            added.setdefault((layout, article), set()).add(line)
+    assert all(lines <= {"About us", "The site"} for lines in added.values()), added      # constant words of a page's own frame at most
+    assert sum(got[i] == w[2] for i, w in want.items()) >= 0.9 * len(want)
+
+
+def test_a_name_never_drops_most_of_a_page():
+    for name in ("layout has-sidebar", "share-page", "sidebar", "search", "page-notice"):
+        assert text_of(f"<div class='{name}'><p>Told at some length</p></div><div class='menu-box'><a href=x>Home</a></div>") == "Told at some length"
+    assert text_of("<p>Told</p><div class='comments'><p>A very long comment by a reader</p></div>") == "Told"
+    assert text_of("<p>Told at length</p><div class='sidebar'><p>Side</p></div><div class='has-notice'><p>No</p></div>") == "Told at length"
