@@ -9,8 +9,8 @@ the template's words that are matched. A license is found where a window of twic
 ``COMMON`` ones, no farther apart than in the template; in notices the version's number after "version" and the name of
 the GNU license. So another name or version is another license or none, whatever the coverage.
 
-Windows that hold too few words of the template to reach the coverage are passed over, which loses nothing. The
-templates are a fixed table, sent to the tasks; texts are read once, without a shuffle.
+Windows that share too few words with the template, repeats counted, to reach the coverage are passed over, which loses nothing:
+no alignment matches more. The templates are a fixed table, sent to the tasks; texts are read once, without a shuffle.
 
 Matches are listed by the number of matched words, then by coverage, name and place; of matches that overlap, only the first
 is. Defined results: a null or empty text has no license (coverage 0, empty list). Statements repeated in a text are listed each. Repeated rows and equal or null ids give
@@ -112,6 +112,10 @@ TEMPLATES = {
 }
 TEMPLATES |= {f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}."
               for kind in ("by", "by-nc", "by-nc-nd", "by-nc-sa", "by-nd", "by-sa") for version in ("3.0", "4.0")}
+TEMPLATES |= {f"{name} spdx": f"SPDX-License-Identifier: {name}" for name in (
+    "agpl-3.0-only", "agpl-3.0-or-later", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "cc-by-4.0", "cc-by-sa-4.0", "cc0-1.0", "gpl-2.0-only",
+    "gpl-2.0-or-later", "gpl-3.0-only", "gpl-3.0-or-later", "isc", "lgpl-2.1-only", "lgpl-2.1-or-later", "lgpl-3.0-only", "lgpl-3.0-or-later",
+    "mit", "mpl-2.0")}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -179,6 +183,7 @@ class Scanner:
         self.templates = [(name, words_of(text)) for name, text in sorted(templates.items())]
         self.least = [max(1, -int(-min_coverage * len(words) // 1)) for _, words in self.templates]
         self.identifying = [identifying(words) for _, words in self.templates]
+        self.times = [Counter(words) for _, words in self.templates]
         self.holders: dict[str, list[int]] = {}
         for k, (_, words) in enumerate(self.templates):
             for w in set(words):
@@ -197,12 +202,16 @@ class Scanner:
         for k, places in hits.items():
             name, template = self.templates[k]
             width, least = 2 * len(template) + SLACK, self.least[k]
+            need, have, shared = self.times[k], Counter(), 0     # shared: words of window and template in common, with repeats
             i, end = 0, 0
             while i < len(places):
-                end = max(end, i)
                 while end < len(places) and places[end] < places[i] + width:
+                    w = words[places[end]]
+                    have[w] += 1
+                    shared += have[w] <= need[w]
                     end += 1
-                if end - i >= least and len({words[p] for p in places[i:end]}) * 2 >= least:
+                following = i + 1       # a later start may match more of the same statement
+                if shared >= least:
                     for size in (width, len(template) + SLACK):
                         window = words[places[i]:places[i] + size]
                         pairs = align(window, template)
@@ -214,9 +223,12 @@ class Scanner:
                         found.append({"license": name, "coverage": len(pairs) / len(template), "first_word": first, "end_word": last,
                                       "words": len(pairs)})
                         if len(pairs) == len(template):
-                            i = bisect_left(places, last)
-                            continue
-                i += 1          # a later start may match more of the same statement
+                            following = bisect_left(places, last)
+                for p in places[i:following]:
+                    w = words[p]
+                    shared -= have[w] <= need[w]
+                    have[w] -= 1
+                i = following
         found.sort(key=lambda f: (-f["words"], -f["coverage"], f["license"], f["first_word"]))
         kept: list[dict] = []       # of matches that overlap, the one with the most matched words
         for f in found:

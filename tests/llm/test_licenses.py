@@ -90,3 +90,48 @@ def test_awkward_rows(spark):
     rows = licenses.op5_query(docs).collect()
     assert len(rows) == docs.count() and all(r.n_found == 0 and r.coverage == 0 for r in rows)
     assert licenses.op5_query(empty_docs(spark)).collect() == []
+
+
+def scan_all(scanner, text):
+    """``scan`` without passing over any window."""
+    class Everything(dict):
+        def __missing__(self, key):
+            return 0
+
+    times = scanner.times
+    scanner.times = [Everything({w: 10 ** 9 for w in words}) for _, words in scanner.templates]      # every word counts as shared
+    least, scanner.least = scanner.least, scanner.least
+    try:
+        return scanner.scan(text)
+    finally:
+        scanner.times, scanner.least = times, least
+
+
+def test_random_deletions_are_found_and_no_window_is_lost():
+    rnd = random.Random(6)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        words = licenses.words_of(text)
+        if len(words) < licenses.NOTICE:
+            continue
+        keep_always = {p for g in licenses.identifying(words) for p in g}
+        for _ in range(6):
+            drop = rnd.sample([i for i in range(1, len(words) - 1) if i not in keep_always], len(words) - -int(-0.82 * len(words) // 1))
+            kept = [w for i, w in enumerate(words) if i not in set(drop)]
+            found = scanner.scan(SENTENCE + " ".join(kept) + " " + SENTENCE)
+            assert found == scan_all(scanner, SENTENCE + " ".join(kept) + " " + SENTENCE)
+            pairs = licenses.align(kept, words)
+            if len(pairs) >= 0.8 * len(words) and licenses.names_it(pairs, licenses.identifying(words)):
+                assert found and found[0]["coverage"] >= 0.8, (name, len(pairs))
+    for _ in range(30):
+        parts = [rnd.choice(list(licenses.TEMPLATES.values())).split() for _ in range(3)]
+        text = " ".join(w for p in parts for w in p if rnd.random() > 0.1)
+        assert scanner.scan(text) == scan_all(scanner, text)
+
+
+def test_spdx_lines():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for text, want in (("// SPDX-License-Identifier: MIT\nint x;", "mit spdx"), ("SPDX-License-Identifier: Apache-2.0", "apache-2.0 spdx"),
+                       ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0-or-later spdx"), ("SPDX-License-Identifier: Unknown", None)):
+        found = scanner.scan(text)
+        assert (found[0]["license"] if found else None) == want
