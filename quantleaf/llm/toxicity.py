@@ -9,7 +9,7 @@
 3. A logistic regression on the terms and patterns is fitted to the soft labels; it scores all documents.
 
 Fitting uses a bounded sample: at most ``max_rows`` labelled documents, the first in order of a hash of the
-id. Lexicon and model are bounded by ``max_terms``. Scoring reads every whole text once, without a shuffle.
+id. All terms of the sample that pass the tests are features of the model. Scoring reads every whole text once, without a shuffle.
 
 Defined results: a null or empty text has no terms and gets the score of the bias alone. Null labels and
 labels other than 0 and 1 are not used; without toxic labelled rows there is no lexicon and every score is
@@ -34,7 +34,6 @@ from .common import crc_mod, materialise, text_slices
 THRESHOLD = 0.7
 HELD_OUT = (3, 1)
 MAX_ROWS = 50_000
-MAX_TERMS = 800
 STEMS = (4, 5, 6)
 LEXICON_VOTERS = 64
 
@@ -81,9 +80,8 @@ class Lexicon:
         return sorted(out)
 
     def voter_of(self) -> np.ndarray:
-        """Voter of each term and pattern: the terms by their first letters."""
-        heads = sorted(self.heads)
-        place = {h: k for k, h in enumerate(heads)}     # learn_lexicon keeps LEXICON_VOTERS heads at most
+        """Voter of each term and pattern: the terms by their first letters, which share the voters where they are more."""
+        place = {h: k % LEXICON_VOTERS for k, h in enumerate(sorted(self.heads))}
         return np.array([place[t.rstrip("*")[:STEMS[0]]] for t in self.terms]
                         + [LEXICON_VOTERS + k for k in range(len(PATTERNS))], dtype=np.int64)
 
@@ -114,36 +112,27 @@ def _counter(of, schema: str):
     return run
 
 
-def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS, min_docs: int = 4, min_log_odds: float = 2.5, min_ratio: float = 24.0) -> Lexicon:
-    """Terms of toxic rows that are more frequent there than in clean rows, by a likelihood ratio statistic of
+def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_log_odds: float = 2.5, min_ratio: float = 24.0) -> Lexicon:
+    """All terms of toxic rows that are more frequent there than in clean rows, by a likelihood ratio statistic of
     at least ``min_ratio`` (among very many candidates, chance reaches about twice the log of their number).
-    ``rows``: doc_id, y, text, bounded."""
+    ``rows``: doc_id, y, text, bounded. Only the terms that pass come to the driver: they are the model."""
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1):
         return Lexicon([])
+    n1, n0 = n[1], n.get(0, 0)
 
     def terms(text):
         words = words_of(text)
         return words | stems_of(words)
 
-    def counted(y: int, of) -> DataFrame:
-        return (rows.where(F.col("y") == y).select("text").mapInArrow(_counter(of, ""), "term string, n long")
-                    .groupBy("term").agg(F.sum("n").alias("n")))
-
-    top = (counted(1, terms).where(F.col("n") >= min(min_docs, n[1]))
-           .orderBy(F.desc("n"), "term").limit(50 * max_terms).collect())     # a bounded number of candidates
-    toxic = {r["term"]: r["n"] for r in top}
-    clean = {r["term"]: r["n"] for r in counted(0, lambda text: [t for t in terms(text) if t in toxic]).collect()} if n.get(0) else {}
-    n0 = n.get(0, 0)
-    odds = {t: np.log((k + 0.5) / (n[1] + 1)) - np.log((clean.get(t, 0) + 0.5) / (n0 + 1)) for t, k in toxic.items()}
-    ratio = {t: likelihood_ratio(toxic[t], n[1], clean.get(t, 0), n0) for t in odds if odds[t] >= min_log_odds}
-    best = sorted((t for t in ratio if ratio[t] >= min_ratio), key=lambda t: (-ratio[t], t))[:max_terms]
-    heads: dict[str, float] = {}
-    for t in best:
-        heads[t.rstrip("*")[:STEMS[0]]] = heads.get(t.rstrip("*")[:STEMS[0]], 0.0) + ratio[t]
-    strong = set(sorted(heads, key=lambda h: (-heads[h], h))[:LEXICON_VOTERS])
-    best = [t for t in best if t.rstrip("*")[:STEMS[0]] in strong]
-    return Lexicon(sorted(best))
+    def counted(y: int) -> DataFrame:
+        return (rows.where(F.col("y") == y).select("text").mapInArrow(_counter(terms, ""), "term string, n long")
+                    .groupBy("term").agg(F.sum("n").alias(f"k{y}")))
+
+    both = counted(1).where(F.col("k1") >= min(min_docs, n1)).join(counted(0), "term", "left").fillna(0, "k0")
+    odds = F.log((F.col("k1") + 0.5) / (n1 + 1.0)) - F.log((F.col("k0") + 0.5) / (n0 + 1.0))
+    passing = both.where(odds >= min_log_odds).collect()
+    return Lexicon(sorted(r["term"] for r in passing if likelihood_ratio(r["k1"], n1, r["k0"], n0) >= min_ratio))
 
 
 def likelihood_ratio(k1: int, n1: int, k0: int, n0: int) -> float:
@@ -195,33 +184,46 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
-def fit_linear(hits: list[tuple[int, ...]], target: np.ndarray, size: int, rounds: int = 15, l2: float = 0.1,
-               block: int = 2000) -> tuple[np.ndarray, float]:
+def fit_linear(hits: list[tuple[int, ...]], target: np.ndarray, size: int, rounds: int = 15, l2: float = 0.1) -> tuple[np.ndarray, float]:
     """Logistic regression on sets of present features with soft targets, by Newton steps.
 
-    Rows with the same set are merged; the Hessian is added up over blocks of rows.
+    Rows with the same set are merged. A step is found by conjugate gradients from products with the Hessian, so memory
+    grows with the features that occur and not with the square of their number.
     """
     place: dict[tuple[int, ...], int] = {}
     group = np.array([place.setdefault(tuple(h), len(place)) for h in hits], np.int64)
     count = np.bincount(group, minlength=len(place)).astype(np.float64)
     mean = np.bincount(group, weights=target, minlength=len(place)) / np.maximum(count, 1)
-    sets = list(place)
-    w = np.zeros(size + 1)           # the last one is the bias
+    lengths = np.fromiter((len(h) for h in place), np.int64, len(place))
+    row = np.repeat(np.arange(len(place)), lengths)
+    feature = np.fromiter((k for h in place for k in h), np.int64, int(lengths.sum()))
+
+    def forward(w: np.ndarray) -> np.ndarray:           # rows by weights; the last weight is the bias
+        return np.bincount(row, w[feature], len(place)) + w[size]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(feature, v[row], size), v.sum())
+
+    w = np.zeros(size + 1)
     w[size] = np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3))
     penalty = np.append(np.full(size, l2), 1e-3)
     for _ in range(rounds):
-        grad, hessian = penalty * w * (np.arange(size + 1) < size), np.diag(penalty)
-        for start in range(0, len(sets), block):
-            part = sets[start:start + block]
-            x = np.zeros((len(part), size + 1))
-            for i, h in enumerate(part):
-                x[i, list(h)] = 1
-            x[:, size] = 1
-            n = count[start:start + block]
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            grad += x.T @ (n * (p - mean[start:start + block]))
-            hessian += x.T @ (x * (n * np.maximum(p * (1 - p), 1e-4))[:, None])
-        step = np.linalg.solve(hessian, grad)
+        p = 1 / (1 + np.exp(-np.clip(forward(w), -30, 30)))
+        grad = penalty * w * (np.arange(size + 1) < size) + back(count * (p - mean))
+        weight = count * np.maximum(p * (1 - p), 1e-4)
+        scale = penalty + back(weight)                  # the Hessian's diagonal preconditions
+        step, rest = np.zeros(size + 1), grad.copy()
+        z = rest / scale
+        direction, size_z = z.copy(), rest @ z
+        for _ in range(4 * (size + 1)):
+            if rest @ rest <= 1e-20 * max(1.0, grad @ grad):
+                break
+            image = penalty * direction + back(weight * forward(direction))
+            a = size_z / (direction @ image)
+            step, rest = step + a * direction, rest - a * image
+            z = rest / scale
+            following = rest @ z
+            direction, size_z = z + following / size_z * direction, following
         w -= step * min(1.0, 4.0 / (np.abs(step).max() + 1e-9))
     return w[:size], float(w[size])
 

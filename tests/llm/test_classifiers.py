@@ -117,3 +117,69 @@ def test_lexicon_hits():
     assert lexicon.hits("What an IDIOT you are") == [0, 1]
     assert lexicon.hits("idiotic") == [0] and lexicon.hits("kys now") == [2] and lexicon.hits(None) == []
     assert lexicon.hits("Stop!!! " + SENTENCE) == [3]
+
+
+def test_all_terms_stay_features(spark):
+    """More first letters than lexicon voters: every term that passes the tests is a feature, and its documents are found."""
+    import itertools
+    heads = ["".join(p) for p in itertools.islice(itertools.product("bcdfg", "aeiou", "lmnr", "sty"), 150)]
+    rows, labelled = [], []
+    for i in range(18000):
+        toxic = i % 10 == 0
+        rows.append((i, f"filler words here {i} " + (heads[(i // 10) % 150] if toxic else "calm")))
+        labelled.append((i, None, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    import zlib
+    from collections import Counter
+    seen = Counter(heads[(i // 10) % 150] for i in range(0, 18000, 10) if zlib.crc32(str(i).encode()) % 3 != 1)
+    common = {h for h in heads if seen[h] >= 7}         # enough for the likelihood ratio
+    assert len(common) > 1.5 * toxicity.LEXICON_VOTERS and common <= set(model.lexicon.terms)
+    assert model.lexicon.voter_of().max() < toxicity.LEXICON_VOTERS + len(toxicity.PATTERNS)
+    scores = [r for r in toxicity.op6_query(docs, labels).collect() if r.held_out]
+    assert not any(r.score >= toxicity.THRESHOLD for r in scores if r.doc_id % 10) and len(scores) > 500
+    assert all(r.score >= toxicity.THRESHOLD for r in scores if r.doc_id % 10 == 0 and heads[(r.doc_id // 10) % 150] in common)
+
+
+def test_scores_equal_brute_force(spark):
+    """The model refitted by plain loops: terms by their counts, EM as given, the regression by dense Newton steps."""
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    words = ["alpha", "beta", "gamma", "delta", "idiot", "moronic", "stupidly", "calm"]
+    rows = [(i, " ".join(rnd.choice(words[4:7] if i % 4 == 0 else words[:4] + words[7:], 5)) + ("!!!" if i % 7 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, None, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    import zlib
+    train = {t: int(i % 4 == 0) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    texts, y = list(train), np.array(list(train.values()))
+    n1, n0 = int(y.sum()), int(len(y) - y.sum())
+    found = []
+    bags = [toxicity.words_of(t) | toxicity.stems_of(toxicity.words_of(t)) for t in texts]
+    for term in sorted(set().union(*bags)):
+        k1, k0 = (sum(term in b for b, l in zip(bags, y, strict=True) if l == c) for c in (1, 0))
+        if k1 >= 4 and np.log((k1 + .5) / (n1 + 1)) - np.log((k0 + .5) / (n0 + 1)) >= 2.5 and toxicity.likelihood_ratio(k1, n1, k0, n0) >= 24:
+            found.append(term)
+    lexicon = toxicity.Lexicon(found)
+    hits = [lexicon.hits(t) for t in texts]
+    voter = lexicon.voter_of()
+    votes = np.zeros((len(texts), toxicity.LEXICON_VOTERS + len(toxicity.PATTERNS)))
+    for i, h in enumerate(hits):
+        votes[i, voter[h]] = 1
+    order = sorted(range(len(texts)), key=lambda i: texts[i])
+    target = toxicity.label_model(votes[order], y[order])
+    x = np.zeros((len(texts), lexicon.size + 1))
+    for r, i in enumerate(order):
+        x[r, hits[i]] = 1
+    x[:, -1] = 1
+    w = np.zeros(lexicon.size + 1)
+    w[-1] = np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3))
+    penalty = np.append(np.full(lexicon.size, 0.1), 1e-3)
+    for _ in range(15):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = penalty * np.append(w[:-1], 0) + x.T @ (p - target)
+        step = np.linalg.solve(np.diag(penalty) + x.T @ (x * np.maximum(p * (1 - p), 1e-4)[:, None]), grad)
+        w -= step * min(1.0, 4.0 / (np.abs(step).max() + 1e-9))
+    for r in toxicity.op6_query(docs, labels).collect():
+        z = w[-1] + w[lexicon.hits(rows[r.doc_id][1])].sum()
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-6
