@@ -45,6 +45,9 @@ class EngineConfig:
     # partitioned by (key, bucket) so a key with a large share of the rows is still
     # spread across many tasks; bucket boundaries are stitched with one carry row.
     bucket_days: int = 90
+    # As-of joins: left rows of one (key, bucket) are dealt to this many tasks; the right rows, one per
+    # pair and day, are repeated for each.
+    asof_salts: int = 4
     # Ticker blocks for the correlation Gram computation (0 = about 512 tickers per
     # block, from a distinct count) and the date-chunk width in days.
     corr_blocks: int = 0
@@ -60,8 +63,8 @@ class EngineConfig:
             raise ValueError(f"fx_policy must be 'exact_or_one', 'asof' or 'null', not {self.fx_policy!r}")
         if self.reference_variant not in ("dbt", "sp"):
             raise ValueError(f"reference_variant must be 'dbt' or 'sp', not {self.reference_variant!r}")
-        if self.window_days <= 0 or self.lookback_months <= 0 or self.bucket_days <= 0:
-            raise ValueError("window_days, lookback_months and bucket_days must be positive")
+        if min(self.window_days, self.lookback_months, self.bucket_days, self.asof_salts) <= 0:
+            raise ValueError("window_days, lookback_months, bucket_days and asof_salts must be positive")
         if any(d <= 0 for d in {**self.minor_units, **(self.minor_units_by_ticker or {})}.values()):
             raise ValueError("minor-unit divisors must be positive")
 

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from quantleaf.config import EngineConfig
 from quantleaf.functions import exprs as X
+from quantleaf.operators.asof import asof_join
 from quantleaf.operators.windows import segmented_ffill, segmented_lag
+from quantleaf.session import checkpointed
 
 
 def resolve_as_of(prices: DataFrame, cfg: EngineConfig) -> dt.date:
@@ -286,9 +288,10 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
     """M12 gold_daily_inr_returns: close in home currency and its daily return.
 
     ``cfg.fx_policy``: 'exact_or_one' (a missing rate counts as 1, as the
-    reference), 'asof' (last known rate, needs ``fx_dense`` from ``densify_fx``),
+    reference), 'asof' (last known rate at or before the day, an as-of join; or the day's row of ``fx_dense``),
     'null' (missing rate → NULL home-currency values). Under the last two, rows before a pair's first quote have no
     home-currency value, and only home-currency rows have rate 1. A value beyond DECIMAL(10,2) fails (ANSI casts).
+    The priced rows are stored once: the lag reads them twice (rows and bucket tails).
     """
     cm = currency_map.select("currency_code", "forex_pair")
     tp = companies.select("ticker", "currency").join(cm, F.col("currency") == cm.currency_code, "inner")
@@ -296,7 +299,10 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
         tp.select("ticker", "forex_pair"), "ticker", "inner")
     src = fx_dense if (cfg.fx_policy == "asof" and fx_dense is not None) else fx
     r = src.select(F.col("currency_pair").alias("forex_pair"), "trade_date", F.col("close_rate").alias("_rate"))
-    j = p.join(r, ["forex_pair", "trade_date"], "left")
+    if cfg.fx_policy == "asof" and fx_dense is None:
+        j = asof_join(p, r, ["forex_pair"], "trade_date", ["_rate"], cfg.bucket_days, salts=cfg.asof_salts)
+    else:
+        j = p.join(r, ["forex_pair", "trade_date"], "left")
     one = F.lit(1).cast("decimal(18,6)")
     if cfg.fx_policy == "exact_or_one":
         rate = F.coalesce(F.col("_rate"), one)
@@ -304,7 +310,7 @@ def daily_inr_returns(prices: DataFrame, fx: DataFrame, companies: DataFrame, cu
         rate = F.when(F.col("forex_pair").isNull(), one).otherwise(F.col("_rate"))
     j = (j.withColumn("forex_rate", rate)
          .withColumn("close_inr", (F.col("close_price") * F.col("forex_rate")).cast("decimal(38,10)")))
-    lagged = segmented_lag(j, ["ticker"], "trade_date", ["close_inr"], cfg.bucket_days)
+    lagged = segmented_lag(checkpointed(j), ["ticker"], "trade_date", ["close_inr"], cfg.bucket_days)
     return lagged.select(
         "ticker", "trade_date",
         X.to_dec("close_price", 10, 2).alias("close_price"),

@@ -20,6 +20,7 @@ from quantleaf.operators import gold as G
 from quantleaf.operators import measures as M
 from quantleaf.operators import quality as Q
 from quantleaf.operators import silver as S
+from quantleaf.operators.asof import asof_join
 from quantleaf.operators.windows import latest_by_key
 from quantleaf.plans import refresh as P
 from quantleaf.plans import versions
@@ -604,6 +605,24 @@ def q_daily_returns_null_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_with(layers(spark, sf_dir), "null")
 
 
+_STALE_DAYS = 2
+
+
+@register("asof_rates_with_tolerance", _oracle(["silver_prices", "silver_forex", "companies", "currency_map"], [], f"""
+SELECT q.ticker, q.trade_date, q.forex_pair,
+       CASE WHEN q.trade_date - fx.trade_date <= {_STALE_DAYS} THEN fx.close_rate END AS close_rate,
+       CASE WHEN q.trade_date - fx.trade_date <= {_STALE_DAYS} THEN fx.trade_date END AS quote_date
+FROM (SELECT ticker, trade_date, forex_pair FROM silver_prices JOIN companies USING (ticker) JOIN currency_map ON currency = currency_code) q
+ASOF LEFT JOIN silver_forex fx ON q.forex_pair = fx.currency_pair AND q.trade_date >= fx.trade_date"""))
+def q_asof_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last quote of a row's pair at or before its day, not older than a few days, and its date."""
+    s = layers(spark, sf_dir).silver
+    pairs = G.ticker_pairs(s.companies, s.currency_map).join(s.currency_map.select("currency_code"), F.col("currency") == F.col("currency_code"))
+    rows = s.prices.select("ticker", "trade_date").join(pairs.select("ticker", "forex_pair"), "ticker")
+    quotes = s.forex.select(F.col("currency_pair").alias("forex_pair"), "trade_date", "close_rate")
+    return asof_join(rows, quotes, ["forex_pair"], "trade_date", ["close_rate"], tolerance_days=_STALE_DAYS, quote_date="quote_date", salts=4)
+
+
 def _daily_with(L: Layers, fx_policy: str) -> DataFrame:
     from dataclasses import replace
     g = P.gold_inputs(L.silver, replace(L.cfg, fx_policy=fx_policy))

@@ -188,13 +188,8 @@ def dividend(g: GoldInputs) -> DataFrame:
 
 
 def daily_inr(g: GoldInputs) -> DataFrame:
-    dense = None
-    if g.cfg.fx_policy == "asof":
-        # Rates for every price date, also those after the reporting date (one scalar).
-        last = g.silver.prices.agg(F.max("trade_date")).first()[0]
-        dense = G.densify_fx(g.silver.forex, last, g.cfg.bucket_days)
     return G.daily_inr_returns(g.silver.prices, g.silver.forex, g.silver.companies,
-                               g.silver.currency_map, g.cfg, dense)
+                               g.silver.currency_map, g.cfg)
 
 
 def correlation(g: GoldInputs) -> DataFrame:
