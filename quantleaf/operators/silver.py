@@ -28,7 +28,7 @@ def _minor_factor(minor_units: dict[str, int], currency: Column) -> Column:
 
 def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str, int],
                  bucket_days: int = 90, cut_lineage: bool = False,
-                 minor_units_by_ticker: dict[str, int] | None = None) -> DataFrame:
+                 minor_units_by_ticker: dict[str, int] | None = None, digits: list[int] | None = None) -> DataFrame:
     """M1: latest fetch per (ticker, date), minor units → major, daily return.
 
     The return is the exact quotient of the converted, unrounded closes; stored prices and
@@ -37,12 +37,14 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
     tails) read them instead of deduplicating bronze twice.
     """
     b = bronze.withColumn("trade_date", F.col("trade_date").cast("date"))
-    payload = [*PRICE_COLS, "volume", "currency"]
-    dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, payload)
-    if cut_lineage:
-        dedup = checkpointed(dedup)
+    # The unit is looked up before the dedupe: a payload of fixed width needs no sort (``digits``: see latest_by_key).
     factor = (_minor_factor(minor_units_by_ticker, F.col("ticker")) if minor_units_by_ticker
               else _minor_factor(minor_units, F.col("currency")))
+    b = b.withColumn("_factor", factor)
+    dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, [*PRICE_COLS, "volume", "_factor"], digits)
+    if cut_lineage:
+        dedup = checkpointed(dedup)
+    factor = F.col("_factor")
     conv = dedup.select(
         "ticker", "trade_date", "volume",
         *[F.when(factor.isNotNull(), F.col(c) * factor).otherwise(F.col(c)).alias(c)
@@ -58,11 +60,11 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
         F.lit(True).alias("is_valid"))
 
 
-def clean_fundamentals(bronze: DataFrame, order_cols: list[str]) -> DataFrame:
+def clean_fundamentals(bronze: DataFrame, order_cols: list[str], digits: list[int] | None = None) -> DataFrame:
     """M2: latest fetch per ticker."""
     payload = ["report_date", *schemas.FUNDAMENTAL_COLUMNS]
     d = {f.name: f.dataType for f in schemas.BRONZE_FUNDAMENTALS.fields}
-    latest = latest_by_key(bronze, ["ticker"], order_cols, payload)
+    latest = latest_by_key(bronze, ["ticker"], order_cols, payload, digits)
     return latest.select(
         "ticker", F.col("report_date").cast("date").alias("report_date"),
         *[F.col(c).cast(d[c]).alias(c) for c in schemas.FUNDAMENTAL_COLUMNS],
@@ -70,10 +72,10 @@ def clean_fundamentals(bronze: DataFrame, order_cols: list[str]) -> DataFrame:
 
 
 def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
-                cut_lineage: bool = False) -> DataFrame:
+                cut_lineage: bool = False, digits: list[int] | None = None) -> DataFrame:
     """M3: latest fetch per (pair, date), close only, daily change in percent."""
     b = bronze.withColumn("trade_date", F.col("trade_date").cast("date"))
-    dedup = latest_by_key(b, ["currency_pair", "trade_date"], order_cols, ["close_rate"])
+    dedup = latest_by_key(b, ["currency_pair", "trade_date"], order_cols, ["close_rate"], digits)
     dedup = dedup.withColumn("close_rate", F.col("close_rate").cast(schemas.D18_6))
     if cut_lineage:
         dedup = checkpointed(dedup)

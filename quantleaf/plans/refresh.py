@@ -51,13 +51,14 @@ class GoldInputs:
 
 
 def build_silver_table(name: str, bronze: Bronze, cfg: EngineConfig, cut_lineage: bool = False) -> DataFrame:
+    digits = getattr(bronze, "order_digits", {})        # bronze without them is deduplicated by sorting
     if name == "silver_stock_prices":
         return S.clean_prices(bronze.prices, bronze.price_order, cfg.minor_units, cfg.bucket_days, cut_lineage,
-                              cfg.minor_units_by_ticker)
+                              cfg.minor_units_by_ticker, digits.get("prices"))
     if name == "silver_stock_fundamentals":
-        return S.clean_fundamentals(bronze.fundamentals, bronze.fund_order)
+        return S.clean_fundamentals(bronze.fundamentals, bronze.fund_order, digits.get("fundamentals"))
     if name == "silver_forex_rates":
-        return S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage)
+        return S.clean_forex(bronze.forex, bronze.fx_order, cfg.bucket_days, cut_lineage, digits.get("forex"))
     return {"silver_companies": bronze.companies, "silver_currency_map": bronze.currency_map}[name]
 
 
@@ -113,6 +114,7 @@ def _fingerprint(spark: SparkSession, inputs: list[str], cfg: EngineConfig) -> s
 
 
 _SILVER_LOCK = threading.RLock()
+_READ: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 class StoredSilver:
@@ -127,7 +129,8 @@ class StoredSilver:
         self.spark, self.bronze, self.cfg = spark, bronze, cfg
         # Inputs that can't be identified get a build of their own, used by this object only.
         self.base = os.path.join(root, "silver-" + (_fingerprint(spark, inputs, cfg) or uuid.uuid4().hex))
-        self._read: dict[str, DataFrame] = {}
+        # Read once per session and build: a build never changes, and opening its tables is a job each.
+        self._read: dict[str, DataFrame] = _READ.setdefault((spark.sparkContext.applicationId, self.base), {})
 
     def _table(self, name: str) -> DataFrame:
         with _SILVER_LOCK:   # concurrent queries in one driver build a missing table once
@@ -136,7 +139,7 @@ class StoredSilver:
                 if not _exists(self.spark, os.path.join(path, "_SUCCESS")):
                     df = build_silver_table(name, self.bronze, self.cfg, cut_lineage=True)
                     _laid_out(name, df).write.mode("overwrite").parquet(path)
-                self._read[name] = self.spark.read.parquet(path)
+                self._read[name] = self.spark.read.schema(schemas.SILVER[name]).parquet(path)
             return self._read[name]
 
     prices = property(lambda self: self._table("silver_stock_prices"))

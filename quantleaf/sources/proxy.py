@@ -49,6 +49,7 @@ class Bronze:
     price_order = PRICE_FETCH_ORDER
     fx_order = FX_FETCH_ORDER
     fund_order = FUND_FETCH_ORDER
+    order_digits = {"prices": [13, 2, 12, 10], "forex": [13], "fundamentals": [12]}      # enough for tables of 100 TB
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir

@@ -178,3 +178,33 @@ def test_single_hot_ticker_is_spread_over_tasks(spark):
     finally:
         spark.conf.set(key, old)
     assert plain_parts == 1 and parts > 1
+
+
+def test_packed_order_equals_the_struct_order(spark):
+    import random
+    from quantleaf.operators.windows import latest_by_key, pack_order
+    rnd = random.Random(2)
+    pick = lambda n: None if rnd.random() < 0.1 else rnd.randint(0, n)
+    rows = [(rnd.choice("abc"), pick(3), pick(2), i, pick(9)) for i in range(400)]
+    rows = [r for k, r in {(r[0], r[1], r[2], r[4]): r for r in rows}.items()]      # the order is unique within a key
+    df = spark.createDataFrame(rows, "k string, o1 int, o2 long, v int, o3 int").repartition(5)
+    want = latest_by_key(df, ["k"], ["o1", "o2", "o3"], ["v"])
+    got = latest_by_key(df, ["k"], ["o1", "o2", "o3"], ["v"], [2, 2, 2])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "SortAggregate" in want._jdf.queryExecution().executedPlan().toString()
+    import pytest
+    with pytest.raises(Exception, match="does not fit 1 digits"):
+        df.select(pack_order(df, ["o3"], [1])).collect()
+    with pytest.raises(ValueError):
+        pack_order(df, ["o1", "o2"], [20, 20])
+
+
+def test_dedupe_of_the_silver_tables_does_not_sort(spark):
+    from quantleaf.config import EngineConfig
+    from quantleaf.plans import refresh as P
+    from quantleaf.sources import proxy
+    b = proxy.load(spark, "/root/testdata/sf0.001")
+    for name in ("silver_stock_prices", "silver_forex_rates", "silver_stock_fundamentals"):
+        plan = P.build_silver_table(name, b, EngineConfig())._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, name
