@@ -37,21 +37,37 @@ def clean_prices(bronze: DataFrame, order_cols: list[str], minor_units: dict[str
     tails) read them instead of deduplicating bronze twice.
     """
     b = bronze.withColumn("trade_date", F.col("trade_date").cast("date"))
-    # The unit is looked up before the dedupe: a payload of fixed width needs no sort (``digits``: see latest_by_key).
-    factor = (_minor_factor(minor_units_by_ticker, F.col("ticker")) if minor_units_by_ticker
-              else _minor_factor(minor_units, F.col("currency")))
-    b = b.withColumn("_factor", factor)
-    dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, [*PRICE_COLS, "volume", "_factor"], digits)
+    b = with_unit(b, minor_units, minor_units_by_ticker)
+    dedup = latest_by_key(b, ["ticker", "trade_date"], order_cols, PRICE_PAYLOAD, digits)
     if cut_lineage:
         dedup = checkpointed(dedup)
+    return price_returns(converted(dedup), bucket_days)
+
+
+PRICE_PAYLOAD = [*PRICE_COLS, "volume", "_factor"]
+
+
+def with_unit(bronze: DataFrame, minor_units: dict[str, int], minor_units_by_ticker: dict[str, int] | None = None) -> DataFrame:
+    """Bronze prices with the factor from the quoted to the major unit: known before the dedupe, so that its payload is
+    of fixed width and needs no sort."""
+    factor = (_minor_factor(minor_units_by_ticker, F.col("ticker")) if minor_units_by_ticker
+              else _minor_factor(minor_units, F.col("currency")))
+    return bronze.withColumn("_factor", factor)
+
+
+def converted(dedup: DataFrame) -> DataFrame:
+    """Prices in major units; the close with 4 digits of the price and 6 of the unit."""
     factor = F.col("_factor")
     conv = dedup.select(
         "ticker", "trade_date", "volume",
         *[F.when(factor.isNotNull(), F.col(c) * factor).otherwise(F.col(c)).alias(c)
           for c in PRICE_COLS])
-    # 4 digits of the price and 6 of the unit
-    with_prev = segmented_lag(conv.withColumn("close_price", F.col("close_price").cast(f"decimal(28,{_CLOSE_DIGITS})")),
-                              ["ticker"], "trade_date", ["close_price"], bucket_days)
+    return conv.withColumn("close_price", F.col("close_price").cast(f"decimal(28,{_CLOSE_DIGITS})"))
+
+
+def price_returns(conv: DataFrame, bucket_days: int, tails: DataFrame | None = None) -> DataFrame:
+    """Silver prices of converted rows: stored digits and the exact daily return. ``tails``: see ``segmented_lag``."""
+    with_prev = segmented_lag(conv, ["ticker"], "trade_date", ["close_price"], bucket_days, tails=tails)
     return with_prev.select(
         "ticker", "trade_date",
         *[X.to_dec(c).alias(c) for c in PRICE_COLS],

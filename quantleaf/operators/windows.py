@@ -31,7 +31,7 @@ def pack_order(df: DataFrame, order_cols: list[str], digits: list[int]) -> Colum
     packed = None
     for c, n in zip(order_cols, digits, strict=True):
         value = F.col(c).cast("decimal(38,0)")
-        v = (F.when(value.isNull(), 0).when(value.between(0, F.lit(10 ** n - 2).cast("decimal(38,0)")), value + 1)
+        v = (F.when(value.isNull(), 0).when(value.between(0, F.lit(Decimal(10 ** n - 2))), value + 1)
              .otherwise(F.raise_error(F.concat(F.lit(f"{c} does not fit {n} digits: "), F.col(c).cast("string"))).cast("decimal(38,0)")))
         packed = v if packed is None else packed * F.lit(Decimal(10) ** n) + v
     return packed.cast("decimal(38,0)")
@@ -65,18 +65,25 @@ def _carry_rows(tails: DataFrame, keys: list[str], order_col: str, cols: list[st
                     *[F.col(c) for c in cols], F.lit(True).alias(_CARRY)))
 
 
+def bucket_tails(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str], bucket_days: int) -> DataFrame:
+    """The last row of each (key, bucket): what the next bucket of the key needs."""
+    # order_col is unique within a key, so per-column max_by picks one consistent row;
+    # fixed-width values keep this a hash aggregate.
+    return df.withColumn(_BKT, time_bucket(order_col, bucket_days)).groupBy(*keys, _BKT).agg(
+        F.max(order_col).alias(order_col),
+        *[F.max_by(c, F.col(order_col)).alias(c) for c in value_cols])
+
+
 def segmented_lag(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
-                  bucket_days: int, prefix: str = "prev_") -> DataFrame:
+                  bucket_days: int, prefix: str = "prev_", tails: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + c`` = LAG(c) over (PARTITION BY keys ORDER BY order_col) for each c.
 
-    ``order_col`` must be unique within a key (true after dedupe).
+    ``order_col`` must be unique within a key (true after dedupe). ``tails``: the end states (``bucket_tails``) of all
+    buckets, where ``df`` holds some of them only.
     """
     base = df.withColumn(_BKT, time_bucket(order_col, bucket_days))
-    # order_col is unique within a key, so per-column max_by picks one consistent row;
-    # fixed-width values keep this a hash aggregate.
-    tails = base.groupBy(*keys, _BKT).agg(
-        F.max(order_col).alias(order_col),
-        *[F.max_by(c, F.col(order_col)).alias(c) for c in value_cols])
+    if tails is None:
+        tails = bucket_tails(df, keys, order_col, value_cols, bucket_days)
     carry = _carry_rows(tails, keys, order_col, value_cols)
     rows = base.withColumn(_CARRY, F.lit(False))
     u = rows.unionByName(carry, allowMissingColumns=True)
