@@ -87,6 +87,17 @@ def clean_fundamentals(bronze: DataFrame, order_cols: list[str], digits: list[in
         F.lit(True).alias("is_valid"))
 
 
+def known_quarters(bronze: DataFrame, known_on: list[dt.date], order_cols: list[str], payload: list[str], fetched_col: str = "fetched_on",
+                   digits: list[int] | None = None) -> DataFrame:
+    """M2 / M31 on two time axes: per ticker and quarter end, what was known on each day of ``known_on``: the latest fetch up
+    to that day (known_on, ticker, quarter_end, payload). A row is copied once per day asked for, before a partial aggregate by
+    key; quarters not yet fetched on a day are left out."""
+    days = F.array(*[F.lit(d) for d in sorted(set(known_on))])
+    rows = bronze.where(F.col("report_date").isNotNull()).withColumn("quarter_end", X.quarter_end("report_date"))
+    rows = rows.withColumn("known_on", F.explode(F.filter(days, lambda d: d >= F.col(fetched_col))))
+    return latest_by_key(rows, ["known_on", "ticker", "quarter_end"], order_cols, payload, digits)
+
+
 def clean_forex(bronze: DataFrame, order_cols: list[str], bucket_days: int = 90,
                 cut_lineage: bool = False, digits: list[int] | None = None) -> DataFrame:
     """M3: latest fetch per (pair, date), close only, daily change in percent."""

@@ -90,7 +90,7 @@ bronze_forex AS (
 
 BRONZE_FUND = """
 bronze_fund AS (
-  SELECT p_brand AS ticker, p_partkey AS fetch_seq, CAST(NULL AS DATE) AS report_date,
+  SELECT p_brand AS ticker, p_partkey AS fetch_seq, CAST(DATE '1995-01-01' + CAST(p_partkey % 1461 AS INTEGER) AS DATE) AS report_date,
          CAST(round(p_retailprice * p_size * 1000000) AS BIGINT) AS market_cap,
          CAST(CAST(p_retailprice / p_size AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS pe_ratio,
          CAST(CAST(p_size / 10 AS DECIMAL(18,8)) AS DECIMAL(18,4)) AS pb_ratio,

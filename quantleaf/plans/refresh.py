@@ -24,6 +24,7 @@ from quantleaf import schemas
 from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import silver as S
+from quantleaf.operators.gates import SILVER_GATES
 from quantleaf.plans import versions
 from quantleaf.session import checkpointed
 from quantleaf.sources.proxy import Bronze
@@ -78,7 +79,7 @@ def _laid_out(name: str, df: DataFrame) -> DataFrame:
     cols = _FILE_ORDER.get(name)
     return df.sortWithinPartitions(*cols) if cols else df
 # Raise when the meaning of a stored silver table changes: older builds are then not read.
-SILVER_VERSION = 3
+SILVER_VERSION = 4
 _AS_OF: dict[str, dt.date] = {}
 
 
@@ -216,9 +217,9 @@ def build_gold(silver: Silver, cfg: EngineConfig) -> dict[str, DataFrame]:
 
 
 def _write_silver(build: versions.Build, bronze: Bronze, cfg: EngineConfig, target: str | None = None) -> Silver:
-    """Write the silver tables and the calendar into ``build``; returns them read back from storage."""
+    """Write the silver tables, behind their gates, and the calendar into ``build``; returns them read back from storage."""
     s = build_silver(bronze, cfg, cut_lineage=True)
-    r = {name: build.write(name, _laid_out(name, df), target)
+    r = {name: build.write_gated(name, _laid_out(name, df), SILVER_GATES[name], target)
          for name, df in zip(SILVER_TABLES, (s.prices, s.fundamentals, s.forex, s.companies, s.currency_map), strict=True)}
     # M4: the date dimension for BI time filters, spanning the written price history
     build.write("silver_calendar", S.calendar_for(r["silver_stock_prices"]), target)

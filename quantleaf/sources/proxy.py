@@ -40,6 +40,8 @@ COMPANY_CURRENCY = {1: "USD", 3: "GBP", 4: "EUR"}        # else INR
 EXCHANGE_OF = {"USD": "NYSE", "GBP": "LSE", "EUR": "XETRA", "INR": "NSE"}
 # order priority → FX pair
 PRIORITY_PAIR = {"1-URGENT": "USD/INR", "2-HIGH": "GBP/INR", "3-MEDIUM": "EUR/INR", "5-LOW": "JPY/INR"}  # else KRW/INR
+# fundamentals: report dates over four years from this day
+REPORTS_START, REPORT_DAYS = "1995-01-01", 1461
 # --- end of fixed values -----------------------------------------------------------
 
 
@@ -170,7 +172,7 @@ def bronze_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         F.col("p_brand").alias("ticker"),
         pk.alias("fetch_seq"),
-        F.lit(None).cast("date").alias("report_date"),
+        F.date_add(F.lit(REPORTS_START).cast("date"), (pk % REPORT_DAYS).cast("int")).alias("report_date"),
         F.round(rp * sz * 1000000).cast("bigint").alias("market_cap"),
         _dec(rp / sz, d4).alias("pe_ratio"),
         _dec(sz / 10, d4).alias("pb_ratio"),
