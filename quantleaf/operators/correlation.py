@@ -34,11 +34,11 @@ from quantleaf.config import EngineConfig
 from quantleaf.functions import exprs as X
 
 SCALE = 10_000  # returns are DECIMAL(18,4): x = r * 10^4 is an exact integer
-_MOMENTS = ["n", "sx", "sy", "sxy", "sxx", "syy"]
+MOMENTS = _MOMENTS = ["n", "sx", "sy", "sxy", "sxx", "syy"]
 # Each moment travels as two int64 limbs, v = hi * 2^32 + lo with 0 <= lo < 2^32,
 # so partial sums of any size stay exact on their way to the DECIMAL(38,0) totals.
 _LIMB = 2 ** 32
-_PARTIAL_SCHEMA = "stock_1 string, stock_2 string, " + ", ".join(
+_PARTIAL_SCHEMA = "chunk long, stock_1 string, stock_2 string, " + ", ".join(
     f"{m}_hi long, {m}_lo long" for m in _MOMENTS)
 _EXACT_F64 = 2 ** 53
 
@@ -93,7 +93,7 @@ def _gram_partials(pdf: pd.DataFrame) -> pd.DataFrame:
     i, j = np.nonzero(keep)
     s1, s2 = na[i], nb[j]
     flip = np.asarray(s1 > s2, dtype=bool)
-    cols = {"stock_1": np.where(flip, s2, s1), "stock_2": np.where(flip, s1, s2)}
+    cols = {"chunk": int(pdf["chunk"].iloc[0]), "stock_1": np.where(flip, s2, s1), "stock_2": np.where(flip, s1, s2)}
     picked = {
         "n": n[i, j], "sxy": sxy[i, j],
         "sx": np.where(flip, sy[i, j], sx[i, j]), "sy": np.where(flip, sx[i, j], sy[i, j]),
@@ -104,12 +104,7 @@ def _gram_partials(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(cols)
 
 
-def pair_moments(returns: DataFrame, blocks: int, chunk_days: int) -> DataFrame:
-    """Exact per-pair sums over common dates: n, Σx, Σy, Σxy, Σx², Σy² (x = return · 10^4).
-
-    ``returns``: (ticker, trade_date, daily_return_pct) with non-NULL returns,
-    at most one row per (ticker, trade_date).
-    """
+def _partials(returns: DataFrame, blocks: int, chunk_days: int) -> DataFrame:
     r = returns.select(
         "ticker", "trade_date",
         (F.col("daily_return_pct") * SCALE).cast("long").alias("x"),
@@ -119,14 +114,31 @@ def pair_moments(returns: DataFrame, blocks: int, chunk_days: int) -> DataFrame:
     fanned = (r.select("*", other)
               .select("ticker", "trade_date", "x", "blk", "chunk",
                       F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
-    partials = (fanned.groupBy("lo", "hi", "chunk")
-                .applyInPandas(_gram_partials, _PARTIAL_SCHEMA))
+    return fanned.groupBy("lo", "hi", "chunk").applyInPandas(_gram_partials, _PARTIAL_SCHEMA)
+
+
+def _whole(m: str):
+    dec = "decimal(38,0)"
+    return (F.col(f"{m}_hi").cast(dec) * F.lit(_LIMB).cast(dec) + F.col(f"{m}_lo")).cast(dec).alias(m)
+
+
+def chunk_moments(returns: DataFrame, blocks: int, chunk_days: int) -> DataFrame:
+    """chunk, stock_1, stock_2 and the sums of ``pair_moments`` over each chunk of days by itself (a pair lies in one block pair, so
+    each has one row per chunk)."""
+    return _partials(returns, blocks, chunk_days).select("chunk", "stock_1", "stock_2", *[_whole(m) for m in _MOMENTS])
+
+
+def pair_moments(returns: DataFrame, blocks: int, chunk_days: int) -> DataFrame:
+    """Exact per-pair sums over common dates: n, Σx, Σy, Σxy, Σx², Σy² (x = return · 10^4).
+
+    ``returns``: (ticker, trade_date, daily_return_pct) with non-NULL returns,
+    at most one row per (ticker, trade_date).
+    """
+    partials = _partials(returns, blocks, chunk_days)
     dec = "decimal(38,0)"
     sums = [F.sum(F.col(f"{m}_{p}").cast(dec)).alias(f"{m}_{p}") for m in _MOMENTS for p in ("hi", "lo")]
     return (partials.groupBy("stock_1", "stock_2").agg(*sums)
-            .select("stock_1", "stock_2",
-                    *[(F.col(f"{m}_hi") * F.lit(_LIMB).cast(dec) + F.col(f"{m}_lo")).cast(dec).alias(m)
-                      for m in _MOMENTS]))
+            .select("stock_1", "stock_2", *[_whole(m) for m in _MOMENTS]))
 
 
 def coefficient(m: DataFrame) -> DataFrame:
@@ -151,8 +163,12 @@ def correlation_matrix(prices: DataFrame, companies: DataFrame, cfg: EngineConfi
     """M11 gold_correlation_matrix."""
     rets = prices.where(F.col("daily_return_pct").isNotNull()).select("ticker", "trade_date", "daily_return_pct")
     blocks = cfg.corr_blocks if cfg.corr_blocks > 0 else auto_blocks(companies)
-    m = pair_moments(rets, blocks, cfg.corr_chunk_days).where(F.col("n") > cfg.min_obs)
-    c = coefficient(m)
+    return matrix_of(pair_moments(rets, blocks, cfg.corr_chunk_days), companies, cfg)
+
+
+def matrix_of(moments: DataFrame, companies: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The correlation matrix from exact moments of all pairs."""
+    c = coefficient(moments.where(F.col("n") > cfg.min_obs))
     how = "inner" if cfg.sp else "left"
     c1 = companies.select(F.col("ticker").alias("stock_1"), F.col("category").alias("stock_1_category"),
                           F.col("region").alias("stock_1_region"))

@@ -67,6 +67,11 @@ def period_returns(daily: DataFrame, grain: str = "year") -> DataFrame:
               F.max_by("close_price", d).alias("last_close"),
               F.min_by("close_price_inr", d).alias("first_close_inr"),
               F.max_by("close_price_inr", d).alias("last_close_inr")))
+    return returns_of_periods(g)
+
+
+def returns_of_periods(g: DataFrame) -> DataFrame:
+    """M15–M17 of rows (period, ticker, first and last close in both currencies)."""
     local = X.exact_pct("last_close", "first_close", 4)
     inr = X.exact_pct("last_close_inr", "first_close_inr", 4)
     return g.select(F.col("period").cast("int").alias("period"), "ticker", "first_close", "last_close",
@@ -88,6 +93,11 @@ def category_period_volatility(daily: DataFrame, companies: DataFrame, grain: st
     per = (daily.withColumn("period", _period(grain, F.col("trade_date")))
            .groupBy("period", "ticker")
            .agg(X.to_dec(F.stddev_pop("daily_return_local_pct")).alias("volatility")))
+    return average_volatility(per, companies)
+
+
+def average_volatility(per: DataFrame, companies: DataFrame) -> DataFrame:
+    """The average of the tickers' volatility (period, ticker, volatility) per category."""
     return (per.join(companies.select("ticker", "category"), "ticker", "inner")
             .groupBy("period", "category")
             .agg(X.to_dec(F.avg("volatility")).alias("avg_volatility"),

@@ -19,11 +19,13 @@ from quantleaf.config import EngineConfig
 from quantleaf.operators import gold as G
 from quantleaf.operators import measures as M
 from quantleaf.operators import quality as Q
+from quantleaf.operators import period_states as PS
 from quantleaf.operators import silver as S
 from quantleaf.operators import trading_days as TD
 from quantleaf.operators.asof import asof_join
 from quantleaf.operators.cross_rates import cross_rates
 from quantleaf.operators.windows import latest_by_key
+from quantleaf.plans import pair_store
 from quantleaf.plans import refresh as P
 from quantleaf.plans import versions
 from quantleaf.session import checkpointed
@@ -978,6 +980,78 @@ def q_constraint_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+# ----------------------------------------------------------------------------- stored states
+
+_ORACLE_PAIR_COUNT = _oracle(["silver_prices", "companies"], [_CORR_SQL], """
+SELECT n, pairs, CAST(n * (n - 1) / 2 AS BIGINT) AS expected_pairs, pairs = CAST(n * (n - 1) / 2 AS BIGINT) AS complete
+FROM (SELECT (SELECT COUNT(DISTINCT ticker) FROM silver_prices WHERE daily_return_pct IS NOT NULL) AS n,
+             (SELECT COUNT(*) FROM paired) AS pairs) x""")
+
+_RANGE = ("1995-03-10", "1999-10-20")
+_IN_RANGE = f"FROM daily WHERE trade_date BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}'"
+
+
+def _range_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The month states of the stored daily table that make up a range cut inside two months, and the companies."""
+    import datetime as dt
+    import uuid
+
+    from quantleaf.session import scratch_path
+    L = layers(spark, sf_dir)
+    out = scratch_path(spark, f"states-{uuid.uuid4().hex}")
+    with versions.building(spark, out) as build:
+        daily = build.write("daily", _daily(L).sortWithinPartitions("trade_date"))
+        states = build.write("month_states", PS.month_states(daily))
+        build.publish()
+    return PS.of_range(states, daily, *map(dt.date.fromisoformat, _RANGE)), L.silver.companies
+
+
+@register("period_returns_from_states", _oracle(_GOLD_BASE, [_DAILY_SQL, _PR_SQL.replace("FROM daily", _IN_RANGE)], """
+SELECT period, ticker, first_close, last_close, local_return_pct, inr_return_pct,
+       CAST(inr_return_pct - local_return_pct AS DECIMAL(18,4)) AS currency_impact_pct
+FROM pr"""))
+def q_period_returns_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date range answered from month states and the rows of its two cut months."""
+    return PS.period_returns(_range_states(spark, sf_dir)[0])
+
+
+@register("category_volatility_from_states", _oracle(_GOLD_BASE, [_DAILY_SQL], f"""
+SELECT v.period, c.category, {avg_dec('v.volatility', 4, 'avg_volatility')}, COUNT(v.volatility) AS ticker_count
+FROM (SELECT CAST(year(trade_date) AS INTEGER) AS period, ticker,
+             CAST(STDDEV_POP(CAST(daily_return_local_pct AS DOUBLE)) AS DECIMAL(18,4)) AS volatility
+      {_IN_RANGE} GROUP BY year(trade_date), ticker) v
+JOIN companies c ON v.ticker = c.ticker GROUP BY v.period, c.category"""))
+def q_category_volatility_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19 from the same states."""
+    return PS.category_volatility(*_range_states(spark, sf_dir))
+
+
+def _stored_moments(spark: SparkSession, sf_dir: str) -> tuple[versions.Version, Layers]:
+    """Pair moments of the history but for its last day, then brought up to date with that day's chunk."""
+    import uuid
+
+    from quantleaf.session import scratch_path
+    L = layers(spark, sf_dir)
+    out = scratch_path(spark, f"moments-{uuid.uuid4().hex}")
+    last = L.silver.as_of
+    pair_store.update(spark, L.silver.prices.where(F.col("trade_date") < F.lit(last)), L.silver.companies, out, L.cfg)
+    return pair_store.update(spark, L.silver.prices, L.silver.companies, out, L.cfg, [last]), L
+
+
+@register("correlation_from_moments", _oracle(["silver_prices", "companies"], [_CORR_SQL], _CORR_TAIL))
+def q_correlation_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 from stored moments, of which the last day changed one chunk."""
+    version, L = _stored_moments(spark, sf_dir)
+    return pair_store.correlation_matrix(version, L.silver.companies, L.cfg)
+
+
+@register("pair_count_from_moments", _ORACLE_PAIR_COUNT)
+def q_pair_count_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 from stored moments: no product."""
+    version, L = _stored_moments(spark, sf_dir)
+    return pair_store.pair_count(version, L.silver.prices)
+
+
 # ----------------------------------------------------------------------------- quality
 
 @register("row_counts", _oracle(_GOLD_BASE, [_STATS_SQL, _PERF_SQL, _DAILY_SQL], """
@@ -1071,10 +1145,7 @@ def q_unit_conversion_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                     G.X.to_dec(F.col("max_ratio").cast("double"), 18, 6).alias("max_ratio"))
 
 
-@register("pair_count_check", _oracle(["silver_prices", "companies"], [_CORR_SQL], """
-SELECT n, pairs, CAST(n * (n - 1) / 2 AS BIGINT) AS expected_pairs, pairs = CAST(n * (n - 1) / 2 AS BIGINT) AS complete
-FROM (SELECT (SELECT COUNT(DISTINCT ticker) FROM silver_prices WHERE daily_return_pct IS NOT NULL) AS n,
-             (SELECT COUNT(*) FROM paired) AS pairs) x"""))
+@register("pair_count_check", _ORACLE_PAIR_COUNT)
 def q_pair_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7: correlation pairs vs n(n−1)/2."""
     L = layers(spark, sf_dir)
