@@ -6,13 +6,15 @@
    with a probability near their Jaccard similarity, with bounds like those of independent bins.
 2. Documents with equal sets form one class; further steps see one representative of each.
 3. Bands of ``ROWS`` bins give bucket keys. Buckets with the same members are looked at once; large ones
-   are cut into chunks, and pairs of chunks are compared (``CHUNK`` representatives each).
-4. In a bucket, a spanning forest of the best-agreeing pairs is proposed. Pairs that agree in fewer bins than a pair
+   are dealt to chunks of about ``CHUNK`` representatives, each to one.
+4. In a chunk, a spanning forest of the best-agreeing pairs is proposed. Large buckets that are not yet one component are dealt anew,
+   and forests of pairs between components proposed, as long as that links anything (``ROUNDS`` times at most). Pairs that agree in fewer bins than a pair
    above the threshold ever would (5 standard deviations) are left out. Proposed pairs are confirmed on the
    full sets of their texts.
 5. Connected components of the confirmed links are found by alternating stars. Then all pairs that share a
    bucket, agree enough and still lie in different components are confirmed too: no link between
-   components is lost when a proposed pair fails. These pairs can be very many in a group of copies near the
+   components is lost when a proposed pair fails. A bucket's rows are then in parts by component, and only parts that hold
+   different components meet, so a bucket of one large component and a few others is not compared with itself. These pairs can be very many in a group of copies near the
    threshold, so they are never rows: a first pass names the representatives of each cell that have such a pair, a
    second one gets their texts and confirms the pairs inside the cell, each pair in the first bucket that it shares.
 
@@ -42,6 +44,7 @@ BANDS, ROWS = 40, 5
 T = BANDS * ROWS
 PERCENT = 75
 CHUNK = 512
+ROUNDS = 4                 # times that large buckets are dealt to chunks, until nothing is linked any more
 # Of T bins, a pair at the threshold agrees in 150 on average; 5 standard deviations (6.1) below that.
 LEAST_AGREEING = int(T * PERCENT / 100 - 5 * (T * PERCENT / 100 * (1 - PERCENT / 100)) ** 0.5)
 _U = np.uint64
@@ -218,29 +221,53 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, "bucket", "cell").sortWithinPartitions("bucket", "cell", "rep")
 
 
-def cells(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Rows with bucket, n and rep, each in every cell (pair of chunks of the bucket) that its chunk is part of."""
+def chunks(members: DataFrame, chunk: int) -> DataFrame:
+    """Rows with bucket, n, rep and seed, each in one chunk (cell) of its bucket, dealt by a hash of rep and seed."""
     parts = F.greatest(F.lit(1), F.ceil(F.col("n") / chunk)).cast("int")
-    rows = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return (rows.withColumn("cell", F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
-                .withColumn("mixed", F.floor(F.col("cell") / F.col("parts")) != F.col("cell") % F.col("parts"))
-                .drop("n", "parts", "other"))
-
-
-def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int = CHUNK) -> DataFrame:
-    """Distinct pairs (a < b) of the buckets' spanning forests, from rows (bucket, n, rep, sketch)."""
+    return (members.withColumn("cell", F.pmod(F.xxhash64("rep", "seed"), parts).cast("long"))
+                   .withColumn("mixed", F.lit(False)).drop("n", "seed"))
+
+
+def cells(members: DataFrame, chunk: int | None = None) -> DataFrame:
+    """Rows with bucket, rep and component, in every cell (pair of parts of the bucket) where they can meet another component.
+
+    A component of more than ``chunk`` rows has parts of its own, which meet no part of the same component; the rows of the other
+    components share parts, by component. So a bucket that is one component but for a few rows makes about as many
+    rows as it has, and a part is copied only to parts with which it has pairs to look at."""
+    chunk = chunk or CHUNK
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m")).withColumn("big", F.col("m") > chunk)
+    owner = F.when(F.col("big"), F.col("component"))          # null: a shared part
+    parts = (sizes.groupBy("bucket", owner.alias("owner")).agg(F.sum("m").alias("m"))
+             .withColumn("n_parts", F.ceil(F.col("m") / chunk).cast("int")))
+    listed = (parts.select("bucket", "owner", "n_parts", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part"))
+              .groupBy("bucket").agg(F.collect_list(F.struct("owner", "part", F.xxhash64("owner", "part").alias("key"))).alias("others")))
+    shared = parts.where("owner IS NULL").select("bucket", F.col("n_parts").alias("n_shared"))
+    of = sizes.join(shared, "bucket", "left").withColumn("n_own", F.ceil(F.col("m") / chunk).cast("int")).drop("m")
+    rows = members.join(of, ["bucket", "component"]).join(listed, "bucket")
+    number = F.when(F.col("big"), F.pmod(F.xxhash64("rep", F.lit(7)), F.col("n_own"))).otherwise(F.pmod(F.xxhash64("component", F.lit(11)), F.col("n_shared")))
+    rows = rows.withColumn("part", F.xxhash64(owner, number.cast("int")))
+    meets = F.filter("others", lambda o: o["owner"].isNull() | ~F.col("big") | (o["owner"] != F.col("component")))
+    rows = rows.withColumn("other", F.explode(F.transform(meets, lambda o: o["key"])))
+    return (rows.withColumn("cell", F.xxhash64(F.least("part", "other"), F.greatest("part", "other")))
+                .withColumn("mixed", F.col("part") != F.col("other"))
+                .drop("n", "big", "n_own", "n_shared", "others", "other"))
+
+
+def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int | None = None) -> DataFrame:
+    """Distinct pairs (a < b) of the spanning forests of the buckets' chunks, from rows (bucket, n, rep, seed, component, sketch):
+    pairs of different components only (null: none yet, a row by itself)."""
     def forest(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
         part = rows.slice(s, e - s)
         sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(e - s, -1)
-        pairs = _forest(part.column("rep").to_numpy(), sketches, part.column("part").to_numpy() if mixed else None, least)
+        known = part.column("component")
+        pairs = _forest(part.column("rep").to_numpy(), sketches, None if known.null_count else known.to_numpy(), least)
         a = np.array(pairs, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(a.min(1)), pa.array(a.max(1))], ["a", "b"]) if len(a) else None
 
-    return _dealt(cells(members, chunk)).mapInArrow(lambda batches: _by_cell(batches, forest), "a long, b long").distinct()
+    return _dealt(chunks(members, chunk or CHUNK)).mapInArrow(lambda batches: _by_cell(batches, forest), "a long, b long").distinct()
 
 
-def crossing_links(members: DataFrame, texts: DataFrame, least: int = LEAST_AGREEING, chunk: int = CHUNK) -> DataFrame:
+def crossing_links(members: DataFrame, texts: DataFrame, least: int = LEAST_AGREEING, chunk: int | None = None) -> DataFrame:
     """Links (a, b) between components, from rows (bucket, n, rep, component, sketch, open): ``open`` has the keys of the
     representative's buckets by band, 0 for those that need no look."""
     def named(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
@@ -337,14 +364,24 @@ def _labels(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> D
     sketches = materialise(classes.join(reps, "rep").select("rep", "sketch", "bands"), "sketches")
     texts = materialise(texts_of(reps), "texts")
 
-    first = propose(members.join(sketches.select("rep", "sketch"), "rep"))
+    by_rep = sketches.select("rep", "sketch")
+    first = propose(members.withColumn("seed", F.lit(0)).withColumn("component", F.lit(None).cast("long")).join(by_rep, "rep"))
     links = materialise(confirm(first, texts).where("linked").select("a", "b"), "links")
-    labels = components(links)
-
-    now = members.join(labels, members["rep"] == labels["node"], "left").select(
-        "bucket", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    unsettled = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    now = materialise(now.join(unsettled, "bucket"), "unsettled")
+    for seed in range(1, ROUNDS + 1):
+        labels = components(links)
+        now = members.join(labels, members["rep"] == labels["node"], "left").select(
+            "bucket", "n", "rep", F.coalesce("component", "rep").alias("component"))
+        unsettled = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        now = materialise(now.join(unsettled, "bucket"), "unsettled")
+        # Chunks of large buckets are dealt anew: what one round linked inside chunks, the next links across them.
+        large = now.where(F.col("n") > CHUNK)
+        if seed == ROUNDS or large.isEmpty():
+            break
+        again = propose(large.withColumn("seed", F.lit(seed)).join(by_rep, "rep"))
+        more = materialise(confirm(again, texts).where("linked").select("a", "b"), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
     own = now.groupBy("rep").agg(F.collect_set("bucket").alias("own"))      # one bucket per band at most
     keys = sketches.join(own, "rep").select("rep", "sketch", F.transform(
         "bands", lambda k: F.when(F.array_contains("own", k), k).otherwise(0)).alias("open"))

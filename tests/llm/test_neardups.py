@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from quantleaf.llm import neardups
 
 from .helpers import WORD, awkward_docs, documents, empty_docs
@@ -75,6 +77,32 @@ def test_chunks_of_a_large_bucket(spark, monkeypatch):
     check(spark, near_copies(seed=4))
 
 
+def test_rounds_of_chunks(spark, monkeypatch):
+    monkeypatch.setattr(neardups, "CHUNK", 16)
+    check(spark, near_copies(seed=5))
+    monkeypatch.setattr(neardups, "ROUNDS", 1)
+    check(spark, near_copies(seed=7))
+
+
+def test_hot_bucket_is_not_copied_to_all_chunk_pairs(spark):
+    """20 chunks in one bucket: one component and three other rows make about n rows, and each pair of components meets once."""
+    n, chunk = 2000, 100
+    rows = [(1, n + 3, i, 0 if i < n else i) for i in range(n + 3)] + [(2, 50, i, i % 5) for i in range(50)]
+    members = spark.createDataFrame(rows, "bucket long, n long, rep long, component long")
+    made = neardups.cells(members, chunk).collect()
+    big = [r for r in made if r.bucket == 1]
+    assert len(big) <= n + 3 * (n // chunk + 2)
+    met = {}
+    for r in big:
+        met.setdefault(r.cell, []).append(r)
+    pairs = [(a.rep, b.rep) for cell in met.values() for k, a in enumerate(cell) for b in cell[k + 1:]
+             if a.component != b.component and (not a.mixed or a.part != b.part)]
+    assert len(pairs) == len({tuple(sorted(p)) for p in pairs}) == 3 * n + 3
+    assert len([r for r in made if r.bucket == 2]) == 50
+    dealt = neardups.chunks(members.withColumn("seed", F.lit(0)), chunk)
+    assert dealt.count() == len(rows) and max(r["count"] for r in dealt.groupBy("bucket", "cell").count().collect()) < 2 * chunk
+
+
 def test_links_that_no_proposed_pair_finds(spark, monkeypatch):
     """Without any proposed pair, the second pass alone finds all links."""
     monkeypatch.setattr(neardups, "propose", lambda members: members.sparkSession.createDataFrame([], "a long, b long"))
