@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
 from .line_rules import count_of, word_count
 
 MAX_EPOCHS = 3
@@ -66,7 +67,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *([F.struct(*[F.col(c) for c in keep]).alias("kept_columns")] if keep else []))
     targets = source_targets(rows.select("source", "size"), weights, max_epochs)
     ranges = F.least(F.lit(MAX_RANGES), F.ceil(F.col("n_docs") / RANGE_ROWS)).cast("int")
-    targets = targets.withColumn("ranges", F.greatest(F.lit(1), ranges))
+    # Stored, a row per source: the planner knows its size, and joins it without moving the texts while it is small.
+    targets = materialise(targets.withColumn("ranges", F.greatest(F.lit(1), ranges)), "mix-targets")
     u = (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10)
          .cast("long") + 0.5) / float(1 << 52)
     key = -F.ln(u) / quality_weight(F.col("size"), F.col("symbols"))
@@ -77,6 +79,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("range_before", F.sum("range_size").over(
                  Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)))
              .select(F.col("source").alias("s"), F.col("range").alias("k"), F.coalesce("range_before", F.lit(0)).alias("range_before")))
+    sums = materialise(sums, "mix-ranges")      # a row per source and range
     within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     j = j.withColumn("before_in_range", F.coalesce(F.sum("size").over(within), F.lit(0)))
     j = j.join(sums, j["source"].eqNullSafe(sums["s"]) & (j["range"] == sums["k"]), "left")
