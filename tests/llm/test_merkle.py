@@ -26,7 +26,14 @@ def brute_force(rows):
 
 
 def fingerprint(text):
-    return merkle.fingerprint(merkle.tree(text), merkle.word_groups([text])[0])
+    return merkle.fingerprint(merkle.trees([text])[0])
+
+
+def flat_dice(a, b):
+    """Dice coefficient of the word groups alone, without the tree."""
+    groups = [Counter(merkle.word_groups([t])[0][0].tolist()) for t in (a, b)]
+    total = sum(groups[0].values()) + sum(groups[1].values())
+    return 2 * sum((groups[0] & groups[1]).values()) / total if total else 0.0
 
 
 def test_against_brute_force(spark):
@@ -51,10 +58,11 @@ def test_edits_are_located():
     changed = lines.copy()
     changed[17] = "Something else."
     del changed[40]
-    a, b = merkle.tree("\n".join(lines)), merkle.tree("\n".join(changed))
+    a, b = merkle.trees(["\n".join(lines), "\n".join(changed)])
     assert a.root != b.root
-    assert merkle.differing_paragraphs(a, b) == ([17, 40], [17])
-    assert merkle.differing_paragraphs(a, a) == ([], [])
+    found = merkle.compare_trees(a, b)
+    assert (found.left, found.right) == ([17, 40], [17])
+    assert merkle.compare_trees(a, a) == merkle.Comparison(1.0, [], [])
     assert 0.9 < merkle.compare(fingerprint("\n".join(lines)), fingerprint("\n".join(changed))) < 1
 
 
@@ -63,3 +71,48 @@ def test_likeness():
     assert merkle.compare(fingerprint(SENTENCE), fingerprint("")) == 0
     assert merkle.compare(fingerprint(SENTENCE), fingerprint(SENTENCE + " ")) < 1      # white space alone differs
     assert merkle.compare(fingerprint(SENTENCE), fingerprint("Nothing of the kind is said here.")) == 0
+
+
+def test_the_walk_gives_the_coefficient_of_all_groups(spark):
+    texts = [r.text or "" for r in awkward_docs(spark).select("text").collect()] + [r.text for r in documents(spark).collect()]
+    for a, b in zip(texts, texts[1:], strict=False):
+        for other in (b, merkle.edited(a, b)):
+            got = merkle.compare(fingerprint(a), fingerprint(other))
+            if a == other:
+                assert got == 1
+            else:      # texts that differ in white space alone stay below 1
+                assert got < 1 and (abs(got - flat_dice(a, other)) < 1e-9 or flat_dice(a, other) == 1)
+
+
+def test_equal_branches_are_not_entered(monkeypatch):
+    lines = [f"Paragraph {i} says this and that. {SENTENCE}" for i in range(400)]
+    a, b = merkle.trees(["\n".join(lines), "\n".join([*lines[:200], "Another line.", *lines[201:]])])
+    seen = []
+    monkeypatch.setattr(merkle, "_open_groups", lambda t, paragraphs: seen.append(len(paragraphs)) or t.groups[:0])
+    merkle.compare_trees(a, b)
+    assert seen == [1, 1]
+
+
+def test_fingerprints_hold_their_tree(spark):
+    for r in awkward_docs(spark).collect():
+        tree = merkle.trees([r.text or ""])[0]
+        back = merkle.parsed(merkle.fingerprint(tree))
+        assert (back.root, back.sections, back.paragraphs) == (tree.root, tree.sections, tree.paragraphs)
+        assert back.groups.tolist() == tree.groups.tolist() and back.limits.tolist() == tree.limits.tolist()
+
+
+def test_differing_paragraphs_are_returned(spark):
+    text = "\n".join(f"Paragraph {i} says this and that. {SENTENCE}" for i in range(30))
+    docs = spark.createDataFrame([(2, text), (1, "Nothing of the kind. " * 40)], "doc_id long, text string")
+    found = {r.doc_id: r.differing for r in merkle.op3_query(docs).collect()}
+    assert found[2] == list(range(found[2][0], 30)) and 18 <= found[2][0] <= 20
+
+
+def test_frequent_ids_are_dealt_by_text(spark):
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else 1000 + i, f"{SENTENCE} {i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = merkle.with_next(docs).collect()
+    sizes = Counter(r.range for r in dealt)
+    assert sum(r.copy for r in dealt) == len(sizes) and max(sizes.values()) < 120
+    got = merkle.op3_query(docs).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == brute_force(rows)
