@@ -6,15 +6,16 @@ come first; the rest of the target is filled by documents in the order of expone
 -ln(u) / q, where u is a hash of the id and q the document's quality weight (a weighted sample
 without replacement). The last document is taken if that brings the source nearer to its target.
 
-The order within a source is a prefix sum over key ranges: rows are spread over up to ``MAX_RANGES``
-ranges of the key, summed per range, and only the rows of one range are sorted together. So a source
-with a third of all rows is spread over many tasks. The one unpartitioned window runs over the table of
-sources (one row each).
+Only ids and sizes move. They are stored once; sizes are summed by ranges of the key (up to ``MAX_RANGES`` of a source), and the
+prefix sums of these tell the one range in which the target is reached. The rows of that range, equal ones as one, are
+sorted and summed, which gives each source a cut in the order of (key, id, size): rows before it are taken, as a row that is not
+taken is followed by no row that is. So a document's copies follow from the document and its source's row alone. That table, a row
+a source, is stored, and the planner sees its size. Windows without a partition run over the table of sources only.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; size-0
 documents are never taken, and a source of size 0 has target 0. Rows with equal id, size and key
-are alike; which comes first makes no difference. Null ids share one hash and follow in order of
-size. An empty table gives no rows.
+are alike; where the cut falls among them, the first by a hash of the text are taken (these rows meet in one task). Null ids share
+one hash and follow in order of size. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -60,36 +61,72 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``keep``: further columns of ``docs`` to carry along (none by default), under their own names.
     """
-    size = word_count(F.col(text_col))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
-        count_of(F.col(text_col), r"#*$%&|<>").alias("symbols"),
-        *([F.struct(*[F.col(c) for c in keep]).alias("kept_columns")] if keep else []))
-    targets = source_targets(rows.select("source", "size"), weights, max_epochs)
-    ranges = F.least(F.lit(MAX_RANGES), F.ceil(F.col("n_docs") / RANGE_ROWS)).cast("int")
-    # Stored, a row per source: the planner knows its size, and joins it without moving the texts while it is small.
-    targets = materialise(targets.withColumn("ranges", F.greatest(F.lit(1), ranges)), "mix-targets")
+    measured = [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+                count_of(F.col(text_col), r"#*$%&|<>").alias("symbols"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash")]
+    sizes = materialise(docs.select(*measured), "mix-sizes")
+    sources = source_plan(sizes, weights, max_epochs)
+    rows = docs.select(*measured, F.struct(*[F.col(c) for c in keep]).alias("kept_columns")) if keep else sizes
+    rows = _placed(rows, sources)
+    place = F.struct("key", "doc_id", "size")
+    at_cut = (F.col("range") == F.col("edge")) & place.eqNullSafe(F.col("cut"))
+    extra = (F.when(F.col("size") == 0, 0).when(F.col("edge").isNull() | (F.col("range") < F.col("edge")), 1)
+              .when(at_cut, F.when(F.col("place") <= F.col("cut_taken"), 1).otherwise(0))
+              .when((F.col("range") == F.col("edge")) & (place < F.col("cut")), 1).otherwise(0))
+    rows = rows.withColumn("place", F.lit(1))
+    if not sources.where("cut_taken < cut_rows").isEmpty():     # the cut falls among equal rows
+        divided = at_cut & (F.col("cut_taken") < F.col("cut_rows"))
+        order = Window.partitionBy("source").orderBy("text_hash")
+        rows = (rows.where(~F.coalesce(divided, F.lit(False)))
+                .unionByName(rows.where(divided).withColumn("place", F.row_number().over(order))))
+    copies = F.when(F.col("size") > 0, F.col("epochs") + extra).otherwise(0).cast("long")
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+                       (copies * F.col("size")).alias("taken"), *(["kept_columns"] if keep else []))
+
+
+def _of_source(rows: DataFrame, small: DataFrame, how: str = "left") -> DataFrame:
+    """``rows`` with the columns of ``small``, a table with a row a source (null is one)."""
+    small = small.withColumnRenamed("source", "of_source")
+    return rows.join(small, F.col("source").eqNullSafe(F.col("of_source")), how).drop("of_source")
+
+
+def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Each row with its source's columns, its key, and the range of the key."""
     u = (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10)
          .cast("long") + 0.5) / float(1 << 52)
     key = -F.ln(u) / quality_weight(F.col("size"), F.col("symbols"))
-    j = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "left")
-    j = j.drop(targets["source"]).withColumn("key", key)
-    j = j.withColumn("range", F.least(F.col("ranges") - 1, F.floor(F.col("key") / (1 + F.col("key")) * F.col("ranges")).cast("int")))
-    sums = (j.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-             .withColumn("range_before", F.sum("range_size").over(
-                 Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)))
-             .select(F.col("source").alias("s"), F.col("range").alias("k"), F.coalesce("range_before", F.lit(0)).alias("range_before")))
-    sums = materialise(sums, "mix-ranges")      # a row per source and range
-    within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    j = j.withColumn("before_in_range", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    j = j.join(sums, j["source"].eqNullSafe(sums["s"]) & (j["range"] == sums["k"]), "left")
-    before = F.col("range_before") + F.col("before_in_range")
+    return (_of_source(rows, sources).withColumn("key", key)
+            .withColumn("range", F.least(F.col("ranges") - 1, F.floor(F.col("key") / (1 + F.col("key")) * F.col("ranges")).cast("int"))))
+
+
+def source_plan(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """A row per source of ``sizes`` (doc_id, source, size, symbols): source_size, target, whole ``epochs``, ``rest``, ``ranges`` of
+    the key, the range ``edge`` in which the rest is reached (null: it takes all), and there the last taken place ``cut``
+    (null: none) with ``cut_taken`` of the ``cut_rows`` rows on it."""
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.col("target") - epochs * F.col("source_size")
-    extra = F.when((F.col("size") > 0) & (2 * before + F.col("size") <= 2 * rest), 1).otherwise(0)
-    copies = F.when(F.col("size") > 0, epochs + extra).otherwise(0).cast("long")
-    return j.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                    (copies * F.col("size")).alias("taken"), *(["kept_columns"] if keep else []))
+    ranges = F.greatest(F.lit(1), F.least(F.lit(MAX_RANGES), F.ceil(F.col("n_docs") / RANGE_ROWS)).cast("int"))
+    targets = source_targets(sizes.select("source", "size"), weights, max_epochs)
+    targets = targets.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    targets = materialise(targets.withColumn("ranges", ranges), "mix-targets")
+    placed = _placed(sizes, targets)
+    upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (placed.groupBy("source", "range").agg(F.sum("size").alias("range_size"), F.first("rest").alias("rest"))
+            .withColumn("before", F.coalesce(F.sum("range_size").over(upto), F.lit(0))))
+    edges = (sums.where(F.col("before") + F.col("range_size") > F.col("rest")).groupBy("source")
+             .agg(F.min(F.struct("range", "before")).alias("e")).select("source", F.col("e.range").alias("edge"), F.col("e.before").alias("edge_before")))
+    targets = materialise(_of_source(targets, edges), "mix-edges")
+    # Rows of the edge, equal ones as one: of n rows on a place so many are taken as end, by half their size, within the rest.
+    edge = (_placed(sizes, targets).where((F.col("range") == F.col("edge")) & (F.col("size") > 0))
+            .groupBy("source", "edge_before", "rest", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
+    within = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("edge_before") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(within), F.lit(0))
+    edge = edge.withColumn("before", before)
+    fit = F.floor((2 * F.col("rest") - (2 * F.col("before") - F.col("size"))) / (2 * F.col("size"))).cast("long")
+    edge = edge.withColumn("fit", F.least(F.col("n"), F.greatest(F.lit(0), fit)))
+    last = 2 * (F.col("before") + (F.col("fit") - 1) * F.col("size")) + F.col("size")
+    edge = edge.withColumn("m", F.col("fit") - F.when((F.col("fit") > 0) & (last > 2 * F.col("rest")), 1).otherwise(0)).where("m > 0")
+    cuts = edge.groupBy("source").agg(F.max(F.struct("key", "doc_id", "size", "m", "n")).alias("c"))
+    cuts = cuts.select("source", F.struct("c.key", "c.doc_id", "c.size").alias("cut"), F.col("c.m").alias("cut_taken"), F.col("c.n").alias("cut_rows"))
+    return materialise(_of_source(targets, cuts), "mix-plan")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -131,3 +131,18 @@ def test_mixed_documents_keep_all_columns(spark):
         copies[r.doc_id] = copies.get(r.doc_id, 0) + r.copies
     got = Counter(r.doc_id for r in mixed.collect())
     assert got == Counter({k: v for k, v in copies.items() if v})
+
+
+def test_the_cut_may_fall_among_equal_rows(spark):
+    docs = spark.createDataFrame([(None, "five words are in here", "a")] * 40 + [(7, "just three words", "a")] * 30 +
+                                 [(i, "some other words " * 9, "b") for i in range(60)], "doc_id long, text string, source string")
+    rows = mixing.mix_sources(docs, weights=(1, 3)).collect()
+    taken = {s: sum(r.taken for r in rows if r.source == s) for s in "ab"}
+    assert len(rows) == 130 and all(abs(taken[r.source] - r.target) <= r.size for r in rows)
+    assert len({r.copies for r in rows if r.source == "a" and r.doc_id is None} | {r.copies for r in rows if r.doc_id == 7}) == 2
+    assert Counter(r.doc_id for r in mixing.mixed_documents(docs, weights=(1, 3)).collect())[7] == sum(r.copies for r in rows if r.doc_id == 7)
+
+
+def test_mixing_moves_no_texts(spark):
+    plan = mixing.mixed_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "ArrowEval" not in plan
