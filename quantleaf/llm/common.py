@@ -50,6 +50,12 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_tasks(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """``df`` in about ``rows / per_task`` tasks, as many as there are cores at least: a small table is not spread over all shuffle
+    partitions, which costs more than its work. Never more tasks than ``df`` has."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task)))
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (a cluster gets it by --py-files)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -7,8 +7,9 @@
 2. Documents with equal sets form one class; further steps see one representative of each.
 3. Bands of ``ROWS`` bins give bucket keys. Buckets with the same members are looked at once; large ones
    are dealt to chunks of about ``CHUNK`` representatives, each to one.
-4. In a chunk, a spanning forest of the best-agreeing pairs is proposed. Large buckets that are not yet one component are dealt anew,
-   and forests of pairs between components proposed, as long as that links anything (``ROUNDS`` times at most). Pairs that agree in fewer bins than a pair
+4. In a chunk, a spanning forest of the best-agreeing pairs is proposed. Large buckets are dealt twice at once; those that are not yet
+   one component are dealt anew, and forests of pairs between components proposed, as long as that links anything (``ROUNDS`` deals at
+   most). Pairs that agree in fewer bins than a pair
    above the threshold ever would (5 standard deviations) are left out. Proposed pairs are confirmed on the
    full sets of their texts.
 5. Connected components of the confirmed links are found by alternating stars. Then all pairs that share a
@@ -37,16 +38,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, buffer_of, materialise, mix64, text_slices
+from .common import Words, buffer_of, in_tasks, materialise, mix64, text_slices
 
 WIDTH = 5
 BANDS, ROWS = 40, 5
 T = BANDS * ROWS
 PERCENT = 75
 CHUNK = 512
-ROUNDS = 4                 # times that large buckets are dealt to chunks, until nothing is linked any more
+ROUNDS = 4                 # times that large buckets are dealt to chunks (two at least), until nothing is linked any more
 # Of T bins, a pair at the threshold agrees in 150 on average; 5 standard deviations (6.1) below that.
 LEAST_AGREEING = int(T * PERCENT / 100 - 5 * (T * PERCENT / 100 * (1 - PERCENT / 100)) ** 0.5)
+# Rows for a task: representatives in cells, pairs to confirm, edges of a graph, classes with their sketches, band keys.
+CELL_ROWS, PAIR_ROWS, EDGE_ROWS, CLASS_ROWS, KEY_ROWS = 4096, 2000, 100_000, 20_000, 500_000
 _U = np.uint64
 
 
@@ -216,9 +219,10 @@ def _by_cell(batches: Iterator[pa.RecordBatch], handle) -> Iterator[pa.RecordBat
         yield from cells(held)
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """Rows by cell, each cell in one task; ``n``: about how many rows."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, "bucket", "cell").sortWithinPartitions("bucket", "cell", "rep")
+    return in_tasks(rows.repartition(tasks, "bucket", "cell"), n, CELL_ROWS).sortWithinPartitions("bucket", "cell", "rep")
 
 
 def chunks(members: DataFrame, chunk: int) -> DataFrame:
@@ -255,7 +259,9 @@ def cells(members: DataFrame, chunk: int | None = None) -> DataFrame:
 
 def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int | None = None) -> DataFrame:
     """Distinct pairs (a < b) of the spanning forests of the buckets' chunks, from rows (bucket, n, rep, seed, component, sketch):
-    pairs of different components only (null: none yet, a row by itself)."""
+    pairs of different components only (null: none yet, a row by itself). ``members`` is a stored table: its rows are counted."""
+    n = members.count()
+
     def forest(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
         part = rows.slice(s, e - s)
         sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(e - s, -1)
@@ -264,12 +270,13 @@ def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int | None =
         a = np.array(pairs, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(a.min(1)), pa.array(a.max(1))], ["a", "b"]) if len(a) else None
 
-    return _dealt(chunks(members, chunk or CHUNK)).mapInArrow(lambda batches: _by_cell(batches, forest), "a long, b long").distinct()
+    pairs = _dealt(chunks(members, chunk or CHUNK), n).mapInArrow(lambda batches: _by_cell(batches, forest), "a long, b long")
+    return in_tasks(pairs.distinct(), n, EDGE_ROWS)
 
 
 def crossing_links(members: DataFrame, texts: DataFrame, least: int = LEAST_AGREEING, chunk: int | None = None) -> DataFrame:
     """Links (a, b) between components, from rows (bucket, n, rep, component, sketch, open): ``open`` has the keys of the
-    representative's buckets by band, 0 for those that need no look."""
+    representative's buckets by band, 0 for those that need no look. ``members`` is a stored table: it is read twice."""
     def named(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
         cell, wanted = _columns(rows, s, e), np.zeros(e - s, bool)
         for k in range(e - s - 1):
@@ -295,10 +302,14 @@ def crossing_links(members: DataFrame, texts: DataFrame, least: int = LEAST_AGRE
         return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"]) if len(a) else None
 
     columns = ["bucket", "cell", "mixed", "part", "rep", "component", "sketch", "open"]
-    rows = cells(members, chunk).select(*columns)
-    found = _dealt(rows).mapInArrow(lambda batches: _by_cell(batches, named), rows.schema)
-    return _dealt(found.join(texts, "rep").select(*columns, "text")).mapInArrow(
-        lambda batches: _by_cell(batches, linked), "a long, b long").distinct()
+    # Cells are found on the ids alone; sketches join the rows once their number is known.
+    placed = materialise(cells(members.drop("sketch", "open"), chunk), "cells")
+    rows = placed.join(members.select("bucket", "rep", "sketch", "open"), ["bucket", "rep"]).select(*columns)
+    n = placed.count()
+    found = materialise(_dealt(rows, n).mapInArrow(lambda batches: _by_cell(batches, named), rows.schema), "crossing")
+    n = found.count()
+    return in_tasks(_dealt(found.join(texts, "rep").select(*columns, "text"), n).mapInArrow(
+        lambda batches: _by_cell(batches, linked), "a long, b long").distinct(), n, EDGE_ROWS)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,31 +334,39 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked) for pairs of ids, on the full sets of their texts (rep, text)."""
+    """(a, b, linked) for pairs of ids, on the full sets of their texts (rep, text). ``pairs`` is a stored table."""
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long, linked boolean")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return in_tasks(both, pairs.count(), PAIR_ROWS).mapInArrow(_confirm, "a long, b long, linked boolean")
 
 
 # ------------------------------------------------------------------ components
 
 
+def _stars(edges: DataFrame, n: int) -> bool:
+    """Whether each node of ``edges`` (u > v) is the v of some or the u of one: stars round the smallest node of each component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    ends = in_tasks(ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n")), n, EDGE_ROWS)
+    return ends.agg(F.max((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("ups") < F.col("n"))))).first()[0] is not True
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) for the nodes of links (a, b): the smallest node that can be reached. Alternating stars: each
-    round joins every node's larger neighbours, then its smaller ones, to its smallest neighbour."""
-    edges = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
+    """(node, component) for the nodes of links (a, b), a stored table: the smallest node that can be reached. Alternating stars: each
+    round joins every node's larger neighbours, then its smaller ones, to its smallest neighbour, until only stars are left."""
+    n = links.count()
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     while True:
+        edges = materialise(in_tasks(edges, n, EDGE_ROWS), "edges")
+        if _stars(edges, n):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = in_tasks(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), n, EDGE_ROWS)
+        large = in_tasks(both.join(least, "u"), n, EDGE_ROWS).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(in_tasks(large, n, EDGE_ROWS), "edges")
+        least = in_tasks(large.groupBy("u").agg(F.min("v").alias("m")), n, EDGE_ROWS)
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = materialise(small.where("u <> v").distinct(), "edges")
-        row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if (row["n"], row["x"]) == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = (row["n"], row["x"])
+        edges = in_tasks(small, n, EDGE_ROWS).where("u <> v").distinct()
 
 
 # ------------------------------------------------------------------ the operator
@@ -356,46 +375,59 @@ def components(links: DataFrame) -> DataFrame:
 def _labels(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the classes (rep, bands, sketch) that are linked with others; ``texts_of`` gives the rows (rep, text) of the
     classes of a table (rep)."""
+    n = classes.count()
     rows = classes.select(F.explode("bands").alias("bucket"), "rep")
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"), F.bit_xor(F.xxhash64("rep")).alias("x")).where("n > 1")
-    buckets = full.groupBy("n", "first", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    members = materialise(rows.join(buckets, "bucket").select("bucket", "n", "rep"), "members")
-    reps = materialise(members.select("rep").distinct(), "reps")
-    sketches = materialise(classes.join(reps, "rep").select("rep", "sketch", "bands"), "sketches")
-    texts = materialise(texts_of(reps), "texts")
-
-    by_rep = sketches.select("rep", "sketch")
-    first = propose(members.withColumn("seed", F.lit(0)).withColumn("component", F.lit(None).cast("long")).join(by_rep, "rep"))
-    links = materialise(confirm(first, texts).where("linked").select("a", "b"), "links")
-    for seed in range(1, ROUNDS + 1):
+    full = in_tasks(full, n * BANDS, KEY_ROWS)
+    buckets = in_tasks(full.groupBy("n", "first", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), n * BANDS, KEY_ROWS)
+    members = materialise(in_tasks(rows.join(buckets, "bucket").select("bucket", "n", "rep"), n * BANDS, KEY_ROWS), "members")
+    m = members.count()
+    reps = materialise(in_tasks(members.select("rep").distinct(), m, KEY_ROWS), "reps")
+    sketches = materialise(in_tasks(classes.join(reps, "rep").select("rep", "sketch", "bands"), n, CLASS_ROWS), "sketches")
+    texts = materialise(in_tasks(texts_of(reps), n, CLASS_ROWS), "texts")
+
+    def proposed(rows: DataFrame, n: int) -> DataFrame:
+        """The links among the pairs that the forests of rows (bucket, n, rep, seed, component) propose."""
+        rows = materialise(in_tasks(rows.join(sketches.select("rep", "sketch"), "rep"), n, CLASS_ROWS), "proposing")
+        return materialise(confirm(materialise(propose(rows), "pairs"), texts).where("linked").select("a", "b"), "links")
+
+    # A large bucket is dealt twice at first: what a chunk of one deal does not link, one of the other may.
+    first = members.withColumn("component", F.lit(None).cast("long"))
+    deals = F.when(F.col("n") > CHUNK, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    links = proposed(first.withColumn("seed", F.explode(deals)), m)
+    for seed in range(2, max(ROUNDS, 2) + 1):
         labels = components(links)
-        now = members.join(labels, members["rep"] == labels["node"], "left").select(
+        now = in_tasks(members.join(labels, members["rep"] == labels["node"], "left"), m, KEY_ROWS).select(
             "bucket", "n", "rep", F.coalesce("component", "rep").alias("component"))
-        unsettled = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        now = materialise(now.join(unsettled, "bucket"), "unsettled")
+        sizes = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
+        unsettled = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket")
+        now = materialise(in_tasks(now.join(unsettled, "bucket"), m, KEY_ROWS), "unsettled")
         # Chunks of large buckets are dealt anew: what one round linked inside chunks, the next links across them.
         large = now.where(F.col("n") > CHUNK)
-        if seed == ROUNDS or large.isEmpty():
+        left = 0 if seed >= ROUNDS else large.count()
+        if not left:
             break
-        again = propose(large.withColumn("seed", F.lit(seed)).join(by_rep, "rep"))
-        more = materialise(confirm(again, texts).where("linked").select("a", "b"), "links")
+        more = proposed(large.withColumn("seed", F.lit(seed)), left)
         if more.isEmpty():
             break
-        links = links.union(more)
-    own = now.groupBy("rep").agg(F.collect_set("bucket").alias("own"))      # one bucket per band at most
-    keys = sketches.join(own, "rep").select("rep", "sketch", F.transform(
+        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+    left = now.count()
+    own = in_tasks(now.groupBy("rep").agg(F.collect_set("bucket").alias("own")), left, CLASS_ROWS)      # one bucket per band at most
+    keys = in_tasks(sketches.join(own, "rep"), left, CLASS_ROWS).select("rep", "sketch", F.transform(
         "bands", lambda k: F.when(F.array_contains("own", k), k).otherwise(0)).alias("open"))
-    more = materialise(crossing_links(now.join(keys, "rep"), texts), "links")
+    rows = materialise(in_tasks(now.join(keys, "rep"), left, CLASS_ROWS), "open")
+    more = materialise(crossing_links(rows, texts), "links")
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     found = materialise(signatures(docs, id_col, text_col), "signatures")
-    classes = materialise(found.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+    classes = found.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = materialise(in_tasks(classes, found.count(), CLASS_ROWS), "classes")
     labels = _labels(classes, lambda reps: docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(reps, "rep"))
 
     out = found.select("doc_id", "n", "key").join(classes.select("key", "rep"), "key", "left")
@@ -419,7 +451,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # Numbers are given once and stored; a class has the text of its first row.
     classes = found.where("key IS NOT NULL").groupBy("key").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    classes = materialise(in_tasks(classes, found.count(), CLASS_ROWS).withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     def texts_of(reps: DataFrame) -> DataFrame:
         wanted = classes.join(reps, "rep").select("rep", F.col("first.doc_id").alias("of_id"), F.col("first.hash").alias("of_hash"))

@@ -103,6 +103,33 @@ def test_hot_bucket_is_not_copied_to_all_chunk_pairs(spark):
     assert dealt.count() == len(rows) and max(r["count"] for r in dealt.groupBy("bucket", "cell").count().collect()) < 2 * chunk
 
 
+def test_small_tables_are_not_spread_over_all_partitions(spark):
+    """200 rows, with 64 shuffle partitions that are not merged: most stages have far fewer tasks."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc, texts = spark.sparkContext, near_copies()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("neardups-tasks", "tasks of a small run")
+        check(spark, texts)
+        stages = {s for job in sc.statusTracker().getJobIdsForGroup("neardups-tasks") for s in sc.statusTracker().getJobInfo(job).stageIds}
+        done = [info.numCompletedTasks for s in stages if (info := sc.statusTracker().getStageInfo(s))]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(done) < 2000, sum(done)
+
+
+def test_stars(spark):
+    def stars(*edges):
+        return neardups._stars(spark.createDataFrame(list(edges), "u long, v long"), len(edges))
+
+    assert stars((5, 1), (3, 1), (4, 2)) and stars()
+    assert not stars((5, 1), (5, 2)) and not stars((5, 3), (3, 1))
+
+
 def test_links_that_no_proposed_pair_finds(spark, monkeypatch):
     """Without any proposed pair, the second pass alone finds all links."""
     monkeypatch.setattr(neardups, "propose", lambda members: members.sparkSession.createDataFrame([], "a long, b long"))
