@@ -802,7 +802,7 @@ def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = scratch_path(spark, f"stream-rejects-{uuid.uuid4().hex}")
     lines = checkpointed(_faulty_lines(spark, sf_dir))
     for k in (0, 1):
-        lines.where(F.pmod(F.col("fetch_seq"), F.lit(2)) == k).select("value").write.mode("append").text(f"{run}/landing")
+        lines.where(F.pmod(F.col("fetch_seq"), F.lit(2)) == k).select("value").write.mode("append").options(**I.LANDED).text(f"{run}/landing")
         N.run_price_ingest(spark, f"{run}/landing", f"{run}/bronze", f"{run}/checkpoint", mode="all")
     counts = spark.read.parquet(f"{run}/bronze" + N.COUNTS_SUFFIX).agg(F.sum("landed").alias("landed"), F.sum("accepted").alias("accepted"))
     totals = counts.select(F.explode(F.map_from_arrays(F.array(F.lit("landed"), F.lit("accepted")), F.array("landed", "accepted")))
@@ -832,7 +832,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = f"{run}/bronze"
     docs = proxy_payloads(spark, sf_dir).withColumn("feed", F.pmod(F.col("fetch_seq"), F.lit(3)))
     for k, feed in enumerate(("first", "first", "second")):
-        docs.where(F.col("feed") == k).drop("feed", "fetch_seq").write.mode("append").json(f"{run}/landing-{feed}")
+        docs.where(F.col("feed") == k).drop("feed", "fetch_seq").write.mode("append").options(**I.LANDED).json(f"{run}/landing-{feed}")
         run_price_ingest(spark, f"{run}/landing-{feed}", bronze, f"{run}/checkpoint-{feed}", mode="anti")
     return bronze_rows(spark, bronze)
 

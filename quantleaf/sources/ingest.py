@@ -156,6 +156,11 @@ FUNDAMENTALS_FEED = Feed(
     entries=False, columns=tuple(schemas.BRONZE_FUNDAMENTALS.fieldNames()))
 
 
+#: How documents are landed: compressed, as their field names and numbers in text are many times their content; a compressed file is
+#: read by one task, so its documents are limited.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": "500000"}
+
+
 def landed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents as text (``value``, one per line; blank lines are none) with the ``file`` they came from."""
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where("trim(value) != ''")
@@ -215,6 +220,12 @@ def rejects(checked: DataFrame) -> DataFrame:
     return checked.where(F.size("reasons") > 0).select("symbol", F.concat_ws("; ", "reasons").alias("reason"), "text", "file")
 
 
+def without_accepted_text(checked: DataFrame) -> DataFrame:
+    """The units of ``check_payloads`` as the tables take them: only rejects keep their symbol, text and file."""
+    rejected = F.size("reasons") > 0
+    return checked.withColumns({c: F.when(rejected, F.col(c)) for c in ("symbol", "text", "file")})
+
+
 def unit_counts(checked: DataFrame) -> DataFrame:
     """One row: how many units landed, were accepted and were rejected."""
     bad = (F.size("reasons") > 0).cast("long")

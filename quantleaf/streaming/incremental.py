@@ -11,8 +11,9 @@ id is the one Spark keeps in the checkpoint: a batch that is re-run after a fail
 replaces its own partial output and checks duplicates only against the *other* epochs,
 while another feed, or the same feed with a new checkpoint, writes partitions of its own, so
 nothing is lost or doubled. The duplicate check reads only the batch's date range of
-bronze (row-group min/max pruning), not the whole table. A batch is parsed once and held
-while it is checked and written.
+bronze (row-group min/max pruning), not the whole table; the keys found there are held
+and counted before the join, so few keys are broadcast and the batch is not shuffled. A batch is
+parsed once and held while it is checked and written, the text of its rejects only.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: str, bronze_di
     watermark table kept next to bronze; 'all' appends every row (later layers take the
     latest fetch). A bronze folder is fed in one mode.
     """
-    new = batch
+    new, held = batch, None
     if mode == "newer":
         latest = _latest_dates(spark, bronze_dir, epoch_id)
         if latest is not None:
@@ -72,9 +73,15 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, epoch_id: str, bronze_di
             lo, hi = batch.agg(F.min("trade_date"), F.max("trade_date")).first()
             window = (stored.where(F.col(EPOCH) != F.lit(epoch_id))
                       .where(F.col("trade_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))))
-            new = ingest.not_yet_stored(window.select("ticker", "trade_date"), batch)
+            held = window.select("ticker", "trade_date").distinct().persist()
+            held.count()        # the planner takes the size of the held keys
+            new = ingest.not_yet_stored(held, batch)
     new = new.select(*schemas.BRONZE_PRICES.fieldNames()).withColumn(EPOCH, F.lit(epoch_id))
-    _write_epoch(new, bronze_dir)
+    try:
+        _write_epoch(new, bronze_dir)
+    finally:
+        if held is not None:
+            held.unpersist()
     if mode == "newer":
         # Written after bronze: a failure in between re-runs the epoch, which rewrites both.
         marks = spark.read.parquet(bronze_dir).where(F.col(EPOCH) == F.lit(epoch_id))
@@ -120,7 +127,7 @@ def run_price_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, che
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.text(landing_dir).select("value", F.col("_metadata.file_path").alias("file")).where("trim(value) != ''")
-    units = ingest.check_payloads(lines, ingest.PRICE_FEED)
+    units = ingest.without_accepted_text(ingest.check_payloads(lines, ingest.PRICE_FEED))
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession

@@ -265,3 +265,55 @@ def test_price_symbols_are_bare_and_fetch_time_is_given(spark):
     sym = spark.createDataFrame([("VOW", "XETRA"), ("BP", "LSE")], "t string, e string").select(
         I.price_symbol(F.col("t")).alias("p"), I.price_exchange(F.col("e")).alias("x"), I.vendor_symbol(F.col("t"), F.col("e")).alias("f"))
     assert [tuple(r) for r in sym.collect()] == [("VOW3", "XETR", "VOW3.DE"), ("BP", "LSE", "BP.L")]
+
+
+def test_stored_keys_are_counted_before_the_duplicate_check(spark, tmp_dir, monkeypatch):
+    """Bronze is larger than a broadcast may be, its keys are few: the batch is joined without a shuffle."""
+    from quantleaf.streaming import incremental as N
+    bronze, t = f"{tmp_dir}/bronze", dt.datetime(2025, 1, 1)
+
+    def prices(days, n):
+        rows = [("A", dt.date(2025, 1, 1 + k % days), D(k), D(k * 7 % 1009), D(k * 11 % 997), D(k * 13 % 991), k * 7919, "X", "USD", t) for k in range(n)]
+        return spark.createDataFrame(rows, schemas.BRONZE_PRICES)
+
+    plans, write = [], N._write_epoch
+
+    def spied(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path)
+
+    ingest_batch(spark, prices(5, 20_000), "a", bronze)
+    monkeypatch.setattr(N, "_write_epoch", spied)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        ingest_batch(spark, prices(7, 700), "b", bronze)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0], plans[0]
+    got = {str(r.trade_date): r["count"] for r in bronze_rows(spark, bronze).groupBy("trade_date").count().collect()}
+    assert got == {f"2025-01-0{d}": 4000 if d < 6 else 100 for d in range(1, 8)}
+
+
+def test_streams_land_compressed_documents_and_hold_no_accepted_text(spark, tmp_dir):
+    import glob
+
+    from quantleaf.plans import catalog
+    sf, n = f"{tmp_dir}/sf", 600
+    spark.createDataFrame([(k, f"Brand#{11 + k}") for k in range(5)], "p_partkey long, p_brand string").write.parquet(f"{sf}/part.parquet")
+    lines = [(k // 2, k % 5, k, k % 2, 10.0, 1000.0 + k, 0.1, 0.05, dt.date(1995, 1, 1 + k % 28)) for k in range(n)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                 "l_discount double, l_tax double, l_shipdate date").write.parquet(f"{sf}/lineitem.parquet")
+    for query in ("stream_ingest", "stream_rejects"):
+        folders = f"{spark.conf.get('spark.checkpoint.dir')}/{query.replace('_', '-')}-*"
+        known = set(glob.glob(folders))
+        assert catalog.queries()[query](spark, sf).count()
+        run, = set(glob.glob(folders)) - known
+        for landing in glob.glob(f"{run}/landing*"):
+            stored = sum(os.path.getsize(f) for f in glob.glob(f"{landing}/part-*"))
+            text = spark.read.text(landing).agg(F.sum(F.length("value"))).first()[0]
+            assert stored < text / 2, (query, stored, text)
+    checked = I.check_payloads(spark.createDataFrame([(_price_doc("VOW3", "2024-01-02", "10"), "f"), ("{", "f")], "value string, file string"), I.PRICE_FEED)
+    held = {r.ticker: r for r in I.without_accepted_text(checked).collect()}
+    assert held["VOW"].text is None and held["VOW"].file is None and (held[None].text, held[None].file) == ("{", "f")
+    assert I.accepted(I.without_accepted_text(checked), I.PRICE_FEED).collect() == I.accepted(checked, I.PRICE_FEED).collect()
