@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes, and which belong together corpus-wide.
 
-1. A task encodes its documents with both tokenizers, each distinct piece of text once, and places the tokens by byte. For each batch, ``pandas.merge_asof``,
-   keyed by document, finds for each token start the other side's covering token, in both directions; the union of both
+1. A task encodes its documents with both tokenizers, each distinct piece of text once, and places the tokens by byte. For each batch, ``pandas.merge_asof``
+   finds for each token start the other side's covering token, in both directions; the union of both
    is the set of overlapping token pairs (links). Offsets where tokens of both sides end cut the tokens into groups.
 2. A block is a run of documents of one task, of bounded size, with a dictionary of its distinct id pairs and in how many
    of its documents each is linked. Documents refer to the dictionary by number. Blocks are stored bucketed, so documents never move.
@@ -26,7 +26,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,8 @@ MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_LINKS = 8_000_000        # a block ends at this many distinct (document, pair), or with its task
 KNOWN = 800_000                # distinct pieces of text whose ids a task remembers
 SIDE = 1 << 20                 # a pair of ids as one number: a * SIDE + b
+PAIR_BITS = 40
+JOINED = 50                    # new pieces encoded as one text
 
 
 def model_path(name: str) -> str:
@@ -130,6 +132,47 @@ def cut_pieces(texts: list[str]) -> tuple[np.ndarray, pa.LargeBinaryArray]:
     return np.searchsorted(offsets, starts, side="right") - 1, pieces
 
 
+def gives_back(ids: np.ndarray, n: np.ndarray, pieces: list[bytes], side: Side) -> np.ndarray:
+    """Whether the bytes of each piece's tokens (``ids``, one piece after the other, ``n`` of each) are the piece's bytes."""
+    ends = np.cumsum(n)
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    total = np.concatenate([[0], np.cumsum(side.length[ids])])
+    same = np.diff(total[ends], prepend=0) == size
+    told, whole = b"".join(map(side.bytes.__getitem__, ids[np.repeat(same, n)].tolist())), b"".join(compress(pieces, same.tolist()))
+    if told != whole:       # pieces of equal length that differ
+        bounds = np.cumsum(size[same])
+        differ = np.flatnonzero(np.frombuffer(told, np.uint8) != np.frombuffer(whole, np.uint8))
+        same[np.flatnonzero(same)[np.searchsorted(bounds, differ, side="right")]] = False
+    return same
+
+
+def flat_ids(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
+
+
+def split_runs(runs: list[list[bytes]], side: Side) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Runs of pieces encoded as one text each: ids, how many each piece has, and which runs came back with a token end at the end
+    of each piece. A run is a text that ``cut_pieces`` cuts into its pieces. Of other runs the numbers mean nothing."""
+    joined = [b"".join(r) for r in runs]
+    flat, n = flat_ids(side.encode_pieces([j.decode() for j in joined]))
+    good = gives_back(flat, n, joined, side)
+    pieces = np.fromiter(map(len, runs), np.int64, len(runs))
+    counts, whole = np.zeros(int(pieces.sum()), np.int64), np.repeat(good, pieces)
+    ends = np.cumsum(side.length[flat[np.repeat(good, n)]])
+    bounds = np.cumsum(np.fromiter(map(len, chain.from_iterable(runs)), np.int64, len(whole))[whole])
+    place = np.searchsorted(ends, bounds)
+    met = np.ones(len(whole), bool)
+    met[whole] = ends[place] == bounds
+    counts[whole] = np.diff(place, prepend=-1)
+    run = np.repeat(np.arange(len(runs)), pieces)
+    crossed = np.unique(run[~met])
+    # ids of the runs that are not whole are left out, and so have no pieces' counts
+    flat = flat[np.repeat(good, n)]
+    good[crossed] = False
+    return (flat, counts), good
+
+
 class Known:
     """Ids of both sides of the distinct pieces seen so far, as flat arrays; ``whole``: both give back the piece's bytes."""
 
@@ -143,23 +186,39 @@ class Known:
         self.flat = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.start = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
-    def append(self, ids: list[list[list[int]]], whole: list[bool]) -> None:
+    def append(self, ids: list[tuple[np.ndarray, np.ndarray]], whole: np.ndarray) -> None:
+        """``ids``: for each side the ids, one piece after the other, and how many each has."""
         for k in (0, 1):
-            lengths = np.fromiter(map(len, ids[k]), np.int64, len(ids[k]))
-            self.flat[k] = np.concatenate([self.flat[k], np.fromiter(chain.from_iterable(ids[k]), np.int64, int(lengths.sum()))])
-            self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + np.cumsum(lengths)])
-        self.whole = np.append(self.whole, np.array(whole, bool))
+            self.flat[k] = np.concatenate([self.flat[k], ids[k][0]])
+            self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + np.cumsum(ids[k][1])])
+        self.whole = np.append(self.whole, whole)
+
+    def add(self, pieces: list[bytes]) -> None:
+        """Encodes pieces not seen before, those that can be joined ``JOINED`` at a time."""
+        joinable = [p for p in pieces if p[0] in (32, 10) and 32 < p[-1] < 127]
+        runs = [joinable[i:i + JOINED] for i in range(0, len(joinable), JOINED)]
+        found, good = zip(*(split_runs(runs, side) for side in self.sides), strict=True)
+        good = good[0] & good[1]
+        kept = np.repeat(good, np.fromiter(map(len, runs), np.int64, len(runs)))
+        first = list(compress(joinable, kept.tolist()))
+        taken = set(first)
+        rest = [p for p in pieces if p not in taken]
+        single = [flat_ids(side.encode_pieces([p.decode() for p in rest])) for side in self.sides]
+        whole = np.ones(len(rest), bool)
+        for side, (flat, n) in zip(self.sides, single, strict=True):
+            whole &= gives_back(flat, n, rest, side)
+        ids = []
+        for (flat, n), more in zip(found, single, strict=True):
+            ids.append((np.concatenate([flat[np.repeat(kept, n)], more[0]]), np.concatenate([n[kept], more[1]])))
+        self.slot.update(zip([*first, *rest], range(len(self.whole), len(self.whole) + len(pieces)), strict=True))
+        self.append(ids, np.append(np.ones(len(first), bool), whole))
 
     def slots(self, pieces: list[bytes]) -> np.ndarray:
         if len(self.whole) + len(pieces) > self.limit:
             self.forget()
         new = [p for p in pieces if p not in self.slot]
-        texts = [p.decode() for p in new]
-        ids = [side.encode_pieces(texts) for side in self.sides]
-        a, b = (side.bytes.__getitem__ for side in self.sides)
-        whole = [b"".join(map(a, x)) == p == b"".join(map(b, y)) for p, x, y in zip(new, *ids, strict=True)]
-        self.slot.update(zip(new, range(len(self.whole), len(self.whole) + len(new)), strict=True))
-        self.append(ids, whole)
+        if new:
+            self.add(new)
         return np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
 
     def take(self, k: int, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +240,7 @@ def encode_texts(texts: list[str | None], known: Known) -> list[tuple[np.ndarray
     if len(odd):
         ids = tokens_of([texts[i] for i in odd], *known.sides)
         first = len(known.whole)
-        known.append(list(ids), [False] * len(odd))
+        known.append([flat_ids(x) for x in ids], np.zeros(len(odd), bool))
         stay = ~np.isin(doc, odd)
         doc, slot = np.append(doc[stay], odd), np.append(slot[stay], first + np.arange(len(odd)))
         order = np.argsort(doc, kind="stable")
@@ -200,12 +259,13 @@ def frame(ids: np.ndarray, doc: np.ndarray, side: Side) -> pd.DataFrame:
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs of tokens of one document that share a byte: each start meets the token that covers it."""
+    """Places of all pairs of tokens of one document that share a byte: each start meets the token that covers it. The tokens of both
+    sides cover the same bytes of the same documents, so that a start's place on the byte axis names its document."""
     if a.empty:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    starts = ["doc", "start", "place"]
-    left = pd.merge_asof(a[starts], b[starts], on="start", by="doc", suffixes=("", "_other"))
-    right = pd.merge_asof(b[starts], a[starts], on="start", by="doc", suffixes=("", "_other"))
+    starts = ["start", "place"]
+    left = pd.merge_asof(a[starts], b[starts], on="start", suffixes=("", "_other"))
+    right = pd.merge_asof(b[starts], a[starts], on="start", suffixes=("", "_other"))
     links = np.sort(np.concatenate([left["place"].to_numpy() * len(b) + left["place_other"].to_numpy(),
                                     right["place_other"].to_numpy() * len(b) + right["place"].to_numpy()]))
     links = links[np.append(True, links[1:] != links[:-1])]
@@ -249,8 +309,12 @@ def align(texts: list[str | None], known: Known) -> dict:
     first = np.append(True, group_a[1:] != group_a[:-1])[:len(group_a)]
     doc = doc_a[place_a]
     pair = a["id"].to_numpy()[place_a] * SIDE + b["id"].to_numpy()[place_b]
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
+    if n <= 1 << 23:        # document and pair as one number, which sorts faster than both
+        key = np.sort(doc << PAIR_BITS | pair)
+        doc, pair = key >> PAIR_BITS, key & ((1 << PAIR_BITS) - 1)
+    else:
+        order = np.lexsort((pair, doc))
+        doc, pair = doc[order], pair[order]
     start = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))[:len(doc)])
     return {"n_a": np.bincount(doc_a, minlength=n), "n_b": np.bincount(b["doc"], minlength=n),
             "n_groups": np.bincount(doc_a[first], minlength=n), "n_links": np.bincount(doc, minlength=n),

@@ -109,3 +109,25 @@ def test_small_blocks_and_plain_groups(spark, monkeypatch):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in alignment.align_documents(docs).collect():
         assert r.groups == written(*tokens(texts[r.doc_id]))[0]
+
+
+def test_new_pieces_are_encoded_many_at_a_time():
+    """Plain new pieces go to the tokenizers in runs, and each gets the ids that it has by itself; odd pieces come back or not as before."""
+    given = []
+
+    def counting(side):
+        def encode_pieces(pieces):
+            given.append(len(pieces))
+            return side.encode_pieces(pieces)
+        return alignment.Side(side.encode, encode_pieces, side.bytes)
+
+    pieces = [f" word{i}".encode() for i in range(1000)] + ["▁x".encode(), " a▁b".encode(), b"\n\n", b" ", " naïve".encode(), b"\n12.", "é".encode(), b" I'll"]
+    known = alignment.Known(tuple(map(counting, SIDES)))
+    slots = known.slots(pieces)
+    assert sum(given) <= 2 * (1000 // alignment.JOINED + 2 * alignment.JOINED)
+    for k, side in enumerate(SIDES):
+        ids, n = known.take(k, slots)
+        alone = side.encode_pieces([p.decode() for p in pieces])
+        assert n.tolist() == list(map(len, alone)) and ids.tolist() == [i for x in alone for i in x]
+    told = [all(b"".join(side.bytes[i] for i in side.encode_pieces([p.decode()])[0]) == p for side in SIDES) for p in pieces]
+    assert known.whole[slots].tolist() == told and not all(told)
