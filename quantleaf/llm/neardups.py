@@ -259,7 +259,7 @@ def cells(members: DataFrame, chunk: int | None = None) -> DataFrame:
 
 def propose(members: DataFrame, least: int = LEAST_AGREEING, chunk: int | None = None) -> DataFrame:
     """Distinct pairs (a < b) of the spanning forests of the buckets' chunks, from rows (bucket, n, rep, seed, component, sketch):
-    pairs of different components only (null: none yet, a row by itself). ``members`` is a stored table: its rows are counted."""
+    pairs of different components only (null: none yet, a row by itself). ``members`` comes from a stored table: its rows are counted."""
     n = members.count()
 
     def forest(rows: pa.RecordBatch, s: int, e: int, bucket: int, mixed: bool) -> pa.RecordBatch | None:
@@ -380,25 +380,35 @@ def _labels(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> D
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"), F.bit_xor(F.xxhash64("rep")).alias("x")).where("n > 1")
     full = in_tasks(full, n * BANDS, KEY_ROWS)
     buckets = in_tasks(full.groupBy("n", "first", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), n * BANDS, KEY_ROWS)
-    members = materialise(in_tasks(rows.join(buckets, "bucket").select("bucket", "n", "rep"), n * BANDS, KEY_ROWS), "members")
-    m = members.count()
-    reps = materialise(in_tasks(members.select("rep").distinct(), m, KEY_ROWS), "reps")
-    sketches = materialise(in_tasks(classes.join(reps, "rep").select("rep", "sketch", "bands"), n, CLASS_ROWS), "sketches")
-    texts = materialise(in_tasks(texts_of(reps), n, CLASS_ROWS), "texts")
-
-    def proposed(rows: DataFrame, n: int) -> DataFrame:
-        """The links among the pairs that the forests of rows (bucket, n, rep, seed, component) propose."""
-        rows = materialise(in_tasks(rows.join(sketches.select("rep", "sketch"), "rep"), n, CLASS_ROWS), "proposing")
+    # A representative's buckets stay with it, as a list of one for each band at most: joins are of one row per representative,
+    # which then goes out to its buckets.
+    members = in_tasks(rows.join(buckets, "bucket").select("bucket", "n", "rep"), n * BANDS, KEY_ROWS)
+    members = members.groupBy("rep").agg(F.collect_list(F.struct("bucket", "n")).alias("held"))
+    sketches = materialise(in_tasks(classes.join(members, "rep").select("rep", "sketch", "bands", "held"), n, CLASS_ROWS), "sketches")
+    m = sketches.agg(F.sum(F.size("held"))).first()[0] or 0
+    texts = materialise(in_tasks(texts_of(sketches.select("rep")), n, CLASS_ROWS), "texts")
+
+    def proposed(reps: DataFrame, seeds: list[int]) -> DataFrame:
+        """The links among the pairs that the forests propose, from a stored table (rep, component, sketch, held). Small buckets
+        are dealt by the first seed only."""
+        deals = F.flatten(F.transform("held", lambda b: F.transform(
+            F.filter(F.array(*map(F.lit, seeds)), lambda s: (s == seeds[0]) | (b["n"] > CHUNK)),
+            lambda s: F.struct(b["bucket"].alias("bucket"), b["n"].alias("n"), s.alias("seed")))))
+        rows = reps.select("rep", "component", "sketch", F.explode(deals).alias("deal")).select(
+            "deal.bucket", "deal.n", "rep", "deal.seed", "component", "sketch")
         return materialise(confirm(materialise(propose(rows), "pairs"), texts).where("linked").select("a", "b"), "links")
 
+    def by_rep(rows: DataFrame, n: int) -> DataFrame:
+        """(rep, component, sketch, bands, held) of rows (bucket, n, rep, component)."""
+        own = rows.groupBy("rep").agg(F.first("component").alias("component"), F.collect_list(F.struct("bucket", "n")).alias("held"))
+        return in_tasks(sketches.drop("held").join(in_tasks(own, n, CLASS_ROWS), "rep"), n, CLASS_ROWS)
+
     # A large bucket is dealt twice at first: what a chunk of one deal does not link, one of the other may.
-    first = members.withColumn("component", F.lit(None).cast("long"))
-    deals = F.when(F.col("n") > CHUNK, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    links = proposed(first.withColumn("seed", F.explode(deals)), m)
+    links = proposed(sketches.withColumn("component", F.lit(None).cast("long")), [0, 1])
     for seed in range(2, max(ROUNDS, 2) + 1):
         labels = components(links)
-        now = in_tasks(members.join(labels, members["rep"] == labels["node"], "left"), m, KEY_ROWS).select(
-            "bucket", "n", "rep", F.coalesce("component", "rep").alias("component"))
+        now = in_tasks(sketches.select("rep", "held").join(labels, F.col("rep") == F.col("node"), "left"), n, CLASS_ROWS).select(
+            "rep", F.coalesce("component", "rep").alias("component"), F.explode("held").alias("in")).select("in.bucket", "in.n", "rep", "component")
         sizes = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
         unsettled = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket")
         now = materialise(in_tasks(now.join(unsettled, "bucket"), m, KEY_ROWS), "unsettled")
@@ -407,15 +417,14 @@ def _labels(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> D
         left = 0 if seed >= ROUNDS else large.count()
         if not left:
             break
-        more = proposed(large.withColumn("seed", F.lit(seed)), left)
+        more = proposed(materialise(by_rep(large, left), "proposing"), [seed])
         if more.isEmpty():
             break
         links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    left = now.count()
-    own = in_tasks(now.groupBy("rep").agg(F.collect_set("bucket").alias("own")), left, CLASS_ROWS)      # one bucket per band at most
-    keys = in_tasks(sketches.join(own, "rep"), left, CLASS_ROWS).select("rep", "sketch", F.transform(
-        "bands", lambda k: F.when(F.array_contains("own", k), k).otherwise(0)).alias("open"))
-    rows = materialise(in_tasks(now.join(keys, "rep"), left, CLASS_ROWS), "open")
+    own = F.transform("held", lambda b: b["bucket"])
+    open_keys = F.transform("bands", lambda k: F.when(F.array_contains("own", k), k).otherwise(0)).alias("open")
+    rows = by_rep(now, now.count()).withColumn("own", own).select("rep", "component", "sketch", open_keys, F.explode("held").alias("in"))
+    rows = materialise(rows.select("in.bucket", "in.n", "rep", "component", "sketch", "open"), "open")
     more = materialise(crossing_links(rows, texts), "links")
     if not more.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))

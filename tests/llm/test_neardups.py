@@ -202,3 +202,20 @@ def test_components_of_random_graphs(spark):
         got = {r.node: r.component for r in neardups.components(spark.createDataFrame(edges, "a long, b long")).collect()}
         nodes = {x for e in edges if e[0] != e[1] for x in e}
         assert all(got.get(x, x) == root(x) for x in nodes)
+
+
+def test_tables_of_representatives_hold_each_once(spark, monkeypatch):
+    """Until they go out to their buckets, near copies are one row each, not one for each bucket and deal."""
+    real, rows = neardups.materialise, {}
+
+    def stored(df, name, *more):
+        out = real(df, name, *more)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardups, "materialise", stored)
+    monkeypatch.setattr(neardups, "CHUNK", 16)
+    texts = near_copies(seed=8)
+    check(spark, texts)
+    assert rows["sketches"] > 16
+    assert all(rows.get(name, 0) <= len(texts) for name in ("members", "sketches", "proposing", "texts")), rows
