@@ -41,12 +41,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_slices
+from .common import in_tasks, materialise, text_slices
 
 MIN_PAGES = 10
 CONSTANT_SHARE = 0.6
 CONTAINER_SHARE = 0.7
 MAX_DEPTH = 100
+# Pages for a task of the tables by host and by text at a node, which are small: each file that a task writes costs more than its rows.
+HOST_PAGES, TEXT_PAGES = 50_000, 5_000
 
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
     footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th
@@ -423,16 +425,32 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array([shape(p)[0] for p in pages], pa.string())], ["host", "page", "shape"])
 
 
+class Wrappers:
+    """What the rows of a host have in common, read from the first of them: a batch holds it once for each row, Python once for each
+    host met. ``names``: the columns, a function may follow."""
+
+    def __init__(self, remember: int = 200, **names):
+        self.remember, self.names, self.known = remember, names, {}
+
+    def __call__(self, part: pa.RecordBatch, hosts: list[str], row: int) -> tuple:
+        found = self.known.get(hosts[row])
+        if found is None:
+            if len(self.known) >= self.remember:
+                self.known.clear()
+            found = self.known[hosts[row]] = tuple(read(part.column(c)[row].as_py()) for c, read in self.names.items())
+        return found
+
+
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text at a template node of a page: host, page, node, text, chars, link_chars (text null: the page itself)."""
-    align = Aligner()
+    align, wrapper = Aligner(), Wrappers(template=str)
     for batch in batches:
         for part in text_slices(batch, "html"):
-            rows = []
-            for host, source, template in zip(*(part.column(c).to_pylist() for c in ("host", "html", "template")), strict=True):
+            rows, hosts = [], part.column("host").to_pylist()
+            for i, (host, source) in enumerate(zip(hosts, part.column("html").to_pylist(), strict=True)):
                 page = parse(source)
                 text, number = shape(page)
-                to = align(text, template)
+                to = align(text, *wrapper(part, hosts, i))
                 same = identity(page)
                 rows.append((host, same, -1, None, 0, 0))
                 seen = set()
@@ -472,18 +490,20 @@ def _container(template: str, weight: dict[int, int]) -> int | None:
 def induce(pages: DataFrame) -> DataFrame:
     """Templates of ``pages`` (host, html): host, template, constants (node and hash of the text), container, spared (slots of
     SOFT elements that are content)."""
+    n = pages.count()
     # Copies of a page are one page, here and below.
     shapes = (pages.select("host", "html").mapInArrow(_shapes, "host string, page long, shape string")
                    .groupBy("host", "page").agg(F.min("shape").alias("shape"))
                    .groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
     seeds = shapes.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("template"))
-    seeds = materialise(seeds, "templates")
+    seeds = materialise(in_tasks(seeds, n, HOST_PAGES), "templates")
     slots = pages.join(seeds, "host").select("host", "html", "template").mapInArrow(
         _slots, "host string, page long, node int, text long, chars long, link_chars long")
     # One row per distinct page and text at a node, so that counts are counts of distinct pages.
     slots = slots.groupBy("host", "node", "text", "page").agg(F.max("chars").alias("chars"), F.max("link_chars").alias("link_chars"))
-    texts = materialise(slots.groupBy("host", "node", "text").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars")), "slots")
+    texts = slots.groupBy("host", "node", "text").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"))
+    texts = materialise(in_tasks(texts, n, TEXT_PAGES), "slots")
     totals = texts.where("node = -1").select("host", F.col("n").alias("n_pages"))
     judged = texts.where("node <> -1").join(totals, "host").withColumn(
         "constant", (F.col("n") >= MIN_PAGES) & (F.col("n") >= CONSTANT_SHARE * F.col("n_pages")))
@@ -511,7 +531,7 @@ def induce(pages: DataFrame) -> DataFrame:
 
     joined = seeds.join(constants, "host", "left").join(weights, "host", "left").join(spared, "host", "left").select(
         "host", "template", "constants", "weights", "spared")
-    return materialise(joined.mapInArrow(
+    return materialise(in_tasks(joined, n, HOST_PAGES).mapInArrow(
         choose, "host string, template string, constants array<struct<node:int,text:bigint>>, container int, spared array<int>"), "wrappers")
 
 
@@ -567,15 +587,16 @@ def main_text(page: Page, to: dict[int, int], number: list[int], constant: set[t
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     align = Aligner()
+    wrapper = Wrappers(template=lambda t: t, constants=lambda cs: {(c["node"], c["text"]) for c in cs or []}, container=lambda c: c,
+                       spared=lambda nodes: set(nodes or []))
     for batch in batches:
         for part in text_slices(batch, "html"):
-            texts = []
-            for source, template, constants, container, spared in zip(
-                    *(part.column(c).to_pylist() for c in ("html", "template", "constants", "container", "spared")), strict=True):
+            texts, hosts = [], part.column("host").to_pylist()
+            for i, source in enumerate(part.column("html").to_pylist()):
                 page = parse(source)
                 shaped, number = shape(page)
-                constant = {(c["node"], c["text"]) for c in constants or []}
-                texts.append(main_text(page, align(shaped, template), number, constant, container, set(spared or [])))
+                template, constant, container, spared = wrapper(part, hosts, i)
+                texts.append(main_text(page, align(shaped, template), number, constant, container, spared))
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
@@ -586,7 +607,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
     wrappers = induce(rows)
-    return rows.join(wrappers, "host", "left").select("page_id", "url", "html", "template", "constants", "container", "spared").mapInArrow(
+    return rows.join(wrappers, "host", "left").select("page_id", "url", "host", "html", "template", "constants", "container", "spared").mapInArrow(
         _extracted, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")
 
 

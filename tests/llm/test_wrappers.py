@@ -4,6 +4,8 @@ import json
 import random
 from functools import lru_cache
 
+import pyarrow as pa
+
 from quantleaf.llm import wrappers
 
 from .helpers import SF
@@ -205,3 +207,35 @@ def test_a_name_never_drops_most_of_a_page():
         assert text_of(f"<div class='{name}'><p>Told at some length</p></div><div class='menu-box'><a href=x>Home</a></div>") == "Told at some length"
     assert text_of("<p>Told</p><div class='comments'><p>A very long comment by a reader</p></div>") == "Told"
     assert text_of("<p>Told at length</p><div class='sidebar'><p>Side</p></div><div class='has-notice'><p>No</p></div>") == "Told at length"
+
+
+def test_what_a_host_has_is_read_once():
+    """Python reads a host's template and constants once for many pages, not once for each."""
+    read = []
+    rows = pa.RecordBatch.from_pydict({"host": ["a"] * 500 + ["b"] * 500, "template": ["x" * 100] * 500 + [None] * 500})
+    wrapper, hosts = wrappers.Wrappers(template=lambda t: read.append(t) or t), rows.column("host").to_pylist()
+    assert [wrapper(rows, hosts, i)[0] for i in range(1000)] == rows.column("template").to_pylist()
+    assert len(read) == 2
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    """With 64 shuffle partitions that are not merged, the tables by host and by text have a file for each core at most."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, real, files = {k: spark.conf.get(k) for k in held}, wrappers.materialise, {}
+
+    def stored(df, name, *more):
+        out = real(df, name, *more)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(wrappers, "materialise", stored)
+    rows = [(i, f"https://h{i % 40}.org/{i}", SHELL % f"<article><p>Story {i}</p></article>") for i in range(200)]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.page_id: r.text for r in found} == {i: f"Story {i}" for i in range(200)}
+    assert files.keys() == {"templates", "slots", "wrappers"} and max(files.values()) <= spark.sparkContext.defaultParallelism, files
